@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from . import mixing, tokens
+from . import licenses, mixing, quality, tokens, warc
 
 QUERIES = {
+    "op1_licenses": licenses.op1_licenses,
+    "op2_quality": quality.op2_quality,
     "op5_token_counts": tokens.op5_token_counts,
     "op9_mixing": mixing.op9_mixing,
+    "op10_warc": warc.op10_warc,
 }
 
 SQL = {
     "op9_mixing": mixing.sql(),
+    "op10_warc": warc.SQL,
 }
