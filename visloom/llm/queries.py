@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import langid, licenses, mixing, neardup, quality, tokens, warc
+from . import decontaminate, langid, licenses, linededup, mixing, neardup, quality, tokens, warc
 
 QUERIES = {
     "op1_licenses": licenses.op1_licenses,
     "op2_quality": quality.op2_quality,
+    "op4_decontamination": decontaminate.op4_decontamination,
     "op5_token_counts": tokens.op5_token_counts,
+    "op6_line_dedup": linededup.op6_line_dedup,
     "op7_language": langid.op7_language,
     "op8_near_duplicates": neardup.op8_near_duplicates,
     "op9_mixing": mixing.op9_mixing,
