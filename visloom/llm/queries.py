@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, langid, licenses, linededup, mixing, neardup, quality, tokens, warc
+from . import decontaminate, langid, licenses, linededup, mixing, neardup, quality, substrings, tokens, warc
 
 QUERIES = {
     "op1_licenses": licenses.op1_licenses,
     "op2_quality": quality.op2_quality,
+    "op3_suffix_dedup": substrings.op3_suffix_dedup,
     "op4_decontamination": decontaminate.op4_decontamination,
     "op5_token_counts": tokens.op5_token_counts,
     "op6_line_dedup": linededup.op6_line_dedup,
