@@ -104,6 +104,7 @@ FAMILIES: tuple[tuple[str, str, str, str, str], ...] = (
     ("sspl", "sspl", r"sspl \d \d", r"server side public license(?: version)? \d", r"sspl"),
     ("unicode", "unicode", r"unicode (?:dfs|tou|3)(?: \d+)?", r"unicode license agreement", r"unicode license"),
     ("unlicense", "unlicense", r"unlicense", r"this is free and unencumbered software released into the public domain", r"(?:the )?unlicense"),
+    ("unlicense", "unencumbered", r"unlicense unencumbered", r"this is free and unencumbered software released into the public domain", r"free and unencumbered software"),
     ("upl", "upl", r"upl \d \d", r"universal permissive license(?: v(?:ersion)?)? ?\d \d", r"upl"),
     ("vim", "vim", r"vim", r"vim license", r"vim licen[cs]e"),
     ("w3c", "w3c", r"w3c(?: \d+)?", r"w3c software (?:notice and|and document) license", r"w3c license"),
