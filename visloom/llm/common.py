@@ -29,6 +29,14 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def free(columns: list[str], name: str) -> str:
+    """``name``, lengthened until none of the columns has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; a temporary one only where none is named, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -42,9 +50,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a compressed table in the shared folder and go on from there, so that what comes after neither recomputes it nor depends on any executor."""
+    spark = df.sparkSession
+    path = fresh_path(spark, "cut")
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -8,8 +8,8 @@ one anchor's group.
 2. Texts are cut into segments, the maximal runs of strings with a shared anchor. Equal segments of many
    documents become one, held by the smallest doc_id: in all other documents the whole segment goes.
 3. Of the distinct segments, held by their first documents, anchors are counted again. What still has a
-   shared anchor is cut into slices, at most ``MOST_STRINGS`` strings of one anchor each, and slices are
-   dealt out by anchor into blocks.
+   shared anchor is cut into slices, at most ``MOST_STRINGS`` strings of one anchor each. Equal slices become
+   one, like equal segments; distinct ones of an anchor are dealt out by anchor into blocks.
 4. A block's suffixes are sorted in two stages (``suffixes``), and adjacent common prefixes of ``LENGTH``
    bytes or more join equal strings; those of a larger doc_id than the group's smallest are covered. An
    anchor with over ``HOT_SLICES`` slices would make a block of its own without a bound: its strings are
@@ -44,6 +44,8 @@ RANGE_BYTES = 8 << 20
 BATCH_BYTES = 2 << 20
 #: Shared anchors up to this number (8 bytes each) are broadcast; more are joined to the documents by shuffle.
 BROADCAST_ANCHORS = 4_000_000
+#: Other tables of up to so many rows are broadcast.
+BROADCAST_ROWS = 500_000
 
 _U = np.uint64
 _BYTE_HASH = np.random.default_rng(50).integers(0, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
@@ -149,14 +151,16 @@ def segments(texts: list[bytes], shared: np.ndarray | list[np.ndarray]) -> Itera
             yield numbers.start + t, a - int(starts[t]), b - a
 
 
-def slices(texts: list[bytes], shared: np.ndarray | list[np.ndarray]) -> Iterator[tuple[int, int, int, bytes]]:
-    """(text number, start, anchor, bytes) of the runs of strings with one shared anchor."""
+def slices(texts: list[bytes], shared: np.ndarray | list[np.ndarray] | None) -> Iterator[tuple[int, int, int, bytes]]:
+    """(text number, start, anchor, bytes) of the runs of strings with one anchor, if it is shared, or of all."""
     for numbers, data, starts, found in _pieces(texts):
         at = _heads(found)
         ends = np.append(at[1:], len(found))
         value = found[at]
         text = np.searchsorted(starts, at, side="right") - 1
-        if isinstance(shared, list):
+        if shared is None:
+            held = np.ones(len(at), bool)
+        elif isinstance(shared, list):
             held = np.array([value[k] in shared[numbers.start + text[k]] for k in range(len(at))], bool) if len(at) else np.zeros(0, bool)
         elif len(shared):
             held = shared[np.minimum(np.searchsorted(shared, value), len(shared) - 1)] == value
@@ -288,56 +292,90 @@ def covered(docs: DataFrame) -> DataFrame:
                 yield flush()
 
     found = common.cut(look.rows.mapInArrow(cut_up, "owner long, tag long, start long, n long, name binary, data binary"))
-    firsts = common.cut(found.groupBy("name").agg(F.min("owner").alias("first"), F.count("*").alias("held")))
-    placed = found.select("owner", "tag", "start", "n", "name").join(firsts, "name")
-    repeated = placed.where("owner > first").select("owner", "tag", "start", "n")
-
-    # What the first holders of distinct segments share with one another.
-    names = firsts.select(F.col("name").alias("its_name"), "first")
-    kinds = found.join(names, (F.col("name") == F.col("its_name")) & (F.col("owner") == F.col("first"))).groupBy("name").agg(F.min("owner").alias("owner"), F.min("data").alias("data"))
-    kinds = common.cut(kinds.select("owner", F.xxhash64("name").alias("tag"), "name", "data"))
-    bytes_left = kinds.agg(F.sum(F.length("data"))).first()[0] or 0
-    again = _Lookup(kinds, common.cut(shared_anchors(kinds, 1 + bytes_left // RANGE_BYTES)))
-
-    def slice_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    place = F.struct("owner", "tag", "start")
+    firsts = common.cut(found.groupBy("name").agg(F.min(place).alias("at")))
+    few = _near(firsts.select(F.col("name").alias("its_name"), "at"))
+    placed = found.select("owner", "tag", "start", "n", "name").join(few, F.col("name") == F.col("its_name"))
+    repeated = placed.where("owner > at.owner").select("owner", "tag", "start", "n")
+
+    # What the first holders of distinct segments share with one another: segments in the place of texts.
+    kinds = found.join(few, (F.col("name") == F.col("its_name")) & (place == F.col("at")))
+    kinds = common.cut(kinds.select("owner", F.xxhash64("name").alias("tag"), "data").dropDuplicates(["owner", "tag"]))
+    inside = _inside(kinds).select(F.col("owner").alias("first"), F.col("tag").alias("kind"), F.col("start").alias("inner"), F.col("n").alias("m"))
+    own = placed.where("owner = at.owner").select("owner", "tag", "start", F.xxhash64("name").alias("kind"))
+    partly = own.join(inside, (own["owner"] == inside["first"]) & (own["kind"] == inside["kind"])).select("owner", "tag", (F.col("start") + F.col("inner")).alias("start"), F.col("m").alias("n"))
+    return repeated.union(partly)
+
+
+def _near(small: DataFrame) -> DataFrame:
+    """A table of few rows is broadcast; else it joins by shuffle."""
+    return F.broadcast(small) if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else small
+
+
+def _inside(kinds: DataFrame) -> DataFrame:
+    """(owner, tag, start, n): runs of strings in the distinct segments (owner, tag, data) that a smaller owner's segment holds."""
+    size = kinds.agg(F.sum(F.length("data"))).first()[0] or 0
+    look = _Lookup(kinds, common.cut(shared_anchors(kinds, 1 + size // RANGE_BYTES)))
+    # Equal slices are one, like equal segments, and only hashes of slices move for that.
+    cut_slices = common.cut(look.rows.mapInArrow(_slicer(look, False), "owner long, tag long, start long, n long, anchor long, name long"))
+    distinct = cut_slices.groupBy("anchor", "name").agg(F.min("owner").alias("least"), F.min(F.struct("owner", "tag", "start")).alias("at"))
+    distinct = common.cut(distinct)
+    of_slice = cut_slices.join(distinct.select("anchor", "name", "least"), ["anchor", "name"])
+    repeated = of_slice.where("owner > least").select("owner", "tag", "start", "n")
+
+    # An anchor with one distinct slice has nothing left to compare.
+    counts = common.cut(distinct.groupBy("anchor").agg(F.count("*").alias("slices")).where("slices > 1"))
+    wanted = distinct.join(counts, "anchor").select("anchor", "name", "slices", F.col("at.owner").alias("o"), F.col("at.tag").alias("g"), F.col("at.start").alias("s"))
+    starts = common.cut(wanted.groupBy("o", "g").agg(F.sort_array(F.collect_set("s")).alias("starts")))
+    with_starts = kinds.join(_near(starts), (F.col("owner") == F.col("o")) & (F.col("tag") == F.col("g"))).select("owner", "tag", "data", "starts")
+    texts = with_starts.mapInArrow(_slicer(None, True), "owner long, tag long, start long, n long, anchor long, name long, slice binary")
+    texts = common.cut(texts.join(_near(counts), "anchor"))
+    blocks = 1 + texts.count() // BLOCK_SLICES
+
+    def sort_block(table: pa.Table) -> pa.Table:
+        runs = _runs(covered_starts(table.column("slice").to_pylist(), table.column("owner").to_numpy(), LENGTH))
+        number = pa.array([r[0] for r in runs], pa.int64())
+        return pa.table({"anchor": table.column("anchor").take(number), "name": table.column("name").take(number), "inner": pa.array([r[1] for r in runs], pa.int64()), "m": pa.array([r[2] for r in runs], pa.int64())})
+
+    dealt = texts.where(F.col("slices") <= HOT_SLICES).select("owner", "anchor", "name", "slice", F.pmod(F.xxhash64("anchor"), F.lit(blocks)).alias("block"))
+    inner = dealt.groupBy("block").applyInArrow(sort_block, "anchor long, name long, inner long, m long")
+    # Anchors with too many slices for a block: their strings as rows, those equal by their bytes.
+    strings = texts.where(F.col("slices") > HOT_SLICES).select("owner", "anchor", "name", "slice", F.explode(F.sequence(F.lit(0), F.length("slice") - LENGTH)).alias("k"))
+    strings = strings.select("owner", "anchor", "name", F.col("k").cast("long").alias("inner"), F.expr(f"substring(slice, k + 1, {LENGTH})").alias("string"))
+    held_by = strings.groupBy("string").agg(F.min("owner").alias("least"))
+    outer = strings.join(held_by, "string").where("owner > least").select("anchor", "name", "inner", F.lit(1).cast("long").alias("m"))
+    runs = common.cut(inner.union(outer))
+    own = of_slice.where("owner = least").join(runs, ["anchor", "name"]).select("owner", "tag", (F.col("start") + F.col("inner")).alias("start"), F.col("m").alias("n"))
+    return repeated.union(own)
+
+
+def _slicer(look: _Lookup | None, with_bytes: bool):
+    """A function for mapInArrow over (owner, tag, data, ...): the slices with a shared anchor, or those listed in the fourth column, with their bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        names = ["owner", "tag", "start", "n", "anchor", "name", *(["slice"] if with_bytes else [])]
         for batch in batches:
             held: list[tuple] = []
 
             def flush(held=held, batch=batch):
                 number = pa.array([h[0] for h in held], pa.int64())
-                return pa.RecordBatch.from_arrays([batch.column(0).take(number), batch.column(1).take(number), pa.array([h[1] for h in held], pa.int64()), pa.array([h[2] for h in held], pa.int64()), pa.array([h[3] for h in held], pa.binary())], ["owner", "tag", "start", "anchor", "slice"])
-
-            for row in slices(batch.column(2).to_pylist(), again.of(batch)):
-                held.append(row)
+                column = lambda k, t=pa.int64(): pa.array([h[k] for h in held], t)
+                return pa.RecordBatch.from_arrays([batch.column(0).take(number), batch.column(1).take(number), *(column(k) for k in range(1, 5)), *([column(5, pa.binary())] if with_bytes else [])], names)
+
+            listed = None if look else [set(x) for x in batch.column(3).to_pylist()]
+            for t, start, anchor, piece in slices(batch.column(2).to_pylist(), look.of(batch) if look else None):
+                if listed is None or start in listed[t]:
+                    # Signed 63-bit names; slices are told apart by anchor and name together.
+                    held.append((t, start, len(piece) - LENGTH + 1, anchor, xxhash.xxh3_64_intdigest(piece) >> 1, piece if with_bytes else None))
                 if len(held) >= 50_000:
                     yield flush()
                     held.clear()
             if held:
                 yield flush()
 
-    cut_slices = common.cut(again.rows.mapInArrow(slice_up, "owner long, tag long, start long, anchor long, slice binary"))
-    hot = common.cut(cut_slices.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > HOT_SLICES).select("anchor"))
-    blocks = 1 + cut_slices.count() // BLOCK_SLICES
-
-    def sort_block(table: pa.Table) -> pa.Table:
-        owners = table.column("owner").to_numpy()
-        runs = _runs(covered_starts(table.column("slice").to_pylist(), owners, LENGTH))
-        number = pa.array([r[0] for r in runs], pa.int64())
-        start = np.array([r[1] for r in runs], np.int64) + table.column("start").to_numpy()[number.to_numpy(zero_copy_only=False)] if runs else np.zeros(0, np.int64)
-        return pa.table({"owner": table.column("owner").take(number), "tag": table.column("tag").take(number), "at": pa.array(start, pa.int64()), "m": pa.array([r[2] for r in runs], pa.int64())})
-
-    dealt = cut_slices.join(hot, "anchor", "left_anti") if hot.limit(1).count() else cut_slices
-    inner = dealt.withColumn("block", F.pmod(F.xxhash64("anchor"), F.lit(blocks))).groupBy("block").applyInArrow(sort_block, "owner long, tag long, at long, m long")
-    # Anchors with too many slices for a block: their strings as rows, those equal by their bytes.
-    strings = cut_slices.join(hot, "anchor").select("owner", "tag", "start", "slice", F.explode(F.sequence(F.lit(0), F.length("slice") - LENGTH)).alias("k"))
-    strings = strings.select("owner", "tag", (F.col("start") + F.col("k")).alias("at"), F.expr(f"substring(slice, k + 1, {LENGTH})").alias("string"))
-    held_by = strings.groupBy("string").agg(F.min("owner").alias("least"))
-    outer = strings.join(held_by, "string").where("owner > least").select("owner", "tag", "at", F.lit(1).cast("long").alias("m"))
-    inside = common.cut(inner.union(outer)).withColumnRenamed("owner", "first").withColumnRenamed("tag", "kind")
-
-    own = placed.where("owner = first").select("owner", "tag", "start", F.xxhash64("name").alias("kind"))
-    partly = own.join(inside, (F.col("owner") == F.col("first")) & (own["kind"] == inside["kind"])).select("owner", "tag", (F.col("start") + F.col("at")).alias("start"), F.col("m").alias("n"))
-    return repeated.union(partly)
+    return run
 
 
 def _runs(starts: list[np.ndarray]) -> list[tuple[int, int, int]]:
@@ -371,7 +409,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     rows = docs.select(F.col(id_col).cast("long").alias("owner"), F.xxhash64(data).alias("tag"), data.alias("data"))
     lost = covered(rows.where("owner IS NOT NULL")).groupBy("owner", "tag").agg(F.collect_set(F.struct("start", "n")).alias("lost"))
     lost = lost.select(F.col("owner").alias("o"), F.col("tag").alias("g"), "lost")
-    joined = rows.join(lost, (F.col("owner") == F.col("o")) & (F.col("tag") == F.col("g")), "left").select("owner", "data", "lost")
+    lost = common.cut(lost)
+    few = (lost.agg(F.sum(F.size("lost"))).first()[0] or 0) <= 4 * BROADCAST_ROWS
+    joined = rows.join(F.broadcast(lost) if few else lost, (F.col("owner") == F.col("o")) & (F.col("tag") == F.col("g")), "left").select("owner", "data", "lost")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
