@@ -131,14 +131,16 @@ REPORT = ("n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines")
 
 
 def _with_lists(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    lists = common.cut(repeats(docs, id_col, text_col)).select(F.col("id").alias("__id"), F.col("gone").alias("__gone"))
-    return docs.join(near(lists, BROADCAST_DOCS), docs[id_col].cast("long") == F.col("__id"), "left")
+    """The documents' columns, then the list of lost chunks."""
+    key, gone = common.free(docs.columns, "its_id"), common.free(docs.columns, "gone")
+    lists = common.cut(repeats(docs, id_col, text_col)).select(F.col("id").alias(key), F.col("gone").alias(gone))
+    return docs.join(near(lists, BROADCAST_DOCS), F.col(id_col).cast("long") == F.col(key), "left").drop(key)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", drop_emptied: bool = False) -> DataFrame:
     """The documents without their repeated chunks; on wish, without those that lose all their words thereby."""
     at = docs.columns.index(text_col)
-    joined = _with_lists(docs, id_col, text_col).select(*[docs[c] for c in docs.columns], "__gone")
+    joined = _with_lists(docs, id_col, text_col)
     schema = T.StructType([*docs.schema.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,7 +158,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, counts of lines and chunks and of removed ones, bytes kept and their SHA-256, for each row."""
-    joined = _with_lists(docs, id_col, text_col).select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"), "__gone")
+    joined = _with_lists(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

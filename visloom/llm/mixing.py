@@ -90,8 +90,9 @@ def rates(
 def by_source(rows: DataFrame, per_source: DataFrame, source_col: str = "source") -> DataFrame:
     """Join on the source, null included. A table of few sources is broadcast, so that no row of the large side moves."""
     few = per_source.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
-    right = per_source.withColumnRenamed("source", "__source")
-    return rows.join(F.broadcast(right) if few else right, rows[source_col].eqNullSafe(right["__source"])).drop("__source")
+    name = common.free([*rows.columns, *per_source.columns], "its_source")
+    right = per_source.withColumnRenamed("source", name)
+    return rows.join(F.broadcast(right) if few else right, rows[source_col].eqNullSafe(right[name])).drop(name)
 
 
 def plan(docs: DataFrame, **options) -> DataFrame:
@@ -106,10 +107,10 @@ def emit(docs: DataFrame, **options) -> DataFrame:
     """The documents themselves, each as often as its rate and draw say."""
     id_col, source_col = options.get("id_col", "doc_id"), options.get("source_col", "source")
     _, chosen = rates(docs, **options)
-    per_source = chosen.select(F.col("source"), F.col("rate").alias("__rate"), F.col("seed").alias("__seed"))
-    out = by_source(docs, per_source, source_col)
-    out = out.withColumn("__copies", copies(F.col("__rate"), draw(out[id_col], F.col("__seed"))).cast("int")).where("__copies > 0")
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[f"`{c}`" for c in docs.columns])
+    rate, seed, n = (common.free(docs.columns, x) for x in ("rate", "seed", "copies"))
+    out = by_source(docs, chosen.select("source", F.col("rate").alias(rate), F.col("seed").alias(seed)), source_col)
+    out = out.withColumn(n, copies(F.col(rate), draw(F.col(id_col), F.col(seed))).cast("int")).where(F.col(n) > 0)
+    return out.select(*[f"`{c}`" for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col(n))).alias(n)).drop(n)
 
 
 def op9_mixing(spark, sf_dir: str) -> DataFrame:

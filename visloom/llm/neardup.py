@@ -193,10 +193,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
 
 
 def keep_first(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without the near-duplicates of others: one of each group stays, and one row of each repeated id."""
-    gone = near_duplicates(docs, size, percent, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
+    """The documents without the near-duplicates of others: one id of each group stays."""
+    name = common.free(docs.columns, "gone")
+    gone = common.cut(near_duplicates(docs, size, percent, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias(name)).distinct())
     few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if few else gone, docs[id_col] == F.col("__gone"), "left_anti")
+    return docs.join(F.broadcast(gone) if few else gone, F.col(id_col).cast("long") == F.col(name), "left_anti")
 
 
 def op8_near_duplicates(spark, sf_dir: str) -> DataFrame:
