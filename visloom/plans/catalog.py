@@ -9,6 +9,7 @@ from ..functions import ranges
 from ..operators import average, baselines, cadence, frames, metadata, quicklook, rfi, samples, sensors
 from ..session import table
 from ..sources import adapters as A
+from ..streaming import queries as streams
 from .ingest import IngestPlan
 
 QUERIES: dict = {}
@@ -598,3 +599,25 @@ def ingest_quicklook(spark, d):
     return series.join(made["sd_flag_counts"].select("out_idx", "bl", "any_count"), ["out_idx", "bl"])
 
 
+
+
+# --- streaming --------------------------------------------------------------------------------------
+
+
+@query(f"""WITH {HEAPS} SELECT 'all' AS session, coalesce(idx, -1) AS idx, frequency, CAST(-1 AS BIGINT) AS payload, reason, arrival_seq FROM classed WHERE reason <> 'ok'
+UNION ALL SELECT 'all', idx, frequency, arg_max(payload, arrival_seq), 'ok', max(arrival_seq) FROM classed, last_ WHERE reason = 'ok' AND idx < last - {ACTIVE - 1} GROUP BY idx, frequency""")
+def stream_frames(spark, d):
+    return streams.stream_frames(spark, d)
+
+
+_hours = 3600 * streams.HOURS
+
+
+@query(f"""WITH s AS (
+  SELECT CAST(floor(epoch(ts) / {_hours}) AS BIGINT) AS out_idx, CAST((event_id // 8) % {A.N_CHANNELS} AS INT) AS channel, CAST(event_id % 8 AS INT) AS bl,
+    CAST(floor(value * 100 + 0.5) AS INT) AS re, {K} - 50 AS im, CASE WHEN {K} % 3 = 0 THEN 16 ELSE 0 END AS flags FROM events),
+sums AS ({sums_sql('s', 'out_idx, channel, bl', 1).replace('CAST(dump // 1 AS BIGINT) AS out_idx, ', '')}),
+edge AS (SELECT max(epoch(ts)) - 60 AS closed FROM events)
+{final_sql('sums, edge', SPEC_KEYS)} WHERE (out_idx + 1) * {_hours} <= closed""")
+def stream_average(spark, d):
+    return streams.stream_average(spark, d)
