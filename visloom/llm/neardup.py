@@ -10,7 +10,8 @@
    large-star and small-star rounds.
 5. The rest is exact: in a bucket whose members still lie in several components, each member outside the
    bucket's largest one is compared with all members of other components. Pairs within one component
-   cannot change the result, and are never made.
+   cannot change the result, and are never made; nor are pairs whose sets cannot overlap enough, as the
+   shingles that no other component has bound the intersection.
 
 Defined cases: null or empty texts have an empty set, are linked with nothing and kept; a text with fewer
 words than a shingle is one shingle; rows that share an id share its component; a null id is left alone
@@ -145,15 +146,33 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int,
     return _passing(both, "<u8", lambda x, y: similar(x, y, percent))
 
 
+def _linkable(split: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int, **names) -> DataFrame:
+    """(rep, n, common): size of a class's set, and how many of its shingles another component in ``split`` has
+    too. That bounds its intersection with any of their members, so a class with too few of them is left out."""
+    own = common.cut(split.select("rep", "component").distinct())
+    sets = shingle_sets(docs, own.select(F.col("rep").alias("id")), size, **names).dropDuplicates(["id"])
+
+    def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, data in enumerate(batch.column(2).to_pylist()):
+                values = np.frombuffer(data, "<i8")
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), batch.column(j)[k].as_py())) for j in (0, 1)] + [pa.array(values)], ["rep", "component", "shingle"])
+
+    rows = common.cut(own.join(sets, own["rep"] == sets["id"]).select("rep", "component", "shingles").mapInArrow(flat, "rep long, component long, shingle long"))
+    elsewhere = rows.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("shingle")
+    counts = rows.join(elsewhere, "shingle").groupBy("rep").agg(F.count("*").alias("common"))
+    return counts.join(classes.select("rep", F.col("n_shingles").alias("n")), "rep").where(100 * F.col("common") >= percent * F.col("n"))
+
+
 def _order(k: int) -> Column:
     """An order of ids: the ids' own, or one of their hashes'."""
     return F.struct((F.lit(0).cast("long") if k == 0 else F.xxhash64("rep", F.lit(k))).alias("o"), F.col("rep").alias("id"))
 
 
 def classes_of(found: DataFrame) -> DataFrame:
-    """Equal sets as one class: set_hash, rep (smallest id), minima."""
+    """Equal sets as one class: set_hash, rep (smallest id), minima, n_shingles."""
     rows = found.where("doc_id IS NOT NULL AND set_hash IS NOT NULL")
-    return rows.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.min("minima").alias("minima"))
+    return rows.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.min("minima").alias("minima"), F.min("n_shingles").alias("n_shingles"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -179,8 +198,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     counts = where.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     largest = counts.groupBy("bucket").agg(F.count("*").alias("components"), F.max_by("component", F.struct("n", "component")).alias("largest")).where("components > 1")
     split = common.cut(where.join(largest.select("bucket", "largest"), "bucket"))
-    outside = split.where("component <> largest").select("bucket", F.col("rep").alias("s"), F.col("component").alias("s_component"))
+    split = split.join(_linkable(split, classes, docs, size, percent, **names), "rep")
+    outside = split.where("component <> largest").select("bucket", F.col("rep").alias("s"), F.col("component").alias("s_component"), F.col("n").alias("s_n"), F.col("common").alias("s_common"))
     rest = outside.join(split, "bucket").where("component <> s_component AND (component = largest OR s < rep)")
+    rest = rest.where((100 + percent) * F.least("common", "s_common") >= percent * (F.col("n") + F.col("s_n")))
     rest = pairs("s", "rep", rest.select("s", "rep")).join(tried, ["a", "b"], "left_anti")
     more = confirmed(rest, classes, docs, size, percent, **names)
     stars = first.select(F.col("node").alias("u"), F.col("component").alias("v"))
