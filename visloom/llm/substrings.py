@@ -5,8 +5,9 @@ grams. So only strings whose anchor is found in two documents can repeat, and al
 one anchor's group.
 
 1. Every text's anchors, without repeats and packed by hash range, are counted over all documents.
-2. Texts are cut into segments, the maximal runs of strings with a shared anchor. Equal segments of many
-   documents become one, held by the smallest doc_id: in all other documents the whole segment goes.
+2. Texts are cut into segments, runs of strings with shared anchors that end where an anchor's own bits say
+   so. Equal segments of many documents become one, held by the smallest doc_id: in all other documents the
+   whole segment goes.
 3. Of the distinct segments, held by their first documents, anchors are counted again. What still has a
    shared anchor is cut into slices, at most ``MOST_STRINGS`` strings of one anchor each. Equal slices become
    one, like equal segments; distinct ones of an anchor are dealt out by anchor into blocks.
@@ -37,13 +38,15 @@ from .suffixes import covered_starts
 LENGTH = 50
 GRAM = 20
 MOST_STRINGS = 64
+#: Segments end at one in so many anchors, so that near copies have most of theirs in common.
+PIECE_ANCHORS = 12
 HOT_SLICES = 20_000
 BLOCK_SLICES = 40_000
 #: One hash range for so many bytes of text.
 RANGE_BYTES = 8 << 20
 BATCH_BYTES = 2 << 20
 #: Shared anchors up to this number (8 bytes each) are broadcast; more are joined to the documents by shuffle.
-BROADCAST_ANCHORS = 4_000_000
+BROADCAST_ANCHORS = 8_000_000
 #: Other tables of up to so many rows are broadcast.
 BROADCAST_ROWS = 500_000
 
@@ -128,7 +131,7 @@ def text_anchors(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def segments(texts: list[bytes], shared: np.ndarray | list[np.ndarray]) -> Iterator[tuple[int, int, int]]:
-    """(text number, start, number of strings) of the maximal runs of strings whose anchors are among the sorted ``shared``, which may be a list by text."""
+    """(text number, start, number of strings) of the runs of strings whose anchors are among the sorted ``shared``, which may be a list by text. Runs are cut where an anchor's own bits say so."""
     for numbers, _, starts, found in _pieces(texts):
         at = _heads(found)
         value = found[at]
@@ -143,11 +146,12 @@ def segments(texts: list[bytes], shared: np.ndarray | list[np.ndarray]) -> Itera
         else:
             held = np.zeros(len(at), bool)
         held &= value != NONE
-        run = np.repeat(held, np.diff(np.append(at, len(found))))
-        # A gap of unmatched places at each text's end keeps the runs of different texts apart.
-        edge = np.diff(np.concatenate([[0], run.astype(np.int8), [0]]))
-        for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
-            t = int(np.searchsorted(starts, a, side="right")) - 1
+        # Heads where a segment begins or ends; unmatched places at each text's end keep texts apart.
+        before = np.concatenate([[False], held[:-1]])
+        first = held & (~before | (value % _U(PIECE_ANCHORS) == 0))
+        last = held & np.concatenate([first[1:] | ~held[1:], [True]])[: len(held)]
+        ends = np.append(at[1:], len(found))[last]
+        for a, b, t in zip(at[first].tolist(), ends.tolist(), text[first].tolist(), strict=True):
             yield numbers.start + t, a - int(starts[t]), b - a
 
 
@@ -294,13 +298,13 @@ def covered(docs: DataFrame) -> DataFrame:
     found = common.cut(look.rows.mapInArrow(cut_up, "owner long, tag long, start long, n long, name binary, data binary"))
     place = F.struct("owner", "tag", "start")
     firsts = common.cut(found.groupBy("name").agg(F.min(place).alias("at")))
-    few = _near(firsts.select(F.col("name").alias("its_name"), "at"))
-    placed = found.select("owner", "tag", "start", "n", "name").join(few, F.col("name") == F.col("its_name"))
+    placed = found.select("owner", "tag", "start", "n", "name").join(_near(firsts), "name")
     repeated = placed.where("owner > at.owner").select("owner", "tag", "start", "n")
 
     # What the first holders of distinct segments share with one another: segments in the place of texts.
-    kinds = found.join(few, (F.col("name") == F.col("its_name")) & (place == F.col("at")))
-    kinds = common.cut(kinds.select("owner", F.xxhash64("name").alias("tag"), "data").dropDuplicates(["owner", "tag"]))
+    holders = firsts.select(F.xxhash64("at.owner", "at.tag", "at.start").alias("key"))
+    kinds = _semi(found.select(F.xxhash64("owner", "tag", "start").alias("key"), "owner", F.xxhash64("name").alias("tag"), "data"), holders)
+    kinds = common.cut(kinds.select("owner", "tag", "data"))
     inside = _inside(kinds).select(F.col("owner").alias("first"), F.col("tag").alias("kind"), F.col("start").alias("inner"), F.col("n").alias("m"))
     own = placed.where("owner = at.owner").select("owner", "tag", "start", F.xxhash64("name").alias("kind"))
     partly = own.join(inside, (own["owner"] == inside["first"]) & (own["kind"] == inside["kind"])).select("owner", "tag", (F.col("start") + F.col("inner")).alias("start"), F.col("m").alias("n"))
@@ -312,6 +316,28 @@ def _near(small: DataFrame) -> DataFrame:
     return F.broadcast(small) if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else small
 
 
+def _semi(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows whose 64-bit ``key`` is among the keys. A bounded number of keys is sent as one array, so that the rows do not move."""
+    if keys.limit(BROADCAST_ANCHORS + 1).count() > BROADCAST_ANCHORS:
+        return rows.join(keys, "key", "left_semi")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.column(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes()], pa.binary())], ["packed"])
+
+    parts = [np.frombuffer(r["packed"], "<i8") for r in keys.mapInArrow(pack, "packed binary").toLocalIterator()]
+    wanted = rows.sparkSession.sparkContext.broadcast(np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.int64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        among = wanted.value
+        for batch in batches:
+            key = batch.column(0).to_numpy(zero_copy_only=False)
+            at = np.minimum(np.searchsorted(among, key), max(len(among) - 1, 0))
+            yield batch.filter(pa.array(among[at] == key if len(among) else np.zeros(len(key), bool)))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def _inside(kinds: DataFrame) -> DataFrame:
     """(owner, tag, start, n): runs of strings in the distinct segments (owner, tag, data) that a smaller owner's segment holds."""
     size = kinds.agg(F.sum(F.length("data"))).first()[0] or 0
@@ -403,13 +429,28 @@ def remove(data: bytes, runs: list[tuple[int, int]]) -> tuple[bytes, int]:
     return b"".join(kept), spans
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs that touch or overlap within a row's list as one."""
+    for batch in batches:
+        lists = []
+        for runs in batch.column(2).to_pylist():
+            out: list[list[int]] = []
+            for start, end in sorted((x["start"], x["start"] + x["n"]) for x in runs):
+                if out and start <= out[-1][1]:
+                    out[-1][1] = max(out[-1][1], end)
+                else:
+                    out.append([start, end])
+            lists.append([{"start": a, "n": b - a} for a, b in out])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lists, batch.column(2).type)], batch.schema.names)
+
+
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the kept bytes of each row."""
     data = common.text_or_empty(text_col).cast("binary")
     rows = docs.select(F.col(id_col).cast("long").alias("owner"), F.xxhash64(data).alias("tag"), data.alias("data"))
     lost = covered(rows.where("owner IS NOT NULL")).groupBy("owner", "tag").agg(F.collect_set(F.struct("start", "n")).alias("lost"))
     lost = lost.select(F.col("owner").alias("o"), F.col("tag").alias("g"), "lost")
-    lost = common.cut(lost)
+    lost = common.cut(lost.mapInArrow(_merged, lost.schema))
     few = (lost.agg(F.sum(F.size("lost"))).first()[0] or 0) <= 4 * BROADCAST_ROWS
     joined = rows.join(F.broadcast(lost) if few else lost, (F.col("owner") == F.col("o")) & (F.col("tag") == F.col("g")), "left").select("owner", "data", "lost")
 
