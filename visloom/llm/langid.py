@@ -115,9 +115,9 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, train_rows: int = TRA
     """Train on a bounded sample of rows with a language that are not held out."""
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "lang")
     # Of a large language only ids with small hashes get to its window: some times the rows wanted, however many there are.
-    counts = known.groupBy("lang").agg(F.count("*").alias("rows")).orderBy("lang").limit(train_rows)
+    totals = known.groupBy("lang").agg(F.count("*").alias("rows")).orderBy("lang").limit(train_rows)
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    few = known.join(F.broadcast(counts), "lang").where(share * F.col("rows") < 2.0 * per_language)
+    few = known.join(F.broadcast(totals), "lang").where(share * F.col("rows") < 2.0 * per_language)
     order = Window.partitionBy("lang").orderBy(share, "doc_id")
     ids = few.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language).orderBy("n", "lang").limit(train_rows)
     ids = F.broadcast(ids.select(F.col("doc_id").alias("__id"), F.col("lang").alias("__lang")).distinct())
