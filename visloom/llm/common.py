@@ -37,16 +37,18 @@ def free(columns: list[str], name: str) -> str:
     return name
 
 
+_OWN_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is named, as in tests."""
+    """The folder that driver and executors share, named in spark.checkpoint.dir; a temporary one only where none is named, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        found = spark.sparkContext.getCheckpointDir()
-        folder = found or "file://" + tempfile.mkdtemp(prefix="checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    if folder:
+        return folder
+    app = spark.sparkContext.applicationId
+    if app not in _OWN_DIRS:
+        _OWN_DIRS[app] = "file://" + tempfile.mkdtemp(prefix="shared-")
+    return _OWN_DIRS[app]
 
 
 def cut(df: DataFrame) -> DataFrame:
