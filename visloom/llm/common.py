@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,10 +56,35 @@ def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as a compressed table in the shared folder and go on from there, so that what comes after neither recomputes it nor depends on any executor."""
     spark = df.sparkSession
     path = fresh_path(spark, "cut")
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SCRATCH: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete what is cut within at the end. What the given function writes stays, for whoever made the next scratch around this one."""
+    _SCRATCH.append([])
+    kept: list[str] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        out = cut(df)
+        kept.append(_SCRATCH[-1].pop())
+        return out
+
+    try:
+        yield keep
+    finally:
+        for path in _SCRATCH.pop():
+            drop_path(spark, path)
+        if _SCRATCH:
+            _SCRATCH[-1].extend(kept)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing else uses."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{os.urandom(8).hex()}"

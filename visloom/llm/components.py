@@ -29,11 +29,12 @@ def small_star(edges: DataFrame) -> DataFrame:
 
 def connected(edges: DataFrame) -> DataFrame:
     """(u, v) links to (node, component): one row for each node with a link to another."""
-    now = common.cut(edges.where("u <> v").select("u", "v").distinct())
-    mark = None
-    while True:
-        now = common.cut(small_star(large_star(now)))
-        seen = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 20)))).first()
-        if seen == mark:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        mark = seen
+    with common.scratch(edges.sparkSession) as keep:
+        now = common.cut(edges.where("u <> v").select("u", "v").distinct())
+        mark = None
+        while True:
+            now = common.cut(small_star(large_star(now)))
+            seen = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 20)))).first()
+            if seen == mark:
+                return keep(now.select(F.col("u").alias("node"), F.col("v").alias("component")))
+            mark = seen

@@ -133,7 +133,8 @@ REPORT = ("n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines")
 def _with_lists(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The documents' columns, then the list of lost chunks."""
     key, gone = common.free(docs.columns, "its_id"), common.free(docs.columns, "gone")
-    lists = common.cut(repeats(docs, id_col, text_col)).select(F.col("id").alias(key), F.col("gone").alias(gone))
+    with common.scratch(docs.sparkSession) as keep:
+        lists = keep(repeats(docs, id_col, text_col)).select(F.col("id").alias(key), F.col("gone").alias(gone))
     return docs.join(near(lists, BROADCAST_DOCS), F.col(id_col).cast("long") == F.col(key), "left").drop(key)
 
 

@@ -175,8 +175,7 @@ def classes_of(found: DataFrame) -> DataFrame:
     return rows.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.min("minima").alias("minima"), F.min("n_shingles").alias("n_shingles"))
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of each row."""
+def _near_duplicates(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     names = {"id_col": id_col, "text_col": text_col}
     found = common.cut(signatures(docs, size, **names))
     classes = common.cut(classes_of(found))
@@ -213,6 +212,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of each row."""
+    with common.scratch(docs.sparkSession) as keep:
+        return keep(_near_duplicates(docs, size, percent, id_col, text_col))
+
+
 def keep_first(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without the near-duplicates of others: one id of each group stays."""
     name = common.free(docs.columns, "gone")

@@ -448,9 +448,10 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the kept bytes of each row."""
     data = common.text_or_empty(text_col).cast("binary")
     rows = docs.select(F.col(id_col).cast("long").alias("owner"), F.xxhash64(data).alias("tag"), data.alias("data"))
-    lost = covered(rows.where("owner IS NOT NULL")).groupBy("owner", "tag").agg(F.collect_set(F.struct("start", "n")).alias("lost"))
-    lost = lost.select(F.col("owner").alias("o"), F.col("tag").alias("g"), "lost")
-    lost = common.cut(lost.mapInArrow(_merged, lost.schema))
+    with common.scratch(docs.sparkSession) as keep:
+        lost = covered(rows.where("owner IS NOT NULL")).groupBy("owner", "tag").agg(F.collect_set(F.struct("start", "n")).alias("lost"))
+        lost = lost.select(F.col("owner").alias("o"), F.col("tag").alias("g"), "lost")
+        lost = keep(lost.mapInArrow(_merged, lost.schema))
     few = (lost.agg(F.sum(F.size("lost"))).first()[0] or 0) <= 4 * BROADCAST_ROWS
     joined = rows.join(F.broadcast(lost) if few else lost, (F.col("owner") == F.col("o")) & (F.col("tag") == F.col("g")), "left").select("owner", "data", "lost")
 
