@@ -48,7 +48,9 @@ BATCH_BYTES = 2 << 20
 #: Shared anchors up to this number (8 bytes each) are broadcast; more are joined to the documents by shuffle.
 BROADCAST_ANCHORS = 8_000_000
 #: Other tables of up to so many rows are broadcast.
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 20_000
+#: So are the lists of removed runs, up to so many runs.
+BROADCAST_RUNS = 2_000_000
 
 _U = np.uint64
 _BYTE_HASH = np.random.default_rng(50).integers(0, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
@@ -295,19 +297,22 @@ def covered(docs: DataFrame) -> DataFrame:
             if held:
                 yield flush()
 
-    found = common.cut(look.rows.mapInArrow(cut_up, "owner long, tag long, start long, n long, name binary, data binary"))
-    place = F.struct("owner", "tag", "start")
-    firsts = common.cut(found.groupBy("name").agg(F.min(place).alias("at")))
-    placed = found.select("owner", "tag", "start", "n", "name").join(_near(firsts), "name")
-    repeated = placed.where("owner > at.owner").select("owner", "tag", "start", "n")
-
-    # What the first holders of distinct segments share with one another: segments in the place of texts.
-    holders = firsts.select(F.xxhash64("at.owner", "at.tag", "at.start").alias("key"))
-    kinds = _semi(found.select(F.xxhash64("owner", "tag", "start").alias("key"), "owner", F.xxhash64("name").alias("tag"), "data"), holders)
-    kinds = common.cut(kinds.select("owner", "tag", "data"))
-    inside = _inside(kinds).select(F.col("owner").alias("first"), F.col("tag").alias("kind"), F.col("start").alias("inner"), F.col("n").alias("m"))
-    own = placed.where("owner = at.owner").select("owner", "tag", "start", F.xxhash64("name").alias("kind"))
-    partly = own.join(inside, (own["owner"] == inside["first"]) & (own["kind"] == inside["kind"])).select("owner", "tag", (F.col("start") + F.col("inner")).alias("start"), F.col("m").alias("n"))
+    # What carries text is deleted as soon as the next step has what it needs.
+    with common.scratch(docs.sparkSession) as keep:
+        found = common.cut(look.rows.mapInArrow(cut_up, "owner long, tag long, start long, n long, name binary, data binary"))
+        firsts = common.cut(found.groupBy("name").agg(F.min(F.struct("owner", "tag", "start")).alias("at")))
+        placed = found.select("owner", "tag", "start", "n", "name").join(_near(firsts), "name")
+        kind = F.when(F.col("owner") == F.col("at.owner"), F.xxhash64("name")).alias("kind")
+        placed = keep(placed.select("owner", "tag", "start", "n", kind))
+        # What the first holders of distinct segments share with one another: segments in the place of texts.
+        holders = firsts.select(F.xxhash64("at.owner", "at.tag", "at.start").alias("key"))
+        kinds = _semi(found.select(F.xxhash64("owner", "tag", "start").alias("key"), "owner", F.xxhash64("name").alias("tag"), "data"), holders)
+        kinds = keep(kinds.select("owner", "tag", "data"))
+    with common.scratch(docs.sparkSession) as keep:
+        inside = keep(_inside(kinds)).select(F.col("owner").alias("first"), F.col("tag").alias("its_kind"), F.col("start").alias("inner"), F.col("n").alias("m"))
+    repeated = placed.where("kind IS NULL").select("owner", "tag", "start", "n")
+    own = placed.where("kind IS NOT NULL")
+    partly = own.join(inside, (own["owner"] == inside["first"]) & (own["kind"] == inside["its_kind"])).select("owner", "tag", (F.col("start") + F.col("inner")).alias("start"), F.col("m").alias("n"))
     return repeated.union(partly)
 
 
@@ -347,15 +352,19 @@ def _inside(kinds: DataFrame) -> DataFrame:
     distinct = cut_slices.groupBy("anchor", "name").agg(F.min("owner").alias("least"), F.min(F.struct("owner", "tag", "start")).alias("at"))
     distinct = common.cut(distinct)
     of_slice = cut_slices.join(distinct.select("anchor", "name", "least"), ["anchor", "name"])
-    repeated = of_slice.where("owner > least").select("owner", "tag", "start", "n")
+    # Slices of a first holder keep their names, for what the blocks find in them.
+    first = F.col("owner") == F.col("least")
+    of_slice = common.cut(of_slice.select("owner", "tag", "start", "n", F.when(first, F.col("anchor")).alias("anchor"), F.when(first, F.col("name")).alias("name")))
+    repeated = of_slice.where("name IS NULL").select("owner", "tag", "start", "n")
 
     # An anchor with one distinct slice has nothing left to compare.
     counts = common.cut(distinct.groupBy("anchor").agg(F.count("*").alias("slices")).where("slices > 1"))
-    wanted = distinct.join(counts, "anchor").select("anchor", "name", "slices", F.col("at.owner").alias("o"), F.col("at.tag").alias("g"), F.col("at.start").alias("s"))
+    wanted = distinct.join(counts, "anchor").select(F.col("at.owner").alias("o"), F.col("at.tag").alias("g"), F.col("at.start").alias("s"))
     starts = common.cut(wanted.groupBy("o", "g").agg(F.sort_array(F.collect_set("s")).alias("starts")))
     with_starts = kinds.join(_near(starts), (F.col("owner") == F.col("o")) & (F.col("tag") == F.col("g"))).select("owner", "tag", "data", "starts")
     texts = with_starts.mapInArrow(_slicer(None, True), "owner long, tag long, start long, n long, anchor long, name long, slice binary")
-    texts = common.cut(texts.join(_near(counts), "anchor"))
+    texts = common.cut(texts)
+    hot = counts.where(F.col("slices") > HOT_SLICES).select("anchor")
     blocks = 1 + texts.count() // BLOCK_SLICES
 
     def sort_block(table: pa.Table) -> pa.Table:
@@ -363,15 +372,15 @@ def _inside(kinds: DataFrame) -> DataFrame:
         number = pa.array([r[0] for r in runs], pa.int64())
         return pa.table({"anchor": table.column("anchor").take(number), "name": table.column("name").take(number), "inner": pa.array([r[1] for r in runs], pa.int64()), "m": pa.array([r[2] for r in runs], pa.int64())})
 
-    dealt = texts.where(F.col("slices") <= HOT_SLICES).select("owner", "anchor", "name", "slice", F.pmod(F.xxhash64("anchor"), F.lit(blocks)).alias("block"))
+    dealt = texts.join(_near(hot), "anchor", "left_anti").select("owner", "anchor", "name", "slice", F.pmod(F.xxhash64("anchor"), F.lit(blocks)).alias("block"))
     inner = dealt.groupBy("block").applyInArrow(sort_block, "anchor long, name long, inner long, m long")
     # Anchors with too many slices for a block: their strings as rows, those equal by their bytes.
-    strings = texts.where(F.col("slices") > HOT_SLICES).select("owner", "anchor", "name", "slice", F.explode(F.sequence(F.lit(0), F.length("slice") - LENGTH)).alias("k"))
+    strings = texts.join(_near(hot), "anchor").select("owner", "anchor", "name", "slice", F.explode(F.sequence(F.lit(0), F.length("slice") - LENGTH)).alias("k"))
     strings = strings.select("owner", "anchor", "name", F.col("k").cast("long").alias("inner"), F.expr(f"substring(slice, k + 1, {LENGTH})").alias("string"))
     held_by = strings.groupBy("string").agg(F.min("owner").alias("least"))
     outer = strings.join(held_by, "string").where("owner > least").select("anchor", "name", "inner", F.lit(1).cast("long").alias("m"))
     runs = common.cut(inner.union(outer))
-    own = of_slice.where("owner = least").join(runs, ["anchor", "name"]).select("owner", "tag", (F.col("start") + F.col("inner")).alias("start"), F.col("m").alias("n"))
+    own = of_slice.where("name IS NOT NULL").join(runs, ["anchor", "name"]).select("owner", "tag", (F.col("start") + F.col("inner")).alias("start"), F.col("m").alias("n"))
     return repeated.union(own)
 
 
@@ -452,7 +461,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         lost = covered(rows.where("owner IS NOT NULL")).groupBy("owner", "tag").agg(F.collect_set(F.struct("start", "n")).alias("lost"))
         lost = lost.select(F.col("owner").alias("o"), F.col("tag").alias("g"), "lost")
         lost = keep(lost.mapInArrow(_merged, lost.schema))
-    few = (lost.agg(F.sum(F.size("lost"))).first()[0] or 0) <= 4 * BROADCAST_ROWS
+    few = (lost.agg(F.sum(F.size("lost"))).first()[0] or 0) <= BROADCAST_RUNS
     joined = rows.join(F.broadcast(lost) if few else lost, (F.col("owner") == F.col("o")) & (F.col("tag") == F.col("g")), "left").select("owner", "data", "lost")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -35,25 +35,34 @@ def smaller_than_next(block: np.ndarray) -> np.ndarray:
     return step[at] > 0
 
 
-def suffix_array(block: np.ndarray, words: np.ndarray | None = None) -> np.ndarray:
-    """Positions of all suffixes, in order of their first DEPTH bytes."""
+def suffix_array(block: np.ndarray, words: np.ndarray | None = None, wanted: np.ndarray | None = None) -> np.ndarray:
+    """Positions of all suffixes, in order of their first DEPTH bytes. With ``wanted``, a mask of positions, only of those and of the few that their order is induced from."""
     n = len(block)
     if not n:
         return np.zeros(0, np.int64)
     words = words_at(block) if words is None else words
     small = smaller_than_next(block)
-    direct = np.flatnonzero(small)
+    needed = np.ones(n, bool)
+    if wanted is not None:
+        # From a wanted place on, up to the next suffix that is sorted directly.
+        direct_at = np.minimum.accumulate(np.where(small, np.arange(n), n - 1)[::-1])[::-1]
+        edges = np.zeros(n + 1, np.int64)
+        np.add.at(edges, np.flatnonzero(wanted), 1)
+        np.add.at(edges, direct_at[wanted] + 1, -1)
+        needed = np.cumsum(edges)[:-1] > 0
+    direct = np.flatnonzero(small & needed)
     direct = direct[np.lexsort([words[direct + 8 * k] for k in reversed(range(DEPTH // 8))])]
     bounds = np.searchsorted(block[direct], np.arange(257))
     induced: list[list[np.ndarray]] = [[] for _ in range(256)]
     # The empty suffix comes first of all, and the last suffix is larger than it.
-    induced[block[n - 1]].append(np.array([n - 1]))
+    if needed[n - 1]:
+        induced[block[n - 1]].append(np.array([n - 1]))
     order: list[np.ndarray] = []
 
     def induce(scanned: np.ndarray, bucket: int) -> np.ndarray:
         """Put the larger predecessors into their buckets; those of the bucket itself come back."""
         before = scanned[scanned > 0] - 1
-        before = before[~small[before]]
+        before = before[~small[before] & needed[before]]
         first = block[before]
         own = before[first == bucket]
         rest, first = before[first != bucket], first[first != bucket]
@@ -100,12 +109,12 @@ def covered_starts(texts: list[bytes], owners: np.ndarray, length: int) -> list[
     starts = np.cumsum(sizes) - sizes
     block = np.frombuffer(b"".join(t + bytes([SEPARATOR]) for t in texts), np.uint8)
     words = words_at(block)
-    order = suffix_array(block, words)
     text_of = np.repeat(np.arange(len(texts)), sizes)
+    order = suffix_array(block, words, np.arange(len(block)) + length < (starts + sizes)[text_of])
     whole = order + length < (starts + sizes)[text_of[order]]
     # Strings with a separator are nobody's; between equal strings there are none of them.
+    order = order[whole]
     groups = np.cumsum(common_prefixes(order, words, length) < length) - 1
-    order, groups = order[whole], groups[whole]
     out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(texts)
     if not len(order):
         return out
