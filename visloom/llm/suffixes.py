@@ -83,7 +83,7 @@ def suffix_array(block: np.ndarray, words: np.ndarray | None = None, wanted: np.
         if len(rest):
             order.append(rest)
             induce(rest, bucket)
-    return np.concatenate(order)
+    return np.concatenate(order) if order else np.zeros(0, np.int64)
 
 
 def common_prefixes(order: np.ndarray, words: np.ndarray, most: int) -> np.ndarray:
