@@ -40,11 +40,11 @@ GRAM = 20
 MOST_STRINGS = 64
 #: Segments end at one in so many anchors, so that near copies have most of theirs in common.
 PIECE_ANCHORS = 12
-HOT_SLICES = 20_000
-BLOCK_SLICES = 40_000
+HOT_SLICES = 8_000
+BLOCK_SLICES = 16_000
 #: One hash range for so many bytes of text.
 RANGE_BYTES = 8 << 20
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 512 << 10
 #: Shared anchors up to this number (8 bytes each) are broadcast; more are joined to the documents by shuffle.
 BROADCAST_ANCHORS = 8_000_000
 #: Other tables of up to so many rows are broadcast.
@@ -290,7 +290,7 @@ def covered(docs: DataFrame) -> DataFrame:
                 piece = texts[t][start : start + n + LENGTH - 1]
                 held.append((t, start, n, piece))
                 size += len(piece)
-                if size >= 4 * BATCH_BYTES:
+                if size >= 8 * BATCH_BYTES:
                     yield flush()
                     held.clear()
                     size = 0
