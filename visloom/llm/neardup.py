@@ -4,10 +4,11 @@
    bits of ``HASHES`` hash minima. Equal sets are one class from here on, named by its smallest id.
 2. Classes that agree on the ``ROWS`` minima of any of ``BANDS`` bands share a bucket. At a similarity of
    0.8 a pair shares none with a probability below 1e-7.
-3. In every bucket all members are compared with a few pivots, not with one another: the smallest id and
-   the first in some hash orders, which the buckets of a group of copies mostly agree on.
-4. Pairs whose signatures nearly agree are confirmed on their full sets, and joined to components by
+3. In the buckets of the first bands all members are compared with one pivot, the smallest id, not with one
+   another. Pairs whose signatures nearly agree are confirmed on their full sets, and joined to components by
    large-star and small-star rounds.
+4. In the buckets of all bands members are compared with a few pivots in other components, the smallest id and
+   the first in some hash orders: one pivot for a member and a component. That joins most of what is left.
 5. The rest is exact: in a bucket whose members still lie in several components, each member outside the
    bucket's largest one is compared with all members of other components. Pairs within one component
    cannot change the result, and are never made; nor are pairs whose sets cannot overlap enough, as the
@@ -34,6 +35,8 @@ HASHES = 128
 ROWS = 4
 BANDS = HASHES // ROWS
 PIVOTS = 4
+#: The first comparisons take these bands only, as they leave few members of a large group apart.
+FIRST_BANDS = 4
 #: A pair at the threshold falls below this share of equal minima with a probability under 1e-6.
 MARGIN = 0.18
 #: Up to so many ids are broadcast to pick the texts that pairs need; more are joined by shuffle.
@@ -180,20 +183,37 @@ def _near_duplicates(docs: DataFrame, size: int, percent: int, id_col: str, text
     found = common.cut(signatures(docs, size, **names))
     classes = common.cut(classes_of(found))
     bands = F.array(*[F.xxhash64(F.lit(b), F.substring("minima", 2 * ROWS * b + 1, 2 * ROWS)) for b in range(BANDS)])
-    members = classes.select("rep", F.explode(bands).alias("bucket"))
+    members = classes.select("rep", F.posexplode(bands).alias("band", "bucket"))
     shared = members.groupBy("bucket").agg(F.count("*").alias("n"), *[F.min(_order(k)).alias(f"p{k}") for k in range(PIVOTS)]).where("n > 1")
     shared = shared.select("bucket", "n", F.array_distinct(F.array(*[F.col(f"p{k}.id") for k in range(PIVOTS)])).alias("pivots"))
-    placed = common.cut(members.join(shared, "bucket").select("bucket", "n", "rep", "pivots"))
+    placed = common.cut(members.join(shared, "bucket").select("bucket", "band", "n", "rep", "pivots"))
 
     def pairs(a: str, b: str, rows: DataFrame) -> DataFrame:
         return rows.where(f"{a} <> {b}").select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
-    tried = common.cut(pairs("rep", "pivot", placed.select("rep", F.explode("pivots").alias("pivot"))))
-    links = common.cut(confirmed(tried, classes, docs, size, percent, **names))
-    first = connected(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    def linked(links: DataFrame) -> DataFrame:
+        return links.select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+    def within(rows: DataFrame, name: str, components: DataFrame, as_name: str) -> DataFrame:
+        """The rows with the component of the class in column ``name``."""
+        its = components.select(F.col("node").alias(name), F.col("component").alias("its"))
+        return rows.join(its, name, "left").withColumn(as_name, F.coalesce("its", name)).drop("its")
+
+    tried = common.cut(pairs("rep", "pivot", placed.where(F.col("band") < FIRST_BANDS).select("rep", F.col("pivots")[0].alias("pivot"))))
+    first = connected(linked(confirmed(tried, classes, docs, size, percent, **names)))
+
+    # Pivots of other components; with one pair for a member and a component. Buckets of two are settled here.
+    apart = placed.select("n", "rep", F.explode("pivots").alias("pivot")).where("rep <> pivot").groupBy("rep", "pivot").agg((F.min("n") == 2).alias("two"))
+    apart = common.cut(within(within(apart, "rep", first, "own"), "pivot", first, "other").where("own <> other"))
+    one_each = apart.where("NOT two").groupBy("rep", "other").agg(F.min("pivot").alias("pivot")).select("rep", "pivot")
+    again = pairs("rep", "pivot", apart.where("two").select("rep", "pivot").union(one_each)).join(tried, ["a", "b"], "left_anti")
+    again = common.cut(again)
+    more = confirmed(again, classes, docs, size, percent, **names)
+    first = connected(first.select(F.col("node").alias("u"), F.col("component").alias("v")).union(linked(more)))
+    tried = tried.union(again)
 
     # The exact rest, over buckets whose members lie in several components.
-    where = placed.where("n > 2").select("bucket", "rep").join(first.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
+    where = within(placed.where("n > 2").select("bucket", "rep"), "rep", first, "component")
     counts = where.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     largest = counts.groupBy("bucket").agg(F.count("*").alias("components"), F.max_by("component", F.struct("n", "component")).alias("largest")).where("components > 1")
     split = common.cut(where.join(largest.select("bucket", "largest"), "bucket"))
@@ -204,7 +224,7 @@ def _near_duplicates(docs: DataFrame, size: int, percent: int, id_col: str, text
     rest = pairs("s", "rep", rest.select("s", "rep")).join(tried, ["a", "b"], "left_anti")
     more = confirmed(rest, classes, docs, size, percent, **names)
     stars = first.select(F.col("node").alias("u"), F.col("component").alias("v"))
-    joined = connected(stars.union(more.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+    joined = connected(stars.union(linked(more)))
 
     named = classes.select("set_hash", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("set_hash", F.coalesce("component", "rep").alias("component"))
     out = found.select("doc_id", "n_shingles", "set_hash").join(named, "set_hash", "left")
