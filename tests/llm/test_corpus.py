@@ -223,6 +223,39 @@ def test_line_dedup_on_documents_and_edges(docs, doc_rows, odd, empty):
     assert linededup.remove_repeats(empty).count() == 0 and linededup.report(empty).count() == 0
 
 
+def brute_passages(rows):
+    """{doc_id: kept text}: without the lines of any passage of two or more lines with a word that stands earlier."""
+    first, passages = {}, []
+    for i, t in sorted(rows):
+        lines = t.split("\n")
+        worded = [k for k, line in enumerate(lines) if line.strip()]
+        for a, b in itertools.combinations(worded, 2):
+            passages.append((i, a, b, "\n".join(lines[a : b + 1])))
+            first.setdefault(passages[-1][3], (i, a))
+    away = {(i, k) for i, a, b, p in passages if first[p] < (i, a) for k in range(a, b + 1)}
+    return {i: "\n".join(line for k, line in enumerate(t.split("\n")) if (i, k) not in away) for i, t in rows}
+
+
+def long_line(rng):
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 8))) for _ in range(rng.randint(18, 40)))
+
+
+def test_line_dedup_removes_whole_repeated_passages(spark):
+    """Passages of 2 to 4 long lines, each in two documents between other lines, some with blank lines."""
+    rng = random.Random(8)
+    rows, planted = [], []
+    for k in range(30):
+        passage = "\n".join(rng.choice(["", "\n"]) + long_line(rng) for _ in range(rng.randint(2, 4))).strip("\n")
+        planted.append(passage)
+        for i in (k, 100 + k):
+            rows.append((i, "\n".join([long_line(rng) for _ in range(rng.randint(0, 4))] + [passage] + [long_line(rng) for _ in range(rng.randint(0, 4))])))
+    rows += [(300, "one\none\none\ntwo"), (301, "two\n" + rows[0][1].split("\n")[0])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in linededup.remove_repeats(df).collect()}
+    assert got == brute_passages(rows)
+    assert all(p in got[k] and not set(p.split("\n")) - {""} & set(got[100 + k].split("\n")) for k, p in enumerate(planted))
+
+
 # --- near-duplicates --------------------------------------------------------------------------------
 
 

@@ -1,21 +1,27 @@
-"""Line dedup: content-defined chunks of lines; repeated multi-line chunks are removed.
+"""Line dedup: passages of several lines that stand earlier in the corpus are removed whole.
 
-A rolling hash over the last ``SPAN`` line hashes ends a chunk where it is 0 modulo ``DIVISOR``, so that
-boundaries move with the lines when a text is shifted. Chunks with two or more lines that have a word are
-compared by a 128-bit hash over all documents; those whose hash is found twice or more are then grouped
-by their bytes, and of equal ones all but the first, by doc_id and place, are removed.
+The chunks of a text are the overlapping pairs of successive lines that have a word, with the blank lines
+between. Contents alone say where they begin and end, so they move with the lines when a text is shifted, and
+every repeated passage of two or more such lines is covered wholly by repeated chunks: what longer chunks, cut by
+whatever rolling hash, could find is the union of theirs. Chunks are compared by a 128-bit hash over all
+documents; those whose hash is found twice or more are then grouped by their bytes, and of equal ones all but
+the first, by doc_id and place, are repeats. Lines of repeats are removed.
+
+The first place of a line stays in any case, as each chunk around it is the first of its kind. So no line is lost
+to the corpus, and a copy of a text with two or more such lines loses all its words.
 
 Only hashes of chunks move for the first step, and only bytes of chunks with a repeated hash for the second.
 
-Defined cases: null and empty texts have no chunk and stay as they are; chunks of one line with words
-are never removed; rows that share an id and a text count as one, so that none is the repeat of the
-other; rows without an id neither lose chunks nor cause losses; other columns, whatever their names, pass
-through ``remove_repeats``.
+Defined cases: null and empty texts have no chunk and stay as they are; a line with words that stands alone
+among new ones is never removed; passages that differ in their blank lines differ; rows that share an id and a
+text count as one, so that none is the repeat of the other; rows without an id neither lose chunks nor cause
+losses; other columns, whatever their names, pass through ``remove_repeats``.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,36 +31,16 @@ from pyspark.sql import types as T
 
 from . import common
 
-SPAN = 2
-DIVISOR = 3
-#: A chunk ends after so many lines at the latest.
-MOST_LINES = 64
-LEAST_LINES = 2
+#: Lines with a word in a chunk: the fewest that make a passage.
+LEAST_LINES = MOST_LINES = 2
 #: Up to so many documents' lists are broadcast; more are joined by shuffle.
 BROADCAST_DOCS = 500_000
-MASK = (1 << 64) - 1
 
 
 def chunks(text: str | None) -> list[tuple[int, int, int]]:
-    """(first line, end line, lines with a word) of each chunk of the text's \\n-split lines."""
-    import xxhash
-
-    out: list[tuple[int, int, int]] = []
-    if not text:
-        return out
-    lines = text.split("\n")
-    hashes: list[int] = []
-    start = words = 0
-    for i, line in enumerate(lines):
-        hashes.append(xxhash.xxh3_64_intdigest(line.encode("utf-8", "surrogatepass")))
-        words += bool(line.strip())
-        rolling = 0
-        for h in hashes[-SPAN:]:
-            rolling = (rolling * 0x9E3779B97F4A7C15 + h) & MASK
-        if (rolling >> 32) % DIVISOR == 0 or i - start + 1 == MOST_LINES or i == len(lines) - 1:
-            out.append((start, i + 1, words))
-            start, words = i + 1, 0
-    return out
+    """(first line, end line, lines with a word) of each chunk of the text's \\n-split lines, in order."""
+    worded = [i for i, line in enumerate((text or "").split("\n")) if line.strip()]
+    return [(a, b + 1, LEAST_LINES) for a, b in itertools.pairwise(worded)]
 
 
 def _name(chunk: bytes) -> bytes:
@@ -67,8 +53,7 @@ def _parts(text: str | None) -> Iterator[tuple[int, tuple[int, int, int], bytes]
     """(number, extent, bytes) of the chunks that may repeat."""
     lines = (text or "").split("\n")
     for no, (a, b, words) in enumerate(chunks(text)):
-        if words >= LEAST_LINES:
-            yield no, (a, b, words), "\n".join(lines[a:b]).encode("utf-8", "surrogatepass")
+        yield no, (a, b, words), "\n".join(lines[a:b]).encode("utf-8", "surrogatepass")
 
 
 def near(small: DataFrame, bound: int) -> DataFrame:
@@ -116,14 +101,14 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def strip(text: str | None, gone: set[int]) -> tuple[str | None, dict[str, int]]:
-    """The text without its lost chunks, and counts."""
+    """The text without the lines of its lost chunks, and counts."""
     extents = chunks(text)
-    n_lines = extents[-1][1] if extents else 0
-    lost = [e for no, e in enumerate(extents) if no in gone and e[2] >= LEAST_LINES]
-    report = {"n_lines": n_lines, "n_chunks": len(extents), "n_removed_chunks": len(lost), "n_removed_lines": sum(b - a for a, b, _ in lost)}
+    lines = text.split("\n") if text else []
+    lost = [e for no, e in enumerate(extents) if no in gone]
+    away = {k for a, b, _ in lost for k in range(a, b)}
+    report = {"n_lines": len(lines), "n_chunks": len(extents), "n_removed_chunks": len(lost), "n_removed_lines": len(away)}
     if lost:
-        lines = text.split("\n")
-        text = "\n".join("\n".join(lines[a:b]) for no, (a, b, w) in enumerate(extents) if not (no in gone and w >= LEAST_LINES))
+        text = "\n".join(line for k, line in enumerate(lines) if k not in away)
     return text, report
 
 
