@@ -10,6 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+import corpus_pipeline
 from visloom.llm import components, decontaminate, linededup, neardup, substrings, suffixes
 
 # --- suffixes and substrings ------------------------------------------------------------------------
@@ -256,6 +257,21 @@ def test_line_dedup_removes_whole_repeated_passages(spark):
     assert all(p in got[k] and not set(p.split("\n")) - {""} & set(got[100 + k].split("\n")) for k, p in enumerate(planted))
 
 
+def test_line_dedup_leaves_no_stubs_of_copies(spark, sf_dir, docs, doc_rows):
+    """Exact copies of several lines are dropped by the pipeline's stage, near copies keep their own lines, and no line is lost."""
+    lines_of = lambda t: [line for line in (t or "").split("\n") if line.strip()]
+    several = [(i, t) for i, t in doc_rows if len(set(lines_of(t))) >= 5]
+    top = max(i for i, _ in doc_rows)
+    exact = {top + 1 + k: t for k, (_, t) in enumerate(several)}
+    near = {2 * top + len(several) + k: "\n".join([*t.split("\n")[:-1], f"own line {k}"]) for k, (_, t) in enumerate(several)}
+    rows = [*doc_rows, *exact.items(), *near.items()]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, df, sf_dir).collect()}
+    assert several and not exact.keys() & got.keys()
+    assert all(lines_of(got[i]) == lines_of(t)[-1:] for i, t in near.items())
+    assert {x for t in got.values() for x in lines_of(t)} == {x for _, t in rows for x in lines_of(t)}
+
+
 # --- near-duplicates --------------------------------------------------------------------------------
 
 
