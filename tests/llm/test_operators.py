@@ -61,6 +61,40 @@ def test_license_rules(spark):
     assert found[9]["n_suppressed"] >= 2 and found[10]["n_base"] == 3000
 
 
+def test_license_rules_fire_on_their_own_texts(spark):
+    """Each rule's first, last and some texts between find the rule behind its gate, and gates change no scan."""
+    rows = []
+    for n, (_, expression, _, _, _) in enumerate(licenses.signature_rules()):
+        inner = expression.removeprefix("(?<= )(?:").removesuffix(")(?= )")
+        texts = licenses._matches(inner)
+        for t in {texts[k * (len(texts) - 1) // 5] for k in range(6)}:
+            t = t.replace("\x00", "3").replace("\x01", "7")
+            assert re.fullmatch(inner, t)
+            rows.append((len(rows), n, f" of {t} so "))
+    df = spark.createDataFrame(rows, "doc_id long, rule int, text string")
+    found = df.select("rule", "text", licenses.detections(licenses.F.col("text"), licenses.held_keywords(licenses.F.col("text")))["rule"].alias("fired"))
+    assert not [(r["rule"], r["text"]) for r in found.collect() if r["rule"] not in r["fired"]]
+    assert rows_of(licenses.scan(df)) == rows_of(licenses.scan(df, gated=False))
+
+
+def test_license_gates_need_no_word_of_license(spark, docs):
+    texts = {
+        1: ("It is distributed under the GPL.", "gpl"),
+        2: ("Released under CC BY 4.0", "cc-by"),
+        3: ("available under CC BY-NC 4.0", "cc-by-nc"),
+        4: ("Proprietary and confidential", "proprietary"),
+        5: ("SPDX-License-Identifier: BSL-1.0", "boost"),
+        6: ("SPDX-License-Identifier: EPL-2.0", "eclipse"),
+        7: ("SPDX-License-Identifier: FTL", "freetype"),
+        8: ("SPDX-License-Identifier: PSF-2.0", "psf"),
+        9: ("code is GPLv3 here, LGPLv2 there, AGPLv3 elsewhere", "agpl,gpl,lgpl"),
+    }
+    df = spark.createDataFrame([(i, t) for i, (t, _) in texts.items()], "doc_id long, text string")
+    assert {i: r["labels"] for i, r in rows_of(licenses.scan(df)).items()} == {i: x for i, (_, x) in texts.items()}
+    some = docs.limit(200)
+    assert rows_of(licenses.scan(some)) == rows_of(licenses.scan(some, gated=False))
+
+
 # --- quality ----------------------------------------------------------------------------------------
 
 

@@ -1,9 +1,9 @@
 """License scans over whole texts, with DataFrame functions only.
 
-A text that holds none of the trigger words is done after one regular expression. In the others A-Z is
-lower-cased, words are joined by single spaces, and an ordered list of signature rules runs over that
-form. Every rule has a keyword; a rule's expression runs only in texts that hold its keyword as a whole
-word. Overlapping detections are resolved by interval containment: a detection inside another of the
+A-Z is lower-cased, words are joined by single spaces, and an ordered list of signature rules runs over that
+form. Every rule has keywords, taken from its own expression: all that it matches holds one of them as a whole
+word, and it runs only in texts that do. A text without any keyword is done. So gates save time and change no
+result. Overlapping detections are resolved by interval containment: a detection inside another of the
 same or a better priority is dropped (of equal intervals the earlier rule stays). The sweep over the
 sorted detections is linear in their number.
 
@@ -16,6 +16,8 @@ columns are not read.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,9 +26,7 @@ from . import common
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
-TRIGGER = r"(?i)licen[cs]|spdx|public domain|all rights reserved|creative ?commons|copyleft|copying|unlicense|lizenz|licencia"
-
-#: label, keyword, SPDX words, full title, short name. Expressions over lower-case words joined by single spaces.
+#: label, main word, SPDX words, full title, short name. Expressions over lower-case words joined by single spaces.
 FAMILIES: tuple[tuple[str, str, str, str, str], ...] = (
     ("0bsd", "0bsd", "0bsd", "bsd zero clause license", "0bsd"),
     ("academic-free", "academic", r"afl \d(?: \d)?", r"academic free license(?: v(?:ersion)? ?\d(?: \d)?)?", r"academic free license"),
@@ -123,12 +123,66 @@ FORMS = (
 )
 
 
-def signature_rules() -> list[tuple[str, str, str, int, float]]:
-    """(keyword, expression, label, priority, score), in order: by priority, then as listed."""
+#: Words that are a gate only where an expression has no other.
+COMMON = frozenset("a all and any as be by for free good in into is license licence not of open or public software source terms the this to under use used version with you".split())
+_DIGIT, _ANY = "\x00", "\x01"
+
+
+def _matches(expression: str) -> list[str]:
+    """Every text that an expression of this module matches, with one mark for a digit and one for what is not bounded."""
+
+    def several(at: int) -> tuple[list[str], int]:
+        done: list[str] = []
+        now = [""]
+        while at < len(expression) and expression[at] != ")":
+            c = expression[at]
+            if c == "|":
+                done, now, at = done + now, [""], at + 1
+                continue
+            if expression.startswith("(?:", at):
+                part, at = several(at + 3)
+            elif c == "[":
+                end = expression.index("]", at)
+                part, at = list(expression[at + 1 : end]), end
+            elif c == "\\":
+                part, at = [{"d": _DIGIT, "w": _ANY}[expression[at + 1]]], at + 1
+            elif c in "(.*+?^${":
+                raise ValueError(f"{c} in {expression}")
+            else:
+                part = [c]
+            at += 1
+            sign = expression[at : at + 1]
+            if sign in ("?", "*", "+"):
+                part = [_ANY] if sign == "+" else ["", *part]
+                at += 1
+            now = [x + y for x in now for y in part]
+        return done + now, at
+
+    return several(0)[0]
+
+
+def keywords_of(expression: str) -> tuple[str, ...]:
+    """Words of which each text that the expression matches holds one."""
+    left = [{w for w in text.split(" ") if w.strip(_DIGIT + "0123456789") and _ANY not in w} for text in _matches(expression)]
+    chosen: set[str] = set()
+    while left:
+        counts = Counter(w for words in left for w in (words - COMMON or words))
+        best = max(counts, key=lambda w: (counts[w], len(w), w))
+        chosen.add(best)
+        left = [words for words in left if best not in words]
+    ways = [[w.replace(_DIGIT, str(d)) for d in range(10)] if _DIGIT in w else [w] for w in chosen]
+    if any(w.count(_DIGIT) > 1 for w in chosen):
+        raise ValueError(f"no keyword in {expression}")
+    return tuple(sorted(w for way in ways for w in way))
+
+
+def signature_rules() -> list[tuple[tuple[str, ...], str, str, int, float]]:
+    """(keywords, expression, label, priority, score), in order: by priority, then as listed."""
+    named = (lambda spdx, title, short: spdx, lambda spdx, title, short: f"{title}|{short}", lambda spdx, title, short: title, lambda spdx, title, short: short)
     return [
-        (keyword, rf"(?<= )(?:{form(spdx, title, short)})(?= )", label, priority, score)
-        for priority, (score, form) in enumerate(FORMS)
-        for label, keyword, spdx, title, short in FAMILIES
+        (keywords_of(name(spdx, title, short)), rf"(?<= )(?:{form(spdx, title, short)})(?= )", label, priority, score)
+        for priority, ((score, form), name) in enumerate(zip(FORMS, named, strict=True))
+        for label, _, spdx, title, short in FAMILIES
     ]
 
 
@@ -153,13 +207,16 @@ def _positions(text: Column, pattern: Column, make) -> Column:
     return F.aggregate(pairs, start, step, lambda acc: F.concat(F.flatten(acc["done"]), acc["block"]))
 
 
-def detections(text: Column) -> Column:
-    """All rules' matches in the normal form ``text``: structs (start, less_end, priority, rule, label, score), sorted so that what contains comes before what is contained."""
+def held_keywords(text: Column) -> Column:
+    """The rules' keywords that are words of the normal form ``text``."""
+    return F.array_intersect(F.split(text, " "), F.array(*[F.lit(k) for k in sorted({k for r in signature_rules() for k in r[0]})]))
+
+
+def detections(text: Column, held: Column | None = None) -> Column:
+    """The matches in the normal form ``text`` of the rules with a keyword in ``held``, or of all rules: structs (start, less_end, priority, rule, label, score), sorted so that what contains comes before what is contained."""
     listed = signature_rules()
-    keywords = F.array(*[F.lit(k) for k in sorted({r[0] for r in listed})])
-    rules = F.array(*[F.struct(F.lit(k).alias("keyword"), F.lit(p).alias("pattern"), F.lit(label).alias("label"), F.lit(prio).alias("priority"), F.lit(s).alias("score"), F.lit(n).alias("rule")) for n, (k, p, label, prio, s) in enumerate(listed)])
-    held = F.filter(keywords, lambda k: F.contains(text, F.concat(F.lit(" "), k, F.lit(" "))))
-    active = common.let(held, lambda found: F.filter(rules, lambda r: F.array_contains(found, r["keyword"])))
+    rules = F.array(*[F.struct(F.array(*[F.lit(k) for k in ks]).alias("keywords"), F.lit(p).alias("pattern"), F.lit(label).alias("label"), F.lit(prio).alias("priority"), F.lit(s).alias("score"), F.lit(n).alias("rule")) for n, (ks, p, label, prio, s) in enumerate(listed)])
+    active = rules if held is None else F.filter(rules, lambda r: F.arrays_overlap(r["keywords"], held))
 
     def of_rule(r: Column) -> Column:
         return _positions(text, r["pattern"], lambda a, b: F.struct(a.alias("start"), (-b).alias("less_end"), r["priority"].alias("priority"), r["rule"].alias("rule"), r["label"].alias("label"), r["score"].alias("score")))
@@ -215,20 +272,23 @@ def _base(doubled: Column, n_words: Column) -> tuple[Column, Column, Column, Col
     return total, F.least(*firsts), F.greatest(*lasts), F.array_compact(F.array(*labels))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, n_kept, n_suppressed of each row."""
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gated: bool = True) -> DataFrame:
+    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, n_kept, n_suppressed of each row; ``gated`` only saves time."""
     text = common.text_or_empty(text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).select("*", F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"))
     normal = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.translate("text", common.UPPER, common.LOWER), SEPARATORS, " ")), F.lit(" "))
 
-    def of(words: Column) -> Column:
+    def of(words: Column, held: Column | None) -> Column:
         def with_base(doubled: Column) -> Column:
             n, first, last, labels = _base(doubled, F.col("n_words"))
             return F.struct(n.alias("n_base"), first.alias("first_word"), last.alias("last_word"), labels.alias("base_labels"))
 
-        return F.struct(common.let(F.replace(words, F.lit(" "), F.lit("  ")), with_base).alias("base"), resolve(detections(words)).alias("rules"))
+        return F.struct(common.let(F.replace(words, F.lit(" "), F.lit("  ")), with_base).alias("base"), resolve(detections(words, held)).alias("rules"))
+
+    def where_held(words: Column) -> Column:
+        return common.let(held_keywords(words), lambda held: F.when(F.size(held) > 0, of(words, held)))
 
-    found = rows.select("doc_id", "n_words", F.when(F.col("text").rlike(TRIGGER), common.let(normal, of)).alias("r"))
+    found = rows.select("doc_id", "n_words", common.let(normal, where_held if gated else lambda words: of(words, None)).alias("r"))
     base, rules = F.col("r.base"), F.col("r.rules")
     none = F.array().cast("array<string>")
     base_labels = F.coalesce(base["base_labels"], none)
