@@ -95,6 +95,21 @@ def test_license_gates_need_no_word_of_license(spark, docs):
     assert rows_of(licenses.scan(some)) == rows_of(licenses.scan(some, gated=False))
 
 
+def test_license_rules_have_no_fillers(spark):
+    """No SPDX form is made up, and bodies of licenses are found where no title stands."""
+    fillers = "bsd berkeley|creative commons by.*|cddl common|gpl general|lgpl (?:lesser|library)|mit granted|mpl mozilla|proprietary rights|unlicense unencumbered|"
+    rules = licenses.signature_rules()
+    assert not [r[1] for r in rules if re.fullmatch(f"spdx license identifier (?:{fillers})", r[1].removeprefix("(?<= )(?:").removesuffix(")(?= )"))]
+    assert len(rules) == 3 * len(licenses.FAMILIES) + sum(bool(f[2]) for f in licenses.FAMILIES) + len(licenses.BODIES)
+    texts = {
+        1: ("Redistributions of source code must retain the above copyright\n   notice, this list of conditions", "bsd"),
+        2: ("Altered source versions must be plainly marked as such, and", "zlib"),
+        3: ("you may not use this file except in compliance with the License.", "apache"),
+    }
+    df = spark.createDataFrame([(i, t) for i, (t, _) in texts.items()], "doc_id long, text string")
+    assert {i: r["labels"] for i, r in rows_of(licenses.scan(df)).items()} == {i: x for i, (_, x) in texts.items()}
+
+
 # --- quality ----------------------------------------------------------------------------------------
 
 
