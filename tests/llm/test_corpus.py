@@ -168,6 +168,14 @@ def test_decontamination_edges(spark, odd, empty):
     assert decontaminate.overlap(decontaminate.words_of(item), decontaminate.words_of(half)) < 0.5
 
 
+def test_decontamination_by_items_without_an_id(spark, odd):
+    item = "The quick brown fox jumps over the lazy dog near the old river bank today. A second line of words."
+    benchmark = spark.createDataFrame([(None, item), (None, "Something else that no document has in it. Nor this."), (None, None)], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(odd, benchmark).collect()} == {(1, None), (2, None)}
+    kept = decontaminate.keep_clean(odd, benchmark)
+    assert not {1, 2} & {r["doc_id"] for r in kept.collect()} and kept.count() == odd.count() - 3
+
+
 # --- line dedup -------------------------------------------------------------------------------------
 
 

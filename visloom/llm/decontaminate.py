@@ -13,7 +13,8 @@ Items are indexed in shards of at most ``SHARD_BYTES`` of text; each shard is br
 passages. Document frequencies and the mean length cover all items.
 
 Defined cases: items without a word never match; null and empty texts have no passage; an item of one
-sentence is its own question and answer; items that share an id match if any does; rows that share an id
+sentence is its own question and answer; items that share an id match if any does; those without an id are
+one such group, reported by ``matches`` with a null item_id, and ``keep_clean`` drops what holds them; rows that share an id
 are judged together in ``matches``, by themselves in ``keep_clean``; an empty benchmark matches
 nothing; other columns, whatever their names, pass through ``keep_clean``.
 """
@@ -71,7 +72,7 @@ def overlap(part: list[str], passage: list[str], size: int = NGRAM) -> float:
 class Index:
     """A shard. Items are numbered from 0; block b holds the items from b * BLOCK on. Arrays by term id, in rows that start at ``*_at``."""
 
-    ids: list[int]
+    ids: list[int | None]
     parts: list[tuple[list[str], list[str]]]
     terms: dict[str, int]
     item_at: np.ndarray
@@ -149,9 +150,9 @@ def build(items: list[tuple[int, str]], frequency: dict[str, int], n_items: int,
     return Index([i for i, _ in items], [question_and_answer(t) for _, t in items], terms, *rows(posted), *rows(blocked), common_terms, bound, stride)
 
 
-def found(texts: list[str | None], index: Index, threshold: float = THRESHOLD, least: float = OVERLAP) -> list[tuple[int, int, float]]:
+def found(texts: list[str | None], index: Index, threshold: float = THRESHOLD, least: float = OVERLAP) -> list[tuple[int, int | None, float]]:
     """(text number, item id, best score) of the verified matches."""
-    best: dict[tuple[int, int], float] = {}
+    best: dict[tuple[int, int | None], float] = {}
     held: list[tuple[int, list[str]]] = []
     size = 0
 
@@ -191,7 +192,7 @@ def found(texts: list[str | None], index: Index, threshold: float = THRESHOLD, l
 
 def indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> Iterator[Index]:
     """The index, shard by shard; the driver holds one at a time."""
-    rows = benchmark.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), common.text_or_empty(text_col).alias("text")).distinct()
+    rows = benchmark.select(F.col(id_col).cast("long").alias("id"), common.text_or_empty(text_col).alias("text")).distinct()
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
 
