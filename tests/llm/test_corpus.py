@@ -327,8 +327,7 @@ def test_near_duplicates_match_brute_force(spark, size):
 
 
 def test_near_duplicates_by_the_exact_rest(spark, monkeypatch):
-    """With one pivot a bucket, many links are left to the second pass."""
-    monkeypatch.setattr(neardup, "PIVOTS", 1)
+    """Heavily edited copies lie apart from their pivots, and sets are joined by shuffle."""
     monkeypatch.setattr(neardup, "BROADCAST_IDS", 0)
     rows = near_rows(11, 2, 40)
     df = spark.createDataFrame(rows, "doc_id long, text string")
@@ -337,6 +336,21 @@ def test_near_duplicates_by_the_exact_rest(spark, monkeypatch):
     assert {r["doc_id"] for r in neardup.keep_first(df, size=2).collect()} == {i for i, (_, c) in brute.items() if i == c}
 
 
+@pytest.mark.parametrize("size", [2, 5])
+def test_bounds_leave_every_link_to_the_outside(spark, size):
+    """With each member a component of its own in one cell, the candidates hold all links, and not nearly all pairs."""
+    rows = [(i, t) for i, t in near_rows(13, 2, 40) if t and t.strip()]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = neardup.classes_of(neardup.signatures(df, size))
+    cell = min(r["rep"] for r in classes.collect())
+    cells = classes.selectExpr(f"CAST({cell} AS BIGINT) AS cell", "rep", "rep AS component", "n_shingles AS n")
+    found = {tuple(sorted((r["x"], r["y"]))) for r in neardup._candidates(cells, df, size, 80).collect()}
+    sets = {r["id"]: np.frombuffer(r["shingles"], "<u8") for r in neardup.shingle_sets(df, classes.selectExpr("rep AS id"), size).collect()}
+    every = set(itertools.combinations(sorted(sets), 2))
+    links = {(a, b) for a, b in every if neardup.similar(sets[a], sets[b], 80)}
+    assert links and links <= found and len(found) < len(every) / 2
+
+
 def test_near_duplicates_edges(odd, empty):
     rows = neardup.near_duplicates(odd, size=2).collect()
     got = {r["doc_id"]: r.asDict() for r in rows}

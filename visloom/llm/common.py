@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import os
 import tempfile
 from collections.abc import Callable, Iterator
@@ -56,33 +57,36 @@ def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as a compressed table in the shared folder and go on from there, so that what comes after neither recomputes it nor depends on any executor."""
     spark = df.sparkSession
     path = fresh_path(spark, "cut")
-    if _SCRATCH:
-        _SCRATCH[-1].append(path)
+    if paths := _SCRATCH.get():
+        paths[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-_SCRATCH: list[list[str]] = []
+#: Paths cut so far, by open scratch; each thread has its own.
+_SCRATCH: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("scratch", default=())
 
 
 @contextlib.contextmanager
 def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     """Delete what is cut within at the end. What the given function writes stays, for whoever made the next scratch around this one."""
-    _SCRATCH.append([])
+    outer, mine = _SCRATCH.get(), []
     kept: list[str] = []
+    token = _SCRATCH.set((*outer, mine))
 
     def keep(df: DataFrame) -> DataFrame:
         out = cut(df)
-        kept.append(_SCRATCH[-1].pop())
+        kept.append(mine.pop())
         return out
 
     try:
         yield keep
     finally:
-        for path in _SCRATCH.pop():
+        _SCRATCH.reset(token)
+        for path in mine:
             drop_path(spark, path)
-        if _SCRATCH:
-            _SCRATCH[-1].extend(kept)
+        if outer:
+            outer[-1].extend(kept)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -4,15 +4,15 @@
    bits of ``HASHES`` hash minima. Equal sets are one class from here on, named by its smallest id.
 2. Classes that agree on the ``ROWS`` minima of any of ``BANDS`` bands share a bucket. At a similarity of
    0.8 a pair shares none with a probability below 1e-7.
-3. In the buckets of the first bands all members are compared with one pivot, the smallest id, not with one
-   another. Pairs whose signatures nearly agree are confirmed on their full sets, and joined to components by
-   large-star and small-star rounds.
-4. In the buckets of all bands members are compared with a few pivots in other components, the smallest id and
-   the first in some hash orders: one pivot for a member and a component. That joins most of what is left.
-5. The rest is exact: in a bucket whose members still lie in several components, each member outside the
-   bucket's largest one is compared with all members of other components. Pairs within one component
-   cannot change the result, and are never made; nor are pairs whose sets cannot overlap enough, as the
-   shingles that no other component has bound the intersection.
+3. In a bucket all members are compared with one pivot, the smallest id, not with one another. Pairs whose
+   signatures nearly agree are confirmed on their full sets, and joined to components by large-star and
+   small-star rounds. That settles buckets of two, and most members of the others.
+4. The rest is exact. Members of a bucket that lie in several components go to the cell of the bucket's largest
+   one. Shingles that half of a cell's members have are its consensus; few of the others are shared by many.
+   The intersection of two sets is at most the smaller of their shares of the consensus, plus what they
+   have in common beside it. So a member outside the cell's component is compared only with members
+   that it shares enough rare shingles with (found by a join on these), or whose consensus shares alone
+   are large enough. No pair within one component is made, nor one that these bounds rule out.
 
 Defined cases: null or empty texts have an empty set, are linked with nothing and kept; a text with fewer
 words than a shingle is one shingle; rows that share an id share its component; a null id is left alone
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -34,11 +34,10 @@ from .components import connected
 HASHES = 128
 ROWS = 4
 BANDS = HASHES // ROWS
-PIVOTS = 4
-#: The first comparisons take these bands only, as they leave few members of a large group apart.
-FIRST_BANDS = 4
 #: A pair at the threshold falls below this share of equal minima with a probability under 1e-6.
 MARGIN = 0.18
+#: Sizes of sets are told apart in steps of 1 / SIZE_STEPS of their logarithm.
+SIZE_STEPS = 50
 #: Up to so many ids are broadcast to pick the texts that pairs need; more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 SEED = 7
@@ -149,27 +148,53 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int,
     return _passing(both, "<u8", lambda x, y: similar(x, y, percent))
 
 
-def _linkable(split: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int, **names) -> DataFrame:
-    """(rep, n, common): size of a class's set, and how many of its shingles another component in ``split`` has
-    too. That bounds its intersection with any of their members, so a class with too few of them is left out."""
-    own = common.cut(split.select("rep", "component").distinct())
-    sets = shingle_sets(docs, own.select(F.col("rep").alias("id")), size, **names).dropDuplicates(["id"])
+def _members(cells: DataFrame, docs: DataFrame, size: int, **names) -> DataFrame:
+    """(cell, rep, component, members, least, n, shingle): a row for each shingle of each member of a cell; the
+    cell's number of members and smallest set beside it."""
+    sizes = cells.groupBy("cell").agg(F.count("*").alias("members"), F.min("n").alias("least"))
+    sizes = common.cut(sizes)
+    sets = shingle_sets(docs, cells.select(F.col("rep").alias("id")).distinct(), size, **names).dropDuplicates(["id"])
+    rows = cells.join(sizes, "cell").join(sets.select(F.col("id").alias("rep"), "shingles"), "rep")
+    kept = ["cell", "rep", "component", "members", "least", "n"]
 
     def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, data in enumerate(batch.column(2).to_pylist()):
+            for k, data in enumerate(batch.column(len(kept)).to_pylist()):
                 values = np.frombuffer(data, "<i8")
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), batch.column(j)[k].as_py())) for j in (0, 1)] + [pa.array(values)], ["rep", "component", "shingle"])
-
-    rows = common.cut(own.join(sets, own["rep"] == sets["id"]).select("rep", "component", "shingles").mapInArrow(flat, "rep long, component long, shingle long"))
-    elsewhere = rows.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("shingle")
-    counts = rows.join(elsewhere, "shingle").groupBy("rep").agg(F.count("*").alias("common"))
-    return counts.join(classes.select("rep", F.col("n_shingles").alias("n")), "rep").where(100 * F.col("common") >= percent * F.col("n"))
-
-
-def _order(k: int) -> Column:
-    """An order of ids: the ids' own, or one of their hashes'."""
-    return F.struct((F.lit(0).cast("long") if k == 0 else F.xxhash64("rep", F.lit(k))).alias("o"), F.col("rep").alias("id"))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), batch.column(j)[k].as_py())) for j in range(len(kept))] + [pa.array(values)], [*kept, "shingle"])
+
+    return rows.select(*kept, "shingles").mapInArrow(flat, ", ".join(f"{c} long" for c in [*kept, "shingle"]))
+
+
+def _candidates(cells: DataFrame, docs: DataFrame, size: int, percent: int, **names) -> DataFrame:
+    """Pairs (x, y) of a cell's members, in different components and one of them outside the cell's own, that the
+    bounds of their intersection let be similar. cells: (cell, rep, component, n) without repeats."""
+    rows = common.cut(_members(cells, docs, size, **names))
+    spread = common.cut(rows.groupBy("cell", "shingle").agg(F.count("*").alias("df")).where("df > 1"))
+    marked = common.cut(rows.join(spread, ["cell", "shingle"]).withColumn("agreed", F.expr("2 * df >= members")))
+    # least intersection: similar sets share percent / (100 + percent) of the sum of their sizes
+    part = lambda x, y: F.lit(percent / (100 + percent)) * (x + y) - 1e-6
+    own = marked.groupBy("cell", "rep", "component", "least", "n").agg(F.count_if("agreed").alias("a"), F.count_if(~F.col("agreed")).alias("p"))
+    # what a member lacks for the smallest set that it can be similar to, and the rare shingles that it can do without
+    need = part(F.col("n"), F.greatest(F.col("least"), F.col("n") * (percent / 100))) - F.col("a")
+    own = common.cut(own.withColumn("skip", F.greatest(F.ceil(need) - 1, F.lit(0)).cast("long")).withColumn("need", need))
+    outside = own.where("component <> cell AND p >= need")
+
+    rare = marked.where("NOT agreed").select("cell", "rep", "shingle", "df")
+    ranked = rare.join(outside.select("cell", "rep", "skip"), ["cell", "rep"]).withColumn("place", F.row_number().over(Window.partitionBy("cell", "rep").orderBy(F.desc("df"), "shingle")))
+    probes = common.cut(ranked.where("place > skip").select("cell", F.col("rep").alias("x"), "shingle"))
+    met = probes.join(rare.select("cell", "shingle", F.col("rep").alias("y")), ["cell", "shingle"]).where("x <> y").groupBy("cell", "x", "y").agg(F.count("*").alias("both"))
+    x = outside.select("cell", F.col("rep").alias("x"), F.col("component").alias("x_component"), F.col("n").alias("x_n"), F.col("a").alias("x_a"), "skip")
+    y = own.select("cell", F.col("rep").alias("y"), F.col("component").alias("y_component"), F.col("n").alias("y_n"), F.col("a").alias("y_a"))
+    least = part(F.col("x_n"), F.col("y_n"))
+    met = met.join(x, ["cell", "x"]).join(y, ["cell", "y"]).where((F.col("x_component") != F.col("y_component")) & (F.col("both") + F.col("skip") + F.least("x_a", "y_a") >= least))
+
+    step = lambda c: F.floor(F.log(c) * SIZE_STEPS)
+    most = F.col("x_a") * ((100 + percent) / percent) - F.col("x_n") + 1
+    enough = outside.where("need <= 0").select("cell", F.col("rep").alias("x"), F.col("component").alias("x_component"), F.col("n").alias("x_n"), F.col("a").alias("x_a"), "least")
+    enough = enough.withColumn("step", F.explode(F.sequence(step(F.greatest(F.col("least"), F.col("x_n") * (percent / 100) - 1)), step(F.greatest(most, F.col("least"), F.col("x_n") * (percent / 100))))))
+    sized = enough.join(y.withColumn("step", step("y_n")), ["cell", "step"]).where((F.col("x_component") != F.col("y_component")) & (F.least("x_a", "y_a") >= least))
+    return met.select("x", "y").union(sized.select("x", "y"))
 
 
 def classes_of(found: DataFrame) -> DataFrame:
@@ -183,48 +208,27 @@ def _near_duplicates(docs: DataFrame, size: int, percent: int, id_col: str, text
     found = common.cut(signatures(docs, size, **names))
     classes = common.cut(classes_of(found))
     bands = F.array(*[F.xxhash64(F.lit(b), F.substring("minima", 2 * ROWS * b + 1, 2 * ROWS)) for b in range(BANDS)])
-    members = classes.select("rep", F.posexplode(bands).alias("band", "bucket"))
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n"), *[F.min(_order(k)).alias(f"p{k}") for k in range(PIVOTS)]).where("n > 1")
-    shared = shared.select("bucket", "n", F.array_distinct(F.array(*[F.col(f"p{k}.id") for k in range(PIVOTS)])).alias("pivots"))
-    placed = common.cut(members.join(shared, "bucket").select("bucket", "band", "n", "rep", "pivots"))
+    members = classes.select("rep", F.explode(bands).alias("bucket"))
+    shared = common.cut(members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("rep").alias("pivot")).where("size > 1"))
+    placed = common.cut(members.join(shared, "bucket"))
 
     def pairs(a: str, b: str, rows: DataFrame) -> DataFrame:
         return rows.where(f"{a} <> {b}").select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
-    def linked(links: DataFrame) -> DataFrame:
-        return links.select(F.col("a").alias("u"), F.col("b").alias("v"))
-
-    def within(rows: DataFrame, name: str, components: DataFrame, as_name: str) -> DataFrame:
-        """The rows with the component of the class in column ``name``."""
-        its = components.select(F.col("node").alias(name), F.col("component").alias("its"))
-        return rows.join(its, name, "left").withColumn(as_name, F.coalesce("its", name)).drop("its")
-
-    tried = common.cut(pairs("rep", "pivot", placed.where(F.col("band") < FIRST_BANDS).select("rep", F.col("pivots")[0].alias("pivot"))))
-    first = connected(linked(confirmed(tried, classes, docs, size, percent, **names)))
-
-    # Pivots of other components; with one pair for a member and a component. Buckets of two are settled here.
-    apart = placed.select("n", "rep", F.explode("pivots").alias("pivot")).where("rep <> pivot").groupBy("rep", "pivot").agg((F.min("n") == 2).alias("two"))
-    apart = common.cut(within(within(apart, "rep", first, "own"), "pivot", first, "other").where("own <> other"))
-    one_each = apart.where("NOT two").groupBy("rep", "other").agg(F.min("pivot").alias("pivot")).select("rep", "pivot")
-    again = pairs("rep", "pivot", apart.where("two").select("rep", "pivot").union(one_each)).join(tried, ["a", "b"], "left_anti")
-    again = common.cut(again)
-    more = confirmed(again, classes, docs, size, percent, **names)
-    first = connected(first.select(F.col("node").alias("u"), F.col("component").alias("v")).union(linked(more)))
-    tried = tried.union(again)
+    tried = common.cut(pairs("rep", "pivot", placed))
+    links = common.cut(confirmed(tried, classes, docs, size, percent, **names).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    first = connected(links)
 
     # The exact rest, over buckets whose members lie in several components.
-    where = within(placed.where("n > 2").select("bucket", "rep"), "rep", first, "component")
+    where = placed.where("size > 2").select("bucket", "rep").join(first.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    where = common.cut(where)
     counts = where.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    largest = counts.groupBy("bucket").agg(F.count("*").alias("components"), F.max_by("component", F.struct("n", "component")).alias("largest")).where("components > 1")
-    split = common.cut(where.join(largest.select("bucket", "largest"), "bucket"))
-    split = split.join(_linkable(split, classes, docs, size, percent, **names), "rep")
-    outside = split.where("component <> largest").select("bucket", F.col("rep").alias("s"), F.col("component").alias("s_component"), F.col("n").alias("s_n"), F.col("common").alias("s_common"))
-    rest = outside.join(split, "bucket").where("component <> s_component AND (component = largest OR s < rep)")
-    rest = rest.where((100 + percent) * F.least("common", "s_common") >= percent * (F.col("n") + F.col("s_n")))
-    rest = pairs("s", "rep", rest.select("s", "rep")).join(tried, ["a", "b"], "left_anti")
-    more = confirmed(rest, classes, docs, size, percent, **names)
-    stars = first.select(F.col("node").alias("u"), F.col("component").alias("v"))
-    joined = connected(stars.union(linked(more)))
+    largest = common.cut(counts.groupBy("bucket").agg(F.count("*").alias("components"), F.max_by("component", F.struct("n", "component")).alias("cell")).where("components > 1"))
+    cells = where.join(largest.select("bucket", "cell"), "bucket").select("cell", "rep", "component").distinct()
+    cells = common.cut(cells.join(classes.select("rep", F.col("n_shingles").alias("n")), "rep"))
+    rest = pairs("x", "y", _candidates(cells, docs, size, percent, **names)).join(tried, ["a", "b"], "left_anti")
+    more = confirmed(common.cut(rest), classes, docs, size, percent, **names).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    joined = connected(first.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more))
 
     named = classes.select("set_hash", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("set_hash", F.coalesce("component", "rep").alias("component"))
     out = found.select("doc_id", "n_shingles", "set_hash").join(named, "set_hash", "left")
