@@ -6,8 +6,9 @@ import statistics
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
-from visloom.constants import CAM, DATA_LOST, INT32_MIN
+from visloom.constants import CAM, DATA_LOST, INT32_MIN, STATIC
 from visloom.operators import average, baselines, cadence, frames, metadata, quicklook, rfi, samples, sensors
 from visloom.plans.ingest import IngestPlan
 
@@ -177,8 +178,6 @@ def test_masks(spark):
 def test_sensor_history(spark):
     history = spark.createDataFrame([("a", 4.0, 0, "hello"), ("a", 6.0, 1, "world"), ("b", 1.0, 2, "x"), ("b", 1.0, 3, "y")], "sensor string, ts double, seq long, value string")
     queries = spark.createDataFrame([("a", t, int(t)) for t in (3.0, 4.0, 5.0, 6.0, 7.0)] + [("b", 1.0, 1), ("c", 1.0, 1)], "sensor string, at double, tag long")
-    from pyspark.sql import functions as F
-
     got = {(r["sensor"], r["at"]): r["value"] for r in sensors.as_of(queries, history, F.lit("none")).collect()}
     assert got == {("a", 3.0): "none", ("a", 4.0): "hello", ("a", 5.0): "hello", ("a", 6.0): "world", ("a", 7.0): "world", ("b", 1.0): "y", ("c", 1.0): "none"}
     late = spark.createDataFrame([("a", t, k) for k, t in enumerate((1.0, 3.0, 2.0, 3.0, 4.0))], "sensor string, ts double, seq long")
@@ -216,8 +215,6 @@ def test_two_level_windows_equal_one(spark, monkeypatch):
     df = spark.createDataFrame(wrapped, "arrival_seq long, ts_raw long")
     got = [r["ts"] for r in frames.unwrap(df, 8).orderBy("arrival_seq").collect()]
     assert [x - got[0] for x in got] == [x - raw[0] for x in raw]
-    from pyspark.sql import functions as F
-
     tops = [r["top"] for r in frames.running_max(df, F.col("ts_raw"), "top").orderBy("arrival_seq").collect()]
     assert tops == [None] + [max(t for _, t in wrapped[:k]) for k in range(1, 200)]
 
@@ -257,3 +254,99 @@ def test_zero_antenna_raises_cam_only(spark):
     made = plan.build(raw, perm, base, masks)
     for name in ("spectral", "continuum", "sd_spectral", "sd_continuum"):
         assert {(r["re"], r["im"], r["flags"]) for r in made[name].collect()} == {(0.0, 0.0, CAM)}, name
+
+
+def test_amplitude_of_extremes(spark):
+    """Squares of 32-bit extremes, as integers and as longs."""
+    df = spark.createDataFrame([(-2147483648, 2147483647), (46341, 0), (0, 0)], "re int, im int")
+    got = [r["a"] for r in df.select(samples.amplitude().alias("a")).collect()]
+    assert got == pytest.approx([(2.0**62 + (2.0**31 - 1) ** 2) ** 0.5, 46341.0, 0.0])
+
+
+def test_input_suspects_and_channel_flags(spark):
+    base = spark.createDataFrame([(0, "ah", "ah"), (1, "ah", "bv")], "bl int, input1 string, input2 string")
+    sensor = spark.createDataFrame([(0, [True, False]), (1, [False, True]), (2, [None, False]), (3, [False])], "dump long, suspects array<boolean>")
+    got = {(r["dump"], r["bl"]): r["baseline_flags"] for r in sensors.input_suspects(base, ["ah", "bv"], sensor).collect()}
+    assert {k for k, v in got.items() if v} == {(0, 0), (0, 1), (1, 1)}
+    live, sus = spark.createDataFrame([(0, 3)], "dump long, channel int"), spark.createDataFrame([(0, 3), (0, 4)], "dump long, channel int")
+    assert {(r["channel"], r["channel_flags"]) for r in sensors.channel_flags(live, sus).collect()} == {(3, STATIC | CAM), (4, CAM)}
+    assert {(r["channel"], r["channel_flags"]) for r in sensors.channel_flags(live).collect()} == {(3, STATIC)}
+    both = sensors.any_suspects(sensors.input_suspects(base, ["ah", "bv"], sensor), spark.createDataFrame([(2, 1, CAM)], "dump long, bl int, baseline_flags int"))
+    assert {(r["dump"], r["bl"]) for r in both.where("baseline_flags > 0").collect()} == {(0, 0), (0, 1), (1, 1), (2, 1)}
+
+
+def test_base_and_kinds_of_records(spark):
+    """An incomplete record sets the base; what cannot be decoded has no time and moves nothing; what lacks an item does."""
+    rows = [(0, "bad-heap", 990, 0), (1, "incomplete", 1000, 0), (2, "bad-item", 1030, 0), (3, "data", 1000, 0), (4, "bad-heap", 2000, 0), (5, "data", 1020, 0), (6, "incomplete", None, 0)]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "arrival_seq long, kind string, ts_raw long, frequency int, payload long")
+    got = {r["arrival_seq"]: (r["idx"], r["reason"], r["moves"]) for r in frames.classify(df, 10, 2, 4, 0, 8).collect()}
+    assert got == {0: (None, "bad-heap", False), 1: (0, "incomplete", True), 2: (3, "bad-heap", True), 3: (0, "too-old", False), 4: (None, "bad-heap", False), 5: (2, "ok", True), 6: (None, "incomplete", False)}
+    counted = {r["reason"]: r["n"] for r in frames.totals(frames.classify(df, 10, 2, 4, 0, 8), stopped_at=3).collect()}
+    assert counted == {"bad-heap": 3, "incomplete": 1, "too-old": 1, "ok": 1}
+
+
+def test_wraps_before_windows(spark):
+    true = [1000, 1010, 1030, 1020, 1040]
+    rows = [(k, "metadata" if k == 99 else "data", t % 1024, 0, k) for k, t in enumerate(true)]
+    df = spark.createDataFrame(rows, "arrival_seq long, kind string, ts_raw long, frequency int, payload long")
+    assert [r["idx"] for r in frames.classify(df, 10, 3, 4, 0, 8, bits=10).orderBy("arrival_seq").collect()] == [0, 1, 3, 2, 4]
+
+
+def test_autos_in_the_interference_model(spark):
+    measured = spark.createDataFrame([(0, "a", "a", 0.0), (1, "a", "b", 10.0)], "cbf_bl int, ant1 string, ant2 string, length_m double")
+    reach = spark.createDataFrame([(7, 20.0)], "channel int, reach double")
+    assert {r["cbf_bl"] for r in baselines.range_mask(measured, reach).collect()} == {1}
+    assert {r["cbf_bl"] for r in baselines.range_mask(measured, reach, mask_autos=True).collect()} == {0, 1}
+
+
+def test_contiguous_groups_and_series_masks(spark):
+    fine = spark.createDataFrame([(0, "a"), (1, "a"), (1, "b")], "bl int, grp string")
+    baselines.check_contiguous(fine)
+    with pytest.raises(ValueError, match="c"):
+        baselines.check_contiguous(fine.union(spark.createDataFrame([(0, "c"), (2, "c")], "bl int, grp string")))
+    weights = lambda mask: {r["channel"]: r["ts_weight"] for r in quicklook.series_weights(spark, mask, 4, 1, 3).collect()}
+    assert weights([0.5, 0.5, 0.25, 1.0]) == {0: 0.0, 1: 0.5, 2: 0.25, 3: 0.0}
+    assert weights([1.0]) == weights(None) == {0: 0.0, 1: 0.25, 2: 0.25, 3: 0.0}
+
+
+def test_flush_below(spark):
+    sums = spark.createDataFrame([(0, 2, 1, -1, 0, 0, 0, 0), (1, 0, 0, 0, 2, 1, 1, 4)], "k int, n_u long, re_u long, im_u long, n_f long, re_f long, im_f long, any_flags int")
+    got = {r["k"]: (r["re"], r["im"]) for r in average.finalise(sums, ["k"], 1, flush_below=0.6).collect()}
+    assert got == {0: (0.0, 0.0), 1: (0.5, 0.5)}
+
+
+def test_injected_detector(spark):
+    plan = IngestPlan(n_accs=1, n_channels=4, start=0, stop=4, ratio=1, sd_ratio=1, cont_factor=2, sd_cont_factor=2, n_masks=1, detector=lambda df, keys: df.withColumn("rfi", F.when(F.col("channel") == 2, 16).otherwise(0)))
+    raw = spark.createDataFrame([(0, c, 0, 5, 5) for c in range(4)], "dump long, channel int, cbf_bl int, re int, im int")
+    one = spark.createDataFrame([(0, 0)], "cbf_bl int, bl int")
+    masks = spark.createDataFrame([(0, 1, STATIC)], "mask_id int, channel int, mask_flags int")
+    base = spark.createDataFrame([(0, "ah", "ah", 0)], "bl int, input1 string, input2 string, mask_id int")
+    got = {r["channel"]: r["flags"] for r in plan.samples(raw, one, base, masks, channel_flags=spark.createDataFrame([(0, 3, CAM)], "dump long, channel int, channel_flags int")).collect()}
+    assert got == {0: 0, 1: STATIC, 2: 16, 3: CAM}
+
+
+def test_products_and_attributes(spark, tmp_path, caplog):
+    product = spark.createDataFrame([(2, c, 0) for c in range(4)], "out_idx long, channel int, bl int")
+    rows = metadata.product_rows(product, 2, 10, 5, 10.0, 4, 2, 100)
+    assert {(r["channel"], r["substream"], r["frequency"], r["dump_index"], r["timestamp"]) for r in rows.collect()} == {(c, c // 2, 100 + c // 2 * 2, 2, 5.5) for c in range(4)}
+    metadata.write_product(rows, str(tmp_path / "p"))
+    assert spark.read.parquet(str(tmp_path / "p")).where("substream = 1").count() == 2
+    with pytest.raises(ValueError):
+        metadata.product_attributes(spark, "l0", {"n_chans": 1})
+    attributes = spark.createDataFrame([("a_b", k, "1") for k in metadata.SYSTEM_ATTRIBUTES], "prefix string, key string, value string")
+    assert set(metadata.system_attributes(attributes, ["a.b"])) == set(metadata.SYSTEM_ATTRIBUTES)
+    with pytest.raises(KeyError):
+        metadata.system_attributes(attributes.where("key <> 'n_accs'"), ["a.b"])
+    assert metadata.optional_model(spark, str(tmp_path / "none"), "a int") is None and "no model" in caplog.text
+
+
+def test_two_level_sensor_lookup(spark):
+    """Buckets of time change no result; histories without a sample in the query's bucket carry the last one."""
+    import random
+
+    rng = random.Random(3)
+    have = [(rng.randrange(3), float(rng.randrange(60)), k, rng.choice([None, float(k)])) for k in range(80)]
+    ask = [(rng.randrange(4), rng.randrange(-5, 70) + 0.5, k) for k in range(50)]
+    found = sensors.as_of(spark.createDataFrame(ask, "sensor long, at double, q long"), spark.createDataFrame(have, "sensor long, ts double, seq long, value double"), bucket=7.0)
+    best = lambda s, at: max(((t, n, v) for i, t, n, v in have if i == s and t <= at and v is not None), default=(0, 0, None))[2]
+    assert {r["q"]: r["value"] for r in found.collect()} == {q: best(s, at) for s, at, q in ask}

@@ -33,3 +33,17 @@ def test_capture_session_with_failing_receiver(spark, tmp_path):
     with pytest.raises(ValueError):
         session.drop_receiver("bad")
     assert sorted((r["idx"], r["frequency"], r["payload"]) for r in got) == [(k // 2, 4 * (k % 2), k) for k in range(10)]
+
+
+def test_endpoints_wraps_and_quiet_end(spark, tmp_path):
+    """All endpoints must stop; incomplete records after the first stop are not reported; timestamps wrap."""
+    ts = lambda k: (1000 + 10 * k) % 1024
+    rows = [("s", 0, "incomplete", ts(0), 0, 0), ("s", 1, "data", ts(1), 0, 1), ("s", 2, "data", ts(3), 0, 2), ("s", 3, "stop", 0, 0, 0), ("s", 4, "incomplete", ts(4), 0, 0)]
+    rows += [("s", 5, "data", ts(3), 4, 5), ("s", 6, "stop", 0, 0, 0), ("s", 7, "data", ts(4), 0, 7), ("t", 8, "data", ts(2), 0, 8), ("t", 9, "stop", 0, 0, 0)]
+    for part in (rows[:3], rows[3:]):
+        spark.createDataFrame(part, HEAP).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(HEAP).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query = frames.assemble(stream, 10, 4, 4, 0, 8, endpoints=2, bits=10).writeStream.format("memory").queryName("ends").option("checkpointLocation", str(tmp_path / "log")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    got = {(r["session"], r["arrival_seq"], r["idx"], r["reason"]) for r in spark.table("ends").collect()}
+    assert got == {("s", 0, 0, "incomplete"), ("s", 1, 1, "ok"), ("s", 2, 3, "ok"), ("s", 5, 3, "ok")}

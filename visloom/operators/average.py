@@ -8,7 +8,7 @@ given with their flags.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import MIN_CHANNEL_WEIGHT
@@ -32,8 +32,9 @@ def roll_up(sums: DataFrame, keys: list[Column | str]) -> DataFrame:
     return sums.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in SUMS], F.bit_or("any_flags").alias("any_flags"))
 
 
-def finalise(sums: DataFrame, keys: list[str], n_accs: int, excise: bool = True) -> DataFrame:
-    """re, im, weight and flags of each cell. A sample weighs ``n_accs``."""
+def finalise(sums: DataFrame, keys: list[str], n_accs: int, excise: bool = True, flush_below: float | None = None) -> DataFrame:
+    """re, im, weight and flags of each cell. A sample weighs ``n_accs``. Exact sums leave no residue of flagged samples; for sums of
+    other origin, ``flush_below`` sets smaller parts of unflagged cells to zero (when excising)."""
     if excise:
         some = F.col("n_u") > 0
         n, re, im = (F.when(some, F.col(f"{c}_u")).otherwise(F.col(f"{c}_f")) for c in ("n", "re", "im"))
@@ -42,7 +43,10 @@ def finalise(sums: DataFrame, keys: list[str], n_accs: int, excise: bool = True)
         n, re, im = (F.col(f"{c}_u") + F.col(f"{c}_f") for c in ("n", "re", "im"))
         flags = F.col("any_flags")
     weight = (n * n_accs).cast("double")
-    return sums.select(*keys, F.try_divide(re, weight).alias("re"), F.try_divide(im, weight).alias("im"), weight.alias("weight"), flags.alias("flags"))
+    mean = [F.try_divide(x, weight) for x in (re, im)]
+    if excise and flush_below is not None:
+        mean = [F.when((F.col("n_u") > 0) & (F.abs(x) < flush_below), 0.0).otherwise(x) for x in mean]
+    return sums.select(*keys, mean[0].alias("re"), mean[1].alias("im"), weight.alias("weight"), flags.alias("flags"))
 
 
 def group_index(index: Column | str, ratio: int) -> Column:
@@ -62,7 +66,7 @@ def continuum(samples: DataFrame, ratio: int, factor: int, n_accs: int, excise:
 
 
 def compress_weights(averaged: DataFrame, channel: str = "channel") -> DataFrame:
-    """Weights as one number a channel, and a byte a baseline that scales it."""
-    top = averaged.groupBy("out_idx", channel).agg((F.greatest(F.max("weight"), F.lit(MIN_CHANNEL_WEIGHT)) / 255.0).alias("weight_channel"))
-    out = averaged.join(top, ["out_idx", channel])
+    """Weights as one number a channel, and a byte a baseline that scales it. A window holds one channel of one output dump, so a row a baseline."""
+    top = F.max("weight").over(Window.partitionBy("out_idx", channel))
+    out = averaged.withColumn("weight_channel", F.greatest(top, F.lit(MIN_CHANNEL_WEIGHT)) / 255.0)
     return out.withColumn("weight_u8", F.floor(F.col("weight") / F.col("weight_channel") + 0.5).cast("smallint"))

@@ -53,6 +53,13 @@ def groups(labelled: DataFrame, key: str = "bl") -> DataFrame:
     return df.select(key, F.explode(F.array(kind, F.concat(kind, pols))).alias("grp"))
 
 
+def check_contiguous(grouped: DataFrame) -> None:
+    """Raise if a group's baselines (bl, grp) are not one run of numbers, as the output order makes them. Groups are a handful."""
+    per = grouped.groupBy("grp").agg(F.min("bl").alias("a"), F.max("bl").alias("b"), F.count_distinct("bl").alias("n")).where("b - a + 1 <> n")
+    if broken := sorted(r["grp"] for r in per.collect()):
+        raise ValueError(f"baselines of {', '.join(broken)} are not contiguous")
+
+
 def lengths(labelled: DataFrame, antennas: DataFrame) -> DataFrame:
     """``length_m`` between a baseline's antennas."""
     at = lambda k: antennas.select(F.col("antenna").alias(f"ant{k}"), *[F.col(c).alias(f"{c}{k}") for c in ("east", "north", "up")])
@@ -74,9 +81,9 @@ def interference_reach(channels: DataFrame, model: DataFrame) -> DataFrame:
     return model.join(F.broadcast(channels), over).groupBy("channel").agg(F.max("max_baseline").alias("reach"))
 
 
-def range_mask(measured: DataFrame, reach: DataFrame) -> DataFrame:
-    """(cbf_bl, channel): what the interference model masks. An antenna with itself never is."""
-    return measured.where("ant1 <> ant2").join(F.broadcast(reach), F.col("length_m") <= F.col("reach")).select("cbf_bl", "channel")
+def range_mask(measured: DataFrame, reach: DataFrame, mask_autos: bool = False) -> DataFrame:
+    """(cbf_bl, channel): what the interference model masks; whether an antenna with itself is, the model says."""
+    return (measured if mask_autos else measured.where("ant1 <> ant2")).join(F.broadcast(reach), F.col("length_m") <= F.col("reach")).select("cbf_bl", "channel")
 
 
 def band_mask(channels: DataFrame, model: DataFrame, centre: float, bandwidth: float) -> DataFrame:

@@ -5,10 +5,16 @@ from __future__ import annotations
 import contextlib
 import io
 import json
+import logging
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .cadence import mid_timestamp
+
+log = logging.getLogger(__name__)
+
 
 def normalised(name: str) -> str:
     """Separators of stream names become underscores in keys."""
@@ -34,6 +40,56 @@ def sharded(product: DataFrame, shards: int, n_channels: int, channel: str = "ch
     return product.withColumn("substream", F.floor(F.col(channel) / (n_channels // shards)).cast("int"))
 
 
+def product_rows(product: DataFrame, ratio: int, interval: int, base: int, scale: float, n_channels: int, shards: int = 1, channel0: int = 0) -> DataFrame:
+    """A product as it is handed on: ``dump_index``, ``timestamp`` (seconds from the sync time to the middle of the dump), and
+    ``substream`` with ``frequency``, the band's number of that slice's first channel. Channels count from the product's start."""
+    width = n_channels // shards
+    out = sharded(product, shards, n_channels)
+    stamps = {"dump_index": F.col("out_idx"), "timestamp": mid_timestamp(F.col("out_idx"), ratio, interval, F.lit(base), scale), "frequency": (F.col("substream") * width + channel0).cast("int")}
+    return out.withColumns(stamps).drop("out_idx")
+
+
+def write_product(rows: DataFrame, path: str) -> None:
+    """A folder a substream, so that its reader scans no other."""
+    rows.write.partitionBy("substream").mode("append").parquet(path)
+
+
+#: The attributes that describe a product.
+PRODUCT_ATTRIBUTES = (
+    "n_chans", "n_chans_per_substream", "n_bls", "bls_ordering", "sync_time", "bandwidth", "center_freq", "channel_range", "int_time", "excise",
+    "src_streams", "stream_type", "calibrations_applied", "need_weights_power_scale",
+)
+
+
+def product_attributes(spark, stream: str, values: dict) -> DataFrame:
+    """(key, seq, value as JSON) of one product, to be written once. All attributes must be given, and no others."""
+    if set(values) != set(PRODUCT_ATTRIBUTES):
+        raise ValueError(f"attributes differ: {sorted(set(values) ^ set(PRODUCT_ATTRIBUTES))}")
+    rows = [(f"{normalised(stream)}_{k}", n, json.dumps(values[k])) for n, k in enumerate(PRODUCT_ATTRIBUTES)]
+    return spark.createDataFrame(rows, "key string, seq long, value string")
+
+
+#: What a session must know of the system before it starts.
+SYSTEM_ATTRIBUTES = ("scale_factor_timestamp", "n_chans", "n_chans_per_substream", "n_accs", "sync_time", "bandwidth", "center_freq", "ticks_between_spectra", "int_time", "bls_ordering", "input_labels")
+
+
+def system_attributes(attributes: DataFrame, path: list[str], required: tuple[str, ...] = SYSTEM_ATTRIBUTES) -> dict[str, str]:
+    """The required attributes along the search path; those that are missing raise. A handful of rows come to the driver."""
+    found = {r["key"]: r["value"] for r in lookup(attributes.where(F.col("key").isin(*required)), path).collect()}
+    if missing := sorted(set(required) - set(found)):
+        raise KeyError(f"no value for {', '.join(missing)}")
+    return found
+
+
+def optional_model(spark, path: str, schema: str) -> DataFrame | None:
+    """A model's rows; none, with a warning, if it cannot be found."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        log.warning("no model at %s", path)
+        return None
+
+
 def process_log(name: str, parameters: dict, df: DataFrame) -> str:
     """A reproducible description of a product: its parameters, sorted, its schema and plan."""
     plan = io.StringIO()

@@ -26,6 +26,14 @@ def default_weights(spark, n_channels: int, start: int, stop: int) -> DataFrame:
     return spark.range(n_channels).select(F.col("id").cast("int").alias("channel"), F.when((F.col("id") >= start) & (F.col("id") < stop), 1.0 / n_channels).otherwise(0.0).alias("ts_weight"))
 
 
+def series_weights(spark, mask: list[float] | None, n_channels: int, start: int, stop: int) -> DataFrame:
+    """(channel, ts_weight): the user's mask, or the default one if there is none or it has another number of channels; none outside [start, stop)."""
+    if mask is None or len(mask) != n_channels:
+        return default_weights(spark, n_channels, start, stop)
+    rows = [(c, float(w) if start <= c < stop else 0.0) for c, w in enumerate(mask)]
+    return spark.createDataFrame(rows, "channel int, ts_weight double")
+
+
 def time_series(averaged: DataFrame, weights: DataFrame) -> DataFrame:
     """Weighted sums over channels of each baseline's values and of their amplitudes."""
     joined = averaged.join(F.broadcast(weights), "channel")

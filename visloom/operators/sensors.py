@@ -6,21 +6,34 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import CAM, STATIC
+from .frames import running_max
+from .samples import masked
+
+#: Length of a bucket of time in as-of lookups.
+BUCKET_SECONDS = 86_400.0
 
 
 def strictly_newer(samples: DataFrame) -> DataFrame:
     """Samples (sensor, ts, seq, ...) later than all before them in order of arrival."""
-    before = Window.partitionBy("sensor").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    return samples.withColumn("_seen", F.max("ts").over(before)).where("_seen IS NULL OR ts > _seen").drop("_seen")
+    return running_max(samples, F.col("ts"), "_seen", "seq", ["sensor"]).where("_seen IS NULL OR ts > _seen").drop("_seen")
+
 
+def as_of(queries: DataFrame, samples: DataFrame, default: Column | None = None, bucket: float = BUCKET_SECONDS) -> DataFrame:
+    """Each query (sensor, at, ...) with the ``value`` of the last sample with ts <= at; of samples at one time the last by seq counts.
 
-def as_of(queries: DataFrame, samples: DataFrame, default: Column | None = None) -> DataFrame:
-    """Each query (sensor, at, ...) with the ``value`` of the last sample with ts <= at. One pass over both sides, sorted by time; of samples at one time the last by seq counts."""
+    Both sides go by (sensor, bucket of time), so that no task sees a sensor's whole history; the last value of the
+    buckets before comes from one row a bucket. Times are timestamps, or numbers in seconds. Null values are no samples.
+    """
     names = [c for c in queries.columns if c not in ("sensor", "at")]
     left = queries.select("sensor", F.col("at").alias("t"), F.lit(1).alias("side"), F.lit(None).cast("long").alias("seq"), F.lit(None).cast(samples.schema["value"].dataType).alias("value"), F.struct(*names).alias("row"))
     right = samples.select("sensor", F.col("ts").alias("t"), F.lit(0).alias("side"), F.col("seq").cast("long"), "value", F.lit(None).cast(left.schema["row"].dataType).alias("row"))
-    upto = Window.partitionBy("sensor").orderBy("t", "side", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = left.union(right).withColumn("value", F.last("value", ignorenulls=True).over(upto)).where("side = 1")
+    seconds = F.unix_seconds("t") if dict(left.dtypes)["t"].startswith("timestamp") else F.col("t")
+    both = left.union(right).withColumn("bucket", F.floor(seconds / F.lit(bucket)).cast("long"))
+    ends = both.groupBy("sensor", "bucket").agg(F.max_by("value", F.when(F.col("value").isNotNull(), F.struct("t", "seq"))).alias("end"))
+    before = Window.partitionBy("sensor").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("sensor", "bucket", F.last("end", ignorenulls=True).over(before).alias("carried"))
+    upto = Window.partitionBy("sensor", "bucket").orderBy("t", "side", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = both.join(carried, ["sensor", "bucket"]).withColumn("value", F.coalesce(F.last("value", ignorenulls=True).over(upto), "carried")).where("side = 1")
     value = F.col("value") if default is None else F.coalesce("value", default)
     return found.select("sensor", F.col("t").alias("at"), *[F.col(f"row.{n}").alias(n) for n in names], value.alias("value"))
 
@@ -31,10 +44,32 @@ def baseline_suspects(baselines: DataFrame, suspects: DataFrame) -> DataFrame:
     return suspects.join(F.broadcast(ends), "antenna").groupBy("dump", "bl").agg(F.when(F.bool_or("suspect"), CAM).otherwise(0).alias("baseline_flags"))
 
 
-def external_flags(grid: DataFrame, static: DataFrame, live: DataFrame, suspect: DataFrame) -> DataFrame:
-    """``flags`` of (dump, channel, bl): STATIC by the baseline's static mask or the dump's live channel mask, CAM by suspect channels of the dump."""
-    df = grid.join(F.broadcast(static.withColumn("_static", F.lit(STATIC))), ["bl", "channel"], "left")
-    df = df.join(live.withColumn("_live", F.lit(STATIC)), ["dump", "channel"], "left").join(suspect.withColumn("_cam", F.lit(CAM)), ["dump", "channel"], "left")
-    zero = F.lit(0)
-    flags = F.coalesce("_static", zero).bitwiseOR(F.coalesce("_live", zero)).bitwiseOR(F.coalesce("_cam", zero))
-    return df.withColumn("flags", flags).drop("_static", "_live", "_cam")
+def input_suspects(baselines: DataFrame, labels: list[str], sensor: DataFrame) -> DataFrame:
+    """(dump, bl, baseline_flags): CAM where either input is suspect. ``baselines``: bl, input1, input2; ``sensor``: dump and an array of
+    booleans, one for each of ``labels``; shorter arrays and nulls say nothing."""
+    names = F.broadcast(baselines.sparkSession.createDataFrame(list(enumerate(labels)), "pos int, input string"))
+    bad = sensor.select("dump", F.posexplode("suspects").alias("pos", "suspect")).join(names, "pos")
+    ends = baselines.select("bl", F.explode(F.array_distinct(F.array("input1", "input2"))).alias("input"))
+    return bad.join(F.broadcast(ends), "input").groupBy("dump", "bl").agg(F.when(F.bool_or("suspect"), CAM).otherwise(0).alias("baseline_flags"))
+
+
+def any_suspects(*flags: DataFrame) -> DataFrame:
+    """Several (dump, bl, baseline_flags) as one."""
+    out = flags[0]
+    for more in flags[1:]:
+        out = out.unionByName(more)
+    return out.groupBy("dump", "bl").agg(F.bit_or("baseline_flags").alias("baseline_flags"))
+
+
+def channel_flags(live: DataFrame, suspect: DataFrame | None = None) -> DataFrame:
+    """(dump, channel, channel_flags): STATIC by the dump's live channel mask, CAM by its suspect channels (none if that sensor is not used)."""
+    out = live.select("dump", "channel", F.lit(STATIC).alias("f"))
+    if suspect is not None:
+        out = out.union(suspect.select("dump", "channel", F.lit(CAM).alias("f")))
+    return out.groupBy("dump", "channel").agg(F.bit_or("f").alias("channel_flags"))
+
+
+def external_flags(grid: DataFrame, baselines: DataFrame, channel_masks: DataFrame, n_masks: int, live: DataFrame, suspect: DataFrame | None = None) -> DataFrame:
+    """``flags`` of (dump, channel, bl): by the baseline's static mask, the dump's live channel mask and its suspect channels."""
+    df = masked(grid, baselines, channel_masks, n_masks).join(channel_flags(live, suspect), ["dump", "channel"], "left")
+    return df.withColumn("flags", F.coalesce("mask_flags", F.lit(0)).bitwiseOR(F.coalesce("channel_flags", F.lit(0)))).drop("mask_flags", "channel_flags")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from ..constants import CAM, COUNT_MASK, DATA_LOST, MAD_TO_SIGMA, STATIC
@@ -296,7 +299,7 @@ AMPS = "amps AS (SELECT *, sqrt(CAST(re AS DOUBLE) * re + CAST(im AS DOUBLE) * i
 
 @query(f"WITH {CUBE}, {AMPS}, {detect_sql('amps', 'dump, bl', 'flags')} SELECT dump, channel, bl, rfi FROM found")
 def rfi_flag_aware(spark, d):
-    df = _samples(spark, d).withColumns({"re": F.col("re").cast("double"), "im": F.col("im").cast("double")}).withColumn("amp", samples.amplitude())
+    df = _samples(spark, d).withColumn("amp", samples.amplitude())
     return rfi.detect(df, ["dump", "bl"], n_sigma=SIGMAS, flags="flags").select("dump", "channel", "bl", "rfi")
 
 
@@ -443,27 +446,44 @@ SELECT r.dump, r.channel, r.bl, CAST((CASE WHEN s.bl IS NOT NULL OR l.dump IS NO
 FROM reordered r LEFT JOIN static s USING (bl, channel) LEFT JOIN live l ON l.dump = r.dump AND l.channel = r.channel LEFT JOIN sus u ON u.dump = r.dump AND u.channel = r.channel""")
 def external_flags(spark, d):
     df = _reordered(spark, d)
-    static = A.baselines(spark).select("bl", F.least("mask_id", F.lit(len(A.MASKS) - 1)).alias("mask_id")).join(A.channel_masks(spark), "mask_id").select("bl", "channel")
-    per = df.groupBy("dump", "channel").agg(F.sum("re").alias("s"))
-    live, suspect = (per.where(F.col("s") % k == 0).select("dump", "channel") for k in (7, 11))
-    return sensors.external_flags(df.select("dump", "channel", "bl"), static, live, suspect)
+    return sensors.external_flags(df.select("dump", "channel", "bl"), A.baselines(spark), A.channel_masks(spark), len(A.MASKS), *_live(df))
+
+
+def _live(reordered):
+    """Channels that are masked, and suspect ones, by dump."""
+    per = reordered.groupBy("dump", "channel").agg(F.sum("re").alias("s"))
+    return [per.where(F.col("s") % k == 0).select("dump", "channel") for k in (7, 11)]
+
+
+INPUTS = ("m0h", "m0v", "m1h", "m1v")
+INPUT_SUSPECTS = f"""input_rows AS (SELECT dump, channel % 4 AS pos, v > 22000 AS bad FROM raw WHERE channel < 8),
+input_flags AS (SELECT dump, bl, bool_or(bad) AS bad FROM (SELECT dump, bad, name FROM input_rows JOIN (VALUES {_values(list(enumerate(INPUTS)))}) l(pos, name) USING (pos)) JOIN base ON name IN (input1, input2) GROUP BY ALL)"""
+
+
+@query(f"WITH {CUBE}, {INPUT_SUSPECTS} SELECT dump, bl, CASE WHEN bad THEN {CAM} ELSE 0 END AS baseline_flags FROM input_flags")
+def input_suspects(spark, d):
+    at = F.floor(F.col("event_id") / 8) % A.N_CHANNELS
+    rows = table(spark, d, "events").where(at < 8).select(F.floor(F.col("event_id") / 256).cast("long").alias("dump"), (at % 4).alias("pos"), (F.floor(F.col("value") * 100 + 0.5) > 22000).alias("bad"))
+    by = rows.groupBy("dump").agg(*[F.max(F.when(F.col("pos") == k, F.col("bad"))).alias(f"s{k}") for k in range(len(INPUTS))])
+    return sensors.input_suspects(A.baselines(spark), list(INPUTS), by.select("dump", F.array(*[f"s{k}" for k in range(len(INPUTS))]).alias("suspects")))
 
 
 # --- frames -----------------------------------------------------------------------------------------
 
 HEAPS = f"""heaps AS (
   SELECT event_id AS arrival_seq, CASE WHEN event_type = 'error' AND {K} % 4 = 0 THEN 'incomplete' WHEN event_type = 'signup' AND {K} % 10 = 0 THEN 'metadata'
-      WHEN event_type = 'signup' AND {K} % 10 = 1 THEN 'no-descriptor' WHEN event_type = 'click' AND {K} % 20 = 0 THEN 'bad-heap' ELSE 'data' END AS kind,
+      WHEN event_type = 'signup' AND {K} % 10 = 1 THEN 'no-descriptor' WHEN event_type = 'click' AND {K} % 40 = 0 THEN 'bad-heap' WHEN event_type = 'click' AND {K} % 20 = 0 THEN 'bad-item' ELSE 'data' END AS kind,
     CAST(floor(epoch(ts) / 3600) AS BIGINT) - CASE WHEN {K} % 13 = 0 THEN 9 ELSE 0 END AS ts_raw,
-    CAST((user_id % 4) * 8 + CASE WHEN {K} % 17 = 0 THEN 1 ELSE 0 END AS INT) AS frequency, CAST(floor(value * 100 + 0.5) AS BIGINT) AS payload FROM events),
-t0 AS (SELECT arg_min(ts_raw, arrival_seq) AS ts0 FROM heaps WHERE kind = 'data'),
-timed AS (SELECT h.*, CASE WHEN kind NOT IN ('metadata', 'no-descriptor') THEN CAST(floor((ts_raw - ts0) / {HEAP_INTERVAL}.0) AS BIGINT) END AS idx,
+    CAST((user_id % 4) * 8 + CASE WHEN {K} % 17 = 0 THEN 1 ELSE 0 END AS INT) AS frequency, CAST(floor(value * 100 + 0.5) AS BIGINT) AS payload, 's' || CAST((user_id // 4) % 8 AS BIGINT) AS session FROM events),
+-- the first record with a time sets the base, an incomplete one or one without an item too
+t0 AS (SELECT arg_min(ts_raw, arrival_seq) AS ts0 FROM heaps WHERE kind NOT IN ('metadata', 'no-descriptor', 'bad-heap')),
+timed AS (SELECT h.*, CASE WHEN kind NOT IN ('metadata', 'no-descriptor', 'bad-heap') THEN CAST(floor((ts_raw - ts0) / {HEAP_INTERVAL}.0) AS BIGINT) END AS idx,
     ((ts_raw - ts0) % {HEAP_INTERVAL} + {HEAP_INTERVAL}) % {HEAP_INTERVAL} = 0 AS aligned FROM heaps h, t0),
 tops AS (SELECT *, max(CASE WHEN aligned THEN idx END) OVER (ORDER BY arrival_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM timed),
-classed AS (SELECT *, CASE WHEN kind IN ('incomplete', 'no-descriptor', 'metadata') THEN kind WHEN idx < greatest(0, coalesce(top, 0) - {ACTIVE - 1}) THEN 'too-old' WHEN NOT aligned THEN 'bad-timestamp'
-    WHEN kind = 'bad-heap' THEN 'bad-heap' WHEN frequency % {PER_ITEM} <> 0 OR frequency < {WANTED[0]} OR frequency >= {WANTED[1]} THEN 'bad-channel' ELSE 'ok' END AS reason FROM tops),
+classed AS (SELECT *, CASE WHEN kind IN ('incomplete', 'no-descriptor', 'metadata', 'bad-heap') THEN kind WHEN idx < greatest(0, coalesce(top, 0) - {ACTIVE - 1}) THEN 'too-old' WHEN NOT aligned THEN 'bad-timestamp'
+    WHEN kind = 'bad-item' THEN 'bad-heap' WHEN frequency % {PER_ITEM} <> 0 OR frequency < {WANTED[0]} OR frequency >= {WANTED[1]} THEN 'bad-channel' ELSE 'ok' END AS reason FROM tops),
 items AS (SELECT idx, frequency, arg_max(payload, arrival_seq) AS payload FROM classed WHERE reason = 'ok' GROUP BY ALL),
-last_ AS (SELECT max(idx) AS last FROM classed WHERE reason NOT IN ('too-old', 'bad-timestamp')),
+last_ AS (SELECT max(idx) AS last FROM classed WHERE aligned),
 grid AS (SELECT CAST(i AS BIGINT) AS idx, f AS frequency FROM last_, unnest(range(last + 1)) t(i), unnest({FREQUENCIES}) u(f))"""
 
 
@@ -515,6 +535,31 @@ def timestamp_unwrap(spark, d):
     return frames.unwrap(df, WRAP).select("arrival_seq", "ts")
 
 
+#: Bits of the short timestamps.
+WRAPPED = 10
+_timed = "kind NOT IN ('metadata', 'no-descriptor', 'bad-heap')"
+_hour = f"CAST(floor(epoch(ts) / 3600) AS BIGINT) - CASE WHEN {K} % 13 = 0 THEN 9 ELSE 0 END"
+WRAPPED_HEAPS = (
+    HEAPS.replace("heaps AS (", "short AS (", 1)
+    .replace(_hour, f"({_hour}) % {1 << WRAPPED}", 1)
+    .replace(
+        "-- the first",
+        f"""jumps AS (SELECT *, ts_raw - last_value(CASE WHEN {_timed} THEN ts_raw END IGNORE NULLS) OVER (ORDER BY arrival_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS jump FROM short),
+heaps AS (SELECT * REPLACE (CAST(ts_raw + {1 << WRAPPED} * sum(CASE WHEN {_timed} AND jump < {-(1 << (WRAPPED - 1))} THEN 1 WHEN {_timed} AND jump > {1 << (WRAPPED - 1)} THEN -1 ELSE 0 END) OVER (ORDER BY arrival_seq) AS BIGINT) AS ts_raw) FROM jumps),
+-- the first""",
+        1,
+    )
+)
+
+
+@query(f"WITH {WRAPPED_HEAPS} SELECT arrival_seq, coalesce(idx, -1) AS idx, reason FROM classed")
+def wrapped_frames(spark, d):
+    """Classification of records whose timestamps wrap."""
+    heaps = A.heaps(table(spark, d, "events")).withColumn("ts_raw", F.col("ts_raw") % (1 << WRAPPED))
+    out = frames.classify(heaps, HEAP_INTERVAL, ACTIVE, PER_ITEM, *WANTED, bits=WRAPPED)
+    return out.select("arrival_seq", F.coalesce("idx", F.lit(-1)).alias("idx"), "reason")
+
+
 # --- cadence ----------------------------------------------------------------------------------------
 
 
@@ -567,7 +612,7 @@ def session_totals(spark, d):
 
 # --- composite plans --------------------------------------------------------------------------------
 
-PLAN = IngestPlan(n_accs=A.N_ACCS, n_channels=A.N_CHANNELS, start=SD_START, stop=SD_STOP, ratio=A.RATIO, sd_ratio=SD_RATIO, cont_factor=A.CONT_FACTOR, sd_cont_factor=4, n_masks=len(A.MASKS), guard=6, rfi_sigmas=SIGMAS)
+PLAN = IngestPlan(n_accs=A.N_ACCS, n_channels=A.N_CHANNELS, start=SD_START, stop=SD_STOP, ratio=A.RATIO, sd_ratio=SD_RATIO, cont_factor=A.CONT_FACTOR, sd_cont_factor=4, n_masks=len(A.MASKS), guard=6, detector=partial(rfi.detect, n_sigma=SIGMAS, flags="flags"))
 WIDE = f"wide AS (SELECT *, sqrt(CAST(re AS DOUBLE) * re + CAST(im AS DOUBLE) * im) AS amp FROM sample WHERE channel >= {SD_START - 6} AND channel < {SD_STOP + 6})"
 FLAGGED = f"{WIDE}, {detect_sql('wide', 'dump, bl', 'flags')}, flagged AS (SELECT dump, channel, bl, re, im, flags | rfi AS flags FROM found WHERE channel >= {SD_START} AND channel < {SD_STOP})"
 
@@ -599,13 +644,63 @@ def ingest_quicklook(spark, d):
     return series.join(made["sd_flag_counts"].select("out_idx", "bl", "any_count"), ["out_idx", "bl"])
 
 
+EXTERNAL = f"""{SUSPECTS}, {INPUT_SUSPECTS}, ends AS (SELECT DISTINCT bl, unnest([left(input1, -1), left(input2, -1)]) AS antenna FROM base),
+live AS (SELECT dump, channel FROM reordered GROUP BY ALL HAVING sum(re) % 7 = 0), sus AS (SELECT dump, channel FROM reordered GROUP BY ALL HAVING sum(re) % 11 = 0),
+bad AS (SELECT dump, bl, bool_or(bad) AS bad FROM (SELECT dump, bl, suspect AS bad FROM suspects JOIN ends USING (antenna) UNION ALL SELECT dump, bl, bad FROM input_flags) GROUP BY ALL),
+told AS (SELECT s.* REPLACE (s.flags | (CASE WHEN l.dump IS NOT NULL THEN {STATIC} ELSE 0 END) | (CASE WHEN u.dump IS NOT NULL THEN {CAM} ELSE 0 END) AS flags)
+  FROM sample s LEFT JOIN live l ON l.dump = s.dump AND l.channel = s.channel LEFT JOIN sus u ON u.dump = s.dump AND u.channel = s.channel)"""
+EXTERNAL_FLAGGED = FLAGGED.replace("FROM sample", "FROM told").replace("flagged AS (", "detected AS (") + f", flagged AS (SELECT f.* REPLACE (f.flags | (CASE WHEN b.bad THEN {CAM} ELSE 0 END) AS flags) FROM detected f LEFT JOIN bad b ON b.dump = f.dump AND b.bl = f.bl)"
+
+
+@query(f"WITH {CUBE}, {EXTERNAL}, {EXTERNAL_FLAGGED}, sums AS ({sums_sql('flagged', 'channel, bl', A.RATIO)}), spec AS ({final_sql('sums', SPEC_KEYS)}) {packed_sql('spec', SPEC_KEYS, 'channel')}")
+def ingest_external(spark, d):
+    """The spectral product with static and live masks, suspect channels, antennas and inputs."""
+    flags = sensors.any_suspects(baseline_suspects(spark, d), input_suspects(spark, d))
+    channel_flags = sensors.channel_flags(*_live(_reordered(spark, d)))
+    made = PLAN.build(_raw(spark, d), A.permutation(spark), A.baselines(spark), A.channel_masks(spark), flags, channel_flags)
+    return made["spectral"].select("out_idx", "channel", "bl", *PACKED)
+
+
+SHARDS, WIDTH = 4, SD_STOP - SD_START
+
+
+@query(f"""WITH {CUBE}, {FLAGGED}, sums AS ({sums_sql('flagged', 'channel, bl', A.RATIO)}), spec AS ({final_sql('sums', SPEC_KEYS)}), packed AS ({packed_sql('spec', SPEC_KEYS, 'channel')})
+SELECT out_idx AS dump_index, ((out_idx + 0.5::DOUBLE) * {float(A.RATIO)}::DOUBLE * {float(INTERVAL)}::DOUBLE + {BASE_TS}) / {SCALE}::DOUBLE AS timestamp,
+  CAST((channel - {SD_START}) // {WIDTH // SHARDS} AS INT) AS substream, CAST((channel - {SD_START}) // {WIDTH // SHARDS} * {WIDTH // SHARDS} + {SD_START} AS INT) AS frequency, CAST(channel - {SD_START} AS INT) AS channel, bl, flags, weight_u8 FROM packed""")
+def product_rows(spark, d):
+    made = _products(spark, d)["spectral"].withColumn("channel", F.col("channel") - SD_START)
+    rows = metadata.product_rows(made, A.RATIO, INTERVAL, BASE_TS, SCALE, WIDTH, SHARDS, SD_START)
+    return rows.select("dump_index", "timestamp", "substream", "frequency", "channel", "bl", "flags", "weight_u8")
+
+
+DESCRIBED = {
+    "n_chans": WIDTH, "n_chans_per_substream": WIDTH // SHARDS, "n_bls": len(A.LABELS), "bls_ordering": [list(x) for x in A.LABELS], "sync_time": 0.0, "bandwidth": BANDWIDTH, "center_freq": CENTRE,
+    "channel_range": [SD_START, SD_STOP], "int_time": A.RATIO * INTERVAL / SCALE, "excise": True, "src_streams": ["raw"], "stream_type": "vis", "calibrations_applied": 0, "need_weights_power_scale": True,
+}
+
+
+@query(f"""WITH a(key, value) AS (VALUES {_values([(f'l0_{k}', json.dumps(v)) for k, v in DESCRIBED.items()])})
+SELECT key, value FROM a WHERE key NOT IN (SELECT 'l0_n_bls' FROM region WHERE r_regionkey = 0)""")
+def product_attributes(spark, d):
+    """Those that are not there yet; the number of baselines already is."""
+    held = table(spark, d, "region").where("r_regionkey = 0").select(F.lit("l0_n_bls").alias("key"))
+    return metadata.write_once(held, metadata.product_attributes(spark, "l0", DESCRIBED))
 
 
 # --- streaming --------------------------------------------------------------------------------------
 
 
-@query(f"""WITH {HEAPS} SELECT 'all' AS session, coalesce(idx, -1) AS idx, frequency, CAST(-1 AS BIGINT) AS payload, reason, arrival_seq FROM classed WHERE reason <> 'ok'
-UNION ALL SELECT 'all', idx, frequency, arg_max(payload, arrival_seq), 'ok', max(arrival_seq) FROM classed, last_ WHERE reason = 'ok' AND idx < last - {ACTIVE - 1} GROUP BY idx, frequency""")
+BY_SESSION = (
+    HEAPS.replace("(SELECT arg_min(ts_raw, arrival_seq) AS ts0 FROM heaps", "(SELECT session, arg_min(ts_raw, arrival_seq) AS ts0 FROM heaps")
+    .replace("'bad-heap')),\ntimed", "'bad-heap') GROUP BY session),\ntimed")
+    .replace("FROM heaps h, t0)", "FROM heaps h LEFT JOIN t0 USING (session))")
+    .replace("OVER (ORDER BY arrival_seq", "OVER (PARTITION BY session ORDER BY arrival_seq")
+    .replace("(SELECT max(idx) AS last FROM classed WHERE aligned)", "(SELECT session, max(idx) AS last FROM classed WHERE aligned GROUP BY session)")
+)
+
+
+@query(f"""WITH {BY_SESSION} SELECT session, coalesce(idx, -1) AS idx, frequency, CAST(-1 AS BIGINT) AS payload, reason, arrival_seq FROM classed WHERE reason <> 'ok'
+UNION ALL SELECT session, idx, frequency, arg_max(payload, arrival_seq), 'ok', max(arrival_seq) FROM classed JOIN last_ USING (session) WHERE reason = 'ok' AND idx < last - {ACTIVE - 1} GROUP BY session, idx, frequency""")
 def stream_frames(spark, d):
     return streams.stream_frames(spark, d)
 

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import CAM, DATA_LOST, RFI_SIGMAS, RFI_WIDTH
+from ..constants import CAM, DATA_LOST
 from ..operators import average, baselines, quicklook, rfi, samples
 
 
 @dataclass(frozen=True)
 class IngestPlan:
-    """Parameters of a session. ``detector`` is any function from (samples with ``amp``, keys) to the same with ``rfi``; none skips detection."""
+    """Parameters of a session. ``detector`` is any function from (samples with ``amp`` and ``flags``, keys of a spectrum) to the same with ``rfi``; none skips detection."""
 
     n_accs: int
     n_channels: int
@@ -26,9 +28,7 @@ class IngestPlan:
     n_masks: int
     excise: bool = True
     guard: int = 0
-    rfi_width: int = RFI_WIDTH
-    rfi_sigmas: float = RFI_SIGMAS
-    detect: bool = True
+    detector: Callable[[DataFrame, list[str]], DataFrame] | None = partial(rfi.detect, flags="flags")
 
     def __post_init__(self) -> None:
         for factor in (self.cont_factor, self.sd_cont_factor):
@@ -37,13 +37,18 @@ class IngestPlan:
         if not 0 <= self.start < self.stop <= self.n_channels:
             raise ValueError("kept channels exceed the band")
 
-    def samples(self, raw: DataFrame, permutation: DataFrame, baseline_table: DataFrame, masks: DataFrame, baseline_flags: DataFrame | None = None) -> DataFrame:
-        """Flagged samples of the kept channels. The wide channel filter precedes the detector's windows, the narrow one follows them."""
+    def samples(self, raw: DataFrame, permutation: DataFrame, baseline_table: DataFrame, masks: DataFrame, baseline_flags: DataFrame | None = None, channel_flags: DataFrame | None = None) -> DataFrame:
+        """Flagged samples of the kept channels. The wide channel filter precedes the detector's windows, the narrow one follows them.
+
+        ``channel_flags`` (dump, channel), of live masks and suspect channels, are there before detection; ``baseline_flags``
+        (dump, bl), of suspect antennas and inputs, are merged with the detector's.
+        """
         df = samples.channels_between(raw, self.start - self.guard, self.stop + self.guard)
         df = samples.flag(samples.reorder(samples.prepare(df), permutation), baseline_table, masks, self.n_masks, CAM, DATA_LOST)
-        if self.detect:
-            df = df.withColumn("amp", samples.amplitude())
-            df = rfi.detect(df, ["dump", "bl"], self.rfi_width, self.rfi_sigmas, flags="flags")
+        if channel_flags is not None:
+            df = samples.add_channel_flags(df, channel_flags)
+        if self.detector is not None:
+            df = self.detector(df.withColumn("amp", samples.amplitude()), ["dump", "bl"])
         else:
             df = df.withColumn("rfi", F.lit(0))
         if baseline_flags is not None:
@@ -65,13 +70,13 @@ class IngestPlan:
         rolled = average.roll_up(sums, ["out_idx", average.group_index("channel", factor).cast("int").alias("cont_channel"), "bl"])
         return average.compress_weights(average.finalise(rolled, keys, self.n_accs, self.excise), "cont_channel")
 
-    def build(self, raw: DataFrame, permutation: DataFrame, baseline_table: DataFrame, masks: DataFrame, baseline_flags: DataFrame | None = None) -> dict[str, DataFrame]:
+    def build(self, raw: DataFrame, permutation: DataFrame, baseline_table: DataFrame, masks: DataFrame, baseline_flags: DataFrame | None = None, channel_flags: DataFrame | None = None, series_mask: list[float] | None = None) -> dict[str, DataFrame]:
         """All products by name. Callers that write several may persist ``samples`` first."""
-        flagged = self.samples(raw, permutation, baseline_table, masks, baseline_flags)
+        flagged = self.samples(raw, permutation, baseline_table, masks, baseline_flags, channel_flags)
         sums, sd_sums = self.sums(flagged, self.ratio), self.sums(flagged, self.sd_ratio)
         sd = average.finalise(sd_sums, ["out_idx", "channel", "bl"], self.n_accs, self.excise)
         counts = quicklook.flag_counts(flagged, self.start, self.stop, [average.group_index("dump", self.sd_ratio).alias("out_idx"), "bl"])
-        weights = quicklook.default_weights(raw.sparkSession, self.n_channels, self.start, self.stop)
+        weights = quicklook.series_weights(raw.sparkSession, series_mask, self.n_channels, self.start, self.stop)
         return {
             "samples": flagged,
             "spectral": self.spectral(sums),

@@ -56,15 +56,16 @@ def spectra(embeddings: DataFrame) -> DataFrame:
     return embeddings.select(F.col("vec_id").alias("bl"), F.posexplode("embedding").alias("channel", "x")).select("bl", "channel", F.abs(F.col("x").cast("double")).alias("amp"))
 
 
-def heaps(events: DataFrame) -> DataFrame:
-    """(arrival_seq, kind, ts_raw, frequency, payload): network records, some late, misaligned, broken or repeated."""
+def heaps(events: DataFrame, by_session: bool = False) -> DataFrame:
+    """(arrival_seq, kind, ts_raw, frequency, payload): network records, some late, misaligned, broken or repeated; on wish with a ``session``."""
     k = _k()
     hour = F.floor(F.unix_timestamp(F.col("ts").cast("timestamp")) / 3600).cast("long")
     kind = (
         F.when((F.col("event_type") == "error") & (k % 4 == 0), "incomplete")
         .when((F.col("event_type") == "signup") & (k % 10 == 0), "metadata")
         .when((F.col("event_type") == "signup") & (k % 10 == 1), "no-descriptor")
-        .when((F.col("event_type") == "click") & (k % 20 == 0), "bad-heap")
+        .when((F.col("event_type") == "click") & (k % 40 == 0), "bad-heap")
+        .when((F.col("event_type") == "click") & (k % 20 == 0), "bad-item")
         .otherwise("data")
     )
     return events.select(
@@ -73,6 +74,7 @@ def heaps(events: DataFrame) -> DataFrame:
         (hour - F.when(k % 13 == 0, 9).otherwise(0)).alias("ts_raw"),
         ((F.col("user_id") % 4) * 8 + F.when(k % 17 == 0, 1).otherwise(0)).cast("int").alias("frequency"),
         F.floor(F.col("value") * 100 + 0.5).cast("long").alias("payload"),
+        *([F.concat(F.lit("s"), (F.floor(F.col("user_id") / 4) % 8).cast("string")).alias("session")] if by_session else []),
     )
 
 

@@ -1,5 +1,8 @@
 """Frame assembly on a stream: one state per session, with the batch operator's rules in order of arrival.
 
+Sessions are the unit of distribution: a capture with several servers, or several captures, are several sessions.
+A task holds the rows of one session and trigger, which ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` of the source bounds.
+
 Watermarks drop late rows without a trace and know no counts, so the window of open frames is kept as state:
 the first timestamp, the newest frame, and the items of the frames that are still open. Frames leave the
 window when a newer one pushes them out, or at the end of the stream.
@@ -15,20 +18,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..constants import TIMESTAMP_BITS
+from ..operators.frames import UNTIMED
+
 OUTPUT = "session string, idx long, frequency int, payload long, reason string, arrival_seq long"
-STATE = "ts0 long, top long, items map<string,string>"
-UNTIMED = ("metadata", "no-descriptor")
+STATE = "ts0 long, top long, previous long, wraps long, stops int, items map<string,string>"
 
 
-def assemble(heaps: DataFrame, interval: int, active_frames: int, channels_per_item: int, start: int, stop: int) -> DataFrame:
+def assemble(heaps: DataFrame, interval: int, active_frames: int, channels_per_item: int, start: int, stop: int, endpoints: int = 1, bits: int = TIMESTAMP_BITS) -> DataFrame:
     """Rows of two kinds: a rejected record with its ``reason``, or an item (reason 'ok') of a frame that left the window.
 
-    ``heaps``: session, arrival_seq, kind, ts_raw, frequency, payload. A record of kind 'stop' ends its session
-    and flushes the frames that are open.
+    ``heaps``: session, arrival_seq, kind, ts_raw, frequency, payload. Each of a session's ``endpoints`` sends a record of
+    kind 'stop'; the last one flushes the frames that are open, and what comes later is not looked at. Incomplete records
+    after the first stop are expected, and not reported. Timestamps of ``bits`` bits are unwrapped.
     """
+    whole, half = 1 << bits, 1 << (bits - 1)
 
     def step(key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        ts0, top, items = state.get if state.exists else (None, None, {})
+        ts0, top, previous, wraps, stops, items = state.get if state.exists else (None, None, None, 0, 0, {})
         # Items of open frames: "idx:frequency" to "arrival_seq:payload".
         held = {tuple(map(int, k.split(":"))): tuple(map(int, v.split(":"))) for k, v in dict(items or {}).items()}
         out: list[tuple] = []
@@ -42,29 +49,37 @@ def assemble(heaps: DataFrame, interval: int, active_frames: int, channels_per_i
         for r in rows.itertuples(index=False):
             reject = None
             idx = None
+            if stops >= endpoints:
+                break
             if r.kind == "stop":
-                close(None)
-                continue
-            if r.kind in UNTIMED:
-                out.append((key[0], None, r.frequency, None, r.kind, r.arrival_seq))
+                stops += 1
+                if stops == endpoints:
+                    close(None)
                 continue
-            if ts0 is None:
-                if r.kind != "data":
+            quiet = stops > 0 and r.kind == "incomplete"
+            if r.kind in UNTIMED or pd.isna(r.ts_raw):
+                if not quiet:
                     out.append((key[0], None, r.frequency, None, r.kind, r.arrival_seq))
-                    continue
-                ts0 = int(r.ts_raw)
-            idx, rest = divmod(int(r.ts_raw) - ts0, interval)
+                continue
+            if previous is not None:
+                wraps += (int(r.ts_raw) - previous < -half) - (int(r.ts_raw) - previous > half)
+            previous = int(r.ts_raw)
+            ts = previous + whole * wraps
+            ts0 = ts if ts0 is None else ts0
+            idx, rest = divmod(ts - ts0, interval)
             late = idx < max(0, (top or 0) - (active_frames - 1))
             if not late and rest == 0 and (top is None or idx > top):
                 top = idx
                 close(top - active_frames + 1)
+            if quiet:
+                continue
             if r.kind == "incomplete":
                 reject = "incomplete"
             elif late:
                 reject = "too-old"
             elif rest:
                 reject = "bad-timestamp"
-            elif r.kind == "bad-heap":
+            elif r.kind == "bad-item":
                 reject = "bad-heap"
             elif r.frequency % channels_per_item or not start <= r.frequency < stop:
                 reject = "bad-channel"
@@ -72,7 +87,7 @@ def assemble(heaps: DataFrame, interval: int, active_frames: int, channels_per_i
                 out.append((key[0], idx, r.frequency, None, reject, r.arrival_seq))
             else:
                 held[(idx, int(r.frequency))] = (int(r.arrival_seq), int(r.payload))
-        state.update((ts0, top, {f"{i}:{f}": f"{s}:{p}" for (i, f), (s, p) in held.items()}))
+        state.update((ts0, top, previous, wraps, stops, {f"{i}:{f}": f"{s}:{p}" for (i, f), (s, p) in held.items()}))
         yield pd.DataFrame(out, columns=["session", "idx", "frequency", "payload", "reason", "arrival_seq"]).astype({"idx": "Int64", "frequency": "Int32", "payload": "Int64", "arrival_seq": "Int64"})
 
     return heaps.groupBy("session").applyInPandasWithState(step, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout)

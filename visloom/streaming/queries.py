@@ -32,8 +32,8 @@ def _events(spark, d) -> DataFrame:
 
 
 def stream_frames(spark, d) -> DataFrame:
-    """Items of frames that left the window, and rejected records, of the whole table as one session; -1 for none."""
-    heaps = A.heaps(_events(spark, d)).withColumn("session", F.lit("all"))
+    """Items of frames that left the window, and rejected records, of the whole table by session; -1 for none."""
+    heaps = A.heaps(_events(spark, d), by_session=True)
     out = _run(frames.assemble(heaps, INTERVAL, ACTIVE, PER_ITEM, START, STOP), "stream_frames")
     return out.select("session", F.coalesce("idx", F.lit(-1)).alias("idx"), "frequency", F.coalesce("payload", F.lit(-1)).alias("payload"), "reason", "arrival_seq")
 
