@@ -8,8 +8,10 @@ import os
 import tempfile
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A maximal run of characters that are not ASCII white space, for Java's and RE2's regular expressions.
@@ -99,5 +101,19 @@ def drop_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+#: Arrow batches between the JVM and Python workers hold about so many bytes.
+BATCH_BYTES = 2 << 20
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
+    """``df.mapInArrow`` with batches bounded by bytes, as ten thousand texts, Spark's own bound, can be a large part of a worker's
+    memory. Spark knows no bound by plan, so the session's is set, unless the session has one."""
+    spark = df.sparkSession
+    if _BATCH_KEY not in spark.conf.getAll:
+        spark.conf.set(_BATCH_KEY, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

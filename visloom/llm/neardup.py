@@ -40,6 +40,8 @@ MARGIN = 0.18
 SIZE_STEPS = 50
 #: Up to so many ids are broadcast to pick the texts that pairs need; more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
+#: Hashes of so many words are held by a worker.
+KNOWN_WORDS = 20_000
 SEED = 7
 
 _RNG = np.random.default_rng(SEED)
@@ -59,7 +61,7 @@ def shingles(text: str | None, size: int, known: dict[bytes, int]) -> np.ndarray
     for i, w in enumerate(words):
         h = known.get(w)
         if h is None:
-            if len(known) > 200_000:
+            if len(known) >= KNOWN_WORDS:
                 known.clear()
             h = known[w] = xxhash.xxh3_64_intdigest(w)
         hashed[i] = h
@@ -98,7 +100,7 @@ def signatures(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), pa.array(least, pa.binary())], ["doc_id", "n_shingles", "set_hash", "minima"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, set_hash binary, minima binary")
+    return common.map_arrow(rows, run, "doc_id long, n_shingles long, set_hash binary, minima binary")
 
 
 def shingle_sets(docs: DataFrame, ids: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -113,7 +115,7 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, size: int, id_col: str = "doc_
             sets = [shingles(t, size, known).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "shingles"])
 
-    return rows.mapInArrow(run, "id long, shingles binary")
+    return common.map_arrow(rows, run, "id long, shingles binary")
 
 
 def _passing(pairs: DataFrame, dtype: str, test) -> DataFrame:
@@ -124,7 +126,7 @@ def _passing(pairs: DataFrame, dtype: str, test) -> DataFrame:
             keep = [test(np.frombuffer(x, dtype), np.frombuffer(y, dtype)) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return common.map_arrow(pairs.select("a", "b", "x", "y"), run, "a long, b long")
 
 
 def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -163,7 +165,7 @@ def _members(cells: DataFrame, docs: DataFrame, size: int, **names) -> DataFrame
                 values = np.frombuffer(data, "<i8")
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), batch.column(j)[k].as_py())) for j in range(len(kept))] + [pa.array(values)], [*kept, "shingle"])
 
-    return rows.select(*kept, "shingles").mapInArrow(flat, ", ".join(f"{c} long" for c in [*kept, "shingle"]))
+    return common.map_arrow(rows.select(*kept, "shingles"), flat, ", ".join(f"{c} long" for c in [*kept, "shingle"]))
 
 
 def _candidates(cells: DataFrame, docs: DataFrame, size: int, percent: int, **names) -> DataFrame:

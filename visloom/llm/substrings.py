@@ -217,7 +217,7 @@ def shared_anchors(rows: DataFrame, ranges: int) -> DataFrame:
         out = np.unique(anchor[twice])
         return pa.table({"r": pa.array([key[0].as_py()], pa.int64()), "packed": pa.array([out.astype("<u8").tobytes()], pa.binary()), "n": pa.array([len(out)], pa.int64())})
 
-    return rows.select("data").mapInArrow(pack, "r long, packed binary").groupBy("r").applyInArrow(join, "r long, packed binary, n long")
+    return common.map_arrow(rows.select("data"), pack, "r long, packed binary").groupBy("r").applyInArrow(join, "r long, packed binary, n long")
 
 
 def _thin(value: np.ndarray) -> bytes:
@@ -254,8 +254,8 @@ class _Lookup:
                 for value, text in text_anchors(batch.column(2).to_pylist()):
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(text)), batch.column(1).take(pa.array(text)), pa.array(value.astype(np.int64))], ["o", "g", "anchor"])
 
-        anchors_of = rows.select("owner", "tag", "data").mapInArrow(listed, "o long, g long, anchor long")
-        wanted = anchors_of.join(shared.select("packed").mapInArrow(flat, "anchor long"), "anchor").groupBy("o", "g").agg(F.collect_set("anchor").alias("wanted"))
+        anchors_of = common.map_arrow(rows.select("owner", "tag", "data"), listed, "o long, g long, anchor long")
+        wanted = anchors_of.join(common.map_arrow(shared.select("packed"), flat, "anchor long"), "anchor").groupBy("o", "g").agg(F.collect_set("anchor").alias("wanted"))
         self.rows = rows.join(wanted, (F.col("owner") == F.col("o")) & (F.col("tag") == F.col("g"))).select("owner", "tag", "data", "wanted")
 
     def of(self, batch: pa.RecordBatch):
@@ -299,7 +299,7 @@ def covered(docs: DataFrame) -> DataFrame:
 
     # What carries text is deleted as soon as the next step has what it needs.
     with common.scratch(docs.sparkSession) as keep:
-        found = common.cut(look.rows.mapInArrow(cut_up, "owner long, tag long, start long, n long, name binary, data binary"))
+        found = common.cut(common.map_arrow(look.rows, cut_up, "owner long, tag long, start long, n long, name binary, data binary"))
         firsts = common.cut(found.groupBy("name").agg(F.min(F.struct("owner", "tag", "start")).alias("at")))
         placed = found.select("owner", "tag", "start", "n", "name").join(_near(firsts), "name")
         kind = F.when(F.col("owner") == F.col("at.owner"), F.xxhash64("name")).alias("kind")
@@ -330,7 +330,7 @@ def _semi(rows: DataFrame, keys: DataFrame) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([batch.column(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes()], pa.binary())], ["packed"])
 
-    parts = [np.frombuffer(r["packed"], "<i8") for r in keys.mapInArrow(pack, "packed binary").toLocalIterator()]
+    parts = [np.frombuffer(r["packed"], "<i8") for r in common.map_arrow(keys, pack, "packed binary").toLocalIterator()]
     wanted = rows.sparkSession.sparkContext.broadcast(np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -340,7 +340,7 @@ def _semi(rows: DataFrame, keys: DataFrame) -> DataFrame:
             at = np.minimum(np.searchsorted(among, key), max(len(among) - 1, 0))
             yield batch.filter(pa.array(among[at] == key if len(among) else np.zeros(len(key), bool)))
 
-    return rows.mapInArrow(run, rows.schema)
+    return common.map_arrow(rows, run, rows.schema)
 
 
 def _inside(kinds: DataFrame) -> DataFrame:
@@ -348,7 +348,7 @@ def _inside(kinds: DataFrame) -> DataFrame:
     size = kinds.agg(F.sum(F.length("data"))).first()[0] or 0
     look = _Lookup(kinds, common.cut(shared_anchors(kinds, 1 + size // RANGE_BYTES)))
     # Equal slices are one, like equal segments, and only hashes of slices move for that.
-    cut_slices = common.cut(look.rows.mapInArrow(_slicer(look, False), "owner long, tag long, start long, n long, anchor long, name long"))
+    cut_slices = common.cut(common.map_arrow(look.rows, _slicer(look, False), "owner long, tag long, start long, n long, anchor long, name long"))
     distinct = cut_slices.groupBy("anchor", "name").agg(F.min("owner").alias("least"), F.min(F.struct("owner", "tag", "start")).alias("at"))
     distinct = common.cut(distinct)
     of_slice = cut_slices.join(distinct.select("anchor", "name", "least"), ["anchor", "name"])
@@ -362,7 +362,7 @@ def _inside(kinds: DataFrame) -> DataFrame:
     wanted = distinct.join(counts, "anchor").select(F.col("at.owner").alias("o"), F.col("at.tag").alias("g"), F.col("at.start").alias("s"))
     starts = common.cut(wanted.groupBy("o", "g").agg(F.sort_array(F.collect_set("s")).alias("starts")))
     with_starts = kinds.join(_near(starts), (F.col("owner") == F.col("o")) & (F.col("tag") == F.col("g"))).select("owner", "tag", "data", "starts")
-    texts = with_starts.mapInArrow(_slicer(None, True), "owner long, tag long, start long, n long, anchor long, name long, slice binary")
+    texts = common.map_arrow(with_starts, _slicer(None, True), "owner long, tag long, start long, n long, anchor long, name long, slice binary")
     texts = common.cut(texts)
     hot = counts.where(F.col("slices") > HOT_SLICES).select("anchor")
     blocks = 1 + texts.count() // BLOCK_SLICES
@@ -460,7 +460,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     with common.scratch(docs.sparkSession) as keep:
         lost = covered(rows.where("owner IS NOT NULL")).groupBy("owner", "tag").agg(F.collect_set(F.struct("start", "n")).alias("lost"))
         lost = lost.select(F.col("owner").alias("o"), F.col("tag").alias("g"), "lost")
-        lost = keep(lost.mapInArrow(_merged, lost.schema))
+        lost = keep(common.map_arrow(lost, _merged, lost.schema))
     few = (lost.agg(F.sum(F.size("lost"))).first()[0] or 0) <= BROADCAST_RUNS
     joined = rows.join(F.broadcast(lost) if few else lost, (F.col("owner") == F.col("o")) & (F.col("tag") == F.col("g")), "left").select("owner", "data", "lost")
 
@@ -469,7 +469,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             made = [remove(d, [(x["start"], x["n"]) for x in lost or ()]) + (len(d),) for d, lost in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n for _, _, n in made], pa.int64()), pa.array([n - len(k) for k, _, n in made], pa.int64()), pa.array([s for _, s, _ in made], pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k, _, _ in made]), pa.array([k for k, _, _ in made], pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return common.map_arrow(joined, run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
 def op3_suffix_dedup(spark, sf_dir: str) -> DataFrame:
