@@ -3,8 +3,8 @@
 ``statistics`` counts over whole texts. ``fit`` grows random trees on the statistics' ratios of clean
 labelled rows; a document that few random splits set apart has a short mean path, and an anomaly score
 near 1. The threshold is the one that rejects most low-quality labelled rows while it keeps
-``KEEP_SHARE`` of the clean ones. Fitting reads at most ``FIT_ROWS`` labelled rows, those with the smallest
-hashes of their ids; all other counts and verdicts cover every document.
+``KEEP_SHARE`` of the clean ones. Fitting takes at most ``FIT_ROWS`` labelled rows, those with the smallest
+hashes of their ids, however often an id is repeated; all other counts and verdicts cover every document.
 
 Defined cases: a null text counts as no words; fewer than ``MIN_WORDS`` words, or repeated 5-word windows
 over more than ``REPEAT_PERCENT`` percent of the words, fail the base rules; without clean labelled rows
@@ -30,7 +30,7 @@ from . import common
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
 WINDOW = 5
-#: At most so many labelled rows are used for the fit (half of them, by a hash, for the trees).
+#: At most so many labelled rows are used for the fit. Those of half of the ids, by a hash, grow the trees; the others calibrate the threshold.
 FIT_ROWS = 8192
 TREES = 128
 TREE_ROWS = 256
@@ -178,14 +178,14 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             columns = [pa.array([m[0][k] for m in made], pa.int64()) for k in range(len(STATISTICS))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array([list(m[1]) for m in made], pa.list_(pa.float64()))], ["doc_id", *STATISTICS, "features"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, " + ", ".join(f"{s} long" for s in STATISTICS) + ", features array<double>")
+    return common.map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), run, "doc_id long, " + ", ".join(f"{s} long" for s in STATISTICS) + ", features array<double>")
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, keep_share: float = KEEP_SHARE, seed: int = SEED) -> Forest:
+def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, keep_share: float = KEEP_SHARE, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> Forest:
     """Grow and calibrate on at most ``rows`` labelled rows."""
     one = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     picked = F.broadcast(one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select(F.col("doc_id").alias("__id"), "quality"))
-    joined = docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("__id"))
+    joined = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(picked, F.col("doc_id") == F.col("__id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,31 +193,31 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, keep_share: fl
             failed = [base_failed(m[0][0], m[0][4]) for m in made]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2).cast(pa.int64()), pa.array(failed), pa.array([list(m[1]) for m in made], pa.list_(pa.float64()))], ["doc_id", "quality", "failed", "features"])
 
-    got = joined.select("doc_id", "text", F.col("quality").cast("long").alias("quality")).mapInArrow(run, "doc_id long, quality long, failed boolean, features array<double>").where("NOT failed").toPandas()
-    got = got.sort_values("doc_id")
+    got = common.map_arrow(joined.select("doc_id", "text", F.col("quality").cast("long").alias("quality")), run, "doc_id long, quality long, failed boolean, features array<double>").where("NOT failed")
+    got = got.withColumn("order", F.xxhash64("doc_id")).orderBy("order", "doc_id", "features").limit(rows).toPandas()
     x = np.array(got["features"].tolist(), float).reshape(len(got), len(FEATURES))
     good = got["quality"].to_numpy() > 0
-    half = got["doc_id"].to_numpy() % 2 == 0
+    half = got["order"].to_numpy() % 2 == 0
     forest = grow(x[good & half] if (good & half).any() else x[good], seed=seed)
-    forest.threshold = calibrate(forest.scores(x[good]), forest.scores(x[~good]), keep_share)
+    forest.threshold = calibrate(forest.scores(x[good & ~half] if (good & ~half).any() else x[good]), forest.scores(x[~good]), keep_share)
     return forest
 
 
-def judge(docs: DataFrame, forest: Forest) -> DataFrame:
+def judge(docs: DataFrame, forest: Forest, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, the statistics, base_failed, kept and the anomaly score of each row."""
     model = docs.sparkSession.sparkContext.broadcast(forest)
-    made = statistics(docs)
+    schema = "doc_id long, " + ", ".join(f"{s} long" for s in STATISTICS) + ", base_failed boolean, kept boolean, anomaly double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.array(batch.column(6).to_pylist(), float).reshape(batch.num_rows, len(FEATURES))
-            score = model.value.scores(x)
-            words, repeats = batch.column(1).to_pylist(), batch.column(5).to_pylist()
-            failed = [base_failed(n, r) for n, r in zip(words, repeats, strict=True)]
+            made = [count(t) for t in batch.column(1).to_pylist()]
+            score = model.value.scores(np.array([m[1] for m in made], float).reshape(len(made), len(FEATURES)))
+            failed = [base_failed(m[0][0], m[0][4]) for m in made]
             kept = [not f and bool(s <= model.value.threshold) for f, s in zip(failed, score, strict=True)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(6)), pa.array(failed, pa.bool_()), pa.array(kept, pa.bool_()), pa.array(score, pa.float64())], ["doc_id", *STATISTICS, "base_failed", "kept", "anomaly"])
+            counts = [pa.array([m[0][k] for m in made], pa.int64()) for k in range(len(STATISTICS))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *counts, pa.array(failed, pa.bool_()), pa.array(kept, pa.bool_()), pa.array(score, pa.float64())], ["doc_id", *STATISTICS, "base_failed", "kept", "anomaly"])
 
-    return made.mapInArrow(run, "doc_id long, " + ", ".join(f"{s} long" for s in STATISTICS) + ", base_failed boolean, kept boolean, anomaly double")
+    return common.map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), run, schema)
 
 
 def keep(docs: DataFrame, forest: Forest, text_col: str = "text") -> DataFrame:
@@ -232,7 +232,7 @@ def keep(docs: DataFrame, forest: Forest, text_col: str = "text") -> DataFrame:
             fine = model.value.scores(x) <= model.value.threshold
             yield batch.filter(pa.array([bool(f) and not base_failed(m[0][0], m[0][4]) for f, m in zip(fine, made, strict=True)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return common.map_arrow(docs, run, docs.schema)
 
 
 def op2_quality(spark, sf_dir: str) -> DataFrame:
