@@ -1,7 +1,7 @@
 """Token counts: texts are encoded in batches in Arrow functions, and only lengths come back.
 
 Batches are balanced by bytes, not rows. A text beyond ``LONG_BYTES`` is split where no piece of the
-vocabulary can reach across: before a single space between two other characters, as pieces hold the
+vocabulary can reach across: before a single space between two characters that are no white space, as pieces hold the
 space mark only at their start. The encoder puts a mark in front of each text, so the space itself goes.
 Where the vocabulary has a piece with an inner mark, or no such place exists, the text stays whole.
 
@@ -39,12 +39,22 @@ def encoder(path: str):
     return model, plain and not any(MARK in p.lstrip(MARK) for p in pieces)
 
 
+def _joins(c: str) -> bool:
+    """White space of any kind, which a normaliser may take for a space, and the space mark itself."""
+    return c == MARK or c.isspace()
+
+
+def _bytes(text: str) -> int:
+    return len(text) if text.isascii() else len(text.encode("utf-8", "surrogatepass"))
+
+
 def split_long(text: str, most: int) -> list[str]:
-    """Parts of about ``most`` characters whose counts add up to the text's."""
+    """Parts of about ``most`` bytes whose counts add up to the text's. A part may be a few times shorter where characters take several bytes."""
+    most = max(1, most * len(text) // max(1, _bytes(text)))
     parts, start = [], 0
     while len(text) - start > most:
         at = text.find(" ", start + most)
-        while at != -1 and (at + 1 >= len(text) or text[at - 1] in (" ", MARK) or text[at + 1] in (" ", MARK)):
+        while at != -1 and (at + 1 >= len(text) or _joins(text[at - 1]) or _joins(text[at + 1])):
             at = text.find(" ", at + 1)
         if at == -1:
             break
@@ -67,10 +77,10 @@ def lengths(texts: list[str], path: str, long_bytes: int = LONG_BYTES, batch_byt
         owners.clear()
 
     for k, text in enumerate(texts):
-        for part in split_long(text, long_bytes) if may_split and len(text) > long_bytes else (text,):
+        for part in split_long(text, long_bytes) if may_split and _bytes(text) > long_bytes else (text,):
             batch.append(part)
             owners.append(k)
-            held += len(part)
+            held += _bytes(part)
             if held >= batch_bytes:
                 flush()
                 held = 0
@@ -101,7 +111,7 @@ def count_tokens(
 
     text = common.text_or_empty(text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return common.map_arrow(rows, run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
 
 
 def op5_token_counts(spark, sf_dir: str) -> DataFrame:
