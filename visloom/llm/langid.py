@@ -7,7 +7,7 @@ prediction is the language of the centroid with the highest cosine. A text farth
 nearly all of the centroid's own training texts is marked ``rejected``, beside the nearest language.
 
 Training reads at most ``PER_LANGUAGE`` rows of a language and ``TRAIN_ROWS`` in all, those with the
-smallest hashes of their ids; predictions cover whole texts of all rows.
+smallest hashes of their ids, however often an id is repeated; predictions cover whole texts of all rows.
 
 Defined cases: null texts and those without a letter are ``und`` with score 0 and rejected; without any
 training row every text is ``und``; ties go to the language first in code point order; each row is
@@ -17,6 +17,7 @@ predicted by itself, repeats included; a null id is not held out; other columns
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,7 +37,9 @@ ROUNDS = 10
 REJECT_SHARE = 0.005
 BATCH = 256
 SEED = 42
-_OTHER = re.compile(r"[\W\d_]+")
+#: Combining marks belong to the letters before them, such as vowel signs.
+_MARKS = "".join(c for c in map(chr, range(0x300, 0x1F000)) if unicodedata.category(c) in ("Mn", "Mc"))
+_OTHER = re.compile(rf"(?:[^\w{_MARKS}]|[\d_])+")
 
 
 def counts(text: str | None) -> np.ndarray | None:
@@ -130,7 +133,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, train_rows: int = TRA
             grams = pa.array([m.astype(np.uint32).tobytes() for m in made if m is not None], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep), grams], ["doc_id", "lang", "grams"])
 
-    got = picked.mapInArrow(run, "doc_id long, lang string, grams binary").toPandas().sort_values(["doc_id", "lang"])
+    got = common.map_arrow(picked, run, "doc_id long, lang string, grams binary").orderBy("doc_id", "lang", "grams").limit(train_rows).toPandas()
     rows = np.stack([np.frombuffer(g, np.uint32) for g in got["grams"]]).astype(np.float32) if len(got) else np.zeros((0, DIMENSIONS), np.float32)
     return train(rows, list(got["lang"]))
 
@@ -146,7 +149,7 @@ def predict(docs: DataFrame, model: Centroids, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "held_out", "lang_pred", "score", "rejected"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean")
+    return common.map_arrow(rows, run, "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean")
 
 
 def op7_language(spark, sf_dir: str) -> DataFrame:
