@@ -40,6 +40,8 @@ ARC_FIELDS = {
 ARC_SCHEMA = "file string, offset long, version int, url string, ip string, date string, mime string, http string, payload binary, problem string"
 WARC_SCHEMA = "file string, offset long, type string, id string, date string, uri string, key string, refers_to_key string, refers_to string, declared_digest string, declared_bytes long, http string, payload binary, problem string"
 OUT_BYTES = 8 << 20
+#: Up to so many revisits (some 300 bytes each) are broadcast to their records; more are joined by place, which no key makes hot.
+BROADCAST_REVISITS = 50_000
 
 
 # --- ARC --------------------------------------------------------------------------------------------
@@ -65,7 +67,7 @@ def write_arc(pages: DataFrame, path: str, key: str = "page_id", url: str = "url
                 records.append(f"{address} 0.0.0.0 20240101000000 text/html {middle}{len(body)}\n".encode() + body)
             yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], ["value"])
 
-    rows.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\n").option("compression", "gzip").text(path)
+    common.map_arrow(rows, run, "value binary").select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\n").option("compression", "gzip").text(path)
 
 
 def inflate(data: bytes) -> bytes:
@@ -134,7 +136,7 @@ def _read(spark: SparkSession, path: str, parse, schema: str) -> DataFrame:
                     yield pack(rows)
 
     files = spark.read.format("binaryFile").load(path)
-    return files.select("path", "content").mapInArrow(run, schema)
+    return common.map_arrow(files.select("path", "content"), run, schema)
 
 
 def read_arc(spark: SparkSession, path: str) -> DataFrame:
@@ -170,17 +172,24 @@ def to_warc(arc: DataFrame, least_bytes: int = LEAST_REVISIT_BYTES) -> DataFrame
     key_text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
     rows = rows.withColumn("id", named(F.col("uri"), F.col("date"), F.col("digest"), key_text(F.col("key"))))
     # Pre-aggregated: a digest that a third of the records share is one row from each task.
-    shared = rows.where((F.col("kind") == "response") & (F.col("payload_bytes") >= least_bytes))
-    firsts = shared.groupBy("digest").agg(F.min("key").alias("first_key"), F.min_by(F.col("id"), F.col("key")).alias("first_id"), F.min("id").alias("any_id"), F.count("*").alias("n")).where("n > 1")
-    firsts = firsts.select(F.col("digest").alias("its_digest"), "first_key", F.coalesce("first_id", "any_id").alias("first_id"))
-    on = (rows["digest"] == firsts["its_digest"]) & (rows["kind"] == "response") & (rows["payload_bytes"] >= least_bytes)
-    out = rows.join(firsts, on, "left")
-    again = F.col("first_key").isNotNull() & (F.col("key").isNull() | (F.col("key") > F.col("first_key")))
+    # Payloads stay where they are: the table is written once, by columns, and only places and digests are compared.
+    rows = common.cut(rows)
+    shared = rows.where((F.col("kind") == "response") & (F.col("payload_bytes") >= least_bytes)).select("digest", "key", "id", "uri", "date", "place")
+    first = F.min(F.struct(F.coalesce("key", F.lit((1 << 63) - 1)), "id", "key", "uri", "date")).alias("first")
+    firsts = common.cut(shared.groupBy("digest").agg(first, F.count("*").alias("n")).where("n > 1").select("digest", "first.*").withColumnsRenamed({"id": "first_id", "key": "first_key", "uri": "first_uri", "date": "first_date"}))
+    later = (F.col("key").isNull() | (F.col("key") > F.col("first_key"))) & F.col("first_key").isNotNull()
+    revisits = shared.select("digest", "key", "place").join(firsts, "digest").where(later).select("place", "first_key", "first_id", "first_uri", "first_date")
+    revisits = common.cut(revisits)
+    few = revisits.limit(BROADCAST_REVISITS + 1).count() <= BROADCAST_REVISITS
+    out = rows.join(F.broadcast(revisits) if few else revisits, "place", "left")
+    again = F.col("first_key").isNotNull()
     return out.select(
         F.when(again, "revisit").otherwise(F.col("kind")).alias("type"),
         "id", "date", "uri", "ip", "key", "digest", "payload_bytes",
         F.when(again, F.col("first_key")).alias("refers_to_key"),
         F.when(again, F.col("first_id")).alias("refers_to"),
+        F.when(again, F.col("first_uri")).alias("refers_to_uri"),
+        F.when(again, F.col("first_date")).alias("refers_to_date"),
         "http",
         F.when(again, F.lit(b"")).otherwise(F.col("payload")).alias("payload"),
         "place",
@@ -202,6 +211,8 @@ def write_warc(records: DataFrame, path: str) -> None:
         line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
         F.when(F.col("type") == "revisit", F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\n")).otherwise(F.lit("")),
         line("WARC-Refers-To", F.col("refers_to")),
+        line("WARC-Refers-To-Target-URI", F.col("refers_to_uri")),
+        line("WARC-Refers-To-Date", F.col("refers_to_date")),
         line("X-Record-Key", F.col("key")),
         line("X-Refers-To-Key", F.col("refers_to_key")),
         line("X-Payload-Length", F.col("payload_bytes")),
@@ -250,9 +261,11 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 def op10_warc(spark, sf_dir: str) -> DataFrame:
     arc, warc = common.fresh_path(spark, "arc"), common.fresh_path(spark, "warc")
-    write_arc(spark.read.parquet(f"{sf_dir}/pages.parquet"), arc)
-    write_warc(to_warc(read_arc(spark, arc)), warc)
-    common.drop_path(spark, arc)
+    with common.scratch(spark):
+        write_arc(spark.read.parquet(f"{sf_dir}/pages.parquet"), arc)
+        records = to_warc(read_arc(spark, arc))
+        common.drop_path(spark, arc)
+        write_warc(records, warc)
     back = read_warc(spark, warc).where("type in ('response', 'revisit')")
     return back.select(F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), F.col("refers_to_key").cast("long").alias("refers_to"))
 
