@@ -4,13 +4,16 @@ The chunks of a text are the overlapping pairs of successive lines that have a w
 between. Contents alone say where they begin and end, so they move with the lines when a text is shifted, and
 every repeated passage of two or more such lines is covered wholly by repeated chunks: what longer chunks, cut by
 whatever rolling hash, could find is the union of theirs. Chunks are compared by a 128-bit hash over all
-documents; those whose hash is found twice or more are then grouped by their bytes, and of equal ones all but
-the first, by doc_id and place, are repeats. Lines of repeats are removed.
+documents; those whose hash is found twice or more are then grouped by their bytes too, and of equal ones all but
+the first, by doc_id and place, are repeats. Lines of repeats are removed. Chunks that differ although their hashes
+agree stay.
 
 The first place of a line stays in any case, as each chunk around it is the first of its kind. So no line is lost
 to the corpus, and a copy of a text with two or more such lines loses all its words.
 
-Only hashes of chunks move for the first step, and only bytes of chunks with a repeated hash for the second.
+Only hashes of chunks move for the first step, and only bytes of chunks with a repeated hash for the second, where
+equal ones become one row in each task before they move. The last step goes by hash again. A chunk that very many
+documents share is a row a document there, in a join that Spark can split.
 
 Defined cases: null and empty texts have no chunk and stay as they are; a line with words that stands alone
 among new ones is never removed; passages that differ in their blank lines differ; rows that share an id and a
@@ -75,10 +78,10 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                     found.append(_name(chunk))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(nos, pa.int32()), pa.array(found, pa.binary())], ["id", "no", "name"])
 
-    named = rows.mapInArrow(names, "id long, no int, name binary")
-    shared = named.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
-    wanted = named.join(shared, "name").groupBy("id").agg(F.collect_set("no").alias("nos"))
-    wanted = common.cut(wanted.withColumnRenamed("id", "wanted_id"))
+    named = common.cut(common.map_arrow(rows, names, "id long, no int, name binary"))
+    shared = common.cut(named.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name"))
+    wanted = common.cut(named.join(near(shared, BROADCAST_DOCS), "name"))
+    wishes = common.cut(wanted.groupBy(F.col("id").alias("wanted_id")).agg(F.collect_set("no").alias("nos")))
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,13 +93,16 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                         ids.append(i)
                         nos.append(no)
                         found.append(chunk)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(nos, pa.int32()), pa.array(found, pa.binary())], ["id", "no", "chunk"])
-
-    given = rows.join(near(wanted, BROADCAST_DOCS), F.col("id") == F.col("wanted_id")).select("id", "text", "nos")
-    # The comparison of bytes: equal chunks are one group, whatever their hash.
-    whole = given.mapInArrow(texts, "id long, no int, chunk binary").select("*", F.xxhash64("chunk").alias("h"))
-    first = whole.groupBy("h", "chunk").agg(F.min(F.struct("id", "no")).alias("first"), F.max(F.struct("id", "no")).alias("last")).where("first <> last").select("h", "chunk", "first")
-    lost = whole.join(first, ["h", "chunk"]).where(F.struct("id", "no") != F.col("first"))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(nos, pa.int32()), pa.array([_name(c) for c in found], pa.binary()), pa.array(found, pa.binary())], ["id", "no", "name", "chunk"])
+
+    given = rows.join(near(wishes, BROADCAST_DOCS), F.col("id") == F.col("wanted_id")).select("id", "text", "nos")
+    # The comparison of bytes: a name that two different chunks have is left alone.
+    whole = common.map_arrow(given, texts, "id long, no int, name binary, chunk binary")
+    place = F.struct("id", "no")
+    equal = whole.groupBy("name", "chunk").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    first = equal.groupBy("name").agg(F.count("*").alias("n"), F.min("first").alias("first"), F.max("last").alias("last")).where("n = 1 AND first <> last")
+    first = common.cut(first.select("name", "first"))
+    lost = wanted.join(near(first, BROADCAST_DOCS), "name").where(place != F.col("first"))
     return lost.groupBy("id").agg(F.collect_set("no").alias("gone"))
 
 
@@ -139,7 +145,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             columns = [pa.array(texts, batch.schema.field(at).type) if k == at else batch.column(k) for k in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1]).filter(pa.array(keep, pa.bool_()))
 
-    return joined.mapInArrow(run, schema)
+    return common.map_arrow(joined, run, schema)
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -158,7 +164,7 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             columns = [pa.array([m[c] for m in made], pa.int64()) for c in REPORT]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(sizes, pa.int64()), pa.array(digests)], ["doc_id", *REPORT, "kept_bytes", "kept_sha256"])
 
-    return joined.mapInArrow(run, "doc_id long, " + ", ".join(f"{c} long" for c in REPORT) + ", kept_bytes long, kept_sha256 string")
+    return common.map_arrow(joined, run, "doc_id long, " + ", ".join(f"{c} long" for c in REPORT) + ", kept_bytes long, kept_sha256 string")
 
 
 def op6_line_dedup(spark, sf_dir: str) -> DataFrame:
