@@ -5,12 +5,13 @@ passage is a query, the items are the indexed documents. An item's score is the
 mass that the passage's words carry, so one threshold fits items of any length, and all items above it
 are retrieved; there is no top k. The bounds of block-max WAND decide which items are scored at all, here
 over the passages of a whole batch at once: frequent terms never drive retrieval (their total is a bound
-of each block); the maxima of a passage's other terms are added up by block of items; only blocks that
-can reach the threshold have their postings read, frequent terms included. Retrieved items are verified:
+of each block); the maxima of a passage's other terms are added up by block of items, from the blocks' heads
+alone; of each term's postings, frequent terms included, only the runs in blocks that can reach the threshold
+are read, and all others are skipped whole. Retrieved items are verified:
 the word n-grams of the item's question and those of its answer (its last sentence) must be in the passage.
 
 Items are indexed in shards of at most ``SHARD_BYTES`` of text; each shard is broadcast and queried by all
-passages. Document frequencies and the mean length cover all items.
+passages. If there are several, each one's matches are written, and its broadcast is destroyed, before the next is built. Document frequencies and the mean length cover all items.
 
 Defined cases: items without a word never match; null and empty texts have no passage; an item of one
 sentence is its own question and answer; items that share an id match if any does; those without an id are
@@ -70,17 +71,18 @@ def overlap(part: list[str], passage: list[str], size: int = NGRAM) -> float:
 
 @dataclass
 class Index:
-    """A shard. Items are numbered from 0; block b holds the items from b * BLOCK on. Arrays by term id, in rows that start at ``*_at``."""
+    """A shard. Items are numbered from 0; block b holds the items from b * BLOCK on. A term's block heads start at ``block_at``; a head
+    has its block, its largest impact, and the start of its run of postings, ``run_at``."""
 
     ids: list[int | None]
     parts: list[tuple[list[str], list[str]]]
     terms: dict[str, int]
-    item_at: np.ndarray
     items: np.ndarray
     impacts: np.ndarray
     block_at: np.ndarray
     blocks: np.ndarray
     maxima: np.ndarray
+    run_at: np.ndarray
     frequent: np.ndarray
     frequent_bound: np.ndarray  # by block: the most that frequent terms add to one of its items
     stride: int
@@ -89,8 +91,8 @@ class Index:
         """(passage, item, score) at or above the threshold, of distinct (passage, term) rows."""
         n_blocks, n_items = len(self.frequent_bound), len(self.ids)
         rare = ~self.frequent[term]
-        key, bound = _expand(passage[rare], term[rare], self.block_at, self.blocks, self.maxima, n_blocks)
-        key, bound = _summed(key, bound)
+        asked, head = _expand(passage[rare], term[rare], self.block_at)
+        key, bound = _summed(asked * n_blocks + self.blocks[head], self.maxima[head])
         alive = key[bound + self.frequent_bound[key % n_blocks] >= threshold]
         # Without any rare term only a block whose frequent terms alone suffice can be reached.
         if (self.frequent_bound >= threshold).any():
@@ -99,19 +101,19 @@ class Index:
         if not len(alive):
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         reached = np.isin(passage, np.unique(alive // n_blocks))
-        key, score = _expand(passage[reached], term[reached], self.item_at, self.items, self.impacts, n_items)
-        inside = np.isin(key // n_items * n_blocks + key % n_items // BLOCK, alive)
-        key, score = _summed(key[inside], score[inside])
+        asked, head = _expand(passage[reached], term[reached], self.block_at)
+        open_ = np.isin(asked * n_blocks + self.blocks[head], alive)
+        asked, posting = _expand(asked[open_], head[open_], self.run_at)
+        key, score = _summed(asked * n_items + self.items[posting], self.impacts[posting])
         hit = score >= threshold - 1e-9
         return key[hit] // n_items, key[hit] % n_items, score[hit]
 
 
-def _expand(passage, term, at, values, weights, width):
-    """Rows (passage * width + value, weight) for all postings of the terms."""
-    n = at[term + 1] - at[term]
-    start = np.repeat(at[term] - (np.cumsum(n) - n), n)
-    where = start + np.arange(n.sum())
-    return np.repeat(passage, n) * width + values[where], weights[where]
+def _expand(passage, row, at):
+    """(passage, index) for each of the entries at[row] to at[row + 1]."""
+    n = at[row + 1] - at[row]
+    start = np.repeat(at[row] - (np.cumsum(n) - n), n)
+    return np.repeat(passage, n), start + np.arange(n.sum())
 
 
 def _summed(key, weight):
@@ -135,19 +137,15 @@ def build(items: list[tuple[int, str]], frequency: dict[str, int], n_items: int,
         for w, x in impact.items():
             posted[terms[w]].append((k, x / whole))
         bound[k // BLOCK] = max(bound[k // BLOCK], sum(x for w, x in impact.items() if common_terms[terms[w]]) / whole)
-    blocked = []
-    for p in posted:
-        best: dict[int, float] = {}
-        for k, x in p:
-            best[k // BLOCK] = max(best.get(k // BLOCK, 0.0), x)
-        blocked.append(sorted(best.items()))
-
-    def rows(lists):
-        at = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
-        flat = [y for x in lists for y in x]
-        return at, np.array([v for v, _ in flat], np.int64), np.array([w for _, w in flat], float)
-
-    return Index([i for i, _ in items], [question_and_answer(t) for _, t in items], terms, *rows(posted), *rows(blocked), common_terms, bound, stride)
+    # Postings are in order of items, so that those of a block are one run.
+    flat = [(t, k, x) for t, p in enumerate(posted) for k, x in p]
+    term_of, item, impact = (np.array([f[j] for f in flat], kind) for j, kind in enumerate((np.int64, np.int64, float)))
+    head = np.ones(len(flat), bool)
+    head[1:] = (term_of[1:] != term_of[:-1]) | (item[1:] // BLOCK != item[:-1] // BLOCK)
+    runs = np.flatnonzero(head)
+    maxima = np.maximum.reduceat(impact, runs) if len(runs) else np.zeros(0)
+    block_at = np.searchsorted(term_of[runs], np.arange(len(terms) + 1))
+    return Index([i for i, _ in items], [question_and_answer(t) for _, t in items], terms, item, impact, block_at, item[runs] // BLOCK, maxima, np.append(runs, len(flat)), common_terms, bound, stride)
 
 
 def found(texts: list[str | None], index: Index, threshold: float = THRESHOLD, least: float = OVERLAP) -> list[tuple[int, int | None, float]]:
@@ -191,7 +189,7 @@ def found(texts: list[str | None], index: Index, threshold: float = THRESHOLD, l
 
 
 def indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> Iterator[Index]:
-    """The index, shard by shard; the driver holds one at a time."""
+    """The index, shard by shard, each built when it is asked for."""
     rows = benchmark.select(F.col(id_col).cast("long").alias("id"), common.text_or_empty(text_col).alias("text")).distinct()
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
@@ -208,7 +206,7 @@ def indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text
                     yield pa.RecordBatch.from_arrays([pa.array(["\n longest"]), pa.array([len(words)], pa.int64())], ["term", "n"])
             yield pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], ["term", "n"])
 
-    stats = rows.select("text").mapInArrow(terms, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"), F.max("n").alias("most"))
+    stats = common.map_arrow(rows.select("text"), terms, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"), F.max("n").alias("most"))
     stats = common.cut(stats)
     whole = {r["term"]: r for r in stats.where(F.col("term").startswith("\n")).collect()}
     n_items = whole["\n items"]["n"] if "\n items" in whole else 0
@@ -223,12 +221,16 @@ def indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text
         yield build(part, counted, n_items, mean, stride)
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, least: float = OVERLAP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, least: float = OVERLAP, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, item_id, score): the verified matches, one row for a document and an item."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     out = spark.createDataFrame([], "doc_id long, item_id long, score double")
-    for index in indexes(benchmark):
+    shared = None
+    for index in indexes(benchmark, shard_bytes=shard_bytes):
+        if shared is not None:
+            out = common.cut(out)
+            shared.destroy()
         shared = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -237,14 +239,17 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
                 hits = found(batch.column(1).to_pylist(), shared.value, threshold, least)
                 yield pa.RecordBatch.from_arrays([pa.array([ids[n] for n, _, _ in hits], pa.int64()), pa.array([i for _, i, _ in hits], pa.int64()), pa.array([s for _, _, s in hits], pa.float64())], ["doc_id", "item_id", "score"])
 
-        out = out.union(rows.mapInArrow(run, "doc_id long, item_id long, score double"))
+        out = out.union(common.map_arrow(rows, run, "doc_id long, item_id long, score double"))
     return out.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"))
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, least: float = OVERLAP, text_col: str = "text") -> DataFrame:
+def keep_clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, least: float = OVERLAP, text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """The documents without a verified match, with all their columns."""
-    at = docs.columns.index(text_col)
-    for index in indexes(benchmark):
+    at, shared = docs.columns.index(text_col), None
+    for index in indexes(benchmark, shard_bytes=shard_bytes):
+        if shared is not None:
+            docs = common.cut(docs)
+            shared.destroy()
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -252,7 +257,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
                 hit = {n for n, _, _ in found(batch.column(at).to_pylist(), shared.value, threshold, least)}
                 yield batch.filter(pa.array([n not in hit for n in range(batch.num_rows)], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = common.map_arrow(docs, run, docs.schema)
     return docs
 
 
