@@ -1,5 +1,7 @@
 """Operators that work row by row: licenses, quality, tokens, languages, archives, mixing."""
 
+import math
+import random
 import re
 import statistics
 from collections import Counter
@@ -312,3 +314,63 @@ def test_archive_edges(spark, tmp_path):
     parsed = list(warc.parse_arc(first + good + b"broken line\n"))
     assert [p.get("payload") for p in parsed] == [b"1 0 ", b"hello", None] and parsed[2]["problem"] and parsed[1]["url"] == "http://x.example/a b"
     assert list(warc.parse_arc(first + good[:-4]))[-1]["problem"]
+
+
+def test_archives_with_a_hot_payload(spark, tmp_path, monkeypatch):
+    """A third of the pages share a payload; revisits are broadcast or joined by place."""
+    pages = spark.createDataFrame([(k, f"http://x.example/{k}", HTML if k % 3 == 0 else HTML * 2 if k % 7 == 0 else f"{HTML}{k}") for k in range(1, 100)], "page_id long, url string, html string")
+    warc.write_arc(pages.repartition(4), str(tmp_path / "arc"))
+    for bound in (50_000, 0):
+        monkeypatch.setattr(warc, "BROADCAST_REVISITS", bound)
+        rows = warc.to_warc(warc.read_arc(spark, str(tmp_path / "arc"))).where("type <> 'warcinfo'").collect()
+        assert {r["key"]: r["refers_to_key"] for r in rows} == {k: 3 if k % 3 == 0 and k > 3 else 7 if k % 3 and k % 7 == 0 and k > 7 else None for k in range(1, 100)}
+        first = next(r for r in rows if r["key"] == 3)
+        assert all((r["refers_to"], r["refers_to_uri"], r["refers_to_date"], r["payload"]) == (first["id"], first["uri"], first["date"], b"") for r in rows if r["refers_to_key"] == 3)
+
+
+def test_language_equals_plain_nearest_centroid(spark, docs):
+    """Grams, weights and cosines one by one, for some texts of each kind."""
+    model = langid.fit(docs)
+    texts = ["", None, "123 !", "Été à la mer", "நல்ல தமிழ் உரை", *[r["text"] for r in docs.orderBy("doc_id").limit(25).collect()]]
+    for text, (lang, score, rejected) in zip(texts, model.predict(texts), strict=True):
+        letters = " ".join("".join(c if c.isalpha() or (c.isalnum() and not c.isdecimal()) or c in langid._MARKS else " " for c in (text or "").lower()).split())
+        if not any(map(str.isalpha, letters)):
+            assert (lang, score, rejected) == ("und", 0.0, True)
+            continue
+        data, grams = f" {letters} ".encode(), Counter()
+        for n in (1, 2, 3):
+            for k in range(len(data) - n + 1):
+                gram = int.from_bytes(data[k : k + n], "big") | n << 24
+                grams[(gram * 2654435761 % 2**32) >> 21] += 1
+        vector = {d: math.log1p(c) * float(model.idf[d]) for d, c in grams.items()}
+        norm = math.sqrt(sum(v * v for v in vector.values()))
+        cosines = [sum(v * float(row[d]) for d, v in vector.items()) / norm for row in model.vectors]
+        best = max(range(len(cosines)), key=cosines.__getitem__)
+        assert lang == model.languages[best] and abs(score - cosines[best]) < 1e-4, text
+
+
+def test_calibration_matches_brute_force():
+    rng = random.Random(4)
+    for _ in range(20):
+        clean, low = sorted(rng.random() * 0.6 for _ in range(40)), sorted(rng.random() for _ in range(30))
+        got = quality.calibrate(np.array(clean), np.array(low), 0.9)
+        floor = next(c for c in clean if sum(x <= c for x in clean) - 1 >= 0.9 * 39)
+        above = [x for x in low if x > floor]
+        assert got == pytest.approx((floor + above[int(0.02 * len(above))]) / 2 if above else clean[-1])
+        assert sum(c <= got for c in clean) >= 0.9 * 39
+
+
+def test_repeated_labelled_ids_stay_bounded(spark):
+    text = " ".join(f"word{k}" for k in range(30))
+    docs = spark.createDataFrame([(1, text)] * 50 + [(2, "# $ % & " * 20)] * 50, "doc_id long, text string")
+    forest = quality.fit(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int"), rows=10)
+    assert len(forest.feature)
+    model = langid.fit(docs.selectExpr("doc_id", "text", "'en' AS lang"), train_rows=5)
+    assert set(model.languages) <= {"en"}
+
+
+def test_parts_of_long_texts_are_balanced_by_bytes():
+    text = "漢字 " * 4000
+    assert max(len(p.encode()) for p in tokens.split_long(text, 3000)) < 3100
+    assert "".join(p + " " for p in tokens.split_long(text.strip(), 3000)).strip() == text.strip()
+    assert tokens.split_long("a\t b\u00a0 c" * 50, 10) == ["a\t b\u00a0 c" * 50]
