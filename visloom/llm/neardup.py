@@ -172,31 +172,37 @@ def _candidates(cells: DataFrame, docs: DataFrame, size: int, percent: int, **na
     """Pairs (x, y) of a cell's members, in different components and one of them outside the cell's own, that the
     bounds of their intersection let be similar. cells: (cell, rep, component, n) without repeats."""
     rows = common.cut(_members(cells, docs, size, **names))
-    spread = common.cut(rows.groupBy("cell", "shingle").agg(F.count("*").alias("df")).where("df > 1"))
-    marked = common.cut(rows.join(spread, ["cell", "shingle"]).withColumn("agreed", F.expr("2 * df >= members")))
+    spread = rows.groupBy("cell", "shingle").agg(F.count("*").alias("df"), (F.min("component") != F.max("component")).alias("across")).where("df > 1")
+    marked = common.cut(rows.join(common.cut(spread), ["cell", "shingle"]).withColumn("agreed", F.expr("2 * df >= members")))
     # least intersection: similar sets share percent / (100 + percent) of the sum of their sizes
     part = lambda x, y: F.lit(percent / (100 + percent)) * (x + y) - 1e-6
-    own = marked.groupBy("cell", "rep", "component", "least", "n").agg(F.count_if("agreed").alias("a"), F.count_if(~F.col("agreed")).alias("p"))
-    # what a member lacks for the smallest set that it can be similar to, and the rare shingles that it can do without
+    own = marked.groupBy("cell", "rep", "component", "least", "n").agg(F.count_if("agreed").alias("a"), F.count_if(~F.col("agreed") & F.col("across")).alias("p"))
+    # what a member lacks for the smallest set that it can be similar to; of its rare shingles it can do without one less, and does
+    # without the commonest: of two similar members' other ones some agree, as both are in one order
     need = part(F.col("n"), F.greatest(F.col("least"), F.col("n") * (percent / 100))) - F.col("a")
-    own = common.cut(own.withColumn("skip", F.greatest(F.ceil(need) - 1, F.lit(0)).cast("long")).withColumn("need", need))
-    outside = own.where("component <> cell AND p >= need")
-
-    rare = marked.where("NOT agreed").select("cell", "rep", "shingle", "df")
-    ranked = rare.join(outside.select("cell", "rep", "skip"), ["cell", "rep"]).withColumn("place", F.row_number().over(Window.partitionBy("cell", "rep").orderBy(F.desc("df"), "shingle")))
-    probes = common.cut(ranked.where("place > skip").select("cell", F.col("rep").alias("x"), "shingle"))
-    met = probes.join(rare.select("cell", "shingle", F.col("rep").alias("y")), ["cell", "shingle"]).where("x <> y").groupBy("cell", "x", "y").agg(F.count("*").alias("both"))
-    x = outside.select("cell", F.col("rep").alias("x"), F.col("component").alias("x_component"), F.col("n").alias("x_n"), F.col("a").alias("x_a"), "skip")
-    y = own.select("cell", F.col("rep").alias("y"), F.col("component").alias("y_component"), F.col("n").alias("y_n"), F.col("a").alias("y_a"))
+    own = own.withColumn("skip", F.greatest(F.ceil(need) - 1, F.lit(0)).cast("long")).withColumn("need", need).where("p >= need")
+    own = common.cut(own)
+
+    rare = marked.where("NOT agreed AND across").select("cell", "rep", "shingle", "df")
+    ranked = rare.join(own, ["cell", "rep"]).withColumn("place", F.row_number().over(Window.partitionBy("cell", "rep").orderBy(F.desc("df"), "shingle")))
+    probes = common.cut(ranked.where("place > skip").select("cell", "shingle", "rep", "component", "n", "a", "p", "skip"))
+    sides = ("rep", "component", "n", "a", "p", "skip")
+    x = probes.where("component <> cell").select("cell", "shingle", *[F.col(c).alias(f"x_{c}") for c in sides])
+    y = probes.select("cell", "shingle", *[F.col(c).alias(f"y_{c}") for c in sides])
     least = part(F.col("x_n"), F.col("y_n"))
-    met = met.join(x, ["cell", "x"]).join(y, ["cell", "y"]).where((F.col("x_component") != F.col("y_component")) & (F.col("both") + F.col("skip") + F.least("x_a", "y_a") >= least))
+    enough = lambda both: (F.col("x_component") != F.col("y_component")) & (both + F.least("x_a", "y_a") >= least)
+    twice = (F.col("y_component") == F.col("cell")) | (F.col("x_rep") < F.col("y_rep"))
+    on = ["cell", "shingle"]
+    met = x.join(y, on).where(enough(F.least("x_p", "y_p")) & twice).groupBy("x_rep", "y_rep", "cell").agg(F.count("*").alias("both"), *[F.first(f"{s}_{c}").alias(f"{s}_{c}") for s in "xy" for c in ("component", "n", "a", "skip")])
+    met = met.where(enough(F.col("both") + F.greatest("x_skip", "y_skip")))
 
     step = lambda c: F.floor(F.log(c) * SIZE_STEPS)
     most = F.col("x_a") * ((100 + percent) / percent) - F.col("x_n") + 1
-    enough = outside.where("need <= 0").select("cell", F.col("rep").alias("x"), F.col("component").alias("x_component"), F.col("n").alias("x_n"), F.col("a").alias("x_a"), "least")
-    enough = enough.withColumn("step", F.explode(F.sequence(step(F.greatest(F.col("least"), F.col("x_n") * (percent / 100) - 1)), step(F.greatest(most, F.col("least"), F.col("x_n") * (percent / 100))))))
-    sized = enough.join(y.withColumn("step", step("y_n")), ["cell", "step"]).where((F.col("x_component") != F.col("y_component")) & (F.least("x_a", "y_a") >= least))
-    return met.select("x", "y").union(sized.select("x", "y"))
+    alone = own.where("component <> cell AND need <= 0").select("cell", F.col("rep").alias("x_rep"), F.col("component").alias("x_component"), F.col("n").alias("x_n"), F.col("a").alias("x_a"), "least")
+    alone = alone.withColumn("step", F.explode(F.sequence(step(F.greatest(F.col("least"), F.col("x_n") * (percent / 100) - 1)), step(F.greatest(most, F.col("least"), F.col("x_n") * (percent / 100))))))
+    others = own.select("cell", F.col("rep").alias("y_rep"), F.col("component").alias("y_component"), F.col("n").alias("y_n"), F.col("a").alias("y_a"), step("n").alias("step"))
+    sized = alone.join(others, ["cell", "step"]).where(enough(F.lit(0)))
+    return met.select("x_rep", "y_rep").union(sized.select("x_rep", "y_rep")).toDF("x", "y")
 
 
 def classes_of(found: DataFrame) -> DataFrame:
