@@ -23,8 +23,9 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 CAP = 2.0
 SEEDS = 16
-#: Tables of at most so many sources are broadcast; larger ones join by shuffle.
+#: Tables of at most so many sources are broadcast; larger ones join by shuffle, each source's rows in so many parts.
 BROADCAST_SOURCES = 10_000
+SALTS = 64
 
 
 def word_count(text: Column) -> Column:
@@ -78,7 +79,7 @@ def rates(
     """The documents' sizes (doc_id, source, size), and per source: source_size, target, rate, seed. Both are written tables."""
     sized = common.cut(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")))
     targets = common.cut(source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap))
-    tried = by_source(sized, targets.select("source", "rate", "target"))
+    tried = by_source(sized, targets.select("source", "rate", "target"), id_col="doc_id")
     sums = tried.groupBy("source").agg(
         F.first("target").alias("aim"),
         *[F.sum(F.col("size") * copies(F.col("rate"), draw(F.col("doc_id"), k))).alias(f"t{k}") for k in range(seeds)],
@@ -87,18 +88,25 @@ def rates(
     return sized, common.cut(by_source(targets, sums.select("source", best["seed"].alias("seed"))))
 
 
-def by_source(rows: DataFrame, per_source: DataFrame, source_col: str = "source") -> DataFrame:
-    """Join on the source, null included. A table of few sources is broadcast, so that no row of the large side moves."""
+def by_source(rows: DataFrame, per_source: DataFrame, source_col: str = "source", id_col: str | None = None) -> DataFrame:
+    """Join on the source, null included. A table of few sources is broadcast, so that no row of the large side moves. Of more
+    sources, each row of the table is repeated ``SALTS`` times, and a source's rows are dealt out by ``id_col``, as one may hold most."""
     few = per_source.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
-    name = common.free([*rows.columns, *per_source.columns], "its_source")
+    taken = [*rows.columns, *per_source.columns]
+    name, salt, its_salt = (common.free(taken, x) for x in ("its_source", "salt", "its_salt"))
     right = per_source.withColumnRenamed("source", name)
-    return rows.join(F.broadcast(right) if few else right, rows[source_col].eqNullSafe(right[name])).drop(name)
+    same = rows[source_col].eqNullSafe(right[name])
+    if few or id_col is None:
+        return rows.join(F.broadcast(right) if few else right, same).drop(name)
+    right = right.withColumn(its_salt, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    left = rows.withColumn(salt, F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(SALTS)))
+    return left.join(right, left[source_col].eqNullSafe(right[name]) & (left[salt] == right[its_salt])).drop(name, salt, its_salt)
 
 
 def plan(docs: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, rate, copies, taken."""
     sized, chosen = rates(docs, **options)
-    out = by_source(sized, chosen)
+    out = by_source(sized, chosen, id_col="doc_id")
     out = out.withColumn("copies", copies(F.col("rate"), draw(F.col("doc_id"), F.col("seed"))))
     return out.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
@@ -108,7 +116,7 @@ def emit(docs: DataFrame, **options) -> DataFrame:
     id_col, source_col = options.get("id_col", "doc_id"), options.get("source_col", "source")
     _, chosen = rates(docs, **options)
     rate, seed, n = (common.free(docs.columns, x) for x in ("rate", "seed", "copies"))
-    out = by_source(docs, chosen.select("source", F.col("rate").alias(rate), F.col("seed").alias(seed)), source_col)
+    out = by_source(docs, chosen.select("source", F.col("rate").alias(rate), F.col("seed").alias(seed)), source_col, id_col)
     out = out.withColumn(n, copies(F.col(rate), draw(F.col(id_col), F.col(seed))).cast("int")).where(F.col(n) > 0)
     return out.select(*[f"`{c}`" for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col(n))).alias(n)).drop(n)
 
