@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from visloom.llm import langid, licenses, mixing, quality, tokens, warc
 
@@ -265,10 +266,20 @@ def test_mixing_comes_near_targets(spark):
     assert all(abs(r["sum(taken)"] - r["max(target)"]) < 0.1 * r["max(target)"] for r in got)
 
 
-def test_many_sources_join_by_shuffle(docs, monkeypatch):
-    few = sorted(mixing.plan(docs).collect(), key=str)
+def test_many_sources_join_by_shuffle(docs, odd, monkeypatch):
+    tables = [docs, odd.withColumn("salt", F.lit(1))]
+    few = [[sorted(made(df).collect(), key=str) for made in (mixing.plan, mixing.emit)] for df in tables]
     monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
-    assert sorted(mixing.plan(docs).collect(), key=str) == few
+    assert [[sorted(made(df).collect(), key=str) for made in (mixing.plan, mixing.emit)] for df in tables] == few
+
+
+def test_a_hot_source_joins_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 2000, "hot").otherwise(F.col("id").cast("string")).alias("source"))
+    joined = mixing.by_source(rows, rows.select("source").distinct(), id_col="doc_id")
+    assert joined.count() == 3000 and joined.columns == rows.columns
+    parts = rows.where("source = 'hot'").groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(mixing.SALTS))).count().agg(F.max("count")).first()[0]
+    assert parts < 3000 / 20
 
 
 # --- archives ---------------------------------------------------------------------------------------

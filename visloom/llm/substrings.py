@@ -17,6 +17,10 @@ one anchor's group.
    grouped as rows instead, by their bytes.
 5. The covered runs of each document are joined to its text.
 
+Which segments and slices are equal is told by 128 bits of hash, and by 63 beside an anchor's 48. Shorter keys decide
+nothing wrong: ``kind`` tells segments of one document apart, and a place that ``_semi`` takes for another one brings
+a segment more, whose bytes its document does hold.
+
 Defined cases: null and empty texts have 0 bytes and nothing to remove; strings repeated only within a
 document stay; rows that share an id are told apart by their texts, and do not cover one another; rows
 without an id neither lose bytes nor cover any; other columns are not read.
