@@ -89,9 +89,9 @@ def test_substrings_match_brute_force(spark):
     check_substrings(spark, planted())
 
 
-def test_substrings_without_broadcast_and_with_hot_anchors(spark, monkeypatch):
+def test_substrings_without_broadcast_and_with_anchors_over_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(substrings, "BROADCAST_ANCHORS", 0)
-    monkeypatch.setattr(substrings, "HOT_SLICES", 3)
+    monkeypatch.setattr(substrings, "BLOCK_SLICES", 3)
     monkeypatch.setattr(substrings, "BATCH_BYTES", 500)
     check_substrings(spark, planted(30, 6))
 

@@ -10,12 +10,13 @@ one anchor's group.
    whole segment goes.
 3. Of the distinct segments, held by their first documents, anchors are counted again. What still has a
    shared anchor is cut into slices, at most ``MOST_STRINGS`` strings of one anchor each. Equal slices become
-   one, like equal segments; distinct ones of an anchor are dealt out by anchor into blocks.
+   one, like equal segments; distinct ones are dealt out by anchor into blocks. An anchor with more slices
+   than ``BLOCK_SLICES`` is dealt over several.
 4. A block's suffixes are sorted in two stages (``suffixes``), and adjacent common prefixes of ``LENGTH``
-   bytes or more join equal strings; those of a larger doc_id than the group's smallest are covered. An
-   anchor with over ``HOT_SLICES`` slices would make a block of its own without a bound: its strings are
-   grouped as rows instead, by their bytes.
-5. The covered runs of each document are joined to its text.
+   bytes or more join equal strings; those of a larger doc_id than the group's smallest are covered.
+5. Where an anchor lies in several blocks, the first holders of each block's strings are compared across
+   blocks, by the strings' bytes. So a string comes there once a block, however many slices hold it.
+6. The covered runs of each document are joined to its text.
 
 Which segments and slices are equal is told by 128 bits of hash, and by 63 beside an anchor's 48. Shorter keys decide
 nothing wrong: ``kind`` tells segments of one document apart, and a place that ``_semi`` takes for another one brings
@@ -37,15 +38,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .suffixes import covered_starts
+from .suffixes import repeated_starts
 
 LENGTH = 50
 GRAM = 20
 MOST_STRINGS = 64
 #: Segments end at one in so many anchors, so that near copies have most of theirs in common.
 PIECE_ANCHORS = 12
-HOT_SLICES = 8_000
-BLOCK_SLICES = 16_000
+#: Slices in a block, on average and at most of one anchor.
+BLOCK_SLICES = 8_000
 #: One hash range for so many bytes of text.
 RANGE_BYTES = 8 << 20
 BATCH_BYTES = 512 << 10
@@ -368,22 +369,29 @@ def _inside(kinds: DataFrame) -> DataFrame:
     with_starts = kinds.join(_near(starts), (F.col("owner") == F.col("o")) & (F.col("tag") == F.col("g"))).select("owner", "tag", "data", "starts")
     texts = common.map_arrow(with_starts, _slicer(None, True), "owner long, tag long, start long, n long, anchor long, name long, slice binary")
     texts = common.cut(texts)
-    hot = counts.where(F.col("slices") > HOT_SLICES).select("anchor")
     blocks = 1 + texts.count() // BLOCK_SLICES
+    wide = counts.where(F.col("slices") > BLOCK_SLICES).select("anchor", F.ceil(F.col("slices") / BLOCK_SLICES).cast("long").alias("parts"))
 
     def sort_block(table: pa.Table) -> pa.Table:
-        runs = _runs(covered_starts(table.column("slice").to_pylist(), table.column("owner").to_numpy(), LENGTH))
+        slices_, owners = table.column("slice").to_pylist(), table.column("owner").to_numpy()
+        covered_, others = repeated_starts(slices_, owners, LENGTH)
+        runs = [(*r, None) for r in _runs(covered_)]
+        # What is open across blocks: one row a string, with its bytes.
+        spread = np.flatnonzero(table.column("spread").to_numpy())
+        runs += [(t, k, 1, slices_[t][k : k + LENGTH]) for t in spread.tolist() for k in others[t].tolist()]
         number = pa.array([r[0] for r in runs], pa.int64())
-        return pa.table({"anchor": table.column("anchor").take(number), "name": table.column("name").take(number), "inner": pa.array([r[1] for r in runs], pa.int64()), "m": pa.array([r[2] for r in runs], pa.int64())})
-
-    dealt = texts.join(_near(hot), "anchor", "left_anti").select("owner", "anchor", "name", "slice", F.pmod(F.xxhash64("anchor"), F.lit(blocks)).alias("block"))
-    inner = dealt.groupBy("block").applyInArrow(sort_block, "anchor long, name long, inner long, m long")
-    # Anchors with too many slices for a block: their strings as rows, those equal by their bytes.
-    strings = texts.join(_near(hot), "anchor").select("owner", "anchor", "name", "slice", F.explode(F.sequence(F.lit(0), F.length("slice") - LENGTH)).alias("k"))
-    strings = strings.select("owner", "anchor", "name", F.col("k").cast("long").alias("inner"), F.expr(f"substring(slice, k + 1, {LENGTH})").alias("string"))
-    held_by = strings.groupBy("string").agg(F.min("owner").alias("least"))
-    outer = strings.join(held_by, "string").where("owner > least").select("anchor", "name", "inner", F.lit(1).cast("long").alias("m"))
-    runs = common.cut(inner.union(outer))
+        named = [table.column(c).take(number) for c in ("owner", "anchor", "name")]
+        return pa.table([*named, pa.array([r[1] for r in runs], pa.int64()), pa.array([r[2] for r in runs], pa.int64()), pa.array([r[3] for r in runs], pa.binary())], ["owner", "anchor", "name", "inner", "m", "string"])
+
+    dealt = texts.join(_near(wide), "anchor", "left")
+    part = F.when(F.col("parts").isNotNull(), F.pmod("name", "parts"))
+    dealt = dealt.select("owner", "anchor", "name", "slice", F.col("parts").isNotNull().alias("spread"), F.pmod(F.xxhash64("anchor", part), F.lit(blocks)).alias("block"))
+    sorted_ = common.cut(dealt.groupBy("block").applyInArrow(sort_block, "owner long, anchor long, name long, inner long, m long, string binary"))
+    runs = sorted_.where("string IS NULL").select("anchor", "name", "inner", "m")
+    open_ = sorted_.where("string IS NOT NULL")
+    least = open_.groupBy("string").agg(F.min("owner").alias("least"))
+    across = open_.join(least, "string").where("owner > least").select("anchor", "name", "inner", "m")
+    runs = runs.union(across)
     own = of_slice.where("name IS NOT NULL").join(runs, ["anchor", "name"]).select("owner", "tag", (F.col("start") + F.col("inner")).alias("start"), F.col("m").alias("n"))
     return repeated.union(own)
 

@@ -103,8 +103,8 @@ def common_prefixes(order: np.ndarray, words: np.ndarray, most: int) -> np.ndarr
     return np.minimum(out, most)
 
 
-def covered_starts(texts: list[bytes], owners: np.ndarray, length: int) -> list[np.ndarray]:
-    """For each text, the places where a string of ``length`` bytes starts that a text of a smaller owner holds too."""
+def repeated_starts(texts: list[bytes], owners: np.ndarray, length: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For each text, the places where a string of ``length`` bytes starts that a text of a smaller owner holds too, and the places of the other strings."""
     sizes = np.array([len(t) + 1 for t in texts], np.int64)
     starts = np.cumsum(sizes) - sizes
     block = np.frombuffer(b"".join(t + bytes([SEPARATOR]) for t in texts), np.uint8)
@@ -115,15 +115,21 @@ def covered_starts(texts: list[bytes], owners: np.ndarray, length: int) -> list[
     # Strings with a separator are nobody's; between equal strings there are none of them.
     order = order[whole]
     groups = np.cumsum(common_prefixes(order, words, length) < length) - 1
-    out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(texts)
     if not len(order):
-        return out
+        return _by_text(order, text_of, starts), _by_text(order, text_of, starts)
     owner = owners[text_of[order]]
     heads = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]]))
     least = np.repeat(np.minimum.reduceat(owner, heads), np.diff(np.append(heads, len(order))))
-    hit = np.sort(order[owner > least])
-    of = text_of[hit]
-    cuts = np.flatnonzero(np.diff(of)) + 1
-    for part, t in zip(np.split(hit, cuts), of[np.concatenate([[0], cuts])] if len(hit) else [], strict=bool(len(hit))):
-        out[t] = part - starts[t]
-    return out
+    return _by_text(order[owner > least], text_of, starts), _by_text(order[owner == least], text_of, starts)
+
+
+def covered_starts(texts: list[bytes], owners: np.ndarray, length: int) -> list[np.ndarray]:
+    """The first of ``repeated_starts``."""
+    return repeated_starts(texts, owners, length)[0]
+
+
+def _by_text(places: np.ndarray, text_of: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    """Places in a block as sorted places in each of its texts."""
+    places = np.sort(places)
+    bounds = np.searchsorted(text_of[places], np.arange(len(starts) + 1))
+    return [places[a:b] - start for a, b, start in zip(bounds[:-1].tolist(), bounds[1:].tolist(), starts.tolist(), strict=True)]
