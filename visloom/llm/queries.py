@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, langid, licenses, linededup, mixing, neardup, quality, substrings, tokens, warc
+from . import decontaminate, langid, licenses, linededup, mixing, neardup, quality, runs, substrings, tokens, warc, whitening
 
 QUERIES = {
     "op1_licenses": licenses.op1_licenses,
@@ -15,9 +15,12 @@ QUERIES = {
     "op8_near_duplicates": neardup.op8_near_duplicates,
     "op9_mixing": mixing.op9_mixing,
     "op10_warc": warc.op10_warc,
+    "op11_runs": runs.op11_runs,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 SQL = {
     "op9_mixing": mixing.sql(),
     "op10_warc": warc.SQL,
+    "op11_runs": runs.sql(),
 }
