@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, langid, licenses, linededup, mixing, neardup, quality, runs, substrings, tokens, warc, whitening
+from . import decontaminate, langid, licenses, linededup, lm, mixing, neardup, quality, runs, substrings, tokens, warc, whitening
 
 QUERIES = {
     "op1_licenses": licenses.op1_licenses,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_mixing": mixing.op9_mixing,
     "op10_warc": warc.op10_warc,
     "op11_runs": runs.op11_runs,
+    "op12_lm_scores": lm.op12_lm_scores,
     "op13_whitening": whitening.op13_whitening,
 }
 
