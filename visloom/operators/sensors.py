@@ -45,12 +45,15 @@ def baseline_suspects(baselines: DataFrame, suspects: DataFrame) -> DataFrame:
 
 
 def input_suspects(baselines: DataFrame, labels: list[str], sensor: DataFrame) -> DataFrame:
-    """(dump, bl, baseline_flags): CAM where either input is suspect. ``baselines``: bl, input1, input2; ``sensor``: dump and an array of
-    booleans, one for each of ``labels``; shorter arrays and nulls say nothing."""
-    names = F.broadcast(baselines.sparkSession.createDataFrame(list(enumerate(labels)), "pos int, input string"))
-    bad = sensor.select("dump", F.posexplode("suspects").alias("pos", "suspect")).join(names, "pos")
-    ends = baselines.select("bl", F.explode(F.array_distinct(F.array("input1", "input2"))).alias("input"))
-    return bad.join(F.broadcast(ends), "input").groupBy("dump", "bl").agg(F.when(F.bool_or("suspect"), CAM).otherwise(0).alias("baseline_flags"))
+    """(dump, bl, baseline_flags) of every baseline in every dump that the sensor has a reading of: CAM where either input is suspect,
+    else 0. ``baselines``: bl, input1, input2; ``sensor``: dump and an array of booleans, one for each of ``labels``; shorter arrays and
+    nulls say nothing, and neither does an input without a label."""
+    positions = F.create_map(*[F.lit(x) for k, label in enumerate(labels) for x in (label, k)]) if labels else F.lit(None).cast("map<string,int>")
+    at = lambda c: F.coalesce(F.try_element_at(positions, F.col(c)), F.lit(-1)).alias(f"{c}_at")
+    ends = baselines.select("bl", at("input1"), at("input2"))
+    bad = lambda c: F.coalesce(F.get("suspects", F.col(f"{c}_at")), F.lit(False))
+    # Of several readings of a dump each counts. A dump's baselines are the product asked for, and baselines a few thousand.
+    return sensor.select("dump", "suspects").join(ends).groupBy("dump", "bl").agg(F.when(F.bool_or(bad("input1") | bad("input2")), CAM).otherwise(0).alias("baseline_flags"))
 
 
 def any_suspects(*flags: DataFrame) -> DataFrame:

@@ -284,6 +284,13 @@ def noise_mad(spark, d):
     return df.groupBy("bl").agg(F.round(F.first("noise"), 9).alias("noise"))
 
 
+@query(f"WITH {SPECTRA}, {detect_sql('spectra', 'bl')} SELECT bl, round(any_value(noise), 9) AS noise FROM found GROUP BY bl")
+def noise_selection(spark, d):
+    """The same by selection, without a window over a spectrum."""
+    found = rfi.selected_noise(rfi.deviation(rfi.background(_spectra(spark, d), ["bl"])), ["bl"])
+    return found.select("bl", F.round("noise", 9).alias("noise"))
+
+
 @query(f"WITH {SPECTRA}, {detect_sql('spectra', 'bl')} SELECT bl, channel, rfi FROM found")
 def rfi_threshold(spark, d):
     return rfi.detect(_spectra(spark, d), ["bl"], n_sigma=SIGMAS).select("bl", "channel", "rfi")
@@ -456,14 +463,16 @@ def _live(reordered):
 
 
 INPUTS = ("m0h", "m0v", "m1h", "m1v")
-INPUT_SUSPECTS = f"""input_rows AS (SELECT dump, channel % 4 AS pos, v > 22000 AS bad FROM raw WHERE channel < 8),
-input_flags AS (SELECT dump, bl, bool_or(bad) AS bad FROM (SELECT dump, bad, name FROM input_rows JOIN (VALUES {_values(list(enumerate(INPUTS)))}) l(pos, name) USING (pos)) JOIN base ON name IN (input1, input2) GROUP BY ALL)"""
+HOT = 26000
+INPUT_SUSPECTS = f"""input_rows AS (SELECT dump, channel % 4 AS pos, v > {HOT} AS bad FROM raw),
+input_bad AS (SELECT DISTINCT dump, name FROM input_rows JOIN (VALUES {_values(list(enumerate(INPUTS)))}) l(pos, name) USING (pos) WHERE bad),
+input_flags AS (SELECT dump, bl, EXISTS (FROM input_bad i WHERE i.dump = d.dump AND i.name IN (input1, input2)) AS bad FROM (SELECT DISTINCT dump FROM raw) d, base)"""
 
 
 @query(f"WITH {CUBE}, {INPUT_SUSPECTS} SELECT dump, bl, CASE WHEN bad THEN {CAM} ELSE 0 END AS baseline_flags FROM input_flags")
 def input_suspects(spark, d):
-    at = F.floor(F.col("event_id") / 8) % A.N_CHANNELS
-    rows = table(spark, d, "events").where(at < 8).select(F.floor(F.col("event_id") / 256).cast("long").alias("dump"), (at % 4).alias("pos"), (F.floor(F.col("value") * 100 + 0.5) > 22000).alias("bad"))
+    pos = F.floor(F.col("event_id") / 8) % 4
+    rows = table(spark, d, "events").select(F.floor(F.col("event_id") / 256).cast("long").alias("dump"), pos.alias("pos"), (F.floor(F.col("value") * 100 + 0.5) > HOT).alias("bad"))
     by = rows.groupBy("dump").agg(*[F.max(F.when(F.col("pos") == k, F.col("bad"))).alias(f"s{k}") for k in range(len(INPUTS))])
     return sensors.input_suspects(A.baselines(spark), list(INPUTS), by.select("dump", F.array(*[f"s{k}" for k in range(len(INPUTS))]).alias("suspects")))
 
