@@ -16,14 +16,14 @@ from ..constants import MIN_CHANNEL_WEIGHT
 SUMS = ("n_u", "re_u", "im_u", "n_f", "re_f", "im_f")
 
 
-def partials(samples: DataFrame, keys: list[Column | str]) -> DataFrame:
-    """Sums over unflagged (u) and flagged (f) samples, and the OR of the flags, by ``keys``."""
+def partials(samples: DataFrame, keys: list[Column | str], more: list[Column] | tuple = ()) -> DataFrame:
+    """Sums over unflagged (u) and flagged (f) samples, the OR of the flags, and ``more`` aggregates, by ``keys``."""
     clear = F.col("flags") == 0
     take = lambda keep, c: F.sum(F.when(keep, F.col(c).cast("long")).otherwise(F.lit(0).cast("long")))
     return samples.groupBy(*keys).agg(
         F.count_if(clear).alias("n_u"), take(clear, "re").alias("re_u"), take(clear, "im").alias("im_u"),
         F.count_if(~clear).alias("n_f"), take(~clear, "re").alias("re_f"), take(~clear, "im").alias("im_f"),
-        F.bit_or("flags").alias("any_flags"),
+        F.bit_or("flags").alias("any_flags"), *more,
     )
 
 

@@ -9,11 +9,20 @@ from ..constants import COUNT_MASK
 from .samples import amplitude
 
 
+def bit_counts(mask: int = COUNT_MASK) -> list[Column]:
+    """Aggregates: samples of each bit of ``flags`` (c0 to c7) and of any bit."""
+    flags = F.col("flags").bitwiseAND(mask)
+    return [*[F.count_if(flags.bitwiseAND(1 << b) != 0).alias(f"c{b}") for b in range(8)], F.count_if(flags != 0).alias("any_count")]
+
+
 def flag_counts(samples: DataFrame, start: int, stop: int, keys: list[Column | str], mask: int = COUNT_MASK) -> DataFrame:
     """Samples of each bit (c0 to c7) and of any bit, over channels [start, stop), before averaging."""
-    seen = samples.where((F.col("channel") >= start) & (F.col("channel") < stop)).withColumn("flags", F.col("flags").bitwiseAND(mask))
-    bits = [F.count_if(F.col("flags").bitwiseAND(1 << b) != 0).alias(f"c{b}") for b in range(8)]
-    return seen.groupBy(*keys).agg(*bits, F.count_if(F.col("flags") != 0).alias("any_count"))
+    return samples.where((F.col("channel") >= start) & (F.col("channel") < stop)).groupBy(*keys).agg(*bit_counts(mask))
+
+
+def roll_up_counts(counts: DataFrame, keys: list[Column | str]) -> DataFrame:
+    """Counts of coarser cells."""
+    return counts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in (*[f"c{b}" for b in range(8)], "any_count")])
 
 
 def flag_fractions(counts: DataFrame, keys: list[str], ratio: int, n_channels: int) -> DataFrame:

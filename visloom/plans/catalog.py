@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..constants import CAM, COUNT_MASK, DATA_LOST, MAD_TO_SIGMA, STATIC
 from ..functions import ranges
 from ..operators import average, baselines, cadence, frames, metadata, quicklook, rfi, samples, sensors
-from ..session import table
+from ..session import table, written
 from ..sources import adapters as A
 from ..streaming import queries as streams
 from .ingest import IngestPlan
@@ -653,6 +653,19 @@ def ingest_quicklook(spark, d):
     return series.join(made["sd_flag_counts"].select("out_idx", "bl", "any_count"), ["out_idx", "bl"])
 
 
+_product = lambda name, ratio, cell: f"SELECT '{name}' AS product, * FROM ({final_sql('(' + sums_sql('flagged', f'CAST({cell} AS INT) AS cell, bl', ratio) + ')', 'out_idx, cell, bl')})"
+
+
+@query(f"""WITH {CUBE}, {FLAGGED} {_product('spectral', A.RATIO, 'channel')} UNION ALL {_product('continuum', A.RATIO, f'channel // {A.CONT_FACTOR}')}
+UNION ALL {_product('sd_spectral', SD_RATIO, 'channel')} UNION ALL {_product('sd_continuum', SD_RATIO, 'channel // 4')}""")
+def ingest_products(spark, d):
+    """Both cadences' spectral and continuum products, from sums that are written once."""
+    made = PLAN.build(_raw(spark, d), A.permutation(spark), A.baselines(spark), A.channel_masks(spark), base=partial(written, name="sums"))
+    names = {"spectral": "channel", "continuum": "cont_channel", "sd_spectral": "channel", "sd_continuum": "cont_channel"}
+    parts = [made[p].select(F.lit(p).alias("product"), "out_idx", F.col(c).alias("cell"), "bl", "re", "im", "weight", "flags") for p, c in names.items()]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
 EXTERNAL = f"""{SUSPECTS}, {INPUT_SUSPECTS}, ends AS (SELECT DISTINCT bl, unnest([left(input1, -1), left(input2, -1)]) AS antenna FROM base),
 live AS (SELECT dump, channel FROM reordered GROUP BY ALL HAVING sum(re) % 7 = 0), sus AS (SELECT dump, channel FROM reordered GROUP BY ALL HAVING sum(re) % 11 = 0),
 bad AS (SELECT dump, bl, bool_or(bad) AS bad FROM (SELECT dump, bl, suspect AS bad FROM suspects JOIN ends USING (antenna) UNION ALL SELECT dump, bl, bad FROM input_flags) GROUP BY ALL),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -18,3 +20,16 @@ def session(master: str | None = None, shuffle_partitions: int | None = None, ap
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A folder that nothing else uses, where driver and executors all reach it: under spark.checkpoint.dir, or the warehouse where that is unset."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/{name}-{os.urandom(8).hex()}"
+
+
+def written(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` written once to a shared folder, as it is read from there."""
+    folder = fresh_folder(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

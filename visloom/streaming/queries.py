@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import average
-from ..session import table
+from ..session import fresh_folder, table
 from ..sources import adapters as A
 from . import frames
 
@@ -19,7 +17,7 @@ HOURS = 96
 def _run(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
     """Run to the end of what is there now, into a table in the warehouse, and read that."""
     spark = stream.sparkSession
-    folder = f"{(spark.conf.get('spark.checkpoint.dir', None) or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/{name}-{os.urandom(8).hex()}"
+    folder = fresh_folder(spark, name)
     query = stream.writeStream.format("parquet").outputMode(mode).option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/log").trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
