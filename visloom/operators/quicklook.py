@@ -20,9 +20,23 @@ def flag_counts(samples: DataFrame, start: int, stop: int, keys: list[Column | s
     return samples.where((F.col("channel") >= start) & (F.col("channel") < stop)).groupBy(*keys).agg(*bit_counts(mask))
 
 
-def roll_up_counts(counts: DataFrame, keys: list[Column | str]) -> DataFrame:
-    """Counts of coarser cells."""
-    return counts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in (*[f"c{b}" for b in range(8)], "any_count")])
+#: Counts of one cell share a few sums, FIELD bits each; a cell of a step has far fewer samples.
+FIELD, FIELDS = 21, 3
+COUNTED = (*[f"c{b}" for b in range(8)], "any_count")
+
+
+def packed_counts(mask: int = COUNT_MASK) -> list[Column]:
+    """The same aggregates for cells of up to 2**FIELD - 1 samples, as three sums (p0 to p2) in place of nine."""
+    flags = F.col("flags").bitwiseAND(mask).cast("long")
+    ones = [*[F.shiftright(flags, b).bitwiseAND(F.lit(1).cast("long")) for b in range(8)], F.when(flags != 0, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))]
+    at = lambda k: [F.shiftleft(one, FIELD * (j % FIELDS)) for j, one in enumerate(ones) if j // FIELDS == k]
+    return [F.sum(sum(more, first)).alias(f"p{k}") for k in range(3) for first, *more in [at(k)]]
+
+
+def roll_up_counts(packed: DataFrame, keys: list[Column | str]) -> DataFrame:
+    """c0 to c7 and any_count of coarser cells, from packed sums."""
+    field = lambda j: F.shiftrightunsigned(f"p{j // FIELDS}", FIELD * (j % FIELDS)).bitwiseAND(F.lit((1 << FIELD) - 1))
+    return packed.groupBy(*keys).agg(*[F.sum(field(j)).alias(c) for j, c in enumerate(COUNTED)])
 
 
 def flag_fractions(counts: DataFrame, keys: list[str], ratio: int, n_channels: int) -> DataFrame:

@@ -71,11 +71,13 @@ class IngestPlan:
         return samples.channels_between(df, self.start, self.stop).select("step", "dump", "channel", "bl", "re", "im", "flags")
 
     def fine_sums(self, flagged: DataFrame) -> DataFrame:
-        """Partial sums and flag counts by (step, channel, bl)."""
-        return average.partials(flagged, ["step", "channel", "bl"], quicklook.bit_counts())
+        """Partial sums and packed flag counts by (step, channel, bl)."""
+        return average.partials(flagged, ["step", "channel", "bl"], quicklook.packed_counts())
 
     def sums(self, fine: DataFrame, ratio: int) -> DataFrame:
-        """Partial sums by (out_idx, channel, bl), from which all averages of a cadence are finished."""
+        """Partial sums by (out_idx, channel, bl), from which all averages of a cadence are finished. Steps of its own length are its sums."""
+        if ratio == self.step:
+            return fine.withColumnRenamed("step", "out_idx")
         return average.roll_up(fine, [average.group_index("step", ratio // self.step).alias("out_idx"), "channel", "bl"])
 
     def spectral(self, sums: DataFrame) -> DataFrame:
