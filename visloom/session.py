@@ -33,3 +33,8 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     folder = fresh_folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """The state store that operators with several states need. Queries started afterwards use it."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")

@@ -3,26 +3,103 @@
 Sessions are the unit of distribution: a capture with several servers, or several captures, are several sessions.
 A task holds the rows of one session and trigger, which ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` of the source bounds.
 
-Watermarks drop late rows without a trace and know no counts, so the window of open frames is kept as state:
-the first timestamp, the newest frame, and the items of the frames that are still open. Frames leave the
-window when a newer one pushes them out, or at the end of the stream.
+Watermarks drop late rows without a trace and know no counts, so the window of open frames is kept as state: a typed row
+with the first timestamp and the newest frame, and a map of the items of the frames that are still open. Frames leave the
+window when a newer one pushes them out, or at the end of the stream. The rows of a trigger are handled by columns; only
+items that outlive it touch the map. Needs the RocksDB state store, which ``session.use_rocksdb`` sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..constants import TIMESTAMP_BITS
 from ..operators.frames import UNTIMED
+from ..session import use_rocksdb
 
 OUTPUT = "session string, idx long, frequency int, payload long, reason string, arrival_seq long"
-STATE = "ts0 long, top long, previous long, wraps long, stops int, items map<string,string>"
+HEAD = "ts0 long, top long, previous long, wraps long, stops int"
+COLUMNS = [c.split()[0] for c in OUTPUT.split(", ")]
+NONE = -(1 << 62)
+
+
+class Assembler(StatefulProcessor):
+    def __init__(self, interval: int, active_frames: int, channels_per_item: int, start: int, stop: int, endpoints: int, bits: int):
+        self.interval, self.active, self.per_item, self.start, self.stop, self.endpoints, self.bits = interval, active_frames, channels_per_item, start, stop, endpoints, bits
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.head = handle.getValueState("head", HEAD)
+        self.items = handle.getMapState("items", "idx long, frequency int", "arrival_seq long, payload long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        ts0, top, previous, wraps, stops = self.head.get() if self.head.exists() else (None, None, None, 0, 0)
+        if stops >= self.endpoints:
+            return
+        df = pd.concat(list(rows)).sort_values("arrival_seq", kind="stable").reset_index(drop=True)
+        # What comes after the last endpoint's stop is not looked at.
+        stopped = stops + (df["kind"] == "stop").cumsum()
+        ended = bool((stopped >= self.endpoints).any())
+        df = df[stopped.shift(fill_value=stops) < self.endpoints]
+        stopped = stopped[df.index]
+        said, stopped = df["kind"] != "stop", stopped.to_numpy()
+        df, stopped = df[said], stopped[said.to_numpy()]
+        kind, stamp = df["kind"].to_numpy(str), df["ts_raw"].to_numpy(float, na_value=np.nan)
+        timed = ~np.isin(kind, UNTIMED) & ~np.isnan(stamp)
+        quiet = (stopped > 0) & (kind == "incomplete")
+
+        idx, reason = np.full(len(df), NONE), kind.astype(object)
+        raw = df["ts_raw"].to_numpy(dtype="int64", na_value=0)[timed]
+        if len(raw):
+            whole, half = 1 << self.bits, 1 << (self.bits - 1)
+            jump = np.diff(raw, prepend=raw[0] if previous is None else previous)
+            turns = wraps + np.cumsum((jump < -half).astype(np.int64) - (jump > half))
+            ts = raw + whole * turns
+            ts0 = int(ts[0]) if ts0 is None else ts0
+            frame, rest = np.divmod(ts - ts0, self.interval)
+            aligned = np.where(rest == 0, frame, NONE)
+            newest = np.maximum.accumulate(np.append(NONE if top is None else top, aligned))
+            late = frame < np.maximum(0, np.where(newest[:-1] == NONE, 0, newest[:-1]) - (self.active - 1))
+            frequency = df["frequency"].to_numpy(float, na_value=np.nan)[timed]
+            unwanted = ~((frequency % self.per_item == 0) & (frequency >= self.start) & (frequency < self.stop))
+            own = kind[timed]
+            reason[timed] = np.select([own == "incomplete", late, rest != 0, own == "bad-item", unwanted], ["incomplete", "too-old", "bad-timestamp", "bad-heap", "bad-channel"], "ok")
+            idx[timed] = frame
+            previous, wraps = int(raw[-1]), int(turns[-1])
+            # The frame numbers of late records lie below the newest, so they move nothing.
+            top = None if newest[-1] == NONE else int(newest[-1])
+        stops = int(stops + (len(said) - said.sum()))
+        self.head.update((ts0, top, previous, wraps, stops))
+
+        out = pd.DataFrame({"session": key[0], "idx": pd.array(idx, "Int64"), "frequency": df["frequency"].astype("Int32").to_numpy(), "payload": df["payload"].astype("Int64").to_numpy(), "reason": reason, "arrival_seq": df["arrival_seq"].to_numpy()})
+        out["idx"] = out["idx"].mask(out["idx"] == NONE)
+        ok = out["reason"] == "ok"
+        rejected = out[~ok & ~quiet].copy()
+        rejected["payload"] = pd.array([pd.NA] * len(rejected), "Int64")
+        fresh = out[ok].drop_duplicates(["idx", "frequency"], keep="last")
+        yield pd.concat([rejected, *self._close(key[0], fresh, None if ended or top is None else top - self.active + 1, ended)])[COLUMNS]
+
+    def _close(self, session: str, fresh: pd.DataFrame, below: int | None, ended: bool) -> Iterator[pd.DataFrame]:
+        """Items of frames that leave the window, of this trigger or of earlier ones; the others are kept."""
+        newer = set(zip(fresh["idx"], fresh["frequency"]))
+        leaves = lambda i: ended or (below is not None and i < below)
+        held = [(k, v) for k, v in self.items.iterator() if leaves(k[0]) or (k[0], k[1]) in newer]
+        for k, _ in held:
+            self.items.removeKey(k)
+        old = [(session, k[0], k[1], v[1], "ok", v[0]) for k, v in held if (k[0], k[1]) not in newer]
+        gone = fresh["idx"].map(leaves).astype(bool) if len(fresh) else pd.Series([], dtype=bool)
+        for r in fresh[~gone].to_dict("records") if len(fresh) else []:
+            self.items.updateValue((int(r["idx"]), int(r["frequency"])), (int(r["arrival_seq"]), int(r["payload"])))
+        yield fresh[gone] if len(fresh) else fresh
+        yield pd.DataFrame(old, columns=COLUMNS).astype({"idx": "Int64", "frequency": "Int32", "payload": "Int64", "arrival_seq": "int64"})
+
+    def close(self) -> None:
+        pass
 
 
 def assemble(heaps: DataFrame, interval: int, active_frames: int, channels_per_item: int, start: int, stop: int, endpoints: int = 1, bits: int = TIMESTAMP_BITS) -> DataFrame:
@@ -32,65 +109,9 @@ def assemble(heaps: DataFrame, interval: int, active_frames: int, channels_per_i
     kind 'stop'; the last one flushes the frames that are open, and what comes later is not looked at. Incomplete records
     after the first stop are expected, and not reported. Timestamps of ``bits`` bits are unwrapped.
     """
-    whole, half = 1 << bits, 1 << (bits - 1)
-
-    def step(key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        ts0, top, previous, wraps, stops, items = state.get if state.exists else (None, None, None, 0, 0, {})
-        # Items of open frames: "idx:frequency" to "arrival_seq:payload".
-        held = {tuple(map(int, k.split(":"))): tuple(map(int, v.split(":"))) for k, v in dict(items or {}).items()}
-        out: list[tuple] = []
-
-        def close(below: int | None) -> None:
-            for idx, frequency in sorted(k for k in held if below is None or k[0] < below):
-                seq, payload = held.pop((idx, frequency))
-                out.append((key[0], idx, frequency, payload, "ok", seq))
-
-        rows = pd.concat(list(frames)).sort_values("arrival_seq")
-        for r in rows.itertuples(index=False):
-            reject = None
-            idx = None
-            if stops >= endpoints:
-                break
-            if r.kind == "stop":
-                stops += 1
-                if stops == endpoints:
-                    close(None)
-                continue
-            quiet = stops > 0 and r.kind == "incomplete"
-            if r.kind in UNTIMED or pd.isna(r.ts_raw):
-                if not quiet:
-                    out.append((key[0], None, r.frequency, None, r.kind, r.arrival_seq))
-                continue
-            if previous is not None:
-                wraps += (int(r.ts_raw) - previous < -half) - (int(r.ts_raw) - previous > half)
-            previous = int(r.ts_raw)
-            ts = previous + whole * wraps
-            ts0 = ts if ts0 is None else ts0
-            idx, rest = divmod(ts - ts0, interval)
-            late = idx < max(0, (top or 0) - (active_frames - 1))
-            if not late and rest == 0 and (top is None or idx > top):
-                top = idx
-                close(top - active_frames + 1)
-            if quiet:
-                continue
-            if r.kind == "incomplete":
-                reject = "incomplete"
-            elif late:
-                reject = "too-old"
-            elif rest:
-                reject = "bad-timestamp"
-            elif r.kind == "bad-item":
-                reject = "bad-heap"
-            elif r.frequency % channels_per_item or not start <= r.frequency < stop:
-                reject = "bad-channel"
-            if reject:
-                out.append((key[0], idx, r.frequency, None, reject, r.arrival_seq))
-            else:
-                held[(idx, int(r.frequency))] = (int(r.arrival_seq), int(r.payload))
-        state.update((ts0, top, previous, wraps, stops, {f"{i}:{f}": f"{s}:{p}" for (i, f), (s, p) in held.items()}))
-        yield pd.DataFrame(out, columns=["session", "idx", "frequency", "payload", "reason", "arrival_seq"]).astype({"idx": "Int64", "frequency": "Int32", "payload": "Int64", "arrival_seq": "Int64"})
-
-    return heaps.groupBy("session").applyInPandasWithState(step, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout)
+    use_rocksdb(heaps.sparkSession)
+    made = Assembler(interval, active_frames, channels_per_item, start, stop, endpoints, bits)
+    return heaps.groupBy("session").transformWithStateInPandas(made, OUTPUT, "Append", "None")
 
 
 def averages(samples: DataFrame, seconds_per_dump: float, ratio: int, delay: str = "1 minute") -> DataFrame:
