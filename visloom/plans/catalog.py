@@ -738,3 +738,24 @@ edge AS (SELECT max(epoch(ts)) - 60 AS closed FROM events)
 {final_sql('sums, edge', SPEC_KEYS)} WHERE (out_idx + 1) * {_hours} <= closed""")
 def stream_average(spark, d):
     return streams.stream_average(spark, d)
+
+
+@query(f"""WITH s AS (
+  SELECT CAST(floor(epoch(ts) / 3600) AS BIGINT) AS dump, CAST((event_id // 8) % 4 AS INT) AS channel, CAST(user_id % {streams.BASELINES} AS INT) AS bl,
+    CAST(floor(value * 100 + 0.5) AS INT) AS re, {K} - 50 AS im, CASE WHEN {K} % 3 = 0 THEN 16 ELSE 0 END AS flags FROM events),
+sums AS ({sums_sql('s', 'channel, bl', streams.RATIO)}), last_ AS (SELECT bl, max(dump // {streams.RATIO}) AS open FROM s GROUP BY bl)
+{final_sql('sums JOIN last_ USING (bl)', SPEC_KEYS)} WHERE out_idx < open""")
+def stream_count_windows(spark, d):
+    return streams.stream_count_windows(spark, d)
+
+
+@query("""WITH s AS (SELECT user_id, event_id, ts, value, max(ts) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM events WHERE event_type = 'error'),
+n AS (SELECT * FROM s WHERE seen IS NULL OR ts > seen), q AS (SELECT event_id, user_id, ts + INTERVAL 30 MINUTE AS at FROM events), edge AS (SELECT max(epoch_ms(ts)) * 1000 AS passed FROM events)
+SELECT q.event_id, coalesce(n.value, -1.0::DOUBLE) AS value FROM q ASOF LEFT JOIN n ON q.user_id = n.user_id AND q.at >= n.ts WHERE epoch_us(q.at) < (SELECT passed FROM edge)""")
+def stream_asof(spark, d):
+    return streams.stream_asof(spark, d)
+
+
+@query(f"WITH {HEAPS} SELECT arrival_seq, kind, ts_raw, frequency, payload, CAST(frequency // {PER_ITEM} AS INT) AS endpoint FROM heaps WHERE frequency >= {WANTED[0]} AND frequency < {WANTED[1]}")
+def heaps_by_endpoint(spark, d):
+    return streams.heaps_by_endpoint(spark, d)
