@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,22 +78,108 @@ def channel_axis(spark, n_channels: int, centre: float, bandwidth: float, factor
     return spark.range(n_channels // factor).select(F.col("id").cast("int").alias("channel"), (F.lit(first) + F.col("id") * F.lit(width * factor)).alias("frequency"), F.lit(width * factor).alias("width"))
 
 
-def interference_reach(channels: DataFrame, model: DataFrame) -> DataFrame:
-    """(channel, reach): the longest baseline that interference touches in each channel. The channel axis is small and broadcast; the model is scanned once and combined map-side."""
-    over = (F.col("frequency") - F.col("width") / 2 <= F.col("fmax")) & (F.col("frequency") + F.col("width") / 2 >= F.col("fmin"))
-    return model.join(F.broadcast(channels), over).groupBy("channel").agg(F.max("max_baseline").alias("reach"))
+@dataclass(frozen=True)
+class Axis:
+    """A regular frequency axis: ``n`` channels as ``channel_axis`` has them."""
+
+    n: int
+    first: float
+    width: float
+
+    @classmethod
+    def of(cls, n_channels: int, centre: float, bandwidth: float) -> Axis:
+        return cls(n_channels, centre - bandwidth / 2, bandwidth / n_channels)
+
+    @classmethod
+    def read(cls, channels: Axis | DataFrame) -> Axis:
+        """An axis as it is, or that of a table of channels (channel, frequency, width), of which one row comes to the driver."""
+        if isinstance(channels, Axis):
+            return channels
+        row = channels.agg(F.count("*").alias("n"), F.min("frequency").alias("first"), F.first("width").alias("width")).first()
+        return cls(row["n"], row["first"], row["width"])
+
+    def low(self, i: Column) -> Column:
+        return self.frequency(i) - F.lit(self.width) / 2
+
+    def high(self, i: Column) -> Column:
+        return self.frequency(i) + F.lit(self.width) / 2
+
+    def frequency(self, i: Column) -> Column:
+        return F.lit(self.first) + i * F.lit(self.width)
+
+    def _edge(self, guess: Column, holds: Callable[[Column], Column], from_above: bool) -> Column:
+        """Near ``guess``, which rounding may have moved by one, the last channel from above (or the first from below) for which a monotone condition holds."""
+        near = F.transform(F.array(*[F.lit(k) for k in (-2, -1, 0, 1, 2)]), lambda k: guess + k)
+        holding = F.filter(near, holds)
+        return F.array_max(holding) if from_above else F.array_min(holding)
+
+    def between(self, reaches: Callable[[Column], Column], begins: Callable[[Column], Column], lowest: Column, highest: Column) -> tuple[Column, Column]:
+        """First and last channel of a range from frequency ``lowest`` to ``highest``; the conditions say exactly whether channel i's upper edge reaches it and its lower edge begins before its end."""
+        clamp = lambda c: F.least(F.greatest(c, F.lit(-4.0)), F.lit(float(self.n + 4)))
+        at = lambda f: clamp((f - F.lit(self.first)) / F.lit(self.width)).cast("long")
+        first = F.greatest(self._edge(at(lowest), reaches, False), F.lit(0).cast("long"))
+        last = F.least(self._edge(at(highest), begins, True), F.lit(self.n - 1).cast("long"))
+        return first, last
+
+
+def covered(ranges: DataFrame, n: int, value: str | None = None) -> DataFrame:
+    """(channel, value): the channels that ranges (first, last, value) cover, with the greatest value over each.
+
+    A range becomes at most two aligned blocks of channels of each power of two; blocks combine map-side to fewer than 2n rows,
+    and each channel looks up the blocks that it lies in by equality. The work is the ranges times log n, not times the channels.
+    """
+    bits = max(1, (n - 1).bit_length())
+    # Going up the levels, an odd first and an even last block stand alone; what is left between goes on to the level above.
+    a, b = F.col("first"), F.col("last") + 1
+    blocks = []
+    for level in range(bits + 1):
+        low, high = F.shiftright(a + F.lit((1 << level) - 1), level), F.shiftright(b, level)
+        blocks.append(F.when((low < high) & (low % 2 == 1), F.struct(F.lit(level).alias("level"), low.alias("block"))))
+        blocks.append(F.when((low < high) & (high % 2 == 1), F.struct(F.lit(level).alias("level"), (high - 1).alias("block"))))
+    greatest = [F.max(value).alias(value)] if value else []
+    parts = ranges.where("first <= last").select(F.inline(F.array_compact(F.array(*blocks))), *([value] if value else []))
+    parts = parts.groupBy("level", "block").agg(*greatest) if greatest else parts.distinct()
+    channels = ranges.sparkSession.range(n).select(F.col("id").alias("channel"), F.explode(F.sequence(F.lit(0), F.lit(bits))).alias("level")).withColumn("block", F.expr("shiftright(channel, level)"))
+    found = channels.join(parts, ["level", "block"]).groupBy(F.col("channel").cast("int").alias("channel"))
+    return found.agg(*greatest) if greatest else found.agg(F.lit(1)).select("channel")
+
+
+def interference_reach(channels: Axis | DataFrame, model: DataFrame) -> DataFrame:
+    """(channel, reach): the longest baseline that interference (fmin, fmax, max_baseline) touches in each channel that a range overlaps. The model may be of any size."""
+    axis = Axis.read(channels)
+    first, last = axis.between(lambda i: axis.high(i) >= F.col("fmin"), lambda i: axis.low(i) <= F.col("fmax"), F.col("fmin"), F.col("fmax"))
+    ranges = model.select(first.alias("first"), last.alias("last"), "max_baseline")
+    return covered(ranges, axis.n, "max_baseline").withColumnRenamed("max_baseline", "reach")
+
+
+#: Lengths are binned by four parts of each doubling; longer ones share the last bin.
+LAST_BIN = 255
+
+
+def _bin(length: Column) -> Column:
+    return F.least(F.floor(F.log2(F.greatest(length, F.lit(0.0)) + 1) * 4), F.lit(LAST_BIN)).cast("int")
 
 
 def range_mask(measured: DataFrame, reach: DataFrame, mask_autos: bool = False) -> DataFrame:
-    """(cbf_bl, channel): what the interference model masks; whether an antenna with itself is, the model says."""
-    return (measured if mask_autos else measured.where("ant1 <> ant2")).join(F.broadcast(reach), F.col("length_m") <= F.col("reach")).select("cbf_bl", "channel")
+    """(cbf_bl, channel): what the interference model masks; whether an antenna with itself is, the model says.
+
+    Channels meet the baselines of their reach's bin, where lengths are compared, and of all bins below, by equality of bins.
+    """
+    wide = reach.where("reach >= 0").select("channel", "reach", F.explode(F.sequence(F.lit(0), _bin(F.col("reach")))).alias("bin"))
+    own = (measured if mask_autos else measured.where("ant1 <> ant2")).withColumn("bin", _bin(F.col("length_m")))
+    return own.join(wide, "bin").where("length_m <= reach").select("cbf_bl", "channel")
 
 
-def band_mask(channels: DataFrame, model: DataFrame, centre: float, bandwidth: float) -> DataFrame:
-    """Channels whose extent overlaps one of the model's (min_fraction, max_fraction) of the band."""
-    low = (F.col("frequency") - F.col("width") / 2 - (centre - bandwidth / 2)) / bandwidth
-    high = (F.col("frequency") + F.col("width") / 2 - (centre - bandwidth / 2)) / bandwidth
-    return model.join(F.broadcast(channels), (low <= F.col("max_fraction")) & (high >= F.col("min_fraction"))).select("channel").distinct()
+def band_mask(channels: Axis | DataFrame, model: DataFrame, centre: float | None = None, bandwidth: float | None = None) -> DataFrame:
+    """Channels whose extent overlaps one of the model's (min_fraction, max_fraction) of the band, which is the axis's own if none is given."""
+    axis = Axis.read(channels)
+    bandwidth = axis.width * axis.n if bandwidth is None else bandwidth
+    begin = axis.first if centre is None else centre - bandwidth / 2
+    low = lambda i: (axis.low(i) - F.lit(begin)) / F.lit(bandwidth)
+    high = lambda i: (axis.high(i) - F.lit(begin)) / F.lit(bandwidth)
+    at = lambda c: F.lit(begin) + F.col(c) * F.lit(bandwidth)
+    first, last = axis.between(lambda i: high(i) >= F.col("min_fraction"), lambda i: low(i) <= F.col("max_fraction"), at("min_fraction"), at("max_fraction"))
+    return covered(model.select(first.alias("first"), last.alias("last")), axis.n)
 
 
 def unique_masks(masked: DataFrame, all_baselines: DataFrame) -> DataFrame:
@@ -99,3 +188,20 @@ def unique_masks(masked: DataFrame, all_baselines: DataFrame) -> DataFrame:
     rows = all_baselines.select("cbf_bl").join(lists, "cbf_bl", "left").withColumn("channels", F.coalesce("channels", F.lit("")))
     numbered = rows.select("channels").distinct().withColumn("mask_id", F.row_number().over(Window.orderBy("channels")) - 1)
     return rows.join(F.broadcast(numbered), "channels").select("cbf_bl", "mask_id", "channels")
+
+
+def plan_masks(masked: DataFrame, all_baselines: DataFrame, key: str = "cbf_bl") -> tuple[DataFrame, DataFrame]:
+    """Masks for a plan: (key, mask_id) of all baselines, and (mask_id, channel) of their channels. ``masked``: key, channel.
+
+    A baseline's channels are bitmaps, one for each 32,768 channels, which combine map-side; baselines with equal bitmaps share a mask, numbered
+    by the smallest of them. Nothing is sorted or numbered in one task. Baselines without masked channels are under mask -1.
+    """
+    at = F.col("channel").cast("long") + 1
+    parts = masked.groupBy(key, F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+    its = parts.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("bucket", "bits"))).alias("bitmap"))
+    numbered = its.groupBy("bitmap").agg(F.min(key).cast("long").alias("mask_id"))
+    own = its.join(numbered, "bitmap").select(key, "mask_id")
+    ids = all_baselines.select(key).join(own, key, "left").select(key, F.coalesce("mask_id", F.lit(-1)).alias("mask_id"))
+    firsts = numbered.select(F.col("mask_id").alias("_first"))
+    channels = masked.join(firsts, F.col(key) == F.col("_first"), "left_semi").select(F.col(key).cast("long").alias("mask_id"), "channel").distinct()
+    return ids, channels

@@ -54,18 +54,19 @@ def first_timestamp(heaps: DataFrame) -> DataFrame:
     return heaps.where(~F.col("kind").isin(*UNTIMED) & F.col("ts_raw").isNotNull()).agg(F.min_by("ts_raw", "arrival_seq").alias("ts0"))
 
 
-def classify(heaps: DataFrame, interval: int, active_frames: int, channels_per_item: int, start: int, stop: int, bits: int | None = None) -> DataFrame:
+def classify(heaps: DataFrame, interval: int, active_frames: int, channels_per_item: int, start: int, stop: int, bits: int | None = None, base: int | None = None) -> DataFrame:
     """``idx`` (frame number), ``reason`` and ``moves`` (whether it counts for the window) of each record; reason 'ok' is stored in its frame.
 
     Records with a timestamp on the grid move the window of open frames even if they are not stored: those
     that are incomplete, lack an item (kind 'bad-item', reason 'bad-heap') or lie in an unwanted channel. Incomplete
     ones keep that reason if they are old or have no time. Records that cannot be decoded ('bad-heap') have no time.
-    With ``bits``, timestamps of so many bits are unwrapped first.
+    With ``bits``, timestamps of so many bits are unwrapped first. Frames count from ``base``, such as one that sessions share, or else from the
+    first timestamp of these records; what lies before it is too old.
     """
     if bits is not None:
         heaps = heaps.withColumn("ts_raw", F.when(~F.col("kind").isin(*UNTIMED), F.col("ts_raw")))
         heaps = unwrap(heaps, bits).withColumn("ts_raw", F.col("ts")).drop("ts")
-    df = heaps.join(F.broadcast(first_timestamp(heaps)))
+    df = heaps.join(F.broadcast(first_timestamp(heaps))) if base is None else heaps.withColumn("ts0", F.lit(base).cast("long"))
     idx = F.floor((F.col("ts_raw") - F.col("ts0")) / interval).cast("long")
     aligned = F.pmod(F.col("ts_raw") - F.col("ts0"), F.lit(interval)) == 0
     timed = ~F.col("kind").isin(*UNTIMED)

@@ -8,7 +8,7 @@ import json
 import logging
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .cadence import mid_timestamp
@@ -54,6 +54,21 @@ def write_product(rows: DataFrame, path: str) -> None:
     rows.write.partitionBy("substream").mode("append").parquet(path)
 
 
+#: Bytes of one raw sample (two 32-bit integers), and of one sample of a product (two 32-bit floats, a byte of weight and one of flags).
+RAW_BYTES, PRODUCT_BYTES = 8, 10
+
+
+def observe_samples(flagged: DataFrame, into: Observation) -> DataFrame:
+    """The samples; when they have passed, ``into`` has their totals, without a scan of their own."""
+    n = F.count("*")
+    return flagged.observe(into, n.alias("n_samples"), F.count_if(F.col("flags") != 0).alias("n_flagged"), (n * RAW_BYTES).alias("bytes_in"), F.min("dump").alias("first_dump"), F.max("dump").alias("last_dump"))
+
+
+def observe_product(product: DataFrame, into: Observation) -> DataFrame:
+    n = F.count("*")
+    return product.observe(into, n.alias("n_out"), (n * PRODUCT_BYTES).alias("bytes_out"))
+
+
 #: The attributes that describe a product.
 PRODUCT_ATTRIBUTES = (
     "n_chans", "n_chans_per_substream", "n_bls", "bls_ordering", "sync_time", "bandwidth", "center_freq", "channel_range", "int_time", "excise",

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import json
+from dataclasses import replace
 from functools import partial
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ..constants import CAM, COUNT_MASK, DATA_LOST, MAD_TO_SIGMA, STATIC
 from ..functions import ranges
 from ..operators import average, baselines, cadence, frames, metadata, quicklook, rfi, samples, sensors
-from ..session import table, written
+from ..session import fresh_folder, table, written
 from ..sources import adapters as A
+from ..streaming import commit
 from ..streaming import queries as streams
 from .ingest import IngestPlan
 
@@ -370,17 +373,18 @@ reach AS (SELECT channel, max(max_baseline) AS reach FROM axis JOIN model ON fre
 RANGE = f"masked AS (SELECT cbf_bl, channel FROM len JOIN reach ON length_m <= reach WHERE ant1 <> ant2)"
 
 
-def _axis(spark):
-    return baselines.channel_axis(spark, A.N_CHANNELS, CENTRE, BANDWIDTH)
+AXIS_OF = baselines.Axis.of(A.N_CHANNELS, CENTRE, BANDWIDTH)
 
 
 def _masked(spark, d):
-    return baselines.range_mask(_lengths(spark, d), baselines.interference_reach(_axis(spark), A.interference(table(spark, d, "part"))))
+    return baselines.range_mask(_lengths(spark, d), baselines.interference_reach(AXIS_OF, A.interference(table(spark, d, "part"))))
 
 
-@query(f"WITH {AXIS} SELECT channel, frequency, width FROM axis")
+@query(f"WITH {CUBE}, {AXIS}, {SPEC} SELECT channel, frequency, count(*) AS n, CAST(sum(CAST(weight AS BIGINT)) AS BIGINT) AS weight FROM spec JOIN axis USING (channel) GROUP BY channel, frequency")
 def channel_frequencies(spark, d):
-    return _axis(spark)
+    """Samples and weight of the averaged product at each frequency of the band."""
+    axis = baselines.channel_axis(spark, A.N_CHANNELS, CENTRE, BANDWIDTH)
+    return excised_average(spark, d).join(axis, "channel").groupBy("channel", "frequency").agg(F.count("*").alias("n"), F.sum(F.col("weight").cast("long")).alias("weight"))
 
 
 @query(f"WITH {LABELLED}, {LENGTHS}, {AXIS}, {REACH}, {RANGE} SELECT cbf_bl, channel FROM masked")
@@ -400,7 +404,7 @@ def unique_masks(spark, d):
 SELECT DISTINCT channel FROM axis JOIN bands ON (frequency - width / 2 - {CENTRE - BANDWIDTH / 2}::DOUBLE) / {BANDWIDTH}::DOUBLE <= b AND (frequency + width / 2 - {CENTRE - BANDWIDTH / 2}::DOUBLE) / {BANDWIDTH}::DOUBLE >= a""")
 def band_mask(spark, d):
     model = table(spark, d, "part").select((F.col("p_size") / 100.0).alias("min_fraction"), (F.col("p_size") / 100.0 + 0.002).alias("max_fraction")).distinct()
-    return baselines.band_mask(_axis(spark), model, CENTRE, BANDWIDTH)
+    return baselines.band_mask(AXIS_OF, model)
 
 
 @query("""SELECT l_orderkey, l_linenumber, CAST(floor((a - 30) / 7.0) * 7 AS BIGINT) AS low, CAST(ceil(b / 7.0) * 7 AS BIGINT) AS high, CAST(greatest(b - (a - 30), 0) AS BIGINT) AS n
@@ -759,3 +763,56 @@ def stream_asof(spark, d):
 @query(f"WITH {HEAPS} SELECT arrival_seq, kind, ts_raw, frequency, payload, CAST(frequency // {PER_ITEM} AS INT) AS endpoint FROM heaps WHERE frequency >= {WANTED[0]} AND frequency < {WANTED[1]}")
 def heaps_by_endpoint(spark, d):
     return streams.heaps_by_endpoint(spark, d)
+
+
+# --- masks of models, shared base, totals -----------------------------------------------------------
+
+MODEL_MASKS = f"""{AXIS}, {REACH}, pairs AS (SELECT bl, left(input1, -1) AS a1, left(input2, -1) AS a2 FROM base),
+ant AS (SELECT 'm' || (s_suppkey - 1) AS antenna, s_acctbal AS east, s_nationkey * 100.0::DOUBLE AS north FROM supplier),
+model_mask AS (SELECT bl, channel FROM (SELECT bl, sqrt((a.east - b.east) * (a.east - b.east) + (a.north - b.north) * (a.north - b.north)) AS length_m FROM pairs JOIN ant a ON a.antenna = a1 JOIN ant b ON b.antenna = a2 WHERE a1 <> a2) JOIN reach ON length_m <= reach)"""
+MASKED_FLAGGED = FLAGGED.replace("FROM sample", "FROM modelled")
+
+
+def _model_masks(spark, d):
+    """(bl, mask_id) and (mask_id, channel, mask_flags) of the output baselines, by the interference model."""
+    base = A.baselines(spark).withColumn("cbf_bl", F.col("bl").cast("long"))
+    places = A.antennas(table(spark, d, "supplier").withColumn("s_suppkey", F.col("s_suppkey") - 1))
+    reach = baselines.interference_reach(AXIS_OF, A.interference(table(spark, d, "part")))
+    ids, channels = baselines.plan_masks(baselines.range_mask(baselines.lengths(base, places), reach), base)
+    return ids.withColumn("bl", F.col("cbf_bl").cast("int")).drop("cbf_bl"), channels.withColumn("mask_flags", F.lit(STATIC))
+
+
+@query(f"""WITH {CUBE}, {MODEL_MASKS}, unmasked AS (SELECT *, CASE WHEN re = 0 AND im = 0 THEN {CAM} ELSE 0 END | CASE WHEN missing THEN {DATA_LOST} ELSE 0 END AS own FROM reordered),
+modelled AS (SELECT u.dump, u.channel, u.bl, re, im, own | (CASE WHEN m.bl IS NOT NULL THEN {STATIC} ELSE 0 END) AS flags FROM unmasked u LEFT JOIN model_mask m ON m.bl = u.bl AND m.channel = u.channel),
+{MASKED_FLAGGED}, sums AS ({sums_sql('flagged', 'channel, bl', A.RATIO)}), spec AS ({final_sql('sums', SPEC_KEYS)}) {packed_sql('spec', SPEC_KEYS, 'channel')}""")
+def ingest_masked(spark, d):
+    """The spectral product with the masks that the planner makes of the interference model."""
+    ids, masks = _model_masks(spark, d)
+    made = replace(PLAN, n_masks=1 << 31).build(_raw(spark, d), A.permutation(spark), A.baselines(spark).drop("mask_id").join(ids, "bl"), masks)
+    return made["spectral"].select("out_idx", "channel", "bl", *PACKED)
+
+
+_shared = HEAPS.replace("(SELECT arg_min(ts_raw, arrival_seq) AS ts0 FROM heaps", "(SELECT arg_min(ts_raw, arrival_seq) AS ts0 FROM heaps WHERE session = 's3' AND").replace("AND WHERE kind", "AND kind")
+
+
+@query(f"WITH {_shared} SELECT arrival_seq, session, coalesce(idx, -1) AS idx FROM timed WHERE session IN ('s3', 's5')")
+def shared_first_timestamp(spark, d):
+    """Frame numbers of two sessions that share the base of the one which told its first timestamp first."""
+    heaps, folder = A.heaps(table(spark, d, "events"), by_session=True), fresh_folder(spark, "base")
+    out = []
+    for name in ("s3", "s5"):
+        own = heaps.where(F.col("session") == name)
+        base = commit.shared_base(spark, folder, "block", own)
+        out.append(frames.classify(own, HEAP_INTERVAL, ACTIVE, PER_ITEM, *WANTED, base=base).select("arrival_seq", "session", F.coalesce("idx", F.lit(-1)).alias("idx")))
+    return out[0].union(out[1])
+
+
+@query(f"""WITH {CUBE}, {SPEC} SELECT count(*) AS n_samples, count(*) FILTER (flags <> 0) AS n_flagged, count(*) * 8 AS bytes_in, CAST(min(dump) AS BIGINT) AS first_dump, CAST(max(dump) AS BIGINT) AS last_dump,
+  (SELECT count(*) FROM spec) AS n_out, (SELECT count(*) * 10 FROM spec) AS bytes_out FROM sample""")
+def observed_totals(spark, d):
+    """Totals of a session's input and output, observed while its product is written."""
+    seen, made = Observation("input"), Observation("output")
+    flagged = metadata.observe_samples(_samples(spark, d), seen)
+    product = metadata.observe_product(average.compress_weights(average.spectral(flagged, A.RATIO, A.N_ACCS)), made)
+    written(product, "observed")
+    return spark.createDataFrame([{**seen.get, **made.get}], "n_samples long, n_flagged long, bytes_in long, first_dump long, last_dump long, n_out long, bytes_out long")
