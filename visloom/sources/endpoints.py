@@ -61,7 +61,7 @@ def _file_system(path: str):
 
 
 def list_files(path: str) -> dict[int, list[str]]:
-    """Whole files of each endpoint, by name. Spark's commit moves files into place, so what is listed is complete."""
+    """Whole files of each endpoint, in the order of their writing, so that what is recorded later comes later. Spark's commit moves files into place, so what is listed is complete."""
     from pyarrow import fs
 
     system, root = _file_system(path)
@@ -69,7 +69,8 @@ def list_files(path: str) -> dict[int, list[str]]:
     for item in system.get_file_info(fs.FileSelector(root, allow_not_found=True)):
         if item.type == fs.FileType.Directory and item.base_name.startswith("_folder=") and item.base_name[8:].lstrip("-").isdigit():
             files = system.get_file_info(fs.FileSelector(item.path))
-            out[int(item.base_name[8:])] = sorted(f.path for f in files if f.base_name.endswith(".parquet") and f.base_name[0] not in "._")
+            whole = [f for f in files if f.base_name.endswith(".parquet") and f.base_name[0] not in "._"]
+            out[int(item.base_name[8:])] = [f.path for f in sorted(whole, key=lambda f: (f.mtime_ns or 0, f.path))]
     return out
 
 

@@ -49,9 +49,10 @@ class CountWindows(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         df = pd.concat(list(rows))
         ended = bool(df["dump"].isna().any())
-        df = df[df["dump"].notna()]
+        # A null among integers has made doubles of them.
+        df = df[df["dump"].notna()].astype({c: "int64" for c in ("dump", "channel", "re", "im", "flags")})
         at, late = self.open.get() if self.open.exists() else (None, 0)
-        df = df.assign(grp=df["dump"].astype("int64") // self.ratio)
+        df = df.assign(grp=df["dump"] // self.ratio)
         if at is not None:
             late += int((df["grp"] < at).sum())
             df = df[df["grp"] >= at]
