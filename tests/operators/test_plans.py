@@ -165,3 +165,30 @@ def test_totals_are_observed_with_the_product(spark, parts):
     rows = metadata.observe_product(plan.spectral(plan.sums(plan.fine_sums(flagged), 4)), out).collect()
     assert seen.get["n_samples"] == 12 * 8 * 3 and seen.get["bytes_in"] == 8 * 12 * 8 * 3 and (seen.get["first_dump"], seen.get["last_dump"]) == (0, 11)
     assert out.get["n_out"] == len(rows) == 3 * 8 * 3
+
+
+def test_display_group(spark, parts):
+    from visloom.plans import display
+
+    plan = IngestPlan(n_accs=4, n_channels=16, start=4, stop=12, ratio=4, sd_ratio=4, cont_factor=4, sd_cont_factor=2, n_masks=1, detector=None)
+    made, labels = plan.build(*parts), [("m0h", "m0h"), ("m0h", "m1h"), ("m0v", "m1v")]
+    one = lambda *bl: spark.createDataFrame([(b,) for b in bl], "bl int")
+    shown = display.display(plan, made, one(2), one(0), labels, 1284.0, 856.0, 10, 0, 1.0)
+    assert set(shown) == set(display.ITEMS) and len(display.ITEMS) == 17
+    assert {r["bl"] for r in shown["sd_data_index"].collect()} == {2} and shown["sd_data"].count() == shown["sd_flags"].count() == 3 * 8
+    assert shown["sd_blmxdata"].count() == shown["sd_blmxflags"].count() == 3 * 4 * 3
+    # A choice out of range leaves the one before.
+    assert {r["bl"] for r in display.display(plan, made, one(1, 3), one(0), labels, 1284.0, 856.0, 10, 0, 1.0)["sd_data_index"].collect()} == {0}
+    assert [shown[k].first()[k] for k in ("bandwidth", "center_freq", "n_chans", "sd_blmx_n_chans", "frequency")] == [428.0, 1284.0, 8, 4, 0]
+    assert display.subband(16, 1284.0, 856.0, 0, 4) == (1284.0 - 6 * 53.5, 4 * 53.5)
+
+
+def test_channel_sensors_at_the_end_of_dumps(spark, caplog):
+    dumps = spark.createDataFrame([(0, 9.0), (1, 19.5), (2, 29.0), (3, 99.0)], "dump long, mid double")
+    rows = [(20.0, 1, [True, False, True, None]), (20.0, 2, [False, True, True]), (30.0, 3, [True] * 6)]
+    flat = spark.createDataFrame(rows, "ts double, seq long, value array<boolean>")
+    expected = {(1, 1), (1, 2), (2, 1), (2, 2), (3, 1), (3, 2), (3, 3)}
+    expected = (expected - {(2, 1), (2, 2)}) | {(2, 1), (2, 2), (2, 3)}  # 29 + 0.5 * 2 reaches 30
+    assert {tuple(r) for r in sensors.channels_at_dumps(dumps, flat, 1, 4, 2.0).collect()} == expected
+    deep = flat.select("ts", "seq", F.array("value", F.array(F.lit(True))).alias("value"))
+    assert {tuple(r) for r in sensors.channels_at_dumps(dumps, deep, 1, 4, 2.0).collect()} == expected and "first is used" in caplog.text

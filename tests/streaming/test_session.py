@@ -1,7 +1,10 @@
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
 from visloom.streaming import frames
+from visloom.streaming.commit import ExactlyOnceSink
 from visloom.streaming.session import CaptureSession, Health, Status
 
 HEAP = "session string, arrival_seq long, kind string, ts_raw long, frequency int, payload long"
@@ -47,3 +50,53 @@ def test_endpoints_wraps_and_quiet_end(spark, tmp_path):
     query.awaitTermination()
     got = {(r["session"], r["arrival_seq"], r["idx"], r["reason"]) for r in spark.table("ends").collect()}
     assert got == {("s", 0, 0, "incomplete"), ("s", 1, 1, "ok"), ("s", 2, 3, "ok"), ("s", 5, 3, "ok")}
+
+
+class Receiver:
+    def __init__(self, fails=False):
+        self.told, self.fails = [], fails
+
+    def begin(self, block):
+        self.told.append(("begin", block))
+        if self.fails:
+            raise OSError("unreachable")
+
+    def __call__(self, batch, epoch):
+        self.told.append(("rows", batch.count()))
+
+    def end(self, block):
+        self.told.append(("end", block))
+
+
+def test_markers_grace_and_stop_from_two_sides(spark, tmp_path):
+    """What has arrived is worked off before the stop; receivers hear begin and end; of two calls one stops."""
+    spark.createDataFrame([(k,) for k in range(6)], "v long").repartition(3).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("v long").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    session, good, bad = CaptureSession(str(tmp_path / "log"), grace=30.0), Receiver(), Receiver(fails=True)
+    session.add_receiver("good", good)
+    session.add_receiver("bad", bad)
+    session.start("b1", {"rows": stream})
+    told = []
+    both = threading.Barrier(2)
+
+    def stop():
+        both.wait()
+        told.append(session.stop())
+
+    threads = [threading.Thread(target=stop) for _ in range(2)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert sorted(told) == [False, True]
+    assert session.status is Status.COMPLETE and session.health is Health.DEGRADED
+    assert good.told[0] == ("begin", "b1") and good.told[-1] == ("end", "b1")
+    assert sum(n for kind, n in good.told[1:-1]) == 6
+    session.start("b2", {})
+    assert session.stop() is True
+
+
+def test_sink_tells_begin_and_end(spark, tmp_path):
+    sink = ExactlyOnceSink(f"file://{tmp_path}/p", "q")
+    sink.begin("b")
+    assert not sink.ended("b")
+    sink.end("b")
+    assert sink.ended("b")

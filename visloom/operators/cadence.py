@@ -18,3 +18,9 @@ def mid_timestamp(index: Column, ratio: int, interval: int, base: Column, scale:
 
 def centiseconds(seconds: Column) -> Column:
     return (seconds * 100).cast("long")
+
+
+def timestamps(frames: DataFrame, raw: Column, scale: float, sync_time: float) -> DataFrame:
+    """``relative`` seconds since the sync time of a raw timestamp, ``unix`` seconds, and the instant they name."""
+    out = frames.withColumn("relative", raw / F.lit(float(scale)))
+    return out.withColumn("unix", F.lit(float(sync_time)) + F.col("relative")).withColumn("instant", F.timestamp_seconds("unix"))

@@ -103,11 +103,20 @@ def completeness(classified: DataFrame, frequencies: list[int]) -> DataFrame:
     return all_.groupBy("idx").agg(F.count("payload").alias("n_items"), F.count_if(F.col("payload").isNull()).alias("n_missing"))
 
 
-def fill_lost(classified: DataFrame, frequencies: list[int], channels_per_item: int, lost_flags: int) -> DataFrame:
-    """(idx, channel, value, flags) over frames that have an item: channels of lost items get value 0, and ``lost_flags`` in the place of their mask."""
+def fill_lost(classified: DataFrame, frequencies: list[int], channels_per_item: int, lost_flags: int, wanted: tuple[int, int] | None = None) -> DataFrame:
+    """(idx, channel, value, flags) over frames that have an item: channels of lost items get value 0, and ``lost_flags`` in the place of their mask.
+
+    With ``wanted``, a half-open range of channels that need not begin or end with an item, only the parts of items in it are
+    spread, and channels count from its start.
+    """
     there = items(classified)
-    all_ = grid(classified, frequencies).join(there.select("idx").distinct(), "idx", "left_semi").join(there, ["idx", "frequency"], "left")
-    return all_.select("idx", F.explode(F.sequence("frequency", F.col("frequency") + (channels_per_item - 1))).alias("channel"), F.coalesce("payload", F.lit(0)).alias("value"), F.when(F.col("payload").isNull(), lost_flags).otherwise(0).alias("flags"))
+    start, stop = wanted or (min(frequencies, default=0), max(frequencies, default=0) + channels_per_item)
+    inside = [f for f in frequencies if f < stop and f + channels_per_item > start]
+    all_ = grid(classified, inside).join(there.select("idx").distinct(), "idx", "left_semi").join(there, ["idx", "frequency"], "left")
+    first, last = F.greatest("frequency", F.lit(start)), F.least(F.col("frequency") + channels_per_item, F.lit(stop)) - 1
+    channel = F.explode(F.sequence(first, last)).alias("channel")
+    out = all_.select("idx", channel, F.coalesce("payload", F.lit(0)).alias("value"), F.when(F.col("payload").isNull(), lost_flags).otherwise(0).alias("flags"))
+    return out.withColumn("channel", F.col("channel") - start) if wanted else out
 
 
 def totals(classified: DataFrame, stopped_at: int | None = None) -> DataFrame:

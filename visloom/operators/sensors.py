@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import CAM, STATIC
 from .frames import running_max
 from .samples import masked
 
+log = logging.getLogger(__name__)
+
 #: Length of a bucket of time in as-of lookups.
 BUCKET_SECONDS = 86_400.0
 
@@ -72,6 +77,21 @@ def channel_flags(live: DataFrame, suspect: DataFrame | None = None) -> DataFram
     return out.groupBy("dump", "channel").agg(F.bit_or("f").alias("channel_flags"))
 
 
+def channels_at_dumps(dumps: DataFrame, sensor: DataFrame, start: int, stop: int, int_time: float = 0.0) -> DataFrame:
+    """(dump, channel) of the channels that a sensor of channels (ts, seq, value) says yes to, by its last value before the end of each dump.
+
+    ``dumps``: dump and ``mid``, its middle in seconds. A value is an array of booleans over the whole band, of which [start, stop) counts;
+    arrays of arrays, an old form, count by their first row, with a warning. Dumps before the first value have no channels; neither
+    have channels beyond a short array, nor nulls.
+    """
+    if isinstance(sensor.schema["value"].dataType.elementType, T.ArrayType):
+        log.warning("a channel sensor has rows of channels; only the first is used")
+        sensor = sensor.withColumn("value", F.get("value", F.lit(0)))
+    asked = dumps.select(F.lit("channels").alias("sensor"), (F.col("mid") + F.lit(0.5 * int_time)).alias("at"), "dump")
+    told = as_of(asked, sensor.select(F.lit("channels").alias("sensor"), "ts", "seq", "value"))
+    return told.select("dump", F.posexplode("value").alias("channel", "said")).where(F.col("said") & (F.col("channel") >= start) & (F.col("channel") < stop)).select("dump", "channel")
+
+
 def external_flags(grid: DataFrame, baselines: DataFrame, channel_masks: DataFrame, n_masks: int, live: DataFrame, suspect: DataFrame | None = None) -> DataFrame:
     """``flags`` of (dump, channel, bl): by the baseline's static mask, the dump's live channel mask and its suspect channels."""
     df = masked(grid, baselines, channel_masks, n_masks).join(channel_flags(live, suspect), ["dump", "channel"], "left")

@@ -16,6 +16,7 @@ from ..session import fresh_folder, table, written
 from ..sources import adapters as A
 from ..streaming import commit
 from ..streaming import queries as streams
+from . import display
 from .ingest import IngestPlan
 
 QUERIES: dict = {}
@@ -229,16 +230,18 @@ grouped AS (SELECT bl, unnest([kind, kind || CASE WHEN p = q THEN p || q ELSE 'h
 CELLS = f"cells AS (SELECT DISTINCT out_idx, channel, g.grp FROM spec, (SELECT unnest({list(baselines.GROUPS)}) AS grp) g)"
 PERCENTILES = f"""{GROUPED}, {CELLS}, lists AS (
   SELECT out_idx, channel, grp, list_sort(list(sqrt(re * re + im * im))) AS a, bit_or(flags) AS flags FROM spec JOIN grouped USING (bl) GROUP BY ALL)"""
-_rank = lambda p, name: f"coalesce(a[CAST(floor({p} * (len(a) - 1)) AS INT) + 1], 'nan'::DOUBLE) AS {name}"
+_rank = lambda p, name: f"a[CAST(floor({p} * (len(a) - 1)) AS INT) + 1] AS {name}"
 
 
 def _percentiles(spark, d):
     return quicklook.percentiles(_sd(spark, d), baselines.groups(A.baselines(spark)), list(baselines.GROUPS))
 
 
-@query(f"WITH {CUBE}, {SD}, {PERCENTILES} SELECT out_idx, channel, grp, {_rank(0, 'p_min')}, {_rank(1, 'p_max')}, {_rank(0.25, 'p_25')}, {_rank(0.75, 'p_75')}, {_rank(0.5, 'p_50')} FROM lists")
+@query(f"WITH {CUBE}, {SD}, {PERCENTILES} SELECT out_idx, channel, grp, {_rank(0, 'p_min')}, {_rank(1, 'p_max')}, {_rank(0.25, 'p_25')}, {_rank(0.75, 'p_75')}, {_rank(0.5, 'p_50')} FROM cells LEFT JOIN lists USING (out_idx, channel, grp)")
 def percentile5(spark, d):
-    return _percentiles(spark, d).where("NOT isnan(p_min)").drop("flags")
+    """With the groups that have no baseline; their NaN is given as null, as NaN equals nothing."""
+    ranks = [c for c in _percentiles(spark, d).columns if c.startswith("p_")]
+    return _percentiles(spark, d).drop("flags").withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ranks})
 
 
 @query(f"WITH {CUBE}, {SD}, {PERCENTILES} SELECT out_idx, channel, grp, CAST(coalesce(flags, 0) AS INT) AS flags FROM cells LEFT JOIN lists USING (out_idx, channel, grp)")
@@ -699,18 +702,104 @@ def product_rows(spark, d):
     return rows.select("dump_index", "timestamp", "substream", "frequency", "channel", "bl", "flags", "weight_u8")
 
 
-DESCRIBED = {
-    "n_chans": WIDTH, "n_chans_per_substream": WIDTH // SHARDS, "n_bls": len(A.LABELS), "bls_ordering": [list(x) for x in A.LABELS], "sync_time": 0.0, "bandwidth": BANDWIDTH, "center_freq": CENTRE,
-    "channel_range": [SD_START, SD_STOP], "int_time": A.RATIO * INTERVAL / SCALE, "excise": True, "src_streams": ["raw"], "stream_type": "vis", "calibrations_applied": 0, "need_weights_power_scale": True,
-}
+FIXED = {"sync_time": 0.0, "center_freq": CENTRE, "int_time": A.RATIO * INTERVAL / SCALE, "excise": True, "src_streams": ["raw"], "stream_type": "vis", "calibrations_applied": 0, "need_weights_power_scale": True}
+_json_rows = ", ".join(f"('l0_{k}', '{json.dumps(v)}')" for k, v in FIXED.items())
 
 
-@query(f"""WITH a(key, value) AS (VALUES {_values([(f'l0_{k}', json.dumps(v)) for k, v in DESCRIBED.items()])})
-SELECT key, value FROM a WHERE key NOT IN (SELECT 'l0_n_bls' FROM region WHERE r_regionkey = 0)""")
+@query(f"""WITH {CUBE}, {FLAGGED}, s AS (SELECT count(DISTINCT channel) AS n, min(channel) AS low, max(channel) + 1 AS high, count(DISTINCT bl) AS bls FROM flagged),
+a(key, value) AS (VALUES {_json_rows}),
+told AS (SELECT * FROM a UNION ALL SELECT unnest(['l0_n_chans', 'l0_n_chans_per_substream', 'l0_n_bls', 'l0_channel_range', 'l0_bandwidth', 'l0_bls_ordering']),
+  unnest([CAST(n AS VARCHAR), CAST(n // {SHARDS} AS VARCHAR), CAST(bls AS VARCHAR), '[' || low || ', ' || high || ']', CAST({BANDWIDTH} * n / {A.N_CHANNELS} AS VARCHAR),
+    (SELECT '[' || string_agg('["' || input1 || '", "' || input2 || '"]', ', ' ORDER BY bl) || ']' FROM base WHERE bl IN (SELECT bl FROM flagged))]) FROM s)
+SELECT key, value FROM told WHERE key NOT IN (SELECT 'l0_' || event_type FROM events)""")
 def product_attributes(spark, d):
-    """Those that are not there yet; the number of baselines already is."""
-    held = table(spark, d, "region").where("r_regionkey = 0").select(F.lit("l0_n_bls").alias("key"))
-    return metadata.write_once(held, metadata.product_attributes(spark, "l0", DESCRIBED))
+    """Attributes of the product as it is in the data, those that are not there yet."""
+    product = _products(spark, d)["samples"]
+    seen = product.agg(F.count_distinct("channel").alias("n"), F.min("channel").alias("low"), (F.max("channel") + 1).alias("high"), F.sort_array(F.collect_set("bl")).alias("bls")).first()
+    values = FIXED | {
+        "n_chans": seen["n"], "n_chans_per_substream": seen["n"] // SHARDS, "n_bls": len(seen["bls"]), "bls_ordering": [list(A.LABELS[b]) for b in seen["bls"]],
+        "channel_range": [seen["low"], seen["high"]], "bandwidth": BANDWIDTH * seen["n"] / A.N_CHANNELS,
+    }
+    held = table(spark, d, "events").select(F.concat(F.lit("l0_"), "event_type").alias("key")).distinct()
+    return metadata.write_once(held, metadata.product_attributes(spark, "l0", values))
+
+
+# --- the display's group ----------------------------------------------------------------------------
+
+
+SIGNALS = (1, 4)
+
+
+def _display(spark, d):
+    chosen = spark.createDataFrame([(b,) for b in SIGNALS], "bl int")
+    return display.display(PLAN, _products(spark, d), chosen, chosen.limit(1), list(A.LABELS), CENTRE, BANDWIDTH, INTERVAL, BASE_TS, SCALE, (0, A.N_CHANNELS))
+
+
+_ordering = "[" + ", ".join(f"['{a}', '{b}']" for a, b in A.LABELS) + "]"
+
+
+@query(f"""WITH {CUBE}, {FLAGGED}, f AS (SELECT DISTINCT CAST(dump // {SD_RATIO} AS BIGINT) AS out_idx FROM flagged)
+SELECT out_idx, CAST(trunc(((out_idx + 0.5::DOUBLE) * {float(SD_RATIO)}::DOUBLE * {float(INTERVAL)}::DOUBLE + {BASE_TS}) / {SCALE}::DOUBLE * 100) AS BIGINT) AS sd_timestamp,
+  array_to_string(flatten({_ordering}), ' ') AS bls_ordering, {BANDWIDTH}::DOUBLE AS bandwidth, {CENTRE}::DOUBLE AS center_freq, {A.N_CHANNELS} AS n_chans, {A.N_CHANNELS // 4} AS sd_blmx_n_chans, {SD_START} AS frequency FROM f""")
+def display_frames(spark, d):
+    """One row a frame: its time stamp, and the items that hold for the session."""
+    made = _display(spark, d)
+    out = made["sd_timestamp"].withColumnRenamed("centiseconds", "sd_timestamp")
+    for name in ("bls_ordering", "bandwidth", "center_freq", "n_chans", "sd_blmx_n_chans", "frequency"):
+        out = out.join(made[name], "out_idx")
+    return out.withColumn("bls_ordering", F.array_join(F.flatten("bls_ordering"), " "))
+
+
+@query(f"""WITH {CUBE}, {FLAGGED}, sums AS ({sums_sql('flagged', 'channel, bl', SD_RATIO)}), spec AS ({final_sql('sums', SPEC_KEYS)}),
+csums AS ({sums_sql('flagged', 'CAST(channel // 4 AS INT) AS cont_channel, bl', SD_RATIO)}), cont AS ({final_sql('csums', CONT_KEYS)})
+SELECT 'sd_data' AS item, out_idx, channel AS cell, bl, re, im, flags FROM spec WHERE bl IN {SIGNALS} UNION ALL SELECT 'sd_blmxdata', out_idx, cont_channel, bl, re, im, flags FROM cont""")
+def display_data(spark, d):
+    """Spectra of the chosen signals with their flags, and the baseline matrix with its flags."""
+    made, key = _display(spark, d), ["out_idx", "channel", "bl"]
+    signals = made["sd_data"].join(made["sd_flags"], key).join(made["sd_data_index"], ["out_idx", "bl"])
+    matrix = made["sd_blmxdata"].join(made["sd_blmxflags"], ["out_idx", "cont_channel", "bl"])
+    shape = lambda df, item, cell: df.select(F.lit(item).alias("item"), "out_idx", F.col(cell).alias("cell"), "bl", "re", "im", "flags")
+    return shape(signals, "sd_data", "channel").union(shape(matrix, "sd_blmxdata", "cont_channel"))
+
+
+# --- partial items, times of frames, live masks -----------------------------------------------------
+
+PART = (5, 21)
+
+
+@query(f"""WITH {HEAPS} SELECT idx, CAST(frequency + c - {PART[0]} AS INT) AS channel, coalesce(payload, 0) AS value, CASE WHEN payload IS NULL THEN {DATA_LOST} ELSE 0 END AS flags
+FROM grid LEFT JOIN items USING (idx, frequency), range({PER_ITEM}) t(c) WHERE idx IN (SELECT idx FROM items) AND frequency + c >= {PART[0]} AND frequency + c < {PART[1]}""")
+def partial_items(spark, d):
+    """Items against a wanted range that begins and ends within them."""
+    return frames.fill_lost(_classified(spark, d), FREQUENCIES, PER_ITEM, DATA_LOST, PART)
+
+
+SYNC = 1_700_000_000.0
+
+
+@query(f"""WITH {HEAPS} SELECT DISTINCT idx, (ts0 + idx * {HEAP_INTERVAL}) / {SCALE}::DOUBLE AS relative, {SYNC}::DOUBLE + (ts0 + idx * {HEAP_INTERVAL}) / {SCALE}::DOUBLE AS unix,
+  CAST(trunc(({SYNC}::DOUBLE + (ts0 + idx * {HEAP_INTERVAL}) / {SCALE}::DOUBLE) * 1000000) AS BIGINT) AS micros FROM grid, t0""")
+def frame_times(spark, d):
+    """Relative and absolute time of every frame, wholly empty ones included."""
+    all_ = frames.grid(_classified(spark, d), FREQUENCIES[:1]).join(frames.first_timestamp(A.heaps(table(spark, d, "events"))))
+    out = cadence.timestamps(all_, F.col("ts0") + F.col("idx") * HEAP_INTERVAL, SCALE, SYNC)
+    return out.select("idx", "relative", "unix", F.unix_micros("instant").alias("micros"))
+
+
+_band = f"list_transform(range({A.N_CHANNELS}), lambda c: (c + {K}) % 9 = 0)"
+
+
+@query(f"""WITH t AS (SELECT CAST(event_id // 256 AS BIGINT) AS dump, avg(epoch_us(ts) / 1000000.0::DOUBLE) AS mid FROM events GROUP BY ALL),
+s AS (SELECT epoch_us(ts) / 1000000.0::DOUBLE AS at, arg_max({_band}, event_id) AS said FROM events WHERE event_type = 'signup' GROUP BY ALL)
+SELECT dump, CAST(c AS INT) AS channel FROM (SELECT dump, said FROM t ASOF JOIN s ON t.mid + 900.0 >= s.at), unnest(range({SD_START}, {SD_STOP})) u(c) WHERE said[c + 1]""")
+def live_channel_masks(spark, d):
+    """Channels masked in each dump by the last value of the channel sensor before the dump's end, a sensor of the old form with rows of channels."""
+    events, at = table(spark, d, "events"), F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1_000_000.0)
+    dumps = events.groupBy(F.floor(F.col("event_id") / 256).alias("dump")).agg(F.avg(at).alias("mid"))
+    k = F.get_json_object("props", "$.k").cast("int")
+    said = F.transform(F.sequence(F.lit(0), F.lit(A.N_CHANNELS - 1)), lambda c: (c + k) % 9 == 0)
+    sensor = events.where("event_type = 'signup'").select(at.alias("ts"), F.col("event_id").alias("seq"), F.array(said).alias("value"))
+    return sensors.channels_at_dumps(dumps, sensor, SD_START, SD_STOP, 1800.0)
 
 
 # --- streaming --------------------------------------------------------------------------------------

@@ -124,6 +124,17 @@ class ExactlyOnceSink:
                 time.sleep(self.wait * 2**attempt)
         _publish(spark, self._marker(epoch), "")
 
+    def begin(self, block: str) -> None:
+        """Leave a mark that a capture block has begun, for readers of the folder."""
+        _publish(SparkSession.active(), f"{self.path}/{self.query}/marks/{block}.begin", "")
+
+    def end(self, block: str) -> None:
+        """And that no more of it will come."""
+        _publish(SparkSession.active(), f"{self.path}/{self.query}/marks/{block}.end", "")
+
+    def ended(self, block: str) -> bool:
+        return _text(SparkSession.active(), f"{self.path}/{self.query}/marks/{block}.end") is not None
+
     def committed(self, spark: SparkSession) -> list[int]:
         context, where = _hadoop(spark, f"{self.path}/{self.query}/committed")
         if not context.util().exists(where):
