@@ -5,7 +5,6 @@ from __future__ import annotations
 import contextlib
 import contextvars
 import os
-import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -41,18 +40,10 @@ def free(columns: list[str], name: str) -> str:
     return name
 
 
-_OWN_DIRS: dict[str, str] = {}
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, named in spark.checkpoint.dir; a temporary one only where none is named, as in tests."""
+    """The folder that driver and executors share, named in spark.checkpoint.dir; one in the warehouse where none is named, as in tests. Never a folder of one machine's own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    app = spark.sparkContext.applicationId
-    if app not in _OWN_DIRS:
-        _OWN_DIRS[app] = "file://" + tempfile.mkdtemp(prefix="shared-")
-    return _OWN_DIRS[app]
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shared-{spark.sparkContext.applicationId}"
 
 
 def cut(df: DataFrame) -> DataFrame:
