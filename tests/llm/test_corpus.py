@@ -351,6 +351,45 @@ def test_bounds_leave_every_link_to_the_outside(spark, size):
     assert links and links <= found and len(found) < len(every) / 2
 
 
+def spread_rows(m, seed=4):
+    """Edits of one text, of which few pairs reach the threshold and most come to about half."""
+    rng = random.Random(seed)
+    out = []
+    for k in range(m):
+        words = [f"b{i}" for i in range(200)]
+        for at in rng.sample(range(200), rng.randint(6, 27)):
+            words[at] = f"e{k}x{at}"
+        out.append((k, " ".join(words)))
+    return out
+
+
+def reachable(links):
+    """Smallest node that each node is linked with, by way of others too."""
+    parent = {x: x for link in links for x in link}
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in links:
+        p, q = sorted((top(a), top(b)))
+        parent[q] = p
+    return {x: top(x) for x in parent}
+
+
+def test_candidates_grow_with_links_not_with_pairs(spark):
+    """Groups of near copies most of whose pairs lie below the threshold: candidates stay near the links."""
+    for m in (100, 200, 400):
+        df = spark.createDataFrame(spread_rows(m), "doc_id long, text string")
+        cells = neardup.classes_of(neardup.signatures(df, 2)).selectExpr("0L AS cell", "rep", "rep AS component", "n_shingles AS n")
+        found = {tuple(sorted((r["x"], r["y"]))) for r in neardup._candidates(cells, df, 2, 80).collect()}
+        sets = {r["id"]: np.frombuffer(r["shingles"], "<u8") for r in neardup.shingle_sets(df, cells.selectExpr("rep AS id"), 2).collect()}
+        links = {(a, b) for a, b in itertools.combinations(sorted(sets), 2) if neardup.similar(sets[a], sets[b], 80)}
+        # a certain pair may be left to the links of both with the lightest member
+        assert reachable(links & found) == reachable(links) and len(found) <= 2 * len(links) + m
+
+
 def test_near_duplicates_edges(odd, empty):
     rows = neardup.near_duplicates(odd, size=2).collect()
     got = {r["doc_id"]: r.asDict() for r in rows}

@@ -8,11 +8,11 @@
    signatures nearly agree are confirmed on their full sets, and joined to components by large-star and
    small-star rounds. That settles buckets of two, and most members of the others.
 4. The rest is exact. Members of a bucket that lie in several components go to the cell of the bucket's largest
-   one. Shingles that half of a cell's members have are its consensus; few of the others are shared by many.
-   The intersection of two sets is at most the smaller of their shares of the consensus, plus what they
-   have in common beside it. So a member outside the cell's component is compared only with members
-   that it shares enough rare shingles with (found by a join on these), or whose consensus shares alone
-   are large enough. No pair within one component is made, nor one that these bounds rule out.
+   one. Shingles that half of a cell's members have are its consensus. Two sets' intersection is the consensus
+   without what either lacks of it, plus what both lack, plus what both have beside it. So a pair is similar if and
+   only if it shares as many items, things lacked or had beside, as the sum of two weights, one of each member.
+   Weights that cancel need no shared item; all such members are similar to the lightest one, and get one link with
+   it. Others are found by a join on the rarest of their items, and no pair within one component is made.
 
 Defined cases: null or empty texts have an empty set, are linked with nothing and kept; a text with fewer
 words than a shingle is one shingle; rows that share an id share its component; a null id is left alone
@@ -36,8 +36,14 @@ ROWS = 4
 BANDS = HASHES // ROWS
 #: A pair at the threshold falls below this share of equal minima with a probability under 1e-6.
 MARGIN = 0.18
-#: Sizes of sets are told apart in steps of 1 / SIZE_STEPS of their logarithm.
-SIZE_STEPS = 50
+#: A cell's members have so many steps of weight.
+WEIGHT_STEPS = 8
+#: Items left to a member beyond the first that a pair must share: a candidate shares so many more.
+MORE_ITEMS = 2
+#: Members of a cell that meet its consensus in one part.
+PART_MEMBERS = 5_000
+#: Weights are sums of multiples of a fraction; what is below this is rounding.
+ROUNDING = 1e-6
 #: Up to so many ids are broadcast to pick the texts that pairs need; more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 #: Hashes of so many words are held by a worker.
@@ -118,6 +124,11 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, size: int, id_col: str = "doc_
     return common.map_arrow(rows, run, "id long, shingles binary")
 
 
+def _few(small: DataFrame) -> DataFrame:
+    """Narrow rows with a broadcast hint if they are at most ``BROADCAST_IDS``; else they join by shuffle."""
+    return F.broadcast(small) if small.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else small
+
+
 def _passing(pairs: DataFrame, dtype: str, test) -> DataFrame:
     """The pairs (a, b, x, y) whose binary columns x and y pass."""
 
@@ -150,59 +161,90 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int,
     return _passing(both, "<u8", lambda x, y: similar(x, y, percent))
 
 
-def _members(cells: DataFrame, docs: DataFrame, size: int, **names) -> DataFrame:
-    """(cell, rep, component, members, least, n, shingle): a row for each shingle of each member of a cell; the
-    cell's number of members and smallest set beside it."""
-    sizes = cells.groupBy("cell").agg(F.count("*").alias("members"), F.min("n").alias("least"))
-    sizes = common.cut(sizes)
+def _sets_of_cells(cells: DataFrame, docs: DataFrame, size: int, **names) -> DataFrame:
+    """(cell, rep, component, members, n, part, shingles): the members of cells with their sets. Cells of many members are in parts."""
+    sizes = common.cut(cells.groupBy("cell").agg(F.count("*").alias("members")))
     sets = shingle_sets(docs, cells.select(F.col("rep").alias("id")).distinct(), size, **names).dropDuplicates(["id"])
-    rows = cells.join(sizes, "cell").join(sets.select(F.col("id").alias("rep"), "shingles"), "rep")
-    kept = ["cell", "rep", "component", "members", "least", "n"]
+    rows = cells.join(_few(sizes), "cell").join(sets.select(F.col("id").alias("rep"), "shingles"), "rep")
+    return rows.withColumn("part", F.expr(f"pmod(rep, 1 + members div {PART_MEMBERS})"))
+
+
+def _consensus(rows: DataFrame) -> DataFrame:
+    """(cell, part, agreed): the shingles that half of a cell's members have, once for each part of the cell."""
 
     def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, data in enumerate(batch.column(len(kept)).to_pylist()):
+            for cell, members, data in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 values = np.frombuffer(data, "<i8")
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), batch.column(j)[k].as_py())) for j in range(len(kept))] + [pa.array(values)], [*kept, "shingle"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), cell)), pa.array(np.full(len(values), members)), pa.array(values)], ["cell", "members", "shingle"])
+
+    held = common.map_arrow(rows.select("cell", "members", "shingles"), flat, "cell long, members long, shingle long")
+    agreed = held.groupBy("cell", "members", "shingle").agg(F.count("*").alias("df")).where("2 * df >= members")
+    whole = agreed.groupBy("cell", "members").agg(F.collect_list("shingle").alias("agreed"))
+    return whole.select("cell", F.explode(F.expr(f"sequence(0L, members div {PART_MEMBERS})")).alias("part"), "agreed")
 
-    return common.map_arrow(rows.select(*kept, "shingles"), flat, ", ".join(f"{c} long" for c in [*kept, "shingle"]))
+
+def _differences(rows: DataFrame, agreed: DataFrame) -> DataFrame:
+    """(cell, rep, component, weight, item): a row with a null item for each member, and one for each shingle that
+    it lacks of the consensus or has beside it. Two members' sets have at least the intersection that similar ones
+    need if and only if they share as many items as their weights' sum."""
+    kept = ["cell", "rep", "component"]
+
+    def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, data in enumerate(batch.column(4).to_pylist()):
+                own = np.frombuffer(data, "<i8")
+                core = batch.column(6)[k].values.to_numpy() if batch.column(6)[k].is_valid else np.zeros(0, np.int64)
+                items = np.setxor1d(own, core, assume_unique=True)
+                # what sets of these sizes have in common: half the consensus each, without what each lacks of it
+                shared = (len(own) + len(core) - len(items)) // 2
+                weight = batch.column(5)[k].as_py() * len(own) + len(core) / 2 - shared
+                n = len(items) + 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, batch.column(j)[k].as_py())) for j in range(3)]
+                    + [pa.array(np.full(n, weight)), pa.concat_arrays([pa.nulls(1, pa.int64()), pa.array(items, pa.int64())])],
+                    [*kept, "weight", "item"],
+                )
+
+    return common.map_arrow(rows.join(agreed, ["cell", "part"], "left").select(*kept, "n", "shingles", "share", "agreed"), flat, "cell long, rep long, component long, weight double, item long")
 
 
 def _candidates(cells: DataFrame, docs: DataFrame, size: int, percent: int, **names) -> DataFrame:
-    """Pairs (x, y) of a cell's members, in different components and one of them outside the cell's own, that the
-    bounds of their intersection let be similar. cells: (cell, rep, component, n) without repeats."""
-    rows = common.cut(_members(cells, docs, size, **names))
-    spread = rows.groupBy("cell", "shingle").agg(F.count("*").alias("df"), (F.min("component") != F.max("component")).alias("across")).where("df > 1")
-    marked = common.cut(rows.join(common.cut(spread), ["cell", "shingle"]).withColumn("agreed", F.expr("2 * df >= members")))
-    # least intersection: similar sets share percent / (100 + percent) of the sum of their sizes
-    part = lambda x, y: F.lit(percent / (100 + percent)) * (x + y) - 1e-6
-    own = marked.groupBy("cell", "rep", "component", "least", "n").agg(F.count_if("agreed").alias("a"), F.count_if(~F.col("agreed") & F.col("across")).alias("p"))
-    # what a member lacks for the smallest set that it can be similar to; of its rare shingles it can do without one less, and does
-    # without the commonest: of two similar members' other ones some agree, as both are in one order
-    need = part(F.col("n"), F.greatest(F.col("least"), F.col("n") * (percent / 100))) - F.col("a")
-    own = own.withColumn("skip", F.greatest(F.ceil(need) - 1, F.lit(0)).cast("long")).withColumn("need", need).where("p >= need")
-    own = common.cut(own)
-
-    rare = marked.where("NOT agreed AND across").select("cell", "rep", "shingle", "df")
-    ranked = rare.join(own, ["cell", "rep"]).withColumn("place", F.row_number().over(Window.partitionBy("cell", "rep").orderBy(F.desc("df"), "shingle")))
-    probes = common.cut(ranked.where("place > skip").select("cell", "shingle", "rep", "component", "n", "a", "p", "skip"))
-    sides = ("rep", "component", "n", "a", "p", "skip")
-    x = probes.where("component <> cell").select("cell", "shingle", *[F.col(c).alias(f"x_{c}") for c in sides])
-    y = probes.select("cell", "shingle", *[F.col(c).alias(f"y_{c}") for c in sides])
-    least = part(F.col("x_n"), F.col("y_n"))
-    enough = lambda both: (F.col("x_component") != F.col("y_component")) & (both + F.least("x_a", "y_a") >= least)
+    """Pairs (x, y) of a cell's members, in different components and one of them outside the cell's own, that can
+    be similar by what they lack of the cell's consensus and have beside it. cells: (cell, rep, component, n)
+    without repeats."""
+    rows = common.cut(_sets_of_cells(cells, docs, size, **names).withColumn("share", F.lit(percent / (100 + percent))))
+    apart = common.cut(_differences(rows, _consensus(rows)))
+    spread = apart.where("item IS NOT NULL").groupBy("cell", "item").agg(F.count("*").alias("df"), (F.min("component") != F.max("component")).alias("across")).where("df > 1 AND across")
+    marked = common.cut(apart.join(spread.drop("across"), ["cell", "item"]))
+    counts = marked.groupBy("cell", "rep").agg(F.count("*").alias("items"))
+    own = common.cut(apart.where("item IS NULL").drop("item").join(counts, ["cell", "rep"], "left").fillna(0, ["items"]))
+
+    # Weights that cancel make a pair certain; then each of the two is similar to the lightest member, so links with it do.
+    lightest = F.struct("weight", "rep", "component")
+    bounds = common.cut(own.groupBy("cell").agg(F.min(lightest).alias("light"), F.max("weight").alias("most")))
+    bounds = bounds.select("cell", F.col("light.weight").alias("least"), F.col("light.rep").alias("light"), F.col("light.component").alias("light_component"), F.greatest((F.col("most") - F.col("light.weight")) / WEIGHT_STEPS, F.lit(1.0)).alias("width"))
+    own = own.join(_few(bounds), "cell")
+    certain = own.where(f"component <> light_component AND weight + least <= {ROUNDING}").select(F.col("light").alias("x"), F.col("rep").alias("y"))
+
+    # The others share an item among those that each has left without its commonest ones, one fewer than both need: that
+    # number is stated for each step of the partner's weight. Some items more are left, so that a pair has to share several.
+    own = own.withColumn("mine", F.least(F.floor((F.col("weight") - F.col("least")) / F.col("width")), F.lit(WEIGHT_STEPS - 1)))
+    needs = F.transform(F.sequence(F.lit(0), F.lit(WEIGHT_STEPS - 1)), lambda s: F.struct(s.cast("long").alias("theirs"), F.greatest(F.ceil(F.col("weight") + F.col("least") + s * F.col("width") - ROUNDING), F.lit(1)).alias("need")))
+    own = common.cut(own.withColumn("needs", F.filter(needs, lambda s: s.need <= F.col("items"))).where("size(needs) > 0").select("cell", "rep", "weight", "items", "mine", "needs"))
+    ranked = marked.drop("weight").join(own, ["cell", "rep"]).withColumn("place", F.row_number().over(Window.partitionBy("cell", "rep").orderBy(F.desc("df"), "item")))
+    probes = ranked.withColumn("step", F.explode("needs")).withColumn("skip", F.greatest(F.col("step.need") - 1 - MORE_ITEMS, F.lit(0))).where("place > skip")
+    probes = common.cut(probes.select("cell", "item", "mine", F.col("step.theirs").alias("theirs"), "rep", "component", "weight", "items", "skip"))
+    sides = ("rep", "component", "weight", "items", "skip")
+    x = probes.where("component <> cell").select("cell", "item", F.col("mine").alias("one"), F.col("theirs").alias("other"), *[F.col(c).alias(f"x_{c}") for c in sides])
+    y = probes.select("cell", "item", F.col("theirs").alias("one"), F.col("mine").alias("other"), *[F.col(c).alias(f"y_{c}") for c in sides])
+    least = F.col("x_weight") + F.col("y_weight")
+    possible = (F.col("x_component") != F.col("y_component")) & (least > 0) & (F.least("x_items", "y_items") >= least - ROUNDING)
     twice = (F.col("y_component") == F.col("cell")) | (F.col("x_rep") < F.col("y_rep"))
-    on = ["cell", "shingle"]
-    met = x.join(y, on).where(enough(F.least("x_p", "y_p")) & twice).groupBy("x_rep", "y_rep", "cell").agg(F.count("*").alias("both"), *[F.first(f"{s}_{c}").alias(f"{s}_{c}") for s in "xy" for c in ("component", "n", "a", "skip")])
-    met = met.where(enough(F.col("both") + F.greatest("x_skip", "y_skip")))
-
-    step = lambda c: F.floor(F.log(c) * SIZE_STEPS)
-    most = F.col("x_a") * ((100 + percent) / percent) - F.col("x_n") + 1
-    alone = own.where("component <> cell AND need <= 0").select("cell", F.col("rep").alias("x_rep"), F.col("component").alias("x_component"), F.col("n").alias("x_n"), F.col("a").alias("x_a"), "least")
-    alone = alone.withColumn("step", F.explode(F.sequence(step(F.greatest(F.col("least"), F.col("x_n") * (percent / 100) - 1)), step(F.greatest(most, F.col("least"), F.col("x_n") * (percent / 100))))))
-    others = own.select("cell", F.col("rep").alias("y_rep"), F.col("component").alias("y_component"), F.col("n").alias("y_n"), F.col("a").alias("y_a"), step("n").alias("step"))
-    sized = alone.join(others, ["cell", "step"]).where(enough(F.lit(0)))
-    return met.select("x_rep", "y_rep").union(sized.select("x_rep", "y_rep")).toDF("x", "y")
+    met = x.join(y, ["cell", "item", "one", "other"]).where(possible & twice)
+    met = met.groupBy("cell", "x_rep", "y_rep", "x_weight", "y_weight").agg(F.count("*").alias("both"), F.max(F.greatest("x_skip", "y_skip")).alias("skipped"))
+    met = met.where(F.col("both") + F.col("skipped") >= least - ROUNDING)
+    return met.select(F.col("x_rep").alias("x"), F.col("y_rep").alias("y")).union(certain)
 
 
 def classes_of(found: DataFrame) -> DataFrame:
