@@ -24,3 +24,17 @@ def test_pairs_are_dealt_over_tasks(spark, array, monkeypatch):
     made = baselines.generate(array.coalesce(1))
     assert made.rdd.getNumPartitions() == 9 and made.count() == made.distinct().count() == 30 * 31 // 2 * 4
     assert {tuple(r)[1:] for r in made.where("cbf_bl = (3 * 1000000 + 17) * 4 + 3").collect()} == {("m3v", "m17h")}
+
+
+def test_order_of_pairs(spark, array, monkeypatch):
+    monkeypatch.setattr(baselines, "BLOCK", 7)
+    ordered = baselines.ordered_pairs(array)
+    expected = sorted((x["ant1"] != x["ant2"], x["pol1"] != x["pol2"], x["pol1"], x["pol2"], x["cbf_bl"]) for x in baselines.kept(baselines.generate(array)).collect())
+    assert [r["cbf_bl"] for r in ordered.orderBy("bl").collect()] == [x[-1] for x in expected]
+    same(ordered, baselines.order(baselines.generate(array)))
+    assert dict(ordered.dtypes)["bl"] == "int"
+    twice = array.union(array.where("number = 4"))
+    assert baselines.ordered_pairs(twice).count() == baselines.kept(baselines.generate(twice)).count()
+    assert baselines.ordered_pairs(array.limit(0)).count() == 0
+    lone = [w for w in baselines.order(baselines.generate(array))._jdf.queryExecution().optimizedPlan().toString().splitlines() if "row_number" in w and "windowspecdefinition(ant" in w]
+    assert not lone
