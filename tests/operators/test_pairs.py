@@ -38,3 +38,7 @@ def test_order_of_pairs(spark, array, monkeypatch):
     assert baselines.ordered_pairs(array.limit(0)).count() == 0
     lone = [w for w in baselines.order(baselines.generate(array))._jdf.queryExecution().optimizedPlan().toString().splitlines() if "row_number" in w and "windowspecdefinition(ant" in w]
     assert not lone
+
+
+def test_groups_of_pairs(array):
+    same(baselines.grouped_pairs(array), baselines.groups(without_mirrored(baselines.generate(array)), "cbf_bl"))

@@ -127,6 +127,16 @@ def groups(labelled: DataFrame, key: str = "bl") -> DataFrame:
     return df.select(key, F.explode(F.array(kind, F.concat(kind, pols))).alias("grp"))
 
 
+def grouped_pairs(antennas: DataFrame) -> DataFrame:
+    """(cbf_bl, grp): ``groups`` of the baselines that ``kept`` leaves of ``generate(antennas)``, by pairs of antennas."""
+    own = antennas.select("number", "antenna")
+    pairs = _pairs(own, own).where("ant2 >= ant1")
+    pols = F.array(*[F.lit(p + q if p == q else "hv") for p, q in PRODUCTS])
+    both = F.explode(F.array(F.lit(""), F.element_at(pols, F.col("k").cast("int") + 1)))
+    grp = F.concat(F.when(F.col("ant1") == F.col("ant2"), "auto").otherwise("cross"), "pols")
+    return _each_product(pairs, pols=both).select("cbf_bl", grp.alias("grp"))
+
+
 def check_contiguous(grouped: DataFrame) -> None:
     """Raise if a group's baselines (bl, grp) are not one run of numbers, as the output order makes them. Groups are a handful."""
     per = grouped.groupBy("grp").agg(F.min("bl").alias("a"), F.max("bl").alias("b"), F.count_distinct("bl").alias("n")).where("b - a + 1 <> n")

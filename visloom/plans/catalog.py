@@ -358,7 +358,7 @@ def baseline_order(spark, d):
 @query(f"""WITH {LABELLED}, parts AS (SELECT cbf_bl, CASE WHEN ant1 = ant2 THEN 'auto' ELSE 'cross' END AS kind, CASE WHEN pol1 = pol2 THEN pol1 || pol2 ELSE 'hv' END AS pols FROM kept)
 SELECT cbf_bl, unnest([kind, kind || pols]) AS grp FROM parts""")
 def baseline_groups(spark, d):
-    return baselines.groups(baselines.kept(_labelled(spark, d)).select("cbf_bl", "input1", "input2"), "cbf_bl")
+    return baselines.grouped_pairs(_antennas(spark, d))
 
 
 LENGTHS = "len AS (SELECT cbf_bl, ant1, ant2, sqrt((a.east - b.east) * (a.east - b.east) + (a.north - b.north) * (a.north - b.north) + 0.0::DOUBLE) AS length_m FROM kept JOIN ant a ON a.antenna = ant1 JOIN ant b ON b.antenna = ant2)"
