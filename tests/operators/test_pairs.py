@@ -42,3 +42,7 @@ def test_order_of_pairs(spark, array, monkeypatch):
 
 def test_groups_of_pairs(array):
     same(baselines.grouped_pairs(array), baselines.groups(without_mirrored(baselines.generate(array)), "cbf_bl"))
+
+
+def test_lengths_of_pairs(array):
+    same(baselines.pair_lengths(baselines.measured_pairs(array)), baselines.lengths(baselines.generate(array), array).where("ant2 >= ant1"))
