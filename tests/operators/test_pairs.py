@@ -46,3 +46,14 @@ def test_groups_of_pairs(array):
 
 def test_lengths_of_pairs(array):
     same(baselines.pair_lengths(baselines.measured_pairs(array)), baselines.lengths(baselines.generate(array), array).where("ant2 >= ant1"))
+
+
+def reach_of(spark):
+    return spark.createDataFrame([(k, r) for k, r in enumerate((0.0, 8.0, 8.0, 31.5, -1.0, 60.0, float("inf")))], "channel int, reach double")
+
+
+@pytest.mark.parametrize("autos", [False, True])
+def test_range_mask_of_pairs(spark, array, autos):
+    measured, reach = baselines.measured_pairs(array), reach_of(spark)
+    same(baselines.range_mask(measured, reach, autos), baselines.range_mask(baselines.pair_lengths(measured), reach, autos))
+    assert "SortMergeJoin" not in baselines.range_mask(measured.hint("merge"), reach)._jdf.queryExecution().executedPlan().toString()
