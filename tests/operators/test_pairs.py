@@ -57,3 +57,10 @@ def test_range_mask_of_pairs(spark, array, autos):
     measured, reach = baselines.measured_pairs(array), reach_of(spark)
     same(baselines.range_mask(measured, reach, autos), baselines.range_mask(baselines.pair_lengths(measured), reach, autos))
     assert "SortMergeJoin" not in baselines.range_mask(measured.hint("merge"), reach)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_masks_of_pairs(spark, array):
+    measured, reach = baselines.measured_pairs(array.union(array.limit(1).selectExpr("30L", "'m30'", "CAST(NULL AS DOUBLE)", "north", "up"))), reach_of(spark)
+    rows = baselines.pair_lengths(measured)
+    same(baselines.pair_masks(measured, reach), baselines.unique_masks(baselines.range_mask(rows, reach), rows))
+    same(baselines.pair_masks(measured, reach.limit(0)).select("channels").distinct(), spark.createDataFrame([("",)], "channels string"))
