@@ -204,6 +204,14 @@ def test_words_beyond_the_list_are_joined(spark, docs, doc_rows):
         assert a["score"] == pytest.approx(b["score"], rel=1e-9)
 
 
+def test_all_training_rows_train_the_network(spark, monkeypatch):
+    rows = [(k if k % 5 else None, "a b c " * (k % 3)) for k in range(60)]
+    texts, seen, average = spark.createDataFrame(rows, "doc_id long, text string"), [], lm._average
+    monkeypatch.setattr(lm, "_average", lambda parts: seen.append(sum(r["weight"] for r in parts.collect())) or average(parts))
+    lm.train(texts, lm.vocabulary(lm.count_words(texts)), least=0)
+    assert len(seen) == lm.ROUNDS and sum(seen) == sum(len(t.split()) + 1 for _, t in rows)
+
+
 def test_averages_by_groups(spark):
     rng = np.random.default_rng(4)
     vectors, weights = rng.normal(size=(300, 7)), rng.integers(1, 9, 300).astype(float)

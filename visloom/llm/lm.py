@@ -5,9 +5,8 @@ stand for one of 16 symbols, by the upper half of their first byte, and have a s
 The output softmax is factored: first the class of a symbol (ranges of word frequency, and one class for each of the 16), then
 the word within its class. A gated recurrent network reads the symbols; its weights start at the
 counts' own distribution and are trained in numpy by backpropagation through windows of ``STEPS`` symbols, the state going on from
-window to window. Training documents are dealt by a hash of their ids; one in ``ONE_IN`` trains the network, in one of ``ROUNDS``
-rounds, in each of which every partition trains a copy of the weights on its documents, and the copies are averaged by their
-numbers of tokens. So training grows with the corpus, like the counts, which cover all training documents.
+window to window. All training documents train the network; they are dealt by a hash of their ids to ``ROUNDS`` rounds, in each of
+which every partition trains a copy of the weights on its documents, and the copies are averaged by their numbers of tokens.
 Scores are complete: the state is carried over all windows of a document.
 
 Counts cover all training tokens. The ``LISTED`` most frequent words (of at most ``LISTED_BYTES`` bytes) are broadcast; the counts
@@ -41,7 +40,6 @@ STATE = 16
 STEPS = 32
 LANES = 128
 ROUNDS = 3
-ONE_IN = 4
 RATE = 0.03
 #: A task goes over its documents again until it has trained on so many tokens in a round.
 LEAST_TOKENS = 120_000
@@ -558,8 +556,8 @@ def _average(parts: DataFrame) -> np.ndarray | None:
     return sum(np.frombuffer(r["vector"]) for r in rows) / weight if weight else None
 
 
-def train(texts: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS, one_in: int = ONE_IN, rate: float = RATE, least: int = LEAST_TOKENS) -> Network:
-    """From columns (doc_id, text), one row in ``one_in``, each in one round."""
+def train(texts: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS, rate: float = RATE, least: int = LEAST_TOKENS) -> Network:
+    """From all rows of columns (doc_id, text), each in one round."""
     net, context = Network.start(vocab.mass()), texts.sparkSession.sparkContext
     for k in range(rounds):
         shared = context.broadcast((vocab, net))
@@ -578,7 +576,7 @@ def train(texts: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS, one_in: int
                 vector = (mine.packed().astype(np.float64) * n).tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([float(n)]), pa.array([vector], pa.binary())], ["part", "weight", "vector"])
 
-        some = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(rounds * one_in)) == k)
+        some = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == k)
         mean = _average(common.map_arrow(some.select("text"), run, "part long, weight double, vector binary"))
         shared.destroy()
         if mean is not None:
@@ -630,7 +628,7 @@ def partial_scores(texts: DataFrame, vocab: Vocabulary, net: Network) -> DataFra
     return common.map_arrow(texts, run, schema)
 
 
-def score_documents(docs: DataFrame, words: int = WORDS, listed: int = LISTED, rounds: int = ROUNDS, one_in: int = ONE_IN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_documents(docs: DataFrame, words: int = WORDS, listed: int = LISTED, rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of each row; those not held out train the model."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text"))
@@ -638,7 +636,7 @@ def score_documents(docs: DataFrame, words: int = WORDS, listed: int = LISTED, r
     with common.scratch(spark) as keep:
         counts = common.cut(count_words(training))
         vocab = vocabulary(counts, words, listed)
-        net = train(training, vocab, rounds, one_in)
+        net = train(training, vocab, rounds)
         parts = common.cut(partial_scores(rows, vocab, net))
         # Of a document only sums move on: over its listed words, and over the others as their counts are found.
         others = parts.select("row", F.explode("others").alias("word")).groupBy("row", "word").agg(F.count("*").alias("n"))
