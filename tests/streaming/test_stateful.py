@@ -4,6 +4,8 @@ import random
 import threading
 from collections import Counter
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -185,3 +187,11 @@ def test_interrupted_batches_leave_no_row_twice(spark, tmp_path):
     assert sorted((r["substream"], r["value"]) for r in sink.read(spark, schema).collect()) == sorted((k % 2, k) for k in range(40))
     sink(spark.createDataFrame([(0, 777)], schema), 3)  # a committed epoch is not written again
     assert sink.read(spark, schema).where("value = 777").count() == 0
+
+
+def test_rows_of_a_session_are_held_compactly():
+    n = 20_000
+    part = lambda k: pd.DataFrame({"session": ["s" * 40] * n, "arrival_seq": range(k * n, k * n + n), "kind": [("data", "incomplete")[i % 2] for i in range(n)], "ts_raw": [7] * n, "frequency": np.zeros(n, np.int32), "payload": [1] * n})
+    held = frames.compact(iter([part(1), part(0)]))
+    assert held["arrival_seq"].tolist() == list(range(2 * n)) and set(held["kind"]) == {"data", "incomplete"}
+    assert held.memory_usage(deep=True).sum() < 40 * len(held)

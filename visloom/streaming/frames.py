@@ -29,6 +29,25 @@ COLUMNS = [c.split()[0] for c in OUTPUT.split(", ")]
 NONE = -(1 << 62)
 
 
+REASONS = ("ok", "incomplete", "too-old", "bad-timestamp", "bad-heap", "bad-channel")
+#: Rows that are handed on at once.
+TOLD = 50_000
+
+
+def compact(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    """The rows of a session and trigger in order of arrival, some 30 bytes each: kinds as categories, other strings left out."""
+    parts, kinds = [], {}
+    for df in rows:
+        code = np.array([kinds.setdefault(k, len(kinds)) for k in df["kind"]], np.int16)
+        parts.append(pd.DataFrame({"arrival_seq": df["arrival_seq"], "kind": code, "ts_raw": df["ts_raw"], "frequency": df["frequency"], "payload": df["payload"]}))
+    out = pd.concat(parts, ignore_index=True)
+    parts.clear()
+    if (np.diff(out["arrival_seq"].to_numpy()) < 0).any():
+        out = out.iloc[np.argsort(out["arrival_seq"].to_numpy(), kind="stable")].reset_index(drop=True)
+    out["kind"] = pd.Categorical.from_codes(out["kind"].to_numpy(), list(kinds))
+    return out
+
+
 class Assembler(StatefulProcessor):
     def __init__(self, interval: int, active_frames: int, channels_per_item: int, start: int, stop: int, endpoints: int, bits: int):
         self.interval, self.active, self.per_item, self.start, self.stop, self.endpoints, self.bits = interval, active_frames, channels_per_item, start, stop, endpoints, bits
@@ -41,7 +60,7 @@ class Assembler(StatefulProcessor):
         ts0, top, previous, wraps, stops = self.head.get() if self.head.exists() else (None, None, None, 0, 0)
         if stops >= self.endpoints:
             return
-        df = pd.concat(list(rows)).sort_values("arrival_seq", kind="stable").reset_index(drop=True)
+        df = compact(rows)
         # What comes after the last endpoint's stop is not looked at.
         stopped = stops + (df["kind"] == "stop").cumsum()
         ended = bool((stopped >= self.endpoints).any())
@@ -49,11 +68,14 @@ class Assembler(StatefulProcessor):
         stopped = stopped[df.index]
         said, stopped = df["kind"] != "stop", stopped.to_numpy()
         df, stopped = df[said], stopped[said.to_numpy()]
-        kind, stamp = df["kind"].to_numpy(str), df["ts_raw"].to_numpy(float, na_value=np.nan)
-        timed = ~np.isin(kind, UNTIMED) & ~np.isnan(stamp)
-        quiet = (stopped > 0) & (kind == "incomplete")
-
-        idx, reason = np.full(len(df), NONE), kind.astype(object)
+        kind = df["kind"].cat.add_categories([r for r in REASONS if r not in df["kind"].cat.categories])
+        code = {r: k for k, r in enumerate(kind.cat.categories)}
+        names, kind = kind.cat.categories, kind.cat.codes.to_numpy(np.int16)
+        own_code = lambda *reasons: [code[r] for r in reasons if r in code]
+        timed = ~np.isin(kind, own_code(*UNTIMED)) & df["ts_raw"].notna().to_numpy()
+        quiet = (stopped > 0) & (kind == code["incomplete"])
+
+        idx, reason = np.full(len(df), NONE), kind.copy()
         raw = df["ts_raw"].to_numpy(dtype="int64", na_value=0)[timed]
         if len(raw):
             whole, half = 1 << self.bits, 1 << (self.bits - 1)
@@ -68,7 +90,7 @@ class Assembler(StatefulProcessor):
             frequency = df["frequency"].to_numpy(float, na_value=np.nan)[timed]
             unwanted = ~((frequency % self.per_item == 0) & (frequency >= self.start) & (frequency < self.stop))
             own = kind[timed]
-            reason[timed] = np.select([own == "incomplete", late, rest != 0, own == "bad-item", unwanted], ["incomplete", "too-old", "bad-timestamp", "bad-heap", "bad-channel"], "ok")
+            reason[timed] = np.select([own == code["incomplete"], late, rest != 0, np.isin(own, own_code("bad-item")), unwanted], own_code("incomplete", "too-old", "bad-timestamp", "bad-heap", "bad-channel"), code["ok"])
             idx[timed] = frame
             previous, wraps = int(raw[-1]), int(turns[-1])
             # The frame numbers of late records lie below the newest, so they move nothing.
@@ -76,27 +98,37 @@ class Assembler(StatefulProcessor):
         stops = int(stops + (len(said) - said.sum()))
         self.head.update((ts0, top, previous, wraps, stops))
 
-        out = pd.DataFrame({"session": key[0], "idx": pd.array(idx, "Int64"), "frequency": df["frequency"].astype("Int32").to_numpy(), "payload": df["payload"].astype("Int64").to_numpy(), "reason": reason, "arrival_seq": df["arrival_seq"].to_numpy()})
-        out["idx"] = out["idx"].mask(out["idx"] == NONE)
-        ok = out["reason"] == "ok"
-        rejected = out[~ok & ~quiet].copy()
-        rejected["payload"] = pd.array([pd.NA] * len(rejected), "Int64")
-        fresh = out[ok].drop_duplicates(["idx", "frequency"], keep="last")
-        yield pd.concat([rejected, *self._close(key[0], fresh, None if ended or top is None else top - self.active + 1, ended)])[COLUMNS]
-
-    def _close(self, session: str, fresh: pd.DataFrame, below: int | None, ended: bool) -> Iterator[pd.DataFrame]:
-        """Items of frames that leave the window, of this trigger or of earlier ones; the others are kept."""
-        newer = set(zip(fresh["idx"], fresh["frequency"]))
+        ok = reason == code["ok"]
+        at = np.flatnonzero(ok)
+        last = ~pd.DataFrame({"idx": idx[at], "frequency": df["frequency"].to_numpy(float, na_value=np.nan)[at]}).duplicated(keep="last").to_numpy()
+
+        def told(places: np.ndarray) -> pd.DataFrame:
+            own = df.iloc[places]
+            out = pd.DataFrame({"session": key[0], "idx": pd.array(idx[places], "Int64"), "frequency": own["frequency"].astype("Int32").to_numpy(), "payload": own["payload"].astype("Int64").to_numpy(), "reason": names[reason[places]].astype(object), "arrival_seq": own["arrival_seq"].to_numpy()})
+            out["idx"] = out["idx"].mask(out["idx"] == NONE)
+            out.loc[out["reason"] != "ok", "payload"] = pd.NA
+            return out[COLUMNS]
+
+        below = None if ended or top is None else top - self.active + 1
+        fresh, rejected = at[last], np.flatnonzero(~ok & ~quiet)
+        gone = np.full(len(fresh), True) if ended else idx[fresh] < (NONE if below is None else below)
+        for part in (rejected, fresh[gone]):
+            for k in range(0, len(part), TOLD):
+                yield told(part[k : k + TOLD])
+        yield self._close(key[0], pd.MultiIndex.from_arrays([idx[fresh], df["frequency"].iloc[fresh]]), told(fresh[~gone]), below, ended)
+
+    def _close(self, session: str, newer: pd.MultiIndex, stays: pd.DataFrame, below: int | None, ended: bool) -> pd.DataFrame:
+        """Items of earlier triggers in frames that leave the window, unless this trigger has ``newer`` ones; what ``stays`` of this trigger is kept."""
         leaves = lambda i: ended or (below is not None and i < below)
-        held = [(k, v) for k, v in self.items.iterator() if leaves(k[0]) or (k[0], k[1]) in newer]
-        for k, _ in held:
-            self.items.removeKey(k)
-        old = [(session, k[0], k[1], v[1], "ok", v[0]) for k, v in held if (k[0], k[1]) not in newer]
-        gone = fresh["idx"].map(leaves).astype(bool) if len(fresh) else pd.Series([], dtype=bool)
-        for r in fresh[~gone].to_dict("records") if len(fresh) else []:
+        held = list(self.items.iterator())
+        again = pd.MultiIndex.from_tuples([(k[0], k[1]) for k, _ in held]).isin(newer) if held and len(newer) else np.full(len(held), False)
+        for (k, _), known in zip(held, again):
+            if known or leaves(k[0]):
+                self.items.removeKey(k)
+        old = [(session, k[0], k[1], v[1], "ok", v[0]) for (k, v), known in zip(held, again) if not known and leaves(k[0])]
+        for r in stays.to_dict("records"):
             self.items.updateValue((int(r["idx"]), int(r["frequency"])), (int(r["arrival_seq"]), int(r["payload"])))
-        yield fresh[gone] if len(fresh) else fresh
-        yield pd.DataFrame(old, columns=COLUMNS).astype({"idx": "Int64", "frequency": "Int32", "payload": "Int64", "arrival_seq": "int64"})
+        return pd.DataFrame(old, columns=COLUMNS).astype({"idx": "Int64", "frequency": "Int32", "payload": "Int64", "arrival_seq": "int64"})
 
     def close(self) -> None:
         pass
