@@ -195,3 +195,17 @@ def test_rows_of_a_session_are_held_compactly():
     held = frames.compact(iter([part(1), part(0)]))
     assert held["arrival_seq"].tolist() == list(range(2 * n)) and set(held["kind"]) == {"data", "incomplete"}
     assert held.memory_usage(deep=True).sum() < 40 * len(held)
+
+
+def test_sensors_share_states(spark, tmp_path, monkeypatch):
+    """Many sensors with a row each make no more states than there are buckets."""
+    monkeypatch.setattr(history, "BUCKETS", 3)
+    rows = [(s if s else None, s, s + 60) for s in range(300)]
+    spark.createDataFrame(rows, "sensor long, seq long, at long").coalesce(1).write.parquet(str(tmp_path / "in"))
+    read = lambda: spark.readStream.schema("sensor long, seq long, at long").parquet(str(tmp_path / "in")).withColumn("ts", F.timestamp_seconds("at"))
+    out = history.as_of(read().select("sensor", "seq", "ts", F.lit(0.5).alias("value")), read().select("sensor", "seq", "ts", F.timestamp_seconds("at").alias("at"), F.col("seq").alias("id")))
+    query = out.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "log")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) < 30
+    got = spark.read.schema(out.schema).parquet(str(tmp_path / "out")).collect()
+    assert {(r["sensor"], r["id"], r["value"]) for r in got} == {(s if s else None, s, 0.5) for s in range(299)}

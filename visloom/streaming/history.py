@@ -1,9 +1,12 @@
 """Backward as-of lookups on a stream: samples and questions of a sensor meet in one state.
 
 A question at a time can be answered when the watermark has passed that time, as no sample up to it can follow. Until then it waits;
-one timer a sensor wakes the state at its earliest question. Questions of a sensor must not go back in time: answers prune the
+a timer wakes the state at its earliest question. Questions of a sensor must not go back in time: answers prune the
 history to the last sample that they can need, so a question about what is pruned raises instead of being answered wrongly. Of
 samples, only those strictly newer than all before are kept.
+
+Sensors are many and have few rows each, so a state is that of a bucket of sensors: its rows are handled by columns and are kept as
+Arrow tables. A bucket grows with the rows that are held, one in ``BUCKETS`` of all.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -19,6 +23,22 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from ..session import use_rocksdb
 
 OUTPUT = "sensor long, id long, at long, value double"
+BUCKETS = 256
+#: A sensor without a name is one of its own.
+SENSOR = ["unnamed", "sensor"]
+
+
+def _pack(df: pd.DataFrame) -> tuple[bytes]:
+    sink = pa.BufferOutputStream()
+    table = pa.Table.from_pandas(df, preserve_index=False)
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return (sink.getvalue().to_pybytes(),)
+
+
+def _unpack(parts: Iterator[tuple]) -> pd.DataFrame | None:
+    tables = [pa.ipc.open_stream(p[0]).read_pandas() for p in parts]
+    return pd.concat(tables, ignore_index=True) if tables else None
 
 
 class History(StatefulProcessor):
@@ -27,30 +47,37 @@ class History(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.samples = handle.getListState("samples", "ts long, value double")
-        self.waiting = handle.getListState("waiting", "at long, id long")
-        self.asked = handle.getValueState("asked", "at long")
+        self.samples = handle.getListState("samples", "rows binary")
+        self.waiting = handle.getListState("waiting", "rows binary")
+        self.newest = handle.getValueState("newest", "rows binary")
+        self.asked = handle.getValueState("asked", "rows binary")
+
+    @staticmethod
+    def _seen(state, rows: pd.DataFrame, column: str) -> pd.Series:
+        """For each row, the greatest of ``column`` that came before it from its sensor, null for none; the state gets the greatest of each sensor."""
+        old = _unpack([state.get()]) if state.exists() else rows.head(0)
+        both = pd.concat([old[[*SENSOR, column]], rows[[*SENSOR, column]]], ignore_index=True)
+        by = both.groupby(SENSOR, sort=False)[column]
+        top = both.assign(top=by.cummax())
+        state.update(_pack(by.max().reset_index()))
+        return top.groupby(SENSOR, sort=False)["top"].shift().astype("Int64").iloc[len(old) :]
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        df = pd.concat(list(rows)).sort_values("seq", kind="stable")
+        df = pd.concat([part.drop(columns=["bucket", "came"]) for part in rows]).sort_values("seq", kind="stable")
         new = df[df["question"] == 0]
         if len(new):
-            held = list(self.samples.get())
-            ts = new["ts"].to_numpy(np.int64)
-            before = np.maximum.accumulate(np.append(held[-1][0] if held else np.iinfo(np.int64).min, ts))[:-1]
-            kept = ts > before
-            if kept.any():
-                self.samples.appendList([(int(t), float(v)) for t, v in zip(ts[kept], new["value"].to_numpy()[kept])])
+            before = self._seen(self.newest, new, "ts")
+            kept = new[(before.isna() | (before < new["ts"].to_numpy())).to_numpy(bool)]
+            if len(kept):
+                self.samples.appendValue(_pack(kept[[*SENSOR, "ts", "value"]].astype({"value": float})))
         asked = df[df["question"] == 1]
         if len(asked):
-            at = asked["at"].to_numpy(np.int64)
-            last = self.asked.get()[0] if self.asked.exists() else at[0]
-            if (np.diff(at, prepend=last) < 0).any():
-                raise ValueError(f"questions of sensor {key[0]} go back in time")
-            self.asked.update((int(at[-1]),))
-            if not list(self.waiting.get()):
-                self.handle.registerTimer(self._wake(int(at[0])))
-            self.waiting.appendList([(int(a), int(i)) for a, i in zip(at, asked["id"].to_numpy(np.int64))])
+            before = self._seen(self.asked, asked, "at")
+            back = (before > asked["at"].to_numpy()).fillna(False).to_numpy(bool)
+            if back.any():
+                raise ValueError(f"questions of sensor {asked['sensor'].to_numpy()[back][0]} go back in time")
+            self.handle.registerTimer(self._wake(int(asked["at"].min())))
+            self.waiting.appendValue(_pack(asked[[*SENSOR, "at", "id"]]))
         return iter([])
 
     @staticmethod
@@ -60,25 +87,29 @@ class History(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = list(self.waiting.get())
-        due = [w for w in waiting if w[0] < passed]
-        left = waiting[len(due) :]
-        held = list(self.samples.get())
-        if due:
-            ts = np.array([s[0] for s in held], np.int64)
-            at = np.array([w[0] for w in due], np.int64)
-            place = np.searchsorted(ts, at, side="right") - 1
-            value = [float(held[p][1]) if p >= 0 else self.default for p in place]
+        waiting = _unpack(self.waiting.get())
+        if waiting is None:
+            return
+        due, left = waiting[waiting["at"] < passed], waiting[waiting["at"] >= passed]
+        if len(due):
+            held = _unpack(self.samples.get())
+            if held is None:
+                held = pd.DataFrame({"unnamed": [False], "sensor": [0], "ts": [0], "value": [0.0]}).head(0)
+            found = pd.merge_asof(due.sort_values("at", kind="stable"), held.sort_values("ts", kind="stable"), left_on="at", right_on="ts", by=SENSOR)
             # What comes before the last sample that was used cannot be asked for again.
-            if (first := int(place[-1])) > 0:
-                self.samples.put(held[first:])
-            if left:
-                self.waiting.put(left)
+            if len(held):
+                used = found.groupby(SENSOR, sort=False)["ts"].max().rename("used").reset_index()
+                first = held[SENSOR].merge(used, on=SENSOR, how="left")["used"].to_numpy(float)
+                if (past := held["ts"].to_numpy() < first).any():
+                    self.samples.put([_pack(held[~past])])
+            if len(left):
+                self.waiting.put([_pack(left)])
             else:
                 self.waiting.clear()
-            yield pd.DataFrame({"sensor": key[0], "id": [w[1] for w in due], "at": at, "value": pd.array(value, "Float64")})
-        if left:
-            self.handle.registerTimer(self._wake(int(left[0][0])))
+            value = found["value"].where(found["ts"].notna(), np.nan if self.default is None else self.default)
+            yield pd.DataFrame({"sensor": found["sensor"].astype("Int64").mask(found["unnamed"]), "id": found["id"], "at": found["at"], "value": pd.array(value, "Float64")})
+        if len(left):
+            self.handle.registerTimer(self._wake(int(left["at"].min())))
 
     def close(self) -> None:
         pass
@@ -88,8 +119,9 @@ def as_of(samples: DataFrame, questions: DataFrame, default: float | None = None
     """(sensor, id, at, value). ``samples``: sensor, seq, ts, value; ``questions``: sensor, seq, ts, at, id, where ``ts`` is when a row comes and
     ``seq`` orders rows that come together. All times are timestamps; ``at`` comes back in microseconds."""
     use_rocksdb(samples.sparkSession)
-    null = lambda kind: F.lit(None).cast(kind)
-    a = samples.select(F.col("sensor").cast("long"), F.col("seq").cast("long"), F.lit(0).alias("question"), F.col("ts").alias("came"), F.unix_micros("ts").alias("ts"), F.col("value").cast("double"), null("long").alias("at"), null("long").alias("id"))
-    b = questions.select(F.col("sensor").cast("long"), F.col("seq").cast("long"), F.lit(1).alias("question"), F.col("ts").alias("came"), F.unix_micros("ts").alias("ts"), null("double").alias("value"), F.unix_micros("at").alias("at"), F.col("id").cast("long"))
+    sensor = [F.pmod(F.hash(F.col("sensor").cast("long")), F.lit(BUCKETS)).alias("bucket"), F.col("sensor").isNull().alias("unnamed"), F.coalesce(F.col("sensor").cast("long"), F.lit(0).cast("long")).alias("sensor")]
+    zero = F.lit(0).cast("long")
+    a = samples.select(*sensor, F.col("seq").cast("long"), F.lit(0).alias("question"), F.col("ts").alias("came"), F.unix_micros("ts").alias("ts"), F.col("value").cast("double"), zero.alias("at"), zero.alias("id"))
+    b = questions.select(*sensor, F.col("seq").cast("long"), F.lit(1).alias("question"), F.col("ts").alias("came"), F.unix_micros("ts").alias("ts"), F.lit(None).cast("double").alias("value"), F.unix_micros("at").alias("at"), F.col("id").cast("long"))
     both = a.unionByName(b).withWatermark("came", delay)
-    return both.groupBy("sensor").transformWithStateInPandas(History(default), OUTPUT, "Append", "EventTime")
+    return both.groupBy("bucket").transformWithStateInPandas(History(default), OUTPUT, "Append", "EventTime")
