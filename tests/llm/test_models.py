@@ -160,6 +160,42 @@ def test_lanes_score_whole_documents_as_one_by_one():
         assert found[k] == pytest.approx(plain_log(net, s), rel=1e-4)
 
 
+def test_lanes_end_together(monkeypatch):
+    """A long document behind many short ones starts with them, not after them, so that it doesn't go on alone."""
+    rng, net, seen = np.random.default_rng(5), small_network(dtype=np.float32), []
+    texts = [rng.integers(0, 26, n).astype(np.int32) for n in [*[10] * 120, 400]]
+    forward = lm.Network.forward
+    monkeypatch.setattr(lm.Network, "forward", lambda self, x, *more: seen.append(x.shape) or forward(self, x, *more))
+    assert len(list(lm.score(map(lm.Text, texts), net, steps=8, lanes=4))) == len(texts)
+    assert len(seen) == 400 // 8 and set(seen) == {(8, 4)}
+    seen.clear()
+    assert lm.learn(map(lm.Text, texts), net, steps=8, lanes=4) == sum(map(len, texts)) and len(seen) == 400 // 8
+
+
+def test_scores_do_not_depend_on_what_is_held(monkeypatch):
+    rng, net = np.random.default_rng(6), small_network(dtype=np.float32)
+    texts = [rng.integers(0, 26, n).astype(np.int32) for n in rng.integers(1, 40, 60)]
+    found = lambda: {t.row: t.log for t in lm.score((lm.Text(s, k) for k, s in enumerate(texts)), net, steps=8, lanes=3)}
+    whole = found()
+    monkeypatch.setattr(lm, "HELD", 300)
+    parts = found()
+    assert [parts[k] for k in range(60)] == pytest.approx([whole[k] for k in range(60)], rel=1e-5)
+
+
+def test_large_logits():
+    """Logits too large for their exponentials give the same as small ones that differ by a constant."""
+    rng, net = np.random.default_rng(7), small_network()
+    x, y, h = rng.integers(0, 26, (5, 3)), rng.integers(0, 26, (5, 3)), np.zeros((4, 3))
+    used = np.ones((5, 3), bool)
+    grad, _, total = net.gradient(x, y, used, h)
+    for k in ("class_bias", "word_bias"):
+        net.weights[k] = net.weights[k] + 2000.0
+    more, _, again = net.gradient(x, y, used, h)
+    assert again == pytest.approx(total)
+    for k, g in grad.items():
+        assert np.allclose(g, more[k], atol=1e-9)
+
+
 def test_probabilities_sum_to_one():
     net = small_network()
     h = np.random.default_rng(3).normal(0, 0.5, (4, 1)).repeat(net.symbols, 1)

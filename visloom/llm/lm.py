@@ -20,6 +20,7 @@ included; ties between equally frequent words go to the first in byte order; oth
 
 from __future__ import annotations
 
+import heapq
 from collections import Counter, deque
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -50,9 +51,11 @@ COUNTED = 200_000
 FAN = 64
 #: Windows and lanes of scoring, which needs no memory of earlier steps.
 SCORE_STEPS, SCORE_LANES = 32, 256
+#: Symbols that are dealt to lanes at once, a document counting as ``ROW`` more. Lanes end together, unless a document is longer than they are.
+HELD, ROW = 1 << 21, 64
 REST = 16
-#: Places of a block of words of one class.
-PLACES = 64
+#: Logits within this need no largest one taken from them before their exponentials.
+LOGIT = 60.0
 LN10 = float(np.log(10))
 
 
@@ -72,16 +75,16 @@ def room(name: str, shape: tuple[int, ...], dtype) -> np.ndarray:
 
 
 def with_one(h: np.ndarray, name: str) -> np.ndarray:
-    """The rows of ``h`` and one of ones, which a bias is multiplied with."""
-    out = room(name, (len(h) + 1, h.shape[1]), h.dtype)
-    out[:-1], out[-1] = h, 1
+    """(places, state + 1) of ``h`` (state, places), the last a one that a bias is multiplied with."""
+    out = room(name, (h.shape[1], len(h) + 1), h.dtype)
+    out[:, :-1], out[:, -1] = h.T, 1
     return out
 
 
 def places(states: np.ndarray, used: np.ndarray) -> np.ndarray:
     """(state, places) of the used places, from (steps, state, lanes)."""
-    by_state = states.transpose(1, 0, 2)
-    return by_state.reshape(len(by_state), -1) if used.all() else by_state[:, used]
+    by_place = states.transpose(0, 2, 1)
+    return (by_place.reshape(-1, by_place.shape[2]) if used.all() else by_place[used]).T
 
 
 @dataclass
@@ -131,177 +134,215 @@ class Network:
     def packed(self) -> np.ndarray:
         return np.concatenate([w.ravel() for w in self.weights.values()])
 
-    def unpacked(self, flat: np.ndarray) -> Network:
+    def views(self, flat: np.ndarray) -> dict[str, np.ndarray]:
+        """Parts of ``flat`` in the shapes of the weights."""
         out, at = {}, 0
         for k, w in self.weights.items():
-            out[k] = flat[at : at + w.size].reshape(w.shape).astype(w.dtype)
+            out[k] = flat[at : at + w.size].reshape(w.shape)
             at += w.size
-        return Network(self.words, out, self.class_size)
+        return out
 
-    def forward(self, x: np.ndarray, h: np.ndarray, keep: list | None = None) -> np.ndarray:
+    def unpacked(self, flat: np.ndarray) -> Network:
+        return Network(self.words, {k: v.astype(self.weights[k].dtype) for k, v in self.views(flat).items()}, self.class_size)
+
+    def forward(self, x: np.ndarray, h: np.ndarray, keep: dict | None = None) -> np.ndarray:
         """States (steps, state, lanes) after each row of ``x`` (steps, lanes), from ``h`` (state, lanes) on. ``keep`` gets what backward needs."""
-        w, n = self.weights, self.state
-        out = room("states", (len(x), n, x.shape[1]), h.dtype)
-        table, read = np.ascontiguousarray(w["read"].T), np.empty((3 * n, x.shape[1]), h.dtype)
-        loop, bias = np.ascontiguousarray(w["loop"].T), w["loop_bias"][:, None]
-        goes_on = (x != self.symbols).astype(h.dtype)
-        for t in range(len(x)):
-            h = h * goes_on[t]
-            np.take(table, x[t], axis=1, out=read, mode="clip")
-            looped = loop @ h
-            looped += bias
-            gates = read[: 2 * n] + looped[: 2 * n]
-            np.negative(gates, out=gates)
+        w, n, (steps, lanes), kind = self.weights, self.state, x.shape, h.dtype
+        # By gate; update and reset with the other sign, as their exponentials take it.
+        tables, loops = room("tables", (3, self.symbols + 1, n), kind), w["loop"].reshape(n, 3, n).transpose(1, 0, 2).copy()
+        bias = w["loop_bias"].reshape(3, 1, n)
+        tables[:] = w["read"].reshape(-1, 3, n).transpose(1, 0, 2)
+        tables[:2] += bias[:2]
+        np.negative(tables[:2], out=tables[:2])
+        np.negative(loops[:2], out=loops[:2])
+        bias = np.repeat(bias[2], lanes, 0)
+        at = x[:, None].astype(np.intp) + (np.arange(3) * (self.symbols + 1))[:, None]
+        read = np.take(tables.reshape(-1, n), at, axis=0, out=room("read", (steps, 3, lanes, n), kind), mode="clip")
+        looped = room("looped", (steps if keep is not None else 1, 3, lanes, n), kind)
+        out, part = room("states", (steps, lanes, n), kind), np.empty((lanes, n), kind)
+        first, starts = np.ascontiguousarray(h.T), x == self.symbols
+        h = first
+        for t, some in enumerate(starts.any(1).tolist()):
+            if some:
+                h = h.copy()
+                h[starts[t]] = 0
+            now = looped[t % len(looped)]
+            np.matmul(h, loops, out=now)
+            gates, inner, new = now[:2], now[2], read[t, 2]
+            gates += read[t, :2]
             np.exp(gates, out=gates)
             gates += 1
             np.reciprocal(gates, out=gates)
-            new = gates[n:] * looped[2 * n :]
-            new += read[2 * n :]
+            inner += bias
+            np.multiply(gates[1], inner, out=part)
+            new += part
             np.tanh(new, out=new)
-            if keep is not None:
-                keep.append((h, looped, gates[:n], gates[n:], new))
             after = out[t]
             np.subtract(h, new, out=after)
-            after *= gates[:n]
+            after *= gates[0]
             after += new
             h = after
-        return out
-
-    def _blocks(self, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Places of words by class, in blocks of one class: (class of each block, places in each block, which of these are real). Classes fill their last block with the place behind the last."""
+        if keep is not None:
+            before = room("before", out.shape, kind)
+            before[0], before[1:] = first, out[:-1]
+            before[starts] = 0
+            keep |= {"before": before, "update": looped[:, 0], "reset": looped[:, 1], "inner": looped[:, 2], "new": read[:, 2], "starts": starts}
+        return out.transpose(0, 2, 1)
+
+    def _by_class(self, y: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """Places of words in order of their classes; (class, first, last) of each class in that order."""
         own = np.where(y < self.words, y // self.class_size, self.word_classes).astype(np.int16)
-        order = np.append(np.argsort(own, kind="stable"), len(y))
-        counts = np.bincount(own, minlength=self.word_classes + 1)[: self.word_classes]
-        blocks, starts = -(-counts // PLACES), np.cumsum(counts) - counts
-        kind = np.repeat(np.arange(self.word_classes), blocks)
-        first = starts[kind] + PLACES * (np.arange(len(kind)) - np.repeat(np.cumsum(blocks) - blocks, blocks))
-        at = first[:, None] + np.arange(PLACES)
-        real = at < (starts + counts)[kind][:, None]
-        return kind, order[np.where(real, at, len(y))], real
+        ends = np.cumsum(np.bincount(own, minlength=self.word_classes + 1)[: self.word_classes]).tolist()
+        return np.argsort(own, kind="stable")[: ends[-1]], [(k, a, b) for k, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
 
     @staticmethod
-    def _softmax(logits: np.ndarray, at: np.ndarray, whole: bool = True) -> tuple[np.ndarray, np.ndarray]:
-        """Probabilities down each column, the last axis but one (only with ``whole``), and the logarithm of the one at ``at``."""
-        logits -= logits.max(-2, keepdims=True)
-        chosen = np.take_along_axis(logits, at[..., None, :], -2)[..., 0, :]
+    def _exponentials(logits: np.ndarray, at: np.ndarray, bounded: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Turn ``logits`` into exponentials in place; their sums down each column, and the logarithm of the share of the one at ``at``."""
+        if not bounded:
+            logits -= logits.max(0)
+        chosen = logits[at, np.arange(len(at))]
         np.exp(logits, out=logits)
-        total = logits.sum(-2)
-        if whole:
-            logits /= total[..., None, :]
-        return logits, chosen - np.log(total)
-
-    def _layers(self) -> tuple[np.ndarray, np.ndarray]:
-        """Weights of classes and words, the biases in the last column."""
+        total = logits.sum(0)
+        return total, chosen - np.log(total)
+
+    def _classes(self, h: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For ``h`` (places, state and a one): the classes of ``y``, exponentials by class, their sums, logarithms of the probabilities."""
+        w, own = self.weights, self.class_of(y)
+        layer = np.vstack([w["class"], w["class_bias"]]).T
+        logits = np.matmul(layer, h.T, out=room("classes", (len(layer), len(h)), h.dtype))
+        return own, logits, *self._exponentials(logits, own, self._bounded(h, w["class"].T, w["class_bias"]))
+
+    def _words(self, h: np.ndarray, y: np.ndarray) -> tuple:
+        """For ``h`` (places, state and a one): places of words and their classes, their rows of ``h``, weights with the bias in the last column, words
+        within the class, exponentials by word, their sums, logarithms of the probabilities."""
         w = self.weights
-        words = np.zeros((self.word_classes * self.class_size, self.state + 1), w["word"].dtype)
-        words[:, -1] = -1e9  # what fills the last class is never chosen
-        words[: self.words, :-1], words[: self.words, -1] = w["word"], w["word_bias"]
-        return np.vstack([w["class"], w["class_bias"]]).T.copy(), words.reshape(self.word_classes, self.class_size, -1)
-
-    def _words(self, h: np.ndarray, y: np.ndarray, whole: bool) -> tuple:
-        """For ``h`` (state and a one, places): blocks, their states and weights, probabilities and logarithms."""
-        kind, places, real = self._blocks(y)
-        rows = room("rows", (h.shape[1] + 1, len(h)), h.dtype)
-        rows[:-1], rows[-1] = h.T, 0
-        states = np.take(rows, places, axis=0, out=room("block states", (*places.shape, len(h)), h.dtype), mode="clip")
-        weights = self._layers()[1][kind]
-        logits = np.matmul(weights, states.transpose(0, 2, 1), out=room("words", (len(kind), self.class_size, PLACES), h.dtype))
-        target = np.append(y, 0)[places] - kind[:, None] * self.class_size
-        target[~real] = 0
-        return kind, places, real, states, weights, target, *self._softmax(logits, target, whole)
+        order, classes = self._by_class(y)
+        rows = np.take(h, order, axis=0, out=room("rows", (len(order), h.shape[1]), h.dtype), mode="clip")
+        layer = np.zeros((self.word_classes * self.class_size, self.state + 1), h.dtype)
+        layer[:, -1] = -1e9  # what fills the last class is never chosen
+        layer[: self.words, :-1], layer[: self.words, -1] = w["word"], w["word_bias"]
+        layer = layer.reshape(self.word_classes, self.class_size, -1)
+        logits = room("words", (self.class_size, len(order)), h.dtype)
+        for k, a, b in classes:
+            np.matmul(layer[k], rows[a:b].T, out=logits[:, a:b])
+        inner = y[order] % self.class_size
+        return order, classes, rows, layer, inner, logits, *self._exponentials(logits, inner, self._bounded(h, w["word"], w["word_bias"]))
+
+    @staticmethod
+    def _bounded(h: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> bool:
+        """Whether no exponential can overflow, nor a sum of them vanish, so that they need no largest one taken from them."""
+        reach = max(1.0, float(h.max(initial=0)), -float(h.min(initial=0)))
+        return bool((np.abs(weights).sum(1) * reach + np.abs(bias)).max(initial=0) < LOGIT)
 
     def log_probability(self, h: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Natural logarithms of the probabilities of ``y`` after states ``h`` (state, places)."""
         h = with_one(h, "layered")
-        classes = self._layers()[0]
-        _, logs = self._softmax(np.matmul(classes, h, out=room("classes", (len(classes), len(y)), h.dtype)), self.class_of(y), False)
-        _, places, real, *_, more = self._words(h, y, False)
-        logs[places[real]] += more[real]
+        *_, logs = self._classes(h, y)
+        order, *_, more = self._words(h, y)
+        logs[order] += more
         return logs
 
-    def gradient(self, x: np.ndarray, y: np.ndarray, used: np.ndarray, h: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, float]:
-        """Of the mean negative logarithm over the ``used`` places of one window; the state after it; the sum of logarithms."""
-        w, n = self.weights, self.state
-        kept: list = []
+    def gradient(self, x: np.ndarray, y: np.ndarray, used: np.ndarray, h: np.ndarray, into: np.ndarray | None = None) -> tuple[dict[str, np.ndarray], np.ndarray, float]:
+        """Of the mean negative logarithm over the ``used`` places of one window, as views of ``into``; the state after it; the sum of logarithms."""
+        w, n, (steps, lanes) = self.weights, self.state, x.shape
+        flat = np.empty(sum(v.size for v in w.values()), h.dtype) if into is None else into
+        flat.fill(0)
+        grad, kept, target = self.views(flat), {}, y[used]
         states = self.forward(x, h, kept)
-        target = y[used]
-        flat, classes = with_one(places(states, used), "layered"), self._layers()[0]
-        grad = {k: room(f"grad {k}", v.shape, v.dtype) for k, v in w.items()}
-        for g in grad.values():
-            g.fill(0)
-        own = self.class_of(target)
-        p, logs = self._softmax(np.matmul(classes, flat, out=room("classes", (len(classes), len(target)), h.dtype)), own)
-        p[own, np.arange(len(own))] -= 1
-        both = flat @ p.T
-        grad["class"][:], grad["class_bias"][:] = both[:-1], both[-1]
-        back = np.matmul(w["class"], p, out=room("back", (n, len(target)), h.dtype))
-        kind, at, real, block_states, weights, inner, p, more = self._words(flat, target, True)
-        logs[at[real]] += more[real]
-        np.put_along_axis(p, inner[:, None, :], np.take_along_axis(p, inner[:, None, :], 1) - 1, 1)
-        p *= real[:, None, :]
-        if len(kind):
-            seen, first = np.unique(kind, return_index=True)
-            both = np.add.reduceat(np.matmul(p, block_states), first)
-            for k, g in zip(seen.tolist(), both):
-                low, high = k * self.class_size, min((k + 1) * self.class_size, self.words)
-                grad["word"][low:high], grad["word_bias"][low:high] = g[: high - low, :-1], g[: high - low, -1]
-            # Each place is in one block.
-            back[:, at[real]] += np.matmul(weights[:, :, :-1].transpose(0, 2, 1), p).transpose(1, 0, 2)[:, real]
-        every = room("every", (n, x.size), h.dtype)
+        layered = with_one(places(states, used), "layered")
+        # Exponentials less their sum at the target, over that sum, are the gradient of the logits. The sums divide what has fewer rows.
+        own, p, total, logs = self._classes(layered, target)
+        p[own, np.arange(len(own))] -= total
+        share = (1 / total)[:, None]
+        both = p @ (layered * share)
+        grad["class"][:], grad["class_bias"][:] = both[:, :-1].T, both[:, -1]
+        back = np.matmul(p.T, w["class"].T, out=room("back", (len(target), n), h.dtype))
+        back *= share
+        order, classes, rows, layer, inner, p, total, more = self._words(layered, target)
+        logs[order] += more
+        p[inner, np.arange(len(inner))] -= total
+        share = (1 / total)[:, None]
+        rows *= share
+        down = room("words back", (len(order) + 1, n), h.dtype)
+        for k, a, b in classes:
+            both, low, high = p[:, a:b] @ rows[a:b], k * self.class_size, min((k + 1) * self.class_size, self.words)
+            grad["word"][low:high], grad["word_bias"][low:high] = both[: high - low, :-1], both[: high - low, -1]
+            np.matmul(p[:, a:b].T, layer[k, :, :-1], out=down[a:b])
+        down[:-1] *= share
+        down[-1] = 0
+        at = np.full(len(target), len(order))
+        at[order] = np.arange(len(order))  # each place is in one class, or is no word's
+        back += np.take(down, at, axis=0, out=room("words back by place", back.shape, h.dtype), mode="clip")
         if used.all():
-            every[:] = back
+            above = back.reshape(steps, lanes, n)
         else:
-            every.fill(0)
-            every[:, np.flatnonzero(used)] = back
-        above = room("above", (len(x), n, x.shape[1]), h.dtype)
-        above[:] = every.reshape(n, *x.shape).transpose(1, 0, 2)
-        steps, lanes = x.shape
-        read, loop = (room(name, (steps, 3 * n, lanes), h.dtype) for name in ("read", "loop"))
-        goes_on, later = (x != self.symbols).astype(h.dtype), 0.0
+            above = room("above", (steps, lanes, n), h.dtype)
+            above.fill(0)
+            above[used] = back
+        before, update, reset, inner, new, starts = kept.values()
+        # What a step's gradient is multiplied with, of all steps at once.
+        keeps = np.subtract(1, update, out=room("keeps", update.shape, h.dtype))
+        to_update = np.subtract(before, new, out=room("to update", update.shape, h.dtype))
+        to_update *= update
+        to_update *= keeps
+        to_new = np.multiply(new, new, out=room("to new", new.shape, h.dtype))
+        np.subtract(1, to_new, out=to_new)
+        to_new *= keeps
+        to_reset = np.subtract(1, reset, out=keeps)
+        to_reset *= reset
+        to_reset *= inner
+        every, news = room("every", (3, steps, lanes, n), h.dtype), room("news", new.shape, h.dtype)
+        loops, three = w["loop"].reshape(n, 3, n).transpose(1, 2, 0).copy(), np.empty((3, lanes, n), h.dtype)
+        later, some = np.zeros((lanes, n), h.dtype), starts.any(1).tolist()
         for t in reversed(range(steps)):
-            before, looped, update, reset, new = kept[t]
-            d = above[t] + later
-            d_new = d * (1 - update)
-            d_new *= 1 - new * new
-            read[t, :n] = d * (before - new) * update * (1 - update)
-            read[t, n : 2 * n] = d_new * looped[2 * n :] * reset * (1 - reset)
-            read[t, 2 * n :] = d_new
-            loop[t, : 2 * n] = read[t, : 2 * n]
-            np.multiply(d_new, reset, out=loop[t, 2 * n :])
-            later = w["loop"] @ loop[t]
-            later += d * update
-            later *= goes_on[t]
-        for t, (before, *_) in enumerate(kept):
-            grad["loop"] += before @ loop[t].T
-        grad["loop_bias"][:] = loop.sum((0, 2))
-        order = np.argsort(x, axis=None, kind="stable")
-        seen, first = np.unique(x.ravel()[order], return_index=True)
-        by_gate = read.transpose(1, 0, 2).reshape(3 * n, -1)
-        grad["read"][seen] = np.add.reduceat(np.take(by_gate, order, axis=1, out=room("read sorted", by_gate.shape, h.dtype), mode="clip"), first, axis=1).T
-        for g in grad.values():
-            g /= max(1, len(target))
+            d, d_new, d_all = above[t], news[t], every[:, t]
+            d += later
+            np.multiply(d, to_new[t], out=d_new)
+            np.multiply(d, to_update[t], out=d_all[0])
+            np.multiply(d_new, to_reset[t], out=d_all[1])
+            np.multiply(d_new, reset[t], out=d_all[2])
+            np.matmul(d_all, loops, out=three)
+            np.multiply(d, update[t], out=later)
+            for part in three:
+                later += part
+            if some[t]:
+                later[starts[t]] = 0
+        every, news = every.reshape(3, -1, n), news.reshape(-1, n)
+        grad["loop"].reshape(n, 3, n)[:] = np.matmul(before.reshape(-1, n).T, every).transpose(1, 0, 2)
+        grad["loop_bias"].reshape(3, n)[:] = every.sum(1)
+        symbols = x.ravel().astype(np.int16 if self.symbols < 1 << 15 else x.dtype)  # 16 bits are sorted by digits
+        order = np.argsort(symbols, kind="stable")
+        symbols = symbols[order]
+        first = np.flatnonzero(np.diff(symbols, prepend=-1))
+        by_symbol = room("read by symbol", (len(order), 3, n), h.dtype)
+        for k, part in enumerate((every[0], every[1], news)):
+            by_symbol[:, k] = np.take(part, order, axis=0)
+        grad["read"][symbols[first]] = np.add.reduceat(by_symbol.reshape(-1, 3 * n), first, axis=0)
+        flat /= max(1, len(target))
         return grad, states[-1].copy(), float(logs.sum())
 
 
 class Adam:
-    def __init__(self, weights: dict[str, np.ndarray], rate: float = RATE):
-        self.weights, self.rate, self.t = weights, rate, 0
-        self.mean = {k: np.zeros_like(w) for k, w in weights.items()}
-        self.square = {k: np.zeros_like(w) for k, w in weights.items()}
+    """Moves ``flat`` in place. The means are kept undivided: ``mean`` is ten, ``square`` a thousand times the usual."""
+
+    def __init__(self, flat: np.ndarray, rate: float = RATE):
+        self.flat, self.rate, self.t = flat, rate, 0
+        self.mean, self.square, self.part = np.zeros_like(flat), np.zeros_like(flat), np.empty_like(flat)
 
-    def step(self, grad: dict[str, np.ndarray], share: float = 1.0) -> None:
+    def step(self, grad: np.ndarray, share: float = 1.0) -> None:
         """``share``: how full the window was. Else the last documents, alone in their lanes, would move the weights most."""
         self.t += 1
         by = self.rate * share * (1 - 0.999**self.t) ** 0.5 / (1 - 0.9**self.t)
-        for k, g in grad.items():
-            m, v = self.mean[k], self.square[k]
-            m += 0.1 * (g - m)
-            v += 0.001 * (g * g - v)
-            step = np.sqrt(v)
-            step += 1e-8
-            np.divide(m, step, out=step)
-            step *= by
-            self.weights[k] -= step
+        part = self.part
+        self.mean *= 0.9
+        self.mean += grad
+        self.square *= 0.999
+        self.square += np.multiply(grad, grad, out=part)
+        np.sqrt(self.square, out=part)
+        part += 1e-8 * 1000**0.5
+        np.divide(self.mean, part, out=part)
+        part *= by * 0.1 * 1000**0.5
+        self.flat -= part
 
 
 # --- windows over many documents --------------------------------------------------------------------
@@ -309,68 +350,88 @@ class Adam:
 
 @dataclass
 class Text:
-    """A document's symbols on their way through a lane, and what is known of its score."""
+    """A document's symbols, and what is known of its score."""
 
     symbols: np.ndarray
     row: tuple = ()
-    at: int = 0
     log: float = 0.0
 
 
+@dataclass
+class Lanes:
+    """Documents one after the other in lanes that are about equally long, the longest lane first."""
+
+    texts: list[Text]
+    symbols: np.ndarray  # of all lanes, one behind the other
+    before: np.ndarray  # the symbol before each, or the start
+    owner: np.ndarray  # which of texts each symbol is of
+    starts: np.ndarray  # of lanes
+    lengths: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[Text], lanes: int, start: int) -> Lanes:
+        """The longest documents are dealt first, each to the lane with least so far. In a lane, they keep their order."""
+        sizes = [len(t.symbols) for t in texts]
+        loads, lane = [(0, k) for k in range(lanes)], np.zeros(len(texts), np.int64)
+        for k in sorted(range(len(texts)), key=sizes.__getitem__, reverse=True):
+            load, its = loads[0]
+            heapq.heapreplace(loads, (load + sizes[k], its))
+            lane[k] = its
+        lengths = np.zeros(lanes, np.int64)
+        for load, k in loads:
+            lengths[k] = load
+        longest = np.argsort(-lengths, kind="stable")
+        rank = np.empty_like(longest)
+        rank[longest] = np.arange(lanes)
+        order, lengths = np.argsort(rank[lane], kind="stable"), lengths[longest]
+        symbols = np.concatenate([texts[k].symbols for k in order])
+        owner = np.repeat(order.astype(np.int32), np.array(sizes)[order])
+        before = np.roll(symbols, 1)
+        before[np.flatnonzero(np.diff(owner, prepend=-1))] = start
+        return cls(texts, symbols, before, owner, np.cumsum(lengths) - lengths, lengths)
+
+    def windows(self, steps: int) -> Iterator[Window]:
+        for t in range(0, int(self.lengths[0]), steps):
+            live = int(np.count_nonzero(self.lengths > t))
+            step = np.arange(t, t + steps)[:, None]
+            used = step < self.lengths[:live]
+            at = np.where(used, self.starts[:live] + step, 0)
+            yield Window(self.before[at], self.symbols[at], used, self.owner[at], live)
+
+
 @dataclass
 class Window:
     x: np.ndarray
     y: np.ndarray
     used: np.ndarray
     owner: np.ndarray  # which of texts each place belongs to
-    texts: list[Text]
-    lanes: np.ndarray  # the lanes of the window before that still run
-
-
-def windows(texts: Iterable[Text], steps: int, lanes: int, start: int) -> Iterator[Window]:
-    """Documents side by side in lanes, each lane taking the next one as soon as it has ended one. Lanes end when there is none left."""
-    source, running = iter(texts), [None] * lanes
-    while True:
-        x, y = np.full((len(running), steps), start, np.int32), np.zeros((len(running), steps), np.int32)
-        owner = np.full((len(running), steps), -1, np.int32)
-        inside: list[Text] = []
-        live, after = [], []
-        for k, text in enumerate(running):
-            t = 0
-            while t < steps:
-                if text is None and (text := next(source, None)) is None:
-                    break
-                m = min(steps - t, len(text.symbols) - text.at)
-                y[k, t : t + m] = text.symbols[text.at : text.at + m]
-                owner[k, t : t + m] = len(inside)
-                if text.at:
-                    x[k, t] = text.symbols[text.at - 1]
-                x[k, t + 1 : t + m] = y[k, t : t + m - 1]
-                inside.append(text)
-                text.at += m
-                t += m
-                if text.at == len(text.symbols):
-                    text = None
-            if t:
-                live.append(k)
-                after.append(text)
-        if not live:
-            return
-        running, x, y, owner = after, x[live].T, y[live].T, owner[live].T
-        yield Window(x, y, owner >= 0, owner, inside, np.array(live))
+    live: int  # lanes that still run, the first ones
+
+
+def dealt(texts: Iterable[Text], lanes: int, start: int) -> Iterator[Lanes]:
+    """Documents, of about ``HELD`` symbols at a time, in lanes."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text.symbols) + ROW
+        if size >= HELD:
+            yield Lanes.of(held, lanes, start)
+            held, size = [], 0
+    if held:
+        yield Lanes.of(held, lanes, start)
 
 
 def score(texts: Iterable[Text], net: Network, steps: int = SCORE_STEPS, lanes: int = SCORE_LANES) -> Iterator[Text]:
     """The texts as they end, ``log`` being the natural logarithm of their probability."""
-    h = np.zeros((net.state, lanes), np.float32)
-    for w in windows(texts, steps, lanes, net.symbols):
-        states = net.forward(w.x, h[:, w.lanes])
-        sums = np.bincount(w.owner[w.used], net.log_probability(places(states, w.used), w.y[w.used]), len(w.texts))
-        for text, more in zip(w.texts, sums.tolist(), strict=True):
-            text.log += more
-            if text.at == len(text.symbols):
-                yield text
-        h = states[-1].copy()
+    for some in dealt(texts, lanes, net.symbols):
+        h, sums = np.zeros((net.state, lanes), np.float32), np.zeros(len(some.texts))
+        for w in some.windows(steps):
+            states = net.forward(w.x, h[:, : w.live])
+            sums += np.bincount(w.owner[w.used], net.log_probability(places(states, w.used), w.y[w.used]), len(sums))
+            h = states[-1].copy()
+        for text, log in zip(some.texts, sums.tolist(), strict=True):
+            text.log = log
+            yield text
 
 
 def repeated(symbols: Iterable[np.ndarray], least: int) -> Iterator[Text]:
@@ -390,12 +451,16 @@ def repeated(symbols: Iterable[np.ndarray], least: int) -> Iterator[Text]:
 
 def learn(texts: Iterable[Text], net: Network, steps: int = STEPS, lanes: int = LANES, rate: float = RATE) -> int:
     """Train in place; the number of tokens learnt from."""
-    h, adam, tokens = np.zeros((net.state, lanes), np.float32), Adam(net.weights, rate), 0
-    for w in windows(texts, steps, lanes, net.symbols):
-        grad, h, _ = net.gradient(w.x, w.y, w.used, h[:, w.lanes])
-        used = int(w.used.sum())
-        adam.step(grad, used / (steps * lanes))
-        tokens += used
+    flat = net.packed()
+    net.weights, grad = net.views(flat), np.empty_like(flat)
+    adam, tokens = Adam(flat, rate), 0
+    for some in dealt(texts, lanes, net.symbols):
+        h = np.zeros((net.state, lanes), np.float32)
+        for w in some.windows(steps):
+            _, h, _ = net.gradient(w.x, w.y, w.used, h[:, : w.live], grad)
+            used = int(w.used.sum())
+            adam.step(grad, used / (steps * lanes))
+            tokens += used
     return tokens
 
 
