@@ -9,6 +9,7 @@ from hashlib import sha256
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from visloom.llm import lm, runs, whitening
@@ -182,6 +183,14 @@ def test_scores_do_not_depend_on_what_is_held(monkeypatch):
     assert [parts[k] for k in range(60)] == pytest.approx([whole[k] for k in range(60)], rel=1e-5)
 
 
+def test_batches_are_gathered(monkeypatch):
+    monkeypatch.setattr(lm, "GATHERED", 1000)
+    texts = ["a" * n for n in (10, 20, 2000, 30, 300, 300, 300, 300, 5)]
+    parts = list(lm.gathered(pa.RecordBatch.from_arrays([pa.array([t])], ["text"]) for t in texts))
+    assert [t for p in parts for t in p.column(0).to_pylist()] == texts
+    assert [p.num_rows for p in parts] == [2, 1, 4, 2] and list(lm.gathered([])) == []
+
+
 def test_large_logits():
     """Logits too large for their exponentials give the same as small ones that differ by a constant."""
     rng, net = np.random.default_rng(7), small_network()

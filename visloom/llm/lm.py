@@ -53,6 +53,7 @@ FAN = 64
 SCORE_STEPS, SCORE_LANES = 32, 256
 #: Symbols that are dealt to lanes at once, a document counting as ``ROW`` more. Lanes end together, unless a document is longer than they are.
 HELD, ROW = 1 << 21, 64
+GATHERED = 4 << 20
 REST = 16
 #: Logits within this need no largest one taken from them before their exponentials.
 LOGIT = 60.0
@@ -384,10 +385,10 @@ class Lanes:
         rank = np.empty_like(longest)
         rank[longest] = np.arange(lanes)
         order, lengths = np.argsort(rank[lane], kind="stable"), lengths[longest]
-        symbols = np.concatenate([texts[k].symbols for k in order])
-        owner = np.repeat(order.astype(np.int32), np.array(sizes)[order])
-        before = np.roll(symbols, 1)
-        before[np.flatnonzero(np.diff(owner, prepend=-1))] = start
+        symbols, sizes = np.concatenate([texts[k].symbols for k in order]), np.array(sizes)[order]
+        owner, before = np.repeat(order.astype(np.int32), sizes), np.empty_like(symbols)
+        before[1:] = symbols[:-1]
+        before[np.cumsum(sizes) - sizes] = start
         return cls(texts, symbols, before, owner, np.cumsum(lengths) - lengths, lengths)
 
     def windows(self, steps: int) -> Iterator[Window]:
@@ -432,6 +433,7 @@ def score(texts: Iterable[Text], net: Network, steps: int = SCORE_STEPS, lanes:
         for text, log in zip(some.texts, sums.tolist(), strict=True):
             text.log = log
             yield text
+        del some, text  # before the next ones are held
 
 
 def repeated(symbols: Iterable[np.ndarray], least: int) -> Iterator[Text]:
@@ -461,6 +463,7 @@ def learn(texts: Iterable[Text], net: Network, steps: int = STEPS, lanes: int =
             used = int(w.used.sum())
             adam.step(grad, used / (steps * lanes))
             tokens += used
+        del some
     return tokens
 
 
@@ -556,6 +559,19 @@ class Words:
         return np.split(out, (self.ends + np.arange(1, len(self.ends) + 1))[:-1]) if len(self.ends) else []
 
 
+def gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``GATHERED`` bytes. Arrow makes its table of all listed words anew for each batch that is encoded."""
+    held, size = [], 0
+    for batch in batches:
+        if held and size + batch.nbytes > GATHERED:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 def tokens(text: bytes) -> list[bytes]:
     """The same words of one text. Bytes, unlike strings, have no other letters and white space than ASCII's."""
     return text.lower().split()
@@ -632,7 +648,7 @@ def train(texts: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS, rate: float
             mine = net.unpacked(net.packed())
 
             def documents() -> Iterator[np.ndarray]:
-                for batch in batches:
+                for batch in gathered(batches):
                     words = Words.of(batch.column(0))
                     yield from words.with_ends(vocab.encode(words).symbols)
 
@@ -662,7 +678,7 @@ def partial_scores(texts: DataFrame, vocab: Vocabulary, net: Network) -> DataFra
 
         def read() -> Iterator[Text]:
             number = first
-            for batch in batches:
+            for batch in gathered(batches):
                 words = Words.of(batch.column(2))
                 encoded, owner, n = vocab.encode(words), words.owners(), batch.num_rows
                 found = encoded.ranks >= 0
