@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from visloom.llm import components, decontaminate, linededup, neardup, substrings, suffixes
@@ -96,6 +97,39 @@ def test_substrings_without_broadcast_and_with_anchors_over_many_blocks(spark, m
     check_substrings(spark, planted(30, 6))
 
 
+def test_filter_of_numbers():
+    """A filter lets all of its numbers pass, and few others; its size is bounded."""
+    rng = np.random.default_rng(4)
+    value = rng.integers(0, 1 << 48, 60_000, dtype=np.uint64)
+    for slices in (1, 7):
+        size = substrings.Filter.size(len(value), slices)
+        own = substrings.Filter(np.concatenate([substrings.Filter.slice(value[value % np.uint64(slices) == k], size) for k in range(slices)]), slices)
+        assert own.among(value).all() and own.among(rng.integers(0, 1 << 48, 60_000, dtype=np.uint64)).mean() < 0.01
+    assert substrings.Filter.size(10**12, 7) * 7 <= substrings.FILTER_BYTES and not own.among(value[:0]).size
+
+
+def test_anchors_of_texts():
+    """Each pair of an anchor and a text once, with empty texts between and more texts than a piece holds."""
+    texts = [b"", b"x" * 80, b"short", b"", b"x" * 80 + bytes(range(60, 180)), *[b""] * 70_000, bytes(range(60, 180)), b""]
+    got = Counter((int(v), int(t)) for values, numbers in substrings.text_anchors(texts) for v, t in zip(values, numbers, strict=True))
+    assert set(got.values()) == {1} and set(got) == {(int(v), t) for t, x in enumerate(texts) for v in substrings.anchors(np.frombuffer(x, np.uint8))}
+
+
+def test_substrings_with_a_filter_that_lets_others_pass(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "FILTER_BYTES", 8)
+    monkeypatch.setattr(substrings, "PIECE_BYTES", 300)
+    check_substrings(spark, planted(30, 7))
+
+
+def test_many_shared_anchors_are_not_joined_to_documents(spark, monkeypatch):
+    """More of them than one array could hold before are sent as a filter, and neither documents nor segments move for it."""
+    monkeypatch.setattr(substrings.Filter, "size", staticmethod(lambda n, slices: 64))
+    rows = spark.createDataFrame([(k, k, b"y" * 40 + bytes(range(60, 180))) for k in range(3)], "owner long, tag long, data binary")
+    shared = substrings.shared_anchors(rows, 2).withColumn("n", F.lit(20_000_000).cast("long"))
+    look = substrings._Lookup(rows, shared, 2)
+    assert "Exchange" not in look.rows._jdf.queryExecution().executedPlan().toString() and look.filter is not None
+
+
 def test_substrings_on_documents(spark, docs, doc_rows):
     brute = brute_substrings(doc_rows)
     got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in substrings.dedup(docs).collect()}

@@ -34,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,9 +50,15 @@ PIECE_ANCHORS = 12
 BLOCK_SLICES = 8_000
 #: One hash range for so many bytes of text.
 RANGE_BYTES = 8 << 20
-BATCH_BYTES = 512 << 10
-#: Shared anchors up to this number (8 bytes each) are broadcast; more are joined to the documents by shuffle.
-BROADCAST_ANCHORS = 8_000_000
+#: Texts are hashed by pieces of so many bytes: eight bytes of hash for each are to fit a core's own cache.
+PIECE_BYTES = 64 << 10
+#: Segments are handed on once they hold so many bytes.
+BATCH_BYTES = 4 << 20
+#: Shared anchors up to this number, those of some 14 GB of documents, are broadcast as a filter; more are joined to the documents by shuffle.
+BROADCAST_ANCHORS = 128_000_000
+#: A filter's bits for each number, and its bytes at most.
+FILTER_BITS = 24
+FILTER_BYTES = 96 << 20
 #: Other tables of up to so many rows are broadcast.
 BROADCAST_ROWS = 20_000
 #: So are the lists of removed runs, up to so many runs.
@@ -95,12 +102,12 @@ def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> np.ndar
 
 
 def _pieces(texts: list[bytes]) -> Iterator[tuple[range, np.ndarray, np.ndarray, np.ndarray]]:
-    """Runs of texts of some MB: their numbers, joined bytes, starts, and the anchor of each position (-1 as
-    unsigned where a string would cross a text's end)."""
+    """Runs of at most 65,536 texts and, but for one long text, ``PIECE_BYTES``: their numbers, joined bytes, starts, and the anchor of
+    each position (-1 as unsigned where a string would cross a text's end)."""
     first = 0
     while first < len(texts):
         end, held = first, 0
-        while end < len(texts) and (end == first or held + len(texts[end]) <= BATCH_BYTES):
+        while end < len(texts) and end - first < 1 << 16 and (end == first or held + len(texts[end]) <= PIECE_BYTES):
             held += len(texts[end])
             end += 1
         data = np.frombuffer(b"".join(texts[first:end]), np.uint8)
@@ -129,30 +136,68 @@ def text_anchors(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         at = _heads(found)
         value = found[at]
         at, value = at[value != NONE], value[value != NONE]
-        # Of texts at the same start all but the last are empty.
-        text = np.searchsorted(starts, at, side="right") - 1 + numbers.start
-        by = np.lexsort([text, value])
-        value, text = value[by], text[by]
-        new = np.concatenate([[True], (value[1:] != value[:-1]) | (text[1:] != text[:-1])]) if len(value) else np.zeros(0, bool)
-        yield value[new], text[new]
-
-
-def segments(texts: list[bytes], shared: np.ndarray | list[np.ndarray]) -> Iterator[tuple[int, int, int]]:
-    """(text number, start, number of strings) of the runs of strings whose anchors are among the sorted ``shared``, which may be a list by text. Runs are cut where an anchor's own bits say so."""
+        # Of texts at the same start all but the last are empty. An anchor's 48 bits and a text's 16 are one number.
+        text = np.searchsorted(starts, at, side="right") - 1
+        both = np.sort(value << _U(16) | text.astype(np.uint64))
+        if len(both):
+            both = both[np.concatenate([[True], both[1:] != both[:-1]])]
+        yield both >> _U(16), (both & _U(0xFFFF)).astype(np.int64) + numbers.start
+
+
+class Filter:
+    """Whether numbers are among some: always so of those, and seldom of others. A number has ``PROBES`` bits in the slice that it is dealt to, so slices are made apart."""
+
+    PROBES = tuple(_U(x) for x in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5))
+
+    def __init__(self, bits: np.ndarray, slices: int) -> None:
+        self.bits, self.slices = bits, slices
+
+    @staticmethod
+    def size(n: int, slices: int) -> int:
+        """Bytes of a slice for ``n`` numbers in all."""
+        return max(8, min(n * FILTER_BITS // 8, FILTER_BYTES) // slices)
+
+    @staticmethod
+    def places(value: np.ndarray, size: int, probe: np.uint64) -> np.ndarray:
+        return ((value * probe >> _U(32)) * _U(8 * size) >> _U(32)).astype(np.int64)
+
+    @classmethod
+    def slice(cls, value: np.ndarray, size: int) -> np.ndarray:
+        held = np.zeros(8 * size, bool)
+        for probe in cls.PROBES:
+            held[cls.places(value, size, probe)] = True
+        return np.packbits(held, bitorder="little")
+
+    def among(self, value: np.ndarray) -> np.ndarray:
+        """A mask of the ``value`` that may be among the numbers."""
+        size, at = len(self.bits) // self.slices, np.arange(len(value))
+        for probe in self.PROBES:
+            place = self.places(value[at], size, probe)
+            byte = self.bits[(value[at] % _U(self.slices)).astype(np.int64) * size + (place >> 3)]
+            at = at[byte >> (place & 7).astype(np.uint8) & 1 == 1]
+        out = np.zeros(len(value), bool)
+        out[at] = True
+        return out
+
+
+def _held(shared: Filter | list[np.ndarray], value: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Which anchors are shared: those that pass a filter, or those listed for their text."""
+    held = value != NONE
+    if isinstance(shared, Filter):
+        return held & shared.among(value)
+    for t in np.unique(text).tolist():
+        a, b = np.searchsorted(text, [t, t + 1])
+        held[a:b] &= np.isin(value[a:b], shared[t])
+    return held
+
+
+def segments(texts: list[bytes], shared: Filter | list[np.ndarray]) -> Iterator[tuple[int, int, int]]:
+    """(text number, start, number of strings) of the runs of strings whose anchors are ``shared``, which is a filter or lists by text. Runs are cut where an anchor's own bits say so."""
     for numbers, _, starts, found in _pieces(texts):
         at = _heads(found)
         value = found[at]
         text = np.searchsorted(starts, at, side="right") - 1
-        if isinstance(shared, list):
-            held = np.zeros(len(at), bool)
-            for t in np.unique(text).tolist():
-                a, b = np.searchsorted(text, [t, t + 1])
-                held[a:b] = np.isin(value[a:b], shared[numbers.start + t])
-        elif len(shared):
-            held = shared[np.minimum(np.searchsorted(shared, value), len(shared) - 1)] == value
-        else:
-            held = np.zeros(len(at), bool)
-        held &= value != NONE
+        held = _held(shared, value, text + numbers.start)
         # Heads where a segment begins or ends; unmatched places at each text's end keep texts apart.
         before = np.concatenate([[False], held[:-1]])
         first = held & (~before | (value % _U(PIECE_ANCHORS) == 0))
@@ -162,22 +207,14 @@ def segments(texts: list[bytes], shared: np.ndarray | list[np.ndarray]) -> Itera
             yield numbers.start + t, a - int(starts[t]), b - a
 
 
-def slices(texts: list[bytes], shared: np.ndarray | list[np.ndarray] | None) -> Iterator[tuple[int, int, int, bytes]]:
-    """(text number, start, anchor, bytes) of the runs of strings with one anchor, if it is shared, or of all."""
+def slices(texts: list[bytes], shared: Filter | list[np.ndarray]) -> Iterator[tuple[int, int, int, bytes]]:
+    """(text number, start, anchor, bytes) of the runs of strings with one anchor, if it is shared."""
     for numbers, data, starts, found in _pieces(texts):
         at = _heads(found)
         ends = np.append(at[1:], len(found))
         value = found[at]
         text = np.searchsorted(starts, at, side="right") - 1
-        if shared is None:
-            held = np.ones(len(at), bool)
-        elif isinstance(shared, list):
-            held = np.array([value[k] in shared[numbers.start + text[k]] for k in range(len(at))], bool) if len(at) else np.zeros(0, bool)
-        elif len(shared):
-            held = shared[np.minimum(np.searchsorted(shared, value), len(shared) - 1)] == value
-        else:
-            held = np.zeros(len(at), bool)
-        held &= value != NONE
+        held = _held(shared, value, text + numbers.start)
         raw = data.tobytes()
         for a, b, v, t in zip(at[held].tolist(), ends[held].tolist(), value[held].tolist(), text[held].tolist(), strict=True):
             for s in range(a, b, MOST_STRINGS):
@@ -236,16 +273,29 @@ def _thick(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def _filter(packed: DataFrame, n: int, slices: int) -> Broadcast:
+    """A filter of the numbers in (r, packed), arrays of 8 bytes each dealt by their remainder r; of ``FILTER_BYTES`` at most, whatever their number."""
+    size = Filter.size(n, slices)
+
+    def make(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        value = np.frombuffer(b"".join(table.column("packed").to_pylist()), "<u8")
+        return pa.table({"r": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([Filter.slice(value, size).tobytes()], pa.binary())})
+
+    bits = np.zeros(size * slices, np.uint8)
+    for row in packed.select("r", "packed").groupBy("r").applyInArrow(make, "r long, bits binary").toLocalIterator(prefetchPartitions=True):
+        bits[row["r"] * size : (row["r"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
+    return packed.sparkSession.sparkContext.broadcast(Filter(bits, slices))
+
+
 class _Lookup:
-    """The shared anchors, as one broadcast array if they are few, else listed for each row by a join."""
+    """The shared anchors, as a broadcast filter that lets few others pass, or listed for each row by a join where a filter would let many pass.
+    Others do no harm: their strings are compared, too."""
 
-    def __init__(self, rows: DataFrame, shared: DataFrame) -> None:
-        spark = rows.sparkSession
+    def __init__(self, rows: DataFrame, shared: DataFrame, ranges: int) -> None:
         n = shared.agg(F.sum("n")).first()[0] or 0
-        self.few = None
+        self.filter = None
         if n <= BROADCAST_ANCHORS:
-            parts = [np.frombuffer(r["packed"], "<u8") for r in shared.select("packed").toLocalIterator()]
-            self.few = spark.sparkContext.broadcast(np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.uint64))
+            self.filter = _filter(shared, n, ranges)
             self.rows = rows.select("owner", "tag", "data", F.lit(None).cast("array<long>").alias("wanted"))
             return
 
@@ -264,12 +314,12 @@ class _Lookup:
         self.rows = rows.join(wanted, (F.col("owner") == F.col("o")) & (F.col("tag") == F.col("g"))).select("owner", "tag", "data", "wanted")
 
     def of(self, batch: pa.RecordBatch):
-        if self.few is not None:
-            return self.few.value
+        if self.filter is not None:
+            return self.filter.value
         return [np.sort(np.array(x, np.int64).astype(np.uint64)) for x in batch.column(3).to_pylist()]
 
     def __getstate__(self):
-        return {"few": self.few}
+        return {"filter": self.filter}
 
 
 def covered(docs: DataFrame) -> DataFrame:
@@ -277,7 +327,8 @@ def covered(docs: DataFrame) -> DataFrame:
     total = docs.agg(F.sum(F.length("data"))).first()[0] or 0
     if not total:
         return docs.sparkSession.createDataFrame([], "owner long, tag long, start long, n long")
-    look = _Lookup(docs, common.cut(shared_anchors(docs, 1 + total // RANGE_BYTES)))
+    ranges = 1 + total // RANGE_BYTES
+    look = _Lookup(docs, common.cut(shared_anchors(docs, ranges)), ranges)
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -295,7 +346,7 @@ def covered(docs: DataFrame) -> DataFrame:
                 piece = texts[t][start : start + n + LENGTH - 1]
                 held.append((t, start, n, piece))
                 size += len(piece)
-                if size >= 8 * BATCH_BYTES:
+                if size >= BATCH_BYTES:
                     yield flush()
                     held.clear()
                     size = 0
@@ -305,13 +356,13 @@ def covered(docs: DataFrame) -> DataFrame:
     # What carries text is deleted as soon as the next step has what it needs.
     with common.scratch(docs.sparkSession) as keep:
         found = common.cut(common.map_arrow(look.rows, cut_up, "owner long, tag long, start long, n long, name binary, data binary"))
-        firsts = common.cut(found.groupBy("name").agg(F.min(F.struct("owner", "tag", "start")).alias("at")))
-        placed = found.select("owner", "tag", "start", "n", "name").join(_near(firsts), "name")
-        kind = F.when(F.col("owner") == F.col("at.owner"), F.xxhash64("name")).alias("kind")
+        at = F.xxhash64("owner", "tag", "start").alias("key")
+        firsts = common.cut(found.groupBy("name").agg(F.min("owner").alias("least"), F.min_by(at, "owner").alias("key")))
+        placed = found.select("owner", "tag", "start", "n", "name").join(_near(firsts.select("name", "least")), "name")
+        kind = F.when(F.col("owner") == F.col("least"), F.xxhash64("name")).alias("kind")
         placed = keep(placed.select("owner", "tag", "start", "n", kind))
         # What the first holders of distinct segments share with one another: segments in the place of texts.
-        holders = firsts.select(F.xxhash64("at.owner", "at.tag", "at.start").alias("key"))
-        kinds = _semi(found.select(F.xxhash64("owner", "tag", "start").alias("key"), "owner", F.xxhash64("name").alias("tag"), "data"), holders)
+        kinds = _semi(found.select(at, "owner", F.xxhash64("name").alias("tag"), "data"), firsts.select("key"))
         kinds = keep(kinds.select("owner", "tag", "data"))
     with common.scratch(docs.sparkSession) as keep:
         inside = keep(_inside(kinds)).select(F.col("owner").alias("first"), F.col("tag").alias("its_kind"), F.col("start").alias("inner"), F.col("n").alias("m"))
@@ -327,23 +378,24 @@ def _near(small: DataFrame) -> DataFrame:
 
 
 def _semi(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows whose 64-bit ``key`` is among the keys. A bounded number of keys is sent as one array, so that the rows do not move."""
-    if keys.limit(BROADCAST_ANCHORS + 1).count() > BROADCAST_ANCHORS:
+    """Rows whose 64-bit ``key`` is among the keys, and perhaps a few more. As many keys as a filter has room for are sent as one, so that the rows do not move."""
+    n = keys.count()
+    if n > BROADCAST_ANCHORS:
         return rows.join(keys, "key", "left_semi")
+    parts = 1 + n * FILTER_BITS // (8 * RANGE_BYTES)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([batch.column(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes()], pa.binary())], ["packed"])
+            key = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            r = key % _U(parts)
+            found = np.unique(r)
+            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array([key[r == k].astype("<u8").tobytes() for k in found], pa.binary())], ["r", "packed"])
 
-    parts = [np.frombuffer(r["packed"], "<i8") for r in common.map_arrow(keys, pack, "packed binary").toLocalIterator()]
-    wanted = rows.sparkSession.sparkContext.broadcast(np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.int64))
+    wanted = _filter(common.map_arrow(keys, pack, "r long, packed binary"), n, parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        among = wanted.value
         for batch in batches:
-            key = batch.column(0).to_numpy(zero_copy_only=False)
-            at = np.minimum(np.searchsorted(among, key), max(len(among) - 1, 0))
-            yield batch.filter(pa.array(among[at] == key if len(among) else np.zeros(len(key), bool)))
+            yield batch.filter(pa.array(wanted.value.among(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))))
 
     return common.map_arrow(rows, run, rows.schema)
 
@@ -351,24 +403,23 @@ def _semi(rows: DataFrame, keys: DataFrame) -> DataFrame:
 def _inside(kinds: DataFrame) -> DataFrame:
     """(owner, tag, start, n): runs of strings in the distinct segments (owner, tag, data) that a smaller owner's segment holds."""
     size = kinds.agg(F.sum(F.length("data"))).first()[0] or 0
-    look = _Lookup(kinds, common.cut(shared_anchors(kinds, 1 + size // RANGE_BYTES)))
+    ranges = 1 + size // RANGE_BYTES
+    look = _Lookup(kinds, common.cut(shared_anchors(kinds, ranges)), ranges)
     # Equal slices are one, like equal segments, and only hashes of slices move for that.
-    cut_slices = common.cut(common.map_arrow(look.rows, _slicer(look, False), "owner long, tag long, start long, n long, anchor long, name long"))
-    distinct = cut_slices.groupBy("anchor", "name").agg(F.min("owner").alias("least"), F.min(F.struct("owner", "tag", "start")).alias("at"))
-    distinct = common.cut(distinct)
-    of_slice = cut_slices.join(distinct.select("anchor", "name", "least"), ["anchor", "name"])
-    # Slices of a first holder keep their names, for what the blocks find in them.
+    cut_slices = common.cut(common.map_arrow(look.rows, _slicer(look), "owner long, tag long, start long, n long, anchor long, name long"))
+    at = F.xxhash64("owner", "tag", "start")
+    distinct = common.cut(cut_slices.groupBy("anchor", "name").agg(F.min("owner").alias("least"), F.min_by(at, "owner").alias("key")))
+    of_slice = cut_slices.join(distinct, ["anchor", "name"])
+    # Slices of a first holder keep their names, for what the blocks find in them; one of them stands for all.
     first = F.col("owner") == F.col("least")
-    of_slice = common.cut(of_slice.select("owner", "tag", "start", "n", F.when(first, F.col("anchor")).alias("anchor"), F.when(first, F.col("name")).alias("name")))
+    of_slice = common.cut(of_slice.select("owner", "tag", "start", "n", F.when(first, F.col("anchor")).alias("anchor"), F.when(first, F.col("name")).alias("name"), (at == F.col("key")).alias("stands")))
     repeated = of_slice.where("name IS NULL").select("owner", "tag", "start", "n")
 
     # An anchor with one distinct slice has nothing left to compare.
     counts = common.cut(distinct.groupBy("anchor").agg(F.count("*").alias("slices")).where("slices > 1"))
-    wanted = distinct.join(counts, "anchor").select(F.col("at.owner").alias("o"), F.col("at.tag").alias("g"), F.col("at.start").alias("s"))
-    starts = common.cut(wanted.groupBy("o", "g").agg(F.sort_array(F.collect_set("s")).alias("starts")))
-    with_starts = kinds.join(_near(starts), (F.col("owner") == F.col("o")) & (F.col("tag") == F.col("g"))).select("owner", "tag", "data", "starts")
-    texts = common.map_arrow(with_starts, _slicer(None, True), "owner long, tag long, start long, n long, anchor long, name long, slice binary")
-    texts = common.cut(texts)
+    wanted = of_slice.where("stands").join(counts, "anchor").select(F.col("owner").alias("o"), F.col("tag").alias("g"), "start", "n", "anchor", "name")
+    piece = F.substring("data", F.col("start").cast("int") + 1, F.col("n").cast("int") + (LENGTH - 1)).alias("slice")
+    texts = common.cut(kinds.join(_near(wanted), (F.col("owner") == F.col("o")) & (F.col("tag") == F.col("g"))).select("owner", "anchor", "name", piece))
     blocks = 1 + texts.count() // BLOCK_SLICES
     wide = counts.where(F.col("slices") > BLOCK_SLICES).select("anchor", F.ceil(F.col("slices") / BLOCK_SLICES).cast("long").alias("parts"))
 
@@ -396,26 +447,22 @@ def _inside(kinds: DataFrame) -> DataFrame:
     return repeated.union(own)
 
 
-def _slicer(look: _Lookup | None, with_bytes: bool):
-    """A function for mapInArrow over (owner, tag, data, ...): the slices with a shared anchor, or those listed in the fourth column, with their bytes."""
+def _slicer(look: _Lookup):
+    """A function for mapInArrow over (owner, tag, data, ...): the slices with a shared anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        names = ["owner", "tag", "start", "n", "anchor", "name", *(["slice"] if with_bytes else [])]
         for batch in batches:
             held: list[tuple] = []
 
             def flush(held=held, batch=batch):
                 number = pa.array([h[0] for h in held], pa.int64())
-                column = lambda k, t=pa.int64(): pa.array([h[k] for h in held], t)
-                return pa.RecordBatch.from_arrays([batch.column(0).take(number), batch.column(1).take(number), *(column(k) for k in range(1, 5)), *([column(5, pa.binary())] if with_bytes else [])], names)
-
-            listed = None if look else [set(x) for x in batch.column(3).to_pylist()]
-            for t, start, anchor, piece in slices(batch.column(2).to_pylist(), look.of(batch) if look else None):
-                if listed is None or start in listed[t]:
-                    # Signed 63-bit names; slices are told apart by anchor and name together.
-                    held.append((t, start, len(piece) - LENGTH + 1, anchor, xxhash.xxh3_64_intdigest(piece) >> 1, piece if with_bytes else None))
+                return pa.RecordBatch.from_arrays([batch.column(0).take(number), batch.column(1).take(number), *(pa.array([h[k] for h in held], pa.int64()) for k in range(1, 5))], ["owner", "tag", "start", "n", "anchor", "name"])
+
+            for t, start, anchor, piece in slices(batch.column(2).to_pylist(), look.of(batch)):
+                # Signed 63-bit names; slices are told apart by anchor and name together.
+                held.append((t, start, len(piece) - LENGTH + 1, anchor, xxhash.xxh3_64_intdigest(piece) >> 1))
                 if len(held) >= 50_000:
                     yield flush()
                     held.clear()
