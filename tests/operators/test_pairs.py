@@ -26,6 +26,17 @@ def test_pairs_are_dealt_over_tasks(spark, array, monkeypatch):
     assert {tuple(r)[1:] for r in made.where("cbf_bl = (3 * 1000000 + 17) * 4 + 3").collect()} == {("m3v", "m17h")}
 
 
+def runs(rows, of):
+    """How often ``of`` changes from row to row."""
+    return sum(of(a) != of(b) for a, b in zip(rows, rows[1:], strict=False))
+
+
+def test_groups_and_orders_by_product(spark, array, monkeypatch):
+    """A pair's four numbers stand together in each group, and numbers of one product in the order follow one another."""
+    grouped = baselines.grouped_pairs(array).collect()
+    assert [r["grp"] for r in grouped[:4]] == ["auto"] * 4 and [r["cbf_bl"] for r in grouped[:4]] == [r["cbf_bl"] for r in grouped[4:8]]
+
+
 def test_order_of_pairs(spark, array, monkeypatch):
     monkeypatch.setattr(baselines, "BLOCK", 7)
     ordered = baselines.ordered_pairs(array)

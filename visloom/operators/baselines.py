@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import written
@@ -39,17 +39,30 @@ def _tasks(n: int) -> int:
     return max(1, min(4096, n * n // (2 * PAIRS)))
 
 
+def _sides(first: DataFrame, second: DataFrame) -> tuple[DataFrame, DataFrame]:
+    names = {"number": "n", "antenna": "ant"}
+    one, two = (df.select(*[F.col(c).alias(f"{names.get(c, c)}{k}") for c in df.columns]) for k, df in ((1, first), (2, second)))
+    return one, two
+
+
 def _pairs(first: DataFrame, second: DataFrame) -> DataFrame:
     """Each pair of antennas, an antenna with itself included; columns n1, ant1, ... and n2, ant2, ... The second side is less than ``NUMBERS`` rows."""
-    names = {"number": "n", "antenna": "ant"}
-    side = lambda df, k: df.select(*[F.col(c).alias(f"{names.get(c, c)}{k}") for c in df.columns])
-    return side(_spread(first), 1).join(F.broadcast(side(second, 2)), F.col("n1") <= F.col("n2"))
+    one, two = _sides(_spread(first), second)
+    return one.join(F.broadcast(two), F.col("n1") <= F.col("n2"))
+
+
+def _products(spark: SparkSession, **more: Column) -> DataFrame:
+    """k from 0 to 3; with what ``more`` makes of ``k``, too."""
+    return spark.range(0, len(PRODUCTS), 1, 1).withColumnRenamed("id", "k").select(*[c.alias(name) for name, c in ({"k": F.col("k")} | more).items()])
+
+
+def _cbf_bl() -> Column:
+    return ((F.col("n1") * NUMBERS + F.col("n2")) * 4 + F.col("k")).alias("cbf_bl")
 
 
-def _each_product(pairs: DataFrame, **more: Column) -> DataFrame:
-    """Each pair with k from 0 to 3, and ``cbf_bl``; with what ``more`` makes of ``k``, too."""
-    products = pairs.sparkSession.range(0, len(PRODUCTS), 1, 1).withColumnRenamed("id", "k").select(*[c.alias(name) for name, c in ({"k": F.col("k")} | more).items()])
-    return pairs.crossJoin(F.broadcast(products)).withColumn("cbf_bl", (F.col("n1") * NUMBERS + F.col("n2")) * 4 + F.col("k"))
+def _each_product(pairs: DataFrame, products: DataFrame | None = None) -> DataFrame:
+    """Each pair with k from 0 to 3, and ``cbf_bl``; with what rows of ``products`` have beside k, too."""
+    return pairs.crossJoin(F.broadcast(_products(pairs.sparkSession) if products is None else products)).withColumn("cbf_bl", _cbf_bl())
 
 
 def _inputs(antennas: DataFrame) -> DataFrame:
@@ -130,11 +143,12 @@ def groups(labelled: DataFrame, key: str = "bl") -> DataFrame:
 def grouped_pairs(antennas: DataFrame) -> DataFrame:
     """(cbf_bl, grp): ``groups`` of the baselines that ``kept`` leaves of ``generate(antennas)``, by pairs of antennas."""
     own = antennas.select("number", "antenna")
-    pairs = _pairs(own, own).where("ant2 >= ant1")
-    pols = F.array(*[F.lit(p + q if p == q else "hv") for p, q in PRODUCTS])
-    both = F.explode(F.array(F.lit(""), F.element_at(pols, F.col("k").cast("int") + 1)))
-    grp = F.concat(F.when(F.col("ant1") == F.col("ant2"), "auto").otherwise("cross"), "pols")
-    return _each_product(pairs, pols=both).select("cbf_bl", grp.alias("grp"))
+    pols = F.element_at(F.array(*[F.lit(p + q if p == q else "hv") for p, q in PRODUCTS]), F.col("k").cast("int") + 1)
+    # A pair's four products in one group, then in the other: numbers that repeat so compress better than one by one.
+    both = antennas.sparkSession.range(0, 2, 1, 1).crossJoin(F.broadcast(_products(antennas.sparkSession, pols=pols))).withColumn("pols", F.when(F.col("id") == 1, F.col("pols")).otherwise(""))
+    products = both.select("k", F.concat(F.lit("auto"), "pols").alias("auto"), F.concat(F.lit("cross"), "pols").alias("cross"))
+    grp = F.when(F.col("ant1") == F.col("ant2"), F.col("auto")).otherwise(F.col("cross"))
+    return _each_product(_pairs(own, own).where("ant2 >= ant1"), products).select("cbf_bl", grp.alias("grp"))
 
 
 def check_contiguous(grouped: DataFrame) -> None:
