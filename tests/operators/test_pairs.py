@@ -31,6 +31,17 @@ def runs(rows, of):
     return sum(of(a) != of(b) for a, b in zip(rows, rows[1:], strict=False))
 
 
+def test_labels_of_a_block_are_written_together(spark, array, monkeypatch):
+    """A task goes through its blocks of partners one after another, so that the labels it writes fit a file's dictionary."""
+    monkeypatch.setattr(baselines, "PAIRS", 200)
+    monkeypatch.setattr(baselines, "PARTNERS", 7)
+    made = baselines.generate(array)
+    assert {tuple(r) for r in made.collect()} == {((a * 1_000_000 + b) * 4 + k, f"m{a}{p}", f"m{b}{q}") for a in range(30) for b in range(a, 30) for k, (p, q) in enumerate(baselines.PRODUCTS)}
+    for part in made.rdd.glom().collect():
+        assert runs(part, lambda r: r["cbf_bl"] // 4 % 1_000_000 // 7) <= 4
+    assert baselines.generate(array.limit(0)).count() == 0
+
+
 def test_groups_and_orders_by_product(spark, array, monkeypatch):
     """A pair's four numbers stand together in each group, and numbers of one product in the order follow one another."""
     grouped = baselines.grouped_pairs(array).collect()
