@@ -46,6 +46,8 @@ def test_groups_and_orders_by_product(spark, array, monkeypatch):
     """A pair's four numbers stand together in each group, and numbers of one product in the order follow one another."""
     grouped = baselines.grouped_pairs(array).collect()
     assert [r["grp"] for r in grouped[:4]] == ["auto"] * 4 and [r["cbf_bl"] for r in grouped[:4]] == [r["cbf_bl"] for r in grouped[4:8]]
+    ordered = baselines.ordered_pairs(array).where("substring(input1, 1, length(input1) - 1) <> substring(input2, 1, length(input2) - 1)").collect()
+    assert runs(ordered, lambda r: r["cbf_bl"] % 4) < len(ordered) // 4
 
 
 def test_order_of_pairs(spark, array, monkeypatch):
